@@ -88,3 +88,487 @@ def q_fact_alert(spark, sf_dir):
     keys = materialize(M.city_area_keys(M.dim_city(fc, al), M.dim_area(al)),
                        workspace(spark, "city_area_keys"))
     return M.fact_alert(M.eph_alert(al), keys)
+
+
+# ---------------------------------------------------------------- helpers
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from skyfold.constants import DATASET_ALERT, DATASET_FORECAST  # noqa: E402
+from skyfold.functions.columns import (  # noqa: E402
+    non_null_elements,
+    to_batch_id,
+    weather_level,
+)
+from skyfold.operators import flatten as FL  # noqa: E402
+from skyfold.operators import quality as Q  # noqa: E402
+from skyfold.operators import retention as R  # noqa: E402
+from skyfold.operators import runstate as RS  # noqa: E402
+from skyfold.operators import staging as ST  # noqa: E402
+from skyfold.plans import jobs as J  # noqa: E402
+from skyfold.sinks import tables as K  # noqa: E402
+from skyfold.sources import readers as RD  # noqa: E402
+from skyfold.sources import schemas as S  # noqa: E402
+from skyfold.streaming.ingest import ingest_available  # noqa: E402
+
+# Fixed load time of the registered runs (reproducible audit columns).
+AS_OF = _dt.datetime(2024, 2, 1, tzinfo=_dt.timezone.utc)
+
+
+def ntz(df: DataFrame) -> DataFrame:
+    """Present instants as UTC wall-clock (``TIMESTAMP_NTZ``) in results."""
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _forecast_docs(spark, sf_dir) -> DataFrame:
+    texts = B.forecast_documents(spark, sf_dir)
+    return RD.parse_documents(texts.select("batch_id", "part", "body"), S.BRONZE_FORECAST)
+
+
+def _alert_docs(spark, sf_dir) -> DataFrame:
+    texts = B.alert_documents(spark, sf_dir)
+    return RD.parse_documents(texts.select("batch_id", "part", "body"), S.BRONZE_ALERT)
+
+
+def _staging_fc_table(spark, sf_dir) -> DataFrame:
+    return B.staging_forecast(spark, sf_dir).withColumn("batch_id", to_batch_id("batch_time"))
+
+
+def _staging_al_table(spark, sf_dir) -> DataFrame:
+    return B.staging_alert(spark, sf_dir).withColumn("batch_id", to_batch_id("batch_time"))
+
+
+def _dims(spark, sf_dir):
+    fc, al = _stg(spark, sf_dir)
+    dim_c = materialize(M.dim_city(fc, al), workspace(spark, "dim_city"))
+    dim_a = materialize(M.dim_area(al), workspace(spark, "dim_area"))
+    return fc, al, dim_c, dim_a
+
+
+STAGING_OUT = ("city", "type", "start_time", "end_time", "temp", "unit", "batch_time")
+
+
+# ---------------------------------------------------------------- flatten
+
+@query("flatten_forecast")
+def q_flatten_forecast(spark, sf_dir):
+    rows = FL.flatten_forecast(_forecast_docs(spark, sf_dir))
+    return rows.select("batch_id", *S.SILVER_FORECAST.fieldNames())
+
+
+@query("flatten_alert")
+def q_flatten_alert(spark, sf_dir):
+    rows = FL.flatten_alert(_alert_docs(spark, sf_dir))
+    return rows.select("batch_id", *S.SILVER_ALERT.fieldNames())
+
+
+@query("map_code_filter")
+def q_map_code_filter(spark, sf_dir):
+    kept = FL.forecast_locations(_forecast_docs(spark, sf_dir))
+    return kept.select("batch_id", "part", "City", "Type",
+                       F.size("time").cast("long").alias("n_slots"))
+
+
+@query("last_match_attr")
+def q_last_match_attr(spark, sf_dir):
+    return FL.alert_entries(_alert_docs(spark, sf_dir)).select(
+        "batch_id", "event", "start_time", "level")
+
+
+@query("drop_null_elements")
+def q_drop_null_elements(spark, sf_dir):
+    return FL.alert_entries(_alert_docs(spark, sf_dir)).select(
+        "batch_id", "event", "start_time", F.size("areas").alias("n_areas"),
+        F.size(non_null_elements("areas")).alias("n_areas_kept"))
+
+
+@query("scan_bronze_json")
+def q_scan_bronze_json(spark, sf_dir):
+    """Land forecast payloads as JSON Lines, then scan them with the explicit schema."""
+    layout = J.Layout(workspace(spark, "scan_bronze"))
+    J.land(B.forecast_documents(spark, sf_dir), layout, DATASET_FORECAST)
+    docs = RD.read_bronze(spark, layout.bronze(DATASET_FORECAST), S.BRONZE_FORECAST)
+    loc = F.col("doc.records.location")
+    n_el = F.aggregate(loc, F.lit(0), lambda acc, l: acc + F.size(l["weatherElement"]))
+    n_slot = F.aggregate(loc, F.lit(0), lambda acc, l: acc + F.aggregate(
+        l["weatherElement"], F.lit(0), lambda a2, e: a2 + F.size(e["time"])))
+    return docs.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_documents"),
+        F.sum(F.size(loc)).cast("long").alias("n_locations"),
+        F.sum(n_el).cast("long").alias("n_elements"),
+        F.sum(n_slot).cast("long").alias("n_slots"))
+
+
+# ---------------------------------------------------------------- staging (P6-P9, K*)
+
+@query("rename_standard")
+def q_rename_standard(spark, sf_dir):
+    silver = FL.flatten_forecast(_forecast_docs(spark, sf_dir)).select(
+        *S.SILVER_FORECAST.fieldNames(), "batch_id")
+    return ST.rename_standard(silver, S.STAGING_FORECAST_NAMES)
+
+
+@query("cast_strict")
+def q_cast_strict(spark, sf_dir):
+    silver = FL.flatten_forecast(_forecast_docs(spark, sf_dir))
+    staged = ST.forecast_to_staging(silver, AS_OF)
+    return staged.select("city", "type", "start_time", "end_time", "temp", "unit", "batch_id")
+
+
+@query("cast_quarantine")
+def q_cast_quarantine(spark, sf_dir):
+    """Every element's value cast to INT; text values are quarantined, not fatal."""
+    slots = FL.forecast_all_slots(_forecast_docs(spark, sf_dir)).select(
+        "batch_id", "City", "elementName", "startTime", F.col("Temp").alias("Temp_text"),
+        F.col("Temp").alias("temp"))
+    good, rejects = ST.cast_quarantine(slots, {"temp": "int"})
+    return (good.withColumn("status", F.lit("ok"))
+            .unionByName(rejects.drop("reject_reason")
+                         .withColumn("temp", F.lit(None).cast("int"))
+                         .withColumn("status", F.lit("rejected"))))
+
+
+@query("audit_columns")
+def q_audit_columns(spark, sf_dir):
+    silver = FL.flatten_forecast(_forecast_docs(spark, sf_dir))
+    return ntz(ST.forecast_to_staging(silver, AS_OF).drop("batch_id"))
+
+
+@query("land_bronze")
+def q_land_bronze(spark, sf_dir):
+    """Land both payload sets; the forecast set twice (a rerun replaces, never doubles)."""
+    layout = J.Layout(workspace(spark, "land_bronze"))
+    fc_docs = B.forecast_documents(spark, sf_dir)
+    J.land(fc_docs, layout, DATASET_FORECAST)
+    J.land(fc_docs, layout, DATASET_FORECAST)
+    J.land(B.alert_documents(spark, sf_dir), layout, DATASET_ALERT)
+    out = []
+    for ds, schema in ((DATASET_FORECAST, S.BRONZE_FORECAST), (DATASET_ALERT, S.BRONZE_ALERT)):
+        docs = RD.read_bronze(spark, layout.bronze(ds), schema)
+        out.append(docs.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_documents"))
+                   .select(F.lit(ds).alias("dataset"), "batch_id", "n_documents"))
+    return out[0].unionByName(out[1])
+
+
+@query("write_silver")
+def q_write_silver(spark, sf_dir):
+    """Silver alert rows written per batch, twice; read back per batch."""
+    path = workspace(spark, "silver") + "/etl_temperature_alert"
+    rows = FL.flatten_alert(_alert_docs(spark, sf_dir)).select(
+        *S.SILVER_ALERT.fieldNames(), "batch_id")
+    K.write_partitioned(rows, path)
+    K.write_partitioned(rows, path)
+    back = RD.read_silver(spark, path, S.SILVER_ALERT)
+    return back.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("scan_silver")
+def q_scan_silver(spark, sf_dir):
+    path = workspace(spark, "silver") + "/etl_temperature"
+    rows = FL.flatten_forecast(_forecast_docs(spark, sf_dir)).select(
+        *S.SILVER_FORECAST.fieldNames(), "batch_id")
+    K.write_partitioned(rows, path)
+    return RD.read_silver(spark, path, S.SILVER_FORECAST).select(
+        "batch_id", *S.SILVER_FORECAST.fieldNames())
+
+
+def _latest_batch_id(df: DataFrame) -> str:
+    return df.agg(F.max("batch_id")).first()[0]
+
+
+@query("replace_batch")
+def q_replace_batch(spark, sf_dir):
+    """Load every batch, then reload the latest batch (static replace): no duplicates."""
+    path = workspace(spark, "staging") + "/staging_forecast"
+    table = _staging_fc_table(spark, sf_dir)
+    K.write_partitioned(table, path)
+    latest = _latest_batch_id(K.read_table(spark, path, S.STAGING_FORECAST, partitioned=True))
+    K.replace_batch(table.where(F.col("batch_id") == latest), path, latest)
+    back = K.read_table(spark, path, S.STAGING_FORECAST, partitioned=True)
+    return ntz(back.select(*STAGING_OUT))
+
+
+@query("replace_batch_empty")
+def q_replace_batch_empty(spark, sf_dir):
+    """Reloading the latest batch with no rows empties it."""
+    path = workspace(spark, "staging") + "/staging_alert"
+    table = _staging_al_table(spark, sf_dir)
+    K.write_partitioned(table, path)
+    latest = _latest_batch_id(K.read_table(spark, path, S.STAGING_ALERT, partitioned=True))
+    K.replace_batch(table.where(F.lit(False)), path, latest)
+    back = K.read_table(spark, path, S.STAGING_ALERT, partitioned=True)
+    return ntz(back.groupBy("batch_time").agg(F.count(F.lit(1)).alias("row_count")))
+
+
+@query("publish_append")
+def q_publish_append(spark, sf_dir):
+    """Append publish run twice: every batch is doubled (bare-load parity)."""
+    path = workspace(spark, "warehouse") + "/staging_forecast"
+    table = _staging_fc_table(spark, sf_dir).withColumn(
+        "update_time", F.lit(AS_OF).cast("timestamp"))
+    K.publish_append(table, path)
+    K.publish_append(table, path)
+    back = K.read_table(spark, path, S.STAGING_FORECAST, partitioned=True)
+    return ntz(back.groupBy("batch_time").agg(F.count(F.lit(1)).alias("row_count")))
+
+
+@query("scan_batch")
+def q_scan_batch(spark, sf_dir):
+    """The current (latest) batch of the staging table, partition-pruned."""
+    path = workspace(spark, "staging") + "/staging_forecast"
+    K.write_partitioned(_staging_fc_table(spark, sf_dir), path)
+    table = K.read_table(spark, path, S.STAGING_FORECAST, partitioned=True)
+    latest = table.agg(F.max("batch_id")).scalar()
+    return ntz(table.where(F.col("batch_id") == latest).select(*STAGING_OUT))
+
+
+@query("sql_query")
+def q_sql_query(spark, sf_dir):
+    """Parameterised SQL over a registered staging view."""
+    _stg(spark, sf_dir)[0].createOrReplaceTempView("stg_weather_forecast")
+    return RD.sql_query(
+        spark,
+        "SELECT city, count(*) AS n_hot FROM stg_weather_forecast "
+        "WHERE type = :kind AND temp >= :threshold GROUP BY city",
+        kind="HighestTemp", threshold=32)
+
+
+@query("list_objects")
+def q_list_objects(spark, sf_dir):
+    layout = J.Layout(workspace(spark, "list_objects"))
+    J.land(B.forecast_documents(spark, sf_dir), layout, DATASET_FORECAST)
+    lst = R.with_object_ts(RD.list_objects(spark, layout.bronze(DATASET_FORECAST)), "path")
+    return lst.select("path", F.col("object_ts").isNotNull().alias("dated"), "length")
+
+
+# ---------------------------------------------------------------- scalar & set models
+
+@query("split_area")
+def q_split_area(spark, sf_dir):
+    return M.eph_alert(_stg(spark, sf_dir)[1]).select("area", "city", "district")
+
+
+@query("bucket_level")
+def q_bucket_level(spark, sf_dir):
+    fc = _stg(spark, sf_dir)[0]
+    return fc.groupBy("type", weather_level("temp").alias("level")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("join_city_dim")
+def q_join_city_dim(spark, sf_dir):
+    fc, al = _stg(spark, sf_dir)
+    dim_c = materialize(M.dim_city(fc, al), workspace(spark, "dim_city"))
+    from skyfold.operators.joins import join_dimension
+    return join_dimension(fc, dim_c, "city").select("city_key", "city", "type",
+                                                    "weather_date", "temp")
+
+
+@query("union_distinct_city")
+def q_union_distinct_city(spark, sf_dir):
+    fc, al = _stg(spark, sf_dir)
+    return M.city_list(fc, al)
+
+
+@query("distinct_area")
+def q_distinct_area(spark, sf_dir):
+    return M.area_list(_stg(spark, sf_dir)[1])
+
+
+# ---------------------------------------------------------------- incremental dims
+
+def _prior_cities(spark, sf_dir, null_region: int | None = None) -> DataFrame:
+    """Cities the dimension held before: nations of the first two regions
+    (with ``null_region``, that region's rows were loaded with a NULL city)."""
+    from skyfold.sources.tables import read_table
+    n = read_table(spark, sf_dir, "nation")
+    code = F.concat(F.lit("C"), F.lpad(n.n_nationkey.cast("string"), 2, "0"))
+    if null_region is None:
+        return n.where(n.n_regionkey <= 1).select(code.alias("city"))
+    return n.where(n.n_regionkey <= null_region).select(
+        F.when(n.n_regionkey <= 1, code).alias("city"))
+
+
+def _prior_dim_city(spark, sf_dir, null_region=None) -> DataFrame:
+    return _prior_cities(spark, sf_dir, null_region).select(
+        F.md5("city").alias("city_key"), "city")
+
+
+@query("dim_city_new")
+def q_dim_city_new(spark, sf_dir):
+    fc, al = _stg(spark, sf_dir)
+    return M.dim_city_new(fc, al, _prior_dim_city(spark, sf_dir))
+
+
+@query("dim_city_incremental")
+def q_dim_city_incremental(spark, sf_dir):
+    """Prior dimension, then two incremental runs: only new keys are appended."""
+    fc, al = _stg(spark, sf_dir)
+    path = workspace(spark, "marts") + "/dim_city"
+    K.overwrite_table(_prior_dim_city(spark, sf_dir), path)
+    for _ in range(2):
+        K.append_rows(M.dim_city_new(fc, al, spark.read.parquet(path)), path)
+    return spark.read.parquet(path)
+
+
+@query("not_in_null_target")
+def q_not_in_null_target(spark, sf_dir):
+    """A NULL key in the target blocks every insert (NOT IN semantics)."""
+    fc, al = _stg(spark, sf_dir)
+    return M.dim_city_new(fc, al, _prior_dim_city(spark, sf_dir, null_region=2))
+
+
+def _prior_dim_area(spark, sf_dir, al) -> DataFrame:
+    return M.dim_area(al).join(_prior_cities(spark, sf_dir), "city", "left_semi")
+
+
+@query("dim_area_new")
+def q_dim_area_new(spark, sf_dir):
+    al = _stg(spark, sf_dir)[1]
+    return M.dim_area_new(al, _prior_dim_area(spark, sf_dir, al))
+
+
+@query("dim_area_incremental")
+def q_dim_area_incremental(spark, sf_dir):
+    al = _stg(spark, sf_dir)[1]
+    path = workspace(spark, "marts") + "/dim_area"
+    K.overwrite_table(_prior_dim_area(spark, sf_dir, al), path)
+    for _ in range(2):
+        K.append_rows(M.dim_area_new(al, spark.read.parquet(path)), path)
+    return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- data quality (Q1-Q5)
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    fc, al, dim_c, dim_a = _dims(spark, sf_dir)
+    ff = M.fact_forecast(M.eph_forecast(fc, dim_c))
+    fa = M.fact_alert(M.eph_alert(al), M.city_area_keys(dim_c, dim_a))
+    return (Q.not_null(fc, "stg_weather_forecast", ["city"])
+            .unionByName(Q.not_null(al, "stg_weather_alert", ["area"]))
+            .unionByName(Q.not_null(dim_a, "dim_area", ["area_key"]))
+            .unionByName(Q.not_null(ff, "fact_weather_forecast", ["city_key"]))
+            .unionByName(Q.not_null(fa, "fact_weather_alert", ["city_key", "area_key"])))
+
+
+@query("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    fc, al = _stg(spark, sf_dir)
+    return (Q.unique(M.dim_area(al), "dim_area", "area_key")
+            .unionByName(Q.unique(M.dim_city(fc, al), "dim_city", "city_key")))
+
+
+@query("dq_pk_forecast")
+def q_dq_pk_forecast(spark, sf_dir):
+    return ntz(ST.key_violations(B.staging_forecast(spark, sf_dir), S.STAGING_FORECAST_KEY))
+
+
+@query("dq_pk_alert")
+def q_dq_pk_alert(spark, sf_dir):
+    return ntz(ST.key_violations(B.staging_alert(spark, sf_dir), S.STAGING_ALERT_KEY))
+
+
+@query("dq_pk_not_null")
+def q_dq_pk_not_null(spark, sf_dir):
+    return (Q.not_null(B.staging_forecast(spark, sf_dir), "staging_forecast",
+                       list(S.STAGING_FORECAST_KEY))
+            .unionByName(Q.not_null(B.staging_alert(spark, sf_dir), "staging_alert",
+                                    list(S.STAGING_ALERT_KEY))))
+
+
+@query("dq_orphans")
+def q_dq_orphans(spark, sf_dir):
+    fc, al, dim_c, dim_a = _dims(spark, sf_dir)
+    ff = M.fact_forecast(M.eph_forecast(fc, dim_c))
+    fa = M.fact_alert(M.eph_alert(al), M.city_area_keys(dim_c, dim_a))
+    return (Q.orphans(ff, "fact_weather_forecast", "city_key", dim_c, "city_key")
+            .unionByName(Q.orphans(fa, "fact_weather_alert", "city_key", dim_c, "city_key"))
+            .unionByName(Q.orphans(fa, "fact_weather_alert", "area_key", dim_a, "area_key")))
+
+
+# ---------------------------------------------------------------- run state (Q6-Q8, A2, A3)
+
+def _state(spark, sf_dir) -> DataFrame:
+    return materialize(B.pipeline_registrations(spark, sf_dir), workspace(spark, "state"))
+
+
+@query("pipeline_state_update")
+def q_pipeline_state_update(spark, sf_dir):
+    """Each known pipeline's first update after registration, applied once."""
+    state = _state(spark, sf_dir)
+    known = state.select(F.col("pipeline_name").alias("__n"), "created_seq")
+    log = B.pipeline_updates(spark, sf_dir)
+    live = log.join(known, log.pipeline_name == known.__n).where(
+        F.col("seq") > F.col("created_seq"))
+    first = live.groupBy("pipeline_name").agg(
+        F.min_by(F.struct("status", "row_count", "last_processed_at", "ts"), "seq").alias("u")
+    ).select("pipeline_name", "u.*")
+    return ntz(RS.apply_update(state, first))
+
+
+@query("pipeline_state_fold")
+def q_pipeline_state_fold(spark, sf_dir):
+    state = _state(spark, sf_dir)
+    return ntz(RS.fold_updates(state, B.pipeline_updates(spark, sf_dir), state.count()
+                               ).select(*RS.STATE_COLUMNS))
+
+
+@query("pipeline_state_lookup")
+def q_pipeline_state_lookup(spark, sf_dir):
+    """State of every pipeline that reported a failure (unknown names: no row)."""
+    state = _state(spark, sf_dir)
+    log = B.pipeline_updates(spark, sf_dir)
+    folded = RS.fold_updates(state, log, state.count())
+    return ntz(RS.lookup(folded, log.where(F.col("status") == "FAILED")))
+
+
+@query("high_water_mark")
+def q_high_water_mark(spark, sf_dir):
+    state = _state(spark, sf_dir)
+    return ntz(RS.high_water_mark(B.pipeline_updates(spark, sf_dir), state))
+
+
+@query("batch_row_count")
+def q_batch_row_count(spark, sf_dir):
+    return ntz(RS.batch_row_counts({"staging_forecast": B.staging_forecast(spark, sf_dir),
+                                    "staging_alert": B.staging_alert(spark, sf_dir)}))
+
+
+@query("batch_row_count_total")
+def q_batch_row_count_total(spark, sf_dir):
+    return ntz(RS.batch_row_totals({"staging_forecast": B.staging_forecast(spark, sf_dir),
+                                    "staging_alert": B.staging_alert(spark, sf_dir)}))
+
+
+# ---------------------------------------------------------------- retention
+
+def _named_objects(spark, sf_dir) -> DataFrame:
+    return R.with_object_ts(B.object_names(spark, sf_dir), "object_name")
+
+
+@query("parse_object_ts")
+def q_parse_object_ts(spark, sf_dir):
+    return ntz(_named_objects(spark, sf_dir))
+
+
+def _latest_fetch(objs: DataFrame):
+    return objs.agg(F.max("object_ts")).scalar()
+
+
+@query("retention_candidates")
+def q_retention_candidates(spark, sf_dir):
+    """Objects older than the retention window, measured from the latest fetch."""
+    objs = _named_objects(spark, sf_dir)
+    return ntz(R.expired(objs, _latest_fetch(objs), "object_name"))
+
+
+@query("retention_keep")
+def q_retention_keep(spark, sf_dir):
+    objs = _named_objects(spark, sf_dir)
+    return ntz(R.kept(objs, _latest_fetch(objs), "object_name"))

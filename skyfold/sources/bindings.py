@@ -7,7 +7,8 @@ work of every query grows with them:
 * forecast: one ``events`` row is one forecast time slot.  City =
   ``'C' || lpad(user_id % 25, 2, '0')``, ``view`` -> MinT, ``click`` -> MaxT
   (except city ``C03``, which therefore never has a HighestTemp), the other
-  event types become element codes that the flatten step must drop.  The
+  event types become element codes that the flatten step must drop (``Wx``
+  carries text, as a weather description does).  The
   batch is the event's day at 20:00.
 * alert: one ``orders JOIN customer`` row is one alert.  Area =
   ``'C' || lpad(c_nationkey, 2, '0') || c_mktsegment`` (3-character city +
@@ -120,7 +121,7 @@ def forecast_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     ev = read_table(spark, sf_dir, "events")
     batch_time = _day_batch(ev.ts)
-    noise = _forecast_element_code(ev).isin("MinT", "MaxT")
+    kept = _forecast_element_code(ev).isin("MinT", "MaxT")
     return ev.select(
         to_batch_id(batch_time).alias("batch_id"),
         batch_time.alias("batch_time"),
@@ -131,9 +132,10 @@ def forecast_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_format(ev.ts, FORECAST_TS_FORMAT).alias("startTime"),
             F.date_format(ev.ts + F.expr("INTERVAL 12 HOURS"), FORECAST_TS_FORMAT).alias("endTime"),
             F.struct(
-                F.when(noise, _forecast_temp(ev).cast("string"))
+                F.when(kept, _forecast_temp(ev).cast("string"))
+                 .when(ev.event_type == "purchase", ev.props)
                  .otherwise(F.floor(ev.value).cast("string")).alias("parameterName"),
-                F.when(noise, F.lit("C")).otherwise(F.lit("%")).alias("parameterUnit"),
+                F.when(kept, F.lit("C")).otherwise(F.lit("%")).alias("parameterUnit"),
             ).alias("parameter"),
         ).alias("slot"),
     )
@@ -197,3 +199,70 @@ def alert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_doc.select(
         "batch_id", "batch_time", "part",
         F.to_json(F.struct(F.struct("info").alias("records"))).alias("body"))
+
+
+# ------------------------------------------------------------------ run state
+#
+# Run bookkeeping derived from ``events``: pipeline = 'p' || user_id.  A
+# ``signup`` creates the pipeline's state row (updates logged before it are
+# lost, as an UPDATE of a missing row is); view/click report RUNNING,
+# purchase SUCCESS with a row count and the processed batch, error FAILED.
+
+def _pipeline_name(ev: DataFrame) -> Column:
+    return F.concat(F.lit("p"), ev.user_id.cast("string"))
+
+
+def pipeline_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Initial state rows: one per pipeline with a signup (plus ``created_seq``)."""
+    ensure_utc(spark)
+    ev = read_table(spark, sf_dir, "events")
+    reg = ev.where(ev.event_type == "signup").groupBy(_pipeline_name(ev).alias("pipeline_name")).agg(
+        F.min("event_id").alias("created_seq"),
+        F.min_by(F.col("ts").cast("timestamp"), F.col("event_id")).alias("created_at"))
+    return reg.select(
+        "pipeline_name",
+        F.lit(None).cast("string").alias("status"),
+        F.lit(None).cast("long").alias("row_count"),
+        F.lit(None).cast("timestamp").alias("last_processed_at"),
+        F.lit(None).cast("timestamp").alias("last_run_at"),
+        "created_at",
+        F.col("created_at").alias("updated_at"),
+        "created_seq",
+    )
+
+
+def pipeline_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The update log: pipeline_name, seq, status, row_count, last_processed_at, ts."""
+    ensure_utc(spark)
+    ev = read_table(spark, sf_dir, "events")
+    success = ev.event_type == "purchase"
+    return ev.where(ev.event_type != "signup").select(
+        _pipeline_name(ev).alias("pipeline_name"),
+        ev.event_id.alias("seq"),
+        F.when(ev.event_type.isin("view", "click"), "RUNNING")
+         .when(success, "SUCCESS").otherwise("FAILED").alias("status"),
+        F.when(success, F.floor(ev.value)).cast("long").alias("row_count"),
+        F.when(success, _day_batch(ev.ts)).alias("last_processed_at"),
+        ev.ts.cast("timestamp").alias("ts"),
+    )
+
+
+# ------------------------------------------------------------------ retention
+#
+# Object names as the landing step of the source pipeline names them, one per
+# fetch (event): forecasts as JSON with microseconds, others as silver
+# parquet, error events leave a foreign log object without a timestamp.
+
+def object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    ev = read_table(spark, sf_dir, "events")
+    name = (F.when(ev.event_type == "error",
+                   F.concat(F.lit("weather/tmp/"), ev.event_id.cast("string"), F.lit(".log")))
+            .when(ev.event_type.isin("view", "click"),
+                  F.concat(F.lit("weather/temperature_"),
+                           F.date_format(ev.ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+                           F.lit("+00:00.json")))
+            .otherwise(F.concat(F.lit("weather/etl_temperature_"),
+                                F.date_format(ev.ts, "yyyy-MM-dd'T'HH:mm:ss"),
+                                F.lit("+00:00.parquet"))))
+    return ev.select(name.alias("object_name"))
