@@ -122,10 +122,15 @@ def enforce_key(df: DataFrame, key: tuple[str, ...] | list[str], sample: int = 2
 
 def split_key_violations(df: DataFrame, key: tuple[str, ...] | list[str]
                          ) -> tuple[DataFrame, DataFrame]:
-    """Quarantine mode: (rows with a clean key, rows of violating keys)."""
-    viol = key_violations(df, key).select(*key).withColumn("__viol", F.lit(True))
-    tagged = df.join(viol, [df[k].eqNullSafe(viol[k]) for k in key], "left")
-    tagged = tagged.select(*[df[c] for c in df.columns], viol["__viol"])
+    """Quarantine mode: (rows with a clean key, rows of violating keys).
+
+    The violating keys are joined back null-safely on the key columns (a
+    shuffle on the key, as the check itself).
+    """
+    viol = key_violations(df, key).select(*[F.col(k).alias(f"__v_{k}") for k in key]
+                                          ).withColumn("__viol", F.lit(True))
+    cond = [F.col(k).eqNullSafe(F.col(f"__v_{k}")) for k in key]
+    tagged = df.join(viol, cond, "left").select(*df.columns, "__viol")
     good = tagged.where(F.col("__viol").isNull()).drop("__viol")
     bad = tagged.where(F.col("__viol").isNotNull()).drop("__viol")
     return good, bad

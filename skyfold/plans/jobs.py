@@ -152,8 +152,9 @@ def build_marts(spark: SparkSession, layout: Layout, stg_fc: DataFrame | None =
     if stg_al is None:
         stg_al = M.stg_alert(read_staging(spark, layout, "staging_alert"))
     if run_tests:
-        Q.assert_passed(Q.not_null(stg_fc, "stg_weather_forecast", MART_TESTS["stg_weather_forecast"]))
-        Q.assert_passed(Q.not_null(stg_al, "stg_weather_alert", MART_TESTS["stg_weather_alert"]))
+        Q.assert_passed(
+            Q.not_null(stg_fc, "stg_weather_forecast", MART_TESTS["stg_weather_forecast"])
+            .unionByName(Q.not_null(stg_al, "stg_weather_alert", MART_TESTS["stg_weather_alert"])))
 
     paths = {m: layout.mart(m) for m in ("dim_city", "dim_area", "fact_weather_forecast",
                                          "fact_weather_alert")}
@@ -170,8 +171,8 @@ def build_marts(spark: SparkSession, layout: Layout, stg_fc: DataFrame | None =
     dim_c = spark.read.parquet(paths["dim_city"])
     dim_a = spark.read.parquet(paths["dim_area"])
     if run_tests:
-        Q.assert_passed(Q.not_null(dim_a, "dim_area", MART_TESTS["dim_area"]))
-        Q.assert_passed(Q.unique(dim_a, "dim_area", "area_key"))
+        Q.assert_passed(Q.not_null(dim_a, "dim_area", MART_TESTS["dim_area"])
+                        .unionByName(Q.unique(dim_a, "dim_area", "area_key")))
 
     K.overwrite_table(M.fact_forecast(M.eph_forecast(stg_fc, dim_c)),
                       paths["fact_weather_forecast"])
@@ -180,8 +181,9 @@ def build_marts(spark: SparkSession, layout: Layout, stg_fc: DataFrame | None =
     if run_tests:
         ff = spark.read.parquet(paths["fact_weather_forecast"])
         fa = spark.read.parquet(paths["fact_weather_alert"])
-        Q.assert_passed(Q.not_null(ff, "fact_weather_forecast", MART_TESTS["fact_weather_forecast"]))
-        Q.assert_passed(Q.not_null(fa, "fact_weather_alert", MART_TESTS["fact_weather_alert"]))
+        Q.assert_passed(
+            Q.not_null(ff, "fact_weather_forecast", MART_TESTS["fact_weather_forecast"])
+            .unionByName(Q.not_null(fa, "fact_weather_alert", MART_TESTS["fact_weather_alert"])))
     return paths
 
 

@@ -19,14 +19,19 @@ def land_documents(docs: DataFrame, path: str) -> None:
     Batches present in ``docs`` replace earlier landings of the same batch;
     other batches are left alone (dynamic partition overwrite).
     """
-    (docs.select("batch_id", "body").write.mode("overwrite")
+    (docs.select("batch_id", "body").hint("rebalance", "batch_id").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").text(path))
 
 
 def write_partitioned(df: DataFrame, path: str) -> None:
-    """Replace, per ``batch_id`` present in ``df``, that batch's parquet folder."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace, per ``batch_id`` present in ``df``, that batch's parquet folder.
+
+    The ``rebalance`` hint clusters rows of a batch into few files; AQE splits
+    an oversized (skewed) batch over several tasks and merges small ones.
+    """
+    (df.hint("rebalance", "batch_id").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(path))
 
 
@@ -43,7 +48,7 @@ def publish_append(df: DataFrame, path: str) -> int:
     the write (no second scan).  A rerun appends the rows again."""
     obs = Observation("published")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("append").partitionBy("batch_id").parquet(path)
+    observed.hint("rebalance", "batch_id").write.mode("append").partitionBy("batch_id").parquet(path)
     return int(obs.get["rows"])
 
 

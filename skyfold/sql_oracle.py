@@ -390,3 +390,18 @@ WHERE object_ts < (SELECT max(object_ts) FROM objects) - INTERVAL 2 DAY""")
 register("retention_keep", f"""WITH {OBJECTS}
 SELECT object_name, object_ts FROM objects
 WHERE object_ts IS NULL OR object_ts >= (SELECT max(object_ts) FROM objects) - INTERVAL 2 DAY""")
+
+register("pipeline_run", ORACLE["fact_forecast"])
+
+_DOCS = [
+    ("stg_weather_forecast", "view", "Forecast time slots with the forecast date derived from the start time.", "staging,weather,forecast", "stg_forecast"),
+    ("stg_weather_alert", "view", "Temperature alerts per area with the alert date.", "staging,weather,alert", "stg_alert"),
+    ("dim_city", "table", "City keys of every city seen in forecasts or alerts.", "dim,city", "dim_city"),
+    ("dim_area", "table", "Area keys of every area seen in alerts.", "dim,area", "dim_area"),
+    ("fact_weather_forecast", "table", "Average low and high temperature per city and day, with a heat flag.", "fact,weather,forecast", "fact_forecast"),
+    ("fact_weather_alert", "table", "One row per alert and area, keyed to both dimensions.", "fact,weather,alert", "fact_alert"),
+]
+register("table_docs", with_models(" UNION ALL ".join(
+    f"SELECT '{m}' AS model, '{mat}' AS materialized, '{d}' AS description, '{t}' AS tags, "
+    f"(SELECT count(*) FROM {rel}) AS n_rows" for m, mat, d, t, rel in _DOCS),
+    [FACT_FORECAST, FACT_ALERT]))
