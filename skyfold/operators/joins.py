@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # A dimension is broadcast only when its row count, read from a materialised
 # table, is at most this; beyond it the join shuffles (AQE splits skew).
-MAX_BROADCAST_ROWS = 2_000_000
+# Dimension rows are narrow (a key and one or two short names, ~100 bytes),
+# so the cap bounds a broadcast at tens of megabytes.
+MAX_BROADCAST_ROWS = 500_000
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:

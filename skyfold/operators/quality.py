@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyfold.operators.joins import join_dimension
+
 RESULT_COLUMNS = ("model", "column_name", "test", "n_rows", "n_failing", "status")
 
 
@@ -41,11 +43,14 @@ def unique(df: DataFrame, model: str, column: str) -> DataFrame:
                               F.lit("unique").alias("test"), "n_rows", "n_failing"))
 
 
-def orphans(fact: DataFrame, model: str, fk: str, dim: DataFrame, pk: str) -> DataFrame:
+def orphans(fact: DataFrame, model: str, fk: str, dim: DataFrame, pk: str,
+            dim_rows: int | None = None) -> DataFrame:
     """Fact rows whose non-NULL ``fk`` has no ``pk`` in the dimension
-    (``left_anti`` join; the failing count is a scalar subquery)."""
+    (``left_anti`` join, size-checked broadcast of the dimension keys; the
+    failing count is a scalar subquery)."""
     keys = dim.select(F.col(pk).alias("__pk")).distinct()
-    anti = fact.where(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("__pk"), "left_anti")
+    anti = join_dimension(fact.where(F.col(fk).isNotNull()), keys, F.col(fk) == F.col("__pk"),
+                          "left_anti", dim_rows=dim_rows)
     n_bad = anti.agg(F.count(F.lit(1))).scalar()
     return _result(
         fact.agg(F.count(F.lit(1)).alias("n_rows"))

@@ -82,11 +82,11 @@ def fold_updates(state: DataFrame, log: DataFrame, state_rows: int | None = None
     )
 
 
-def high_water_mark(log: DataFrame, state: DataFrame) -> DataFrame:
+def high_water_mark(log: DataFrame, state: DataFrame, state_rows: int | None = None) -> DataFrame:
     """Per known pipeline: the latest batch processed by a successful run."""
     known = state.select(F.col("pipeline_name").alias("__name"), "created_seq")
-    ok = (log.where(F.col("status") == STATUS_SUCCESS)
-          .join(known, log.pipeline_name == known.__name, "inner")
+    ok = (join_dimension(log.where(F.col("status") == STATUS_SUCCESS), known,
+                         log.pipeline_name == known.__name, dim_rows=state_rows)
           .where(F.col("seq") > F.col("created_seq")))
     return ok.groupBy("pipeline_name").agg(F.max("last_processed_at").alias("high_water_mark"))
 

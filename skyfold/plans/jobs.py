@@ -23,6 +23,7 @@ from skyfold.constants import (
 )
 from skyfold.functions.columns import to_batch_id
 from skyfold.operators import flatten as FL
+from skyfold.operators.joins import materialize
 from skyfold.operators import quality as Q
 from skyfold.operators import retention as R
 from skyfold.operators import runstate as RS
@@ -176,8 +177,9 @@ def build_marts(spark: SparkSession, layout: Layout, stg_fc: DataFrame | None =
 
     K.overwrite_table(M.fact_forecast(M.eph_forecast(stg_fc, dim_c)),
                       paths["fact_weather_forecast"])
-    keys = M.city_area_keys(dim_c, dim_a)
-    K.overwrite_table(M.fact_alert(M.eph_alert(stg_al), keys), paths["fact_weather_alert"])
+    keys = materialize(M.city_area_keys(dim_c, dim_a), f"{layout.root}/marts/_city_area_keys")
+    K.overwrite_table(M.fact_alert(M.eph_alert(stg_al), keys, keys.count()),
+                      paths["fact_weather_alert"])
     if run_tests:
         ff = spark.read.parquet(paths["fact_weather_forecast"])
         fa = spark.read.parquet(paths["fact_weather_alert"])

@@ -86,10 +86,16 @@ def forecast_daily(stg_fc: DataFrame) -> DataFrame:
     )
 
 
-def eph_forecast(stg_fc: DataFrame, dim_c: DataFrame, dim_rows: int | None = None) -> DataFrame:
-    """city_key, weather_date, avg_LowestTemp, avg_HighestTemp."""
+def eph_forecast(stg_fc: DataFrame, dim_c: DataFrame) -> DataFrame:
+    """city_key, weather_date, avg_LowestTemp, avg_HighestTemp.
+
+    Both join inputs are aggregates (one row per city and day, one row per
+    city): their size follows the number of cities and days, not the number
+    of forecast rows, so the join is left to Catalyst/AQE without a size
+    check or a materialised dimension.
+    """
     daily = forecast_daily(stg_fc)
-    joined = join_dimension(daily, dim_c.select("city", "city_key"), "city", dim_rows=dim_rows)
+    joined = daily.join(dim_c.select("city", "city_key"), "city", "inner")
     return joined.select("city_key", "weather_date", "avg_LowestTemp", "avg_HighestTemp")
 
 

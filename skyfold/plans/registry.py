@@ -67,8 +67,7 @@ def q_dim_area(spark, sf_dir):
 
 def _eph_forecast(spark, sf_dir) -> DataFrame:
     fc, al = _stg(spark, sf_dir)
-    dim_c = materialize(M.dim_city(fc, al), workspace(spark, "dim_city"))
-    return M.eph_forecast(fc, dim_c)
+    return M.eph_forecast(fc, M.dim_city(fc, al))
 
 
 @query("eph_forecast")
@@ -487,9 +486,10 @@ def q_dq_orphans(spark, sf_dir):
     fc, al, dim_c, dim_a = _dims(spark, sf_dir)
     ff = M.fact_forecast(M.eph_forecast(fc, dim_c))
     fa = M.fact_alert(M.eph_alert(al), M.city_area_keys(dim_c, dim_a))
-    return (Q.orphans(ff, "fact_weather_forecast", "city_key", dim_c, "city_key")
-            .unionByName(Q.orphans(fa, "fact_weather_alert", "city_key", dim_c, "city_key"))
-            .unionByName(Q.orphans(fa, "fact_weather_alert", "area_key", dim_a, "area_key")))
+    nc, na = dim_c.count(), dim_a.count()
+    return (Q.orphans(ff, "fact_weather_forecast", "city_key", dim_c, "city_key", nc)
+            .unionByName(Q.orphans(fa, "fact_weather_alert", "city_key", dim_c, "city_key", nc))
+            .unionByName(Q.orphans(fa, "fact_weather_alert", "area_key", dim_a, "area_key", na)))
 
 
 # ---------------------------------------------------------------- run state (Q6-Q8, A2, A3)
@@ -531,7 +531,7 @@ def q_pipeline_state_lookup(spark, sf_dir):
 @query("high_water_mark")
 def q_high_water_mark(spark, sf_dir):
     state = _state(spark, sf_dir)
-    return ntz(RS.high_water_mark(B.pipeline_updates(spark, sf_dir), state))
+    return ntz(RS.high_water_mark(B.pipeline_updates(spark, sf_dir), state, state.count()))
 
 
 @query("batch_row_count")
