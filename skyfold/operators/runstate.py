@@ -18,12 +18,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.constants import STAGING_TABLES, STATUS_RUNNING, STATUS_SUCCESS
+from skyfold.constants import STAGING_TABLES, STATUS_FAILED, STATUS_RUNNING, STATUS_SUCCESS
 from skyfold.operators.joins import join_dimension
 
 STATE_COLUMNS = ("pipeline_name", "status", "row_count", "last_processed_at", "last_run_at",
                  "created_at", "updated_at")
 
+# Statuses travel through aggregates as small int codes: every aggregation
+# buffer stays fixed-width, so Spark can use hash (not sort) aggregation.
+_STATUSES = (STATUS_RUNNING, STATUS_SUCCESS, STATUS_FAILED)
+
+
+def status_code(status: Column) -> Column:
+    expr = F.when(status == _STATUSES[0], F.lit(1))
+    for i, s in enumerate(_STATUSES[1:], start=2):
+        expr = expr.when(status == s, F.lit(i))
+    return expr
+
+
+def status_name(code: Column) -> Column:
+    expr = F.when(code == 1, F.lit(_STATUSES[0]))
+    for i, s in enumerate(_STATUSES[1:], start=2):
+        expr = expr.when(code == i, F.lit(s))
+    return expr
+
 
 def apply_update(state: DataFrame, updates: DataFrame) -> DataFrame:
     """Apply at most one update per pipeline (``pipeline_name, status,
@@ -61,8 +79,9 @@ def fold_updates(state: DataFrame, log: DataFrame, state_rows: int | None = None
     live = join_dimension(log, known, log.pipeline_name == known.__name, dim_rows=state_rows
                           ).where(F.col("seq") > F.col("created_seq"))
     seq = F.col("seq")
+    live = live.withColumn("__code", status_code(F.col("status")))
     folded = live.groupBy("pipeline_name").agg(
-        F.max_by("status", seq).alias("__status"),
+        F.max_by("__code", seq).alias("__status"),
         F.expr("max_by(row_count, seq) FILTER (WHERE row_count IS NOT NULL)").alias("__rows"),
         F.expr("max_by(last_processed_at, seq) FILTER (WHERE last_processed_at IS NOT NULL)")
         .alias("__lpa"),
@@ -73,7 +92,7 @@ def fold_updates(state: DataFrame, log: DataFrame, state_rows: int | None = None
     has = F.col("__ts").isNotNull()
     return j.select(
         "pipeline_name",
-        F.when(has, F.col("__status")).otherwise(F.col("status")).alias("status"),
+        F.when(has, status_name(F.col("__status"))).otherwise(F.col("status")).alias("status"),
         F.coalesce("__rows", "row_count").alias("row_count"),
         F.coalesce("__lpa", "last_processed_at").alias("last_processed_at"),
         F.coalesce("__run", "last_run_at").alias("last_run_at"),
@@ -82,6 +101,21 @@ def fold_updates(state: DataFrame, log: DataFrame, state_rows: int | None = None
     )
 
 
+def first_updates(state: DataFrame, log: DataFrame, state_rows: int | None = None) -> DataFrame:
+    """Each known pipeline's first update after its registration (by ``seq``)."""
+    known = state.select(F.col("pipeline_name").alias("__name"), "created_seq")
+    live = join_dimension(log, known, log.pipeline_name == known.__name, dim_rows=state_rows
+                          ).where(F.col("seq") > F.col("created_seq"))
+    seq = F.col("seq")
+    first = live.groupBy("pipeline_name").agg(
+        F.min_by(status_code(F.col("status")), seq).alias("__code"),
+        F.min_by("row_count", seq).alias("row_count"),
+        F.min_by("last_processed_at", seq).alias("last_processed_at"),
+        F.min_by("ts", seq).alias("ts"))
+    return first.select("pipeline_name", status_name(F.col("__code")).alias("status"),
+                        "row_count", "last_processed_at", "ts")
+
+
 def high_water_mark(log: DataFrame, state: DataFrame, state_rows: int | None = None) -> DataFrame:
     """Per known pipeline: the latest batch processed by a successful run."""
     known = state.select(F.col("pipeline_name").alias("__name"), "created_seq")

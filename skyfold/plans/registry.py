@@ -502,13 +502,7 @@ def _state(spark, sf_dir) -> DataFrame:
 def q_pipeline_state_update(spark, sf_dir):
     """Each known pipeline's first update after registration, applied once."""
     state = _state(spark, sf_dir)
-    known = state.select(F.col("pipeline_name").alias("__n"), "created_seq")
-    log = B.pipeline_updates(spark, sf_dir)
-    live = log.join(known, log.pipeline_name == known.__n).where(
-        F.col("seq") > F.col("created_seq"))
-    first = live.groupBy("pipeline_name").agg(
-        F.min_by(F.struct("status", "row_count", "last_processed_at", "ts"), "seq").alias("u")
-    ).select("pipeline_name", "u.*")
+    first = RS.first_updates(state, B.pipeline_updates(spark, sf_dir), state.count())
     return ntz(RS.apply_update(state, first))
 
 

@@ -83,3 +83,11 @@ def test_incremental_dimension_adds_nothing_on_rerun(spark, tmp_root):
     # the NULL area_key row only enters an empty target; the target was not empty
     assert sorted((r.city, r.area) for r in spark.read.parquet(path).collect()) == [
         ("AAA", ""), ("CCC", "north")]
+
+
+def test_fact_alert_drops_area_without_dimension_row(spark):
+    fc, al = stg(spark)
+    dim_a = M.dim_area(al).where(F.col("city") != "CCC")  # dimension lacks CCC/north
+    keys = M.city_area_keys(M.dim_city(fc, al), dim_a)
+    rows = M.fact_alert(M.eph_alert(al), keys).collect()
+    assert [r.level for r in rows] == ["red"]
