@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyfold.operators.joins import join_dimension
 from skyfold.sources import schemas as S
 
 
@@ -124,13 +125,17 @@ def split_key_violations(df: DataFrame, key: tuple[str, ...] | list[str]
                          ) -> tuple[DataFrame, DataFrame]:
     """Quarantine mode: (rows with a clean key, rows of violating keys).
 
-    The violating keys are joined back null-safely on the key columns (a
-    shuffle on the key, as the check itself).
+    The violating keys are computed once (persisted, then counted) and
+    joined back null-safely; they are broadcast when few, otherwise the join
+    shuffles and AQE splits a hot key.
     """
     viol = key_violations(df, key).select(*[F.col(k).alias(f"__v_{k}") for k in key]
-                                          ).withColumn("__viol", F.lit(True))
+                                          ).withColumn("__viol", F.lit(True)).persist()
     cond = [F.col(k).eqNullSafe(F.col(f"__v_{k}")) for k in key]
-    tagged = df.join(viol, cond, "left").select(*df.columns, "__viol")
+    for c in cond[1:]:
+        cond[0] = cond[0] & c
+    tagged = join_dimension(df, viol, cond[0], "left", dim_rows=viol.count()
+                            ).select(*df.columns, "__viol")
     good = tagged.where(F.col("__viol").isNull()).drop("__viol")
     bad = tagged.where(F.col("__viol").isNotNull()).drop("__viol")
     return good, bad

@@ -32,26 +32,33 @@ def query(key: str):
     return deco
 
 
+def _stg_fc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.stg_forecast(B.staging_forecast(spark, sf_dir))
+
+
+def _stg_al(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.stg_alert(B.staging_alert(spark, sf_dir))
+
+
 def _stg(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return (M.stg_forecast(B.staging_forecast(spark, sf_dir)),
-            M.stg_alert(B.staging_alert(spark, sf_dir)))
+    return _stg_fc(spark, sf_dir), _stg_al(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- models
 
 @query("stg_forecast")
 def q_stg_forecast(spark, sf_dir):
-    return _stg(spark, sf_dir)[0]
+    return _stg_fc(spark, sf_dir)
 
 
 @query("stg_alert")
 def q_stg_alert(spark, sf_dir):
-    return _stg(spark, sf_dir)[1]
+    return _stg_al(spark, sf_dir)
 
 
 @query("eph_alert")
 def q_eph_alert(spark, sf_dir):
-    return M.eph_alert(_stg(spark, sf_dir)[1])
+    return M.eph_alert(_stg_al(spark, sf_dir))
 
 
 @query("dim_city")
@@ -62,7 +69,7 @@ def q_dim_city(spark, sf_dir):
 
 @query("dim_area")
 def q_dim_area(spark, sf_dir):
-    return M.dim_area(_stg(spark, sf_dir)[1])
+    return M.dim_area(_stg_al(spark, sf_dir))
 
 
 def _eph_forecast(spark, sf_dir) -> DataFrame:
@@ -329,7 +336,7 @@ def q_scan_batch(spark, sf_dir):
 @query("sql_query")
 def q_sql_query(spark, sf_dir):
     """Parameterised SQL over a registered staging view."""
-    _stg(spark, sf_dir)[0].createOrReplaceTempView("stg_weather_forecast")
+    _stg_fc(spark, sf_dir).createOrReplaceTempView("stg_weather_forecast")
     return RD.sql_query(
         spark,
         "SELECT city, count(*) AS n_hot FROM stg_weather_forecast "
@@ -349,12 +356,12 @@ def q_list_objects(spark, sf_dir):
 
 @query("split_area")
 def q_split_area(spark, sf_dir):
-    return M.eph_alert(_stg(spark, sf_dir)[1]).select("area", "city", "district")
+    return M.eph_alert(_stg_al(spark, sf_dir)).select("area", "city", "district")
 
 
 @query("bucket_level")
 def q_bucket_level(spark, sf_dir):
-    fc = _stg(spark, sf_dir)[0]
+    fc = _stg_fc(spark, sf_dir)
     return fc.groupBy("type", weather_level("temp").alias("level")).agg(
         F.count(F.lit(1)).alias("n_rows"))
 
@@ -376,7 +383,7 @@ def q_union_distinct_city(spark, sf_dir):
 
 @query("distinct_area")
 def q_distinct_area(spark, sf_dir):
-    return M.area_list(_stg(spark, sf_dir)[1])
+    return M.area_list(_stg_al(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- incremental dims
@@ -428,13 +435,13 @@ def _prior_dim_area(spark, sf_dir, al) -> DataFrame:
 
 @query("dim_area_new")
 def q_dim_area_new(spark, sf_dir):
-    al = _stg(spark, sf_dir)[1]
+    al = _stg_al(spark, sf_dir)
     return M.dim_area_new(al, _prior_dim_area(spark, sf_dir, al))
 
 
 @query("dim_area_incremental")
 def q_dim_area_incremental(spark, sf_dir):
-    al = _stg(spark, sf_dir)[1]
+    al = _stg_al(spark, sf_dir)
     path = workspace(spark, "marts") + "/dim_area"
     K.overwrite_table(_prior_dim_area(spark, sf_dir, al), path)
     for _ in range(2):
