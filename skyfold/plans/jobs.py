@@ -29,6 +29,7 @@ from skyfold.operators import retention as R
 from skyfold.operators import runstate as RS
 from skyfold.operators import staging as ST
 from skyfold.plans import models as M
+from skyfold.plans.catalog import with_docs
 from skyfold.sinks import tables as K
 from skyfold.sources import readers as RD
 from skyfold.sources import schemas as S
@@ -163,23 +164,23 @@ def build_marts(spark: SparkSession, layout: Layout, stg_fc: DataFrame | None =
         target = spark.read.parquet(paths["dim_city"])
         K.append_rows(M.dim_city_new(stg_fc, stg_al, target), paths["dim_city"])
     else:
-        K.overwrite_table(M.dim_city(stg_fc, stg_al), paths["dim_city"])
+        K.overwrite_table(with_docs(M.dim_city(stg_fc, stg_al), "dim_city"), paths["dim_city"])
     if incremental and _exists(spark, paths["dim_area"]):
         target = spark.read.parquet(paths["dim_area"])
         K.append_rows(M.dim_area_new(stg_al, target), paths["dim_area"])
     else:
-        K.overwrite_table(M.dim_area(stg_al), paths["dim_area"])
+        K.overwrite_table(with_docs(M.dim_area(stg_al), "dim_area"), paths["dim_area"])
     dim_c = spark.read.parquet(paths["dim_city"])
     dim_a = spark.read.parquet(paths["dim_area"])
     if run_tests:
         Q.assert_passed(Q.not_null(dim_a, "dim_area", MART_TESTS["dim_area"])
                         .unionByName(Q.unique(dim_a, "dim_area", "area_key")))
 
-    K.overwrite_table(M.fact_forecast(M.eph_forecast(stg_fc, dim_c)),
-                      paths["fact_weather_forecast"])
+    K.overwrite_table(with_docs(M.fact_forecast(M.eph_forecast(stg_fc, dim_c)),
+                                "fact_weather_forecast"), paths["fact_weather_forecast"])
     keys = materialize(M.city_area_keys(dim_c, dim_a), f"{layout.root}/marts/_city_area_keys")
-    K.overwrite_table(M.fact_alert(M.eph_alert(stg_al), keys, keys.count()),
-                      paths["fact_weather_alert"])
+    K.overwrite_table(with_docs(M.fact_alert(M.eph_alert(stg_al), keys, keys.count()),
+                                "fact_weather_alert"), paths["fact_weather_alert"])
     if run_tests:
         ff = spark.read.parquet(paths["fact_weather_forecast"])
         fa = spark.read.parquet(paths["fact_weather_alert"])

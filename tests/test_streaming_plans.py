@@ -67,3 +67,14 @@ def test_full_pipeline_run_is_rerunnable(spark, tmp_root):
     assert r.status == "SUCCESS" and r.row_count is not None
     facts = spark.read.parquet(layout.mart("fact_weather_forecast"))
     assert facts.count() == facts.select("city_key", "weather_date").distinct().count()
+
+
+def test_mart_columns_carry_docs(spark, tmp_root):
+    from skyfold.plans.catalog import MODEL_DOCS
+    fc = M.stg_forecast(B.staging_forecast(spark, SF_SMALL))
+    al = M.stg_alert(B.staging_alert(spark, SF_SMALL))
+    layout = J.Layout(tmp_root)
+    paths = J.build_marts(spark, layout, fc, al)
+    back = spark.read.parquet(paths["fact_weather_forecast"])
+    comments = {f.name: f.metadata.get("comment") for f in back.schema.fields}
+    assert comments == MODEL_DOCS["fact_weather_forecast"]["columns"]
