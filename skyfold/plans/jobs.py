@@ -103,7 +103,9 @@ def batch_job(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datet
     """
     flow = FLOWS[dataset]
     docs = _only(RD.read_bronze(spark, layout.bronze(dataset), flow["schema"]), batch_ids)
-    K.write_partitioned(flow["flatten"](docs), layout.silver(dataset))
+    silver_rows = flow["flatten"](docs).select(*flow["silver"].fieldNames(), "batch_id")
+    # a requested batch whose payload has no rows is emptied in every layer
+    K.replace_batches(silver_rows, layout.silver(dataset), batch_ids)
     silver = _only(RD.read_silver(spark, layout.silver(dataset), flow["silver"]), batch_ids)
     staged = flow["stage"](silver, as_of)
     rejects = None
@@ -111,21 +113,14 @@ def batch_job(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datet
         staged, rejects = ST.split_key_violations(staged, flow["key"])
     else:
         ST.enforce_key(staged, flow["key"])
-    K.write_partitioned(staged, layout.staging(flow["table"]))
-    if batch_ids is not None:
-        # a requested batch that produced no rows is emptied (static replace)
-        present = {r.batch_id for r in staged.select("batch_id").distinct().collect()}
-        empty = staged.where(F.lit(False))
-        for b in batch_ids:
-            if b not in present:
-                K.replace_batch(empty, layout.staging(flow["table"]), b)
+    K.replace_batches(staged, layout.staging(flow["table"]), batch_ids)
     if publish:
         loaded = _only(read_staging(spark, layout, flow["table"]), batch_ids)
         out = loaded.withColumn("update_time", F.lit(as_of).cast("timestamp"))
         if publish == "append":
             K.publish_append(out, layout.warehouse(flow["table"]))
         else:
-            K.write_partitioned(out, layout.warehouse(flow["table"]))
+            K.replace_batches(out, layout.warehouse(flow["table"]), batch_ids)
     return rejects
 
 

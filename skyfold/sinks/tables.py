@@ -8,6 +8,7 @@ so a lost executor only retries tasks and a rerun of a job is idempotent
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,36 @@ def write_partitioned(df: DataFrame, path: str) -> None:
      .partitionBy("batch_id").parquet(path))
 
 
+def replace_batches(df: DataFrame, path: str, batch_ids: list[str] | None = None) -> None:
+    """Replace the batches of ``df``; with ``batch_ids``, every listed batch
+    ends up holding exactly its rows of ``df`` -- a listed batch without rows
+    is emptied.
+
+    The batches present are observed during the write (a set of batch ids,
+    one per batch), so no extra pass over ``df`` is needed.
+    """
+    if batch_ids is None:
+        write_partitioned(df, path)
+        return
+    obs = Observation("batches")
+    write_partitioned(df.observe(obs, F.collect_set("batch_id").alias("ids")), path)
+    present = _observed_ids(obs)
+    empty = df.where(F.lit(False))
+    for b in batch_ids:
+        if b not in present:
+            replace_batch(empty, path, b)
+
+
+def _observed_ids(obs: Observation) -> set[str]:
+    """Batch ids observed during a finished write.  When the written frame
+    had no rows at all, Spark reports an empty metrics row, which PySpark
+    cannot convert: that case means no batch was present."""
+    try:
+        return set(obs.get["ids"] or [])
+    except Py4JJavaError:
+        return set()
+
+
 def replace_batch(df: DataFrame, path: str, batch_id: str) -> None:
     """Static replace of one batch: the folder ends up holding exactly ``df``.
 
@@ -49,7 +80,10 @@ def publish_append(df: DataFrame, path: str) -> int:
     obs = Observation("published")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     observed.hint("rebalance", "batch_id").write.mode("append").partitionBy("batch_id").parquet(path)
-    return int(obs.get["rows"])
+    try:
+        return int(obs.get["rows"])
+    except Py4JJavaError:  # nothing was written (see _observed_ids)
+        return 0
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:

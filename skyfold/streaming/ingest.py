@@ -1,9 +1,10 @@
 """Ingest each newly landed bronze batch exactly once.
 
 A file stream over the landing folder (partition folders ``batch_id=...``
-become a column) feeds ``foreachBatch``, which flattens, types and replaces
-the staging batches present in the micro-batch (dynamic partition
-overwrite, so a retried micro-batch rewrites the same batches).  With
+become a column) feeds ``foreachBatch``, which rebuilds every batch present
+in the micro-batch from all of its landed files (flatten, type) and
+replaces those staging batches (dynamic partition overwrite, so a retried
+micro-batch rewrites the same batches).  With
 ``availableNow`` every run processes what has arrived since the last one
 and stops; the checkpoint makes a second run add nothing.
 """
@@ -19,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyfold.plans.jobs import FLOWS, Layout
 from skyfold.sinks import tables as K
+from skyfold.sources import readers as RD
 
 
 def start_ingest(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datetime,
@@ -30,7 +32,16 @@ def start_ingest(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.da
     target = layout.staging(flow["table"])
 
     def load(micro: DataFrame, epoch_id: int) -> None:
-        staged = flow["stage"](flow["flatten"](micro), as_of)
+        # Only the (few) batch ids of the micro-batch reach the driver.  Each
+        # of these batches is rebuilt from *all* its landed files, so a batch
+        # whose files arrive over two micro-batches is never replaced by a
+        # part of itself, and a retried micro-batch writes the same result.
+        ids = [r.batch_id for r in micro.select("batch_id").distinct().collect()]
+        if not ids:
+            return
+        docs = RD.read_bronze(spark, layout.bronze(dataset), flow["schema"]).where(
+            F.col("batch_id").isin(ids))
+        staged = flow["stage"](flow["flatten"](docs), as_of)
         K.write_partitioned(staged, target)
 
     writer = docs.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

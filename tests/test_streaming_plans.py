@@ -78,3 +78,43 @@ def test_mart_columns_carry_docs(spark, tmp_root):
     back = spark.read.parquet(paths["fact_weather_forecast"])
     comments = {f.name: f.metadata.get("comment") for f in back.schema.fields}
     assert comments == MODEL_DOCS["fact_weather_forecast"]["columns"]
+
+
+def test_empty_payload_loads_and_empties_its_batch(spark, tmp_root):
+    import json
+
+    from skyfold.constants import DATASET_ALERT
+    layout = J.Layout(tmp_root)
+    full = {"records": {"info": [{"onset": "2026-06-03 10:00:00", "expires": "2026-06-03 17:00:00",
+                                  "event": "Heat", "area": [{"areaDesc": "AAAx"}],
+                                  "parameter": [{"valueName": "alert_criteria", "value": "1"}]}]}}
+    empty = {"records": {"info": []}}
+    b = "20260603T203000Z"
+    for payload, expected in ((full, 1), (empty, 0)):
+        docs = spark.createDataFrame([(b, json.dumps(payload))], "batch_id string, body string")
+        J.land(docs, layout, DATASET_ALERT)
+        J.batch_job(spark, layout, DATASET_ALERT, AS_OF, batch_ids=[b], publish=None)
+        assert J.read_staging(spark, layout, "staging_alert").count() == expected
+
+
+def test_stream_rebuilds_whole_batch_when_files_arrive_later(spark, tmp_root):
+    """A second file of an already ingested batch arrives: the batch is
+    rebuilt from both files, not replaced by the new file alone."""
+    import json
+    layout = J.Layout(tmp_root)
+    b = "20260603T203000Z"
+    folder = f"{layout.bronze(DATASET_FORECAST)}/batch_id={b}"
+
+    def doc(city):
+        return json.dumps({"records": {"location": [{"locationName": city, "weatherElement": [
+            {"elementName": "MinT", "time": [{"startTime": "2026-06-03 06:00:00",
+                                              "endTime": "2026-06-03 18:00:00",
+                                              "parameter": {"parameterName": "20",
+                                                            "parameterUnit": "C"}}]}]}]}})
+    spark.createDataFrame([(doc("AAA"),)], "value string").write.mode("append").text(folder)
+    ckpt = f"{tmp_root}/_ckpt"
+    ingest_available(spark, layout, DATASET_FORECAST, AS_OF, ckpt)
+    spark.createDataFrame([(doc("BBB"),)], "value string").write.mode("append").text(folder)
+    ingest_available(spark, layout, DATASET_FORECAST, AS_OF, ckpt)
+    cities = sorted(r.city for r in J.read_staging(spark, layout, "staging_forecast").collect())
+    assert cities == ["AAA", "BBB"]
