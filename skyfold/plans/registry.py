@@ -614,10 +614,10 @@ def q_pipeline_run(spark, sf_dir):
     """
     layout = J.Layout(workspace(spark, "pipeline"))
     state = spark.createDataFrame(
-        [("weather_data_pipeline", None, None, None, None, AS_OF, AS_OF)],
+        [("forecast_and_alert_batches", None, None, None, None, AS_OF, AS_OF)],
         "pipeline_name string, status string, row_count long, last_processed_at timestamp, "
         "last_run_at timestamp, created_at timestamp, updated_at timestamp")
     J.run_pipeline(spark, layout, B.forecast_documents(spark, sf_dir),
-                   B.alert_documents(spark, sf_dir), state, "weather_data_pipeline",
+                   B.alert_documents(spark, sf_dir), state, "forecast_and_alert_batches",
                    batch_time=AS_OF, as_of=AS_OF, on_key_violation="quarantine")
     return spark.read.parquet(layout.mart("fact_weather_forecast"))
