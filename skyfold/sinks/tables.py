@@ -25,14 +25,17 @@ def land_documents(docs: DataFrame, path: str) -> None:
      .partitionBy("batch_id").text(path))
 
 
-def write_partitioned(df: DataFrame, path: str) -> None:
+def write_partitioned(df: DataFrame, path: str, cluster: bool = True) -> None:
     """Replace, per ``batch_id`` present in ``df``, that batch's parquet folder.
 
-    The ``rebalance`` hint clusters rows of a batch into few files; AQE splits
-    an oversized (skewed) batch over several tasks and merges small ones.
+    With ``cluster`` the ``rebalance`` hint gathers each batch's rows into few
+    files (AQE splits an oversized, skewed batch over several tasks and merges
+    small ones).  That is one shuffle of the written rows, worth it when a
+    write spans many batches; a single-batch write skips it (every task then
+    writes one file into the one folder).
     """
-    (df.hint("rebalance", "batch_id").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
+    out = df.hint("rebalance", "batch_id") if cluster else df
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(path))
 
 
@@ -48,7 +51,8 @@ def replace_batches(df: DataFrame, path: str, batch_ids: list[str] | None = None
         write_partitioned(df, path)
         return
     obs = Observation("batches")
-    write_partitioned(df.observe(obs, F.collect_set("batch_id").alias("ids")), path)
+    write_partitioned(df.observe(obs, F.collect_set("batch_id").alias("ids")), path,
+                      cluster=len(batch_ids) > 1)
     present = _observed_ids(obs)
     empty = df.where(F.lit(False))
     for b in batch_ids:
