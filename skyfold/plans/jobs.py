@@ -10,6 +10,8 @@ driver.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +75,16 @@ FLOWS = {
 }
 
 
+def run_concurrently(*steps: Callable[[], object]) -> list[object]:
+    """Run independent steps as concurrent Spark jobs of one session (each
+    from its own thread); the first failure is re-raised."""
+    if len(steps) == 1:
+        return [steps[0]()]
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        futures = [pool.submit(step) for step in steps]
+        return [f.result() for f in futures]
+
+
 def land(docs: DataFrame, layout: Layout, dataset: str) -> None:
     """K1: land raw documents ``(batch_id, body)``; a re-landed batch replaces
     the earlier landing."""
@@ -155,27 +167,40 @@ def build_marts(spark: SparkSession, layout: Layout, stg_fc: DataFrame | None =
 
     paths = {m: layout.mart(m) for m in ("dim_city", "dim_area", "fact_weather_forecast",
                                          "fact_weather_alert")}
-    if incremental and _exists(spark, paths["dim_city"]):
-        target = spark.read.parquet(paths["dim_city"])
-        K.append_rows(M.dim_city_new(stg_fc, stg_al, target), paths["dim_city"])
-    else:
-        K.overwrite_table(with_docs(M.dim_city(stg_fc, stg_al), "dim_city"), paths["dim_city"])
-    if incremental and _exists(spark, paths["dim_area"]):
-        target = spark.read.parquet(paths["dim_area"])
-        K.append_rows(M.dim_area_new(stg_al, target), paths["dim_area"])
-    else:
-        K.overwrite_table(with_docs(M.dim_area(stg_al), "dim_area"), paths["dim_area"])
+
+    def build_dim_city() -> None:
+        if incremental and _exists(spark, paths["dim_city"]):
+            target = spark.read.parquet(paths["dim_city"])
+            K.append_rows(M.dim_city_new(stg_fc, stg_al, target), paths["dim_city"])
+        else:
+            K.overwrite_table(with_docs(M.dim_city(stg_fc, stg_al), "dim_city"),
+                              paths["dim_city"])
+
+    def build_dim_area() -> None:
+        if incremental and _exists(spark, paths["dim_area"]):
+            target = spark.read.parquet(paths["dim_area"])
+            K.append_rows(M.dim_area_new(stg_al, target), paths["dim_area"])
+        else:
+            K.overwrite_table(with_docs(M.dim_area(stg_al), "dim_area"), paths["dim_area"])
+
+    run_concurrently(build_dim_city, build_dim_area)
     dim_c = spark.read.parquet(paths["dim_city"])
     dim_a = spark.read.parquet(paths["dim_area"])
     if run_tests:
         Q.assert_passed(Q.not_null(dim_a, "dim_area", MART_TESTS["dim_area"])
                         .unionByName(Q.unique(dim_a, "dim_area", "area_key")))
 
-    K.overwrite_table(with_docs(M.fact_forecast(M.eph_forecast(stg_fc, dim_c)),
-                                "fact_weather_forecast"), paths["fact_weather_forecast"])
-    keys = materialize(M.city_area_keys(dim_c, dim_a), f"{layout.root}/marts/_city_area_keys")
-    K.overwrite_table(with_docs(M.fact_alert(M.eph_alert(stg_al), keys, keys.count()),
-                                "fact_weather_alert"), paths["fact_weather_alert"])
+    def build_fact_forecast() -> None:
+        K.overwrite_table(with_docs(M.fact_forecast(M.eph_forecast(stg_fc, dim_c)),
+                                    "fact_weather_forecast"), paths["fact_weather_forecast"])
+
+    def build_fact_alert() -> None:
+        keys = materialize(M.city_area_keys(dim_c, dim_a),
+                           f"{layout.root}/marts/_city_area_keys")
+        K.overwrite_table(with_docs(M.fact_alert(M.eph_alert(stg_al), keys, keys.count()),
+                                    "fact_weather_alert"), paths["fact_weather_alert"])
+
+    run_concurrently(build_fact_forecast, build_fact_alert)
     if run_tests:
         ff = spark.read.parquet(paths["fact_weather_forecast"])
         fa = spark.read.parquet(paths["fact_weather_alert"])
@@ -237,16 +262,19 @@ def run_pipeline(spark: SparkSession, layout: Layout, forecast_docs: DataFrame,
                  alert_docs: DataFrame, state: DataFrame, pipeline_name: str,
                  batch_time: dt.datetime, as_of: dt.datetime,
                  on_key_violation: str = "fail") -> DataFrame:
-    """One scheduled run: RUNNING -> land -> E1 + E2 -> E3 -> SUCCESS -> E5.
+    """One scheduled run: RUNNING -> (land + E1) || (land + E2) -> E3 -> SUCCESS -> E5.
 
     Any failure records FAILED (keeping the old counts) and re-raises.
     """
     state = record_state(spark, layout, state, pipeline_name, "RUNNING", as_of)
     try:
-        land(forecast_docs, layout, DATASET_FORECAST)
-        land(alert_docs, layout, DATASET_ALERT)
-        batch_job(spark, layout, DATASET_FORECAST, as_of, on_key_violation=on_key_violation)
-        batch_job(spark, layout, DATASET_ALERT, as_of, on_key_violation=on_key_violation)
+        def branch(dataset: str, docs: DataFrame) -> None:
+            land(docs, layout, dataset)
+            batch_job(spark, layout, dataset, as_of, on_key_violation=on_key_violation)
+
+        # the two datasets are independent until the marts (parallel branches)
+        run_concurrently(lambda: branch(DATASET_FORECAST, forecast_docs),
+                         lambda: branch(DATASET_ALERT, alert_docs))
         build_marts(spark, layout)
         n = success_row_count(spark, layout, batch_time)
         state = record_state(spark, layout, state, pipeline_name, STATUS_SUCCESS, as_of,
