@@ -346,10 +346,15 @@ def q_sql_query(spark, sf_dir):
 
 @query("list_objects")
 def q_list_objects(spark, sf_dir):
+    """List the landed bronze objects; report each batch folder found with the
+    timestamp parsed from the object names (file names themselves are the
+    writer's, so the listing is summarised per batch)."""
     layout = J.Layout(workspace(spark, "list_objects"))
     J.land(B.forecast_documents(spark, sf_dir), layout, DATASET_FORECAST)
     lst = R.with_object_ts(RD.list_objects(spark, layout.bronze(DATASET_FORECAST)), "path")
-    return lst.select("path", F.col("object_ts").isNotNull().alias("dated"), "length")
+    return ntz(lst.where(F.col("length") > 0).select(
+        F.regexp_extract("path", r"batch_id=([^/]+)", 1).alias("batch_id"),
+        "object_ts").distinct())
 
 
 # ---------------------------------------------------------------- scalar & set models

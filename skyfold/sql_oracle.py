@@ -405,3 +405,7 @@ register("table_docs", with_models(" UNION ALL ".join(
     f"SELECT '{m}' AS model, '{mat}' AS materialized, '{d}' AS description, '{t}' AS tags, "
     f"(SELECT count(*) FROM {rel}) AS n_rows" for m, mat, d, t, rel in _DOCS),
     [FACT_FORECAST, FACT_ALERT]))
+
+register("list_objects", f"""WITH {FORECAST_ENTRIES}
+SELECT DISTINCT batch_id, strptime(batch_id, '%Y%m%dT%H%M%SZ') AS object_ts
+FROM forecast_entries""")

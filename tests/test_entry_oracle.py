@@ -24,8 +24,7 @@ def test_entry_runs(spark):
 
 def test_oracle_keys_are_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"list_objects"}
+    assert set(E.queries()) == set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
