@@ -7,14 +7,31 @@ named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from skyfold.operators.joins import materialize
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from skyfold.constants import DATASET_ALERT, DATASET_FORECAST
+from skyfold.functions.columns import non_null_elements, to_batch_id, weather_level
+from skyfold.operators import flatten as FL
+from skyfold.operators import quality as Q
+from skyfold.operators import retention as R
+from skyfold.operators import runstate as RS
+from skyfold.operators import staging as ST
+from skyfold.operators.joins import join_dimension, materialize
+from skyfold.plans import catalog as C
+from skyfold.plans import jobs as J
 from skyfold.plans import models as M
 from skyfold.session import ensure_utc, workspace
+from skyfold.sinks import tables as K
 from skyfold.sources import bindings as B
+from skyfold.sources import readers as RD
+from skyfold.sources import schemas as S
+from skyfold.sources.tables import read_table
+from skyfold.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,7 +101,7 @@ def q_eph_forecast(spark, sf_dir):
 
 @query("fact_forecast")
 def q_fact_forecast(spark, sf_dir):
-    """Flagship: the forecast fact (dims materialised first, as the mart build does)."""
+    """Flagship: the forecast fact (aggregate per city and day, then join the city keys)."""
     return M.fact_forecast(_eph_forecast(spark, sf_dir))
 
 
@@ -98,28 +115,6 @@ def q_fact_alert(spark, sf_dir):
 
 # ---------------------------------------------------------------- helpers
 
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
-
-from skyfold.constants import DATASET_ALERT, DATASET_FORECAST  # noqa: E402
-from skyfold.functions.columns import (  # noqa: E402
-    non_null_elements,
-    to_batch_id,
-    weather_level,
-)
-from skyfold.operators import flatten as FL  # noqa: E402
-from skyfold.operators import quality as Q  # noqa: E402
-from skyfold.operators import retention as R  # noqa: E402
-from skyfold.operators import runstate as RS  # noqa: E402
-from skyfold.operators import staging as ST  # noqa: E402
-from skyfold.plans import jobs as J  # noqa: E402
-from skyfold.sinks import tables as K  # noqa: E402
-from skyfold.sources import readers as RD  # noqa: E402
-from skyfold.sources import schemas as S  # noqa: E402
-from skyfold.streaming.ingest import ingest_available  # noqa: E402
-
 # Fixed load time of the registered runs (reproducible audit columns).
 AS_OF = _dt.datetime(2024, 2, 1, tzinfo=_dt.timezone.utc)
 
@@ -375,7 +370,6 @@ def q_bucket_level(spark, sf_dir):
 def q_join_city_dim(spark, sf_dir):
     fc, al = _stg(spark, sf_dir)
     dim_c = materialize(M.dim_city(fc, al), workspace(spark, "dim_city"))
-    from skyfold.operators.joins import join_dimension
     return join_dimension(fc, dim_c, "city").select("city_key", "city", "type",
                                                     "weather_date", "temp")
 
@@ -396,7 +390,6 @@ def q_distinct_area(spark, sf_dir):
 def _prior_cities(spark, sf_dir, null_region: int | None = None) -> DataFrame:
     """Cities the dimension held before: nations of the first two regions
     (with ``null_region``, that region's rows were loaded with a NULL city)."""
-    from skyfold.sources.tables import read_table
     n = read_table(spark, sf_dir, "nation")
     code = F.concat(F.lit("C"), F.lpad(n.n_nationkey.cast("string"), 2, "0"))
     if null_region is None:
@@ -582,7 +575,6 @@ def q_retention_keep(spark, sf_dir):
 
 # ---------------------------------------------------------------- docs, streaming, jobs
 
-from skyfold.plans import catalog as C  # noqa: E402
 
 
 @query("table_docs")
