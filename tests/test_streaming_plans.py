@@ -67,6 +67,14 @@ def test_full_pipeline_run_is_rerunnable(spark, tmp_root):
     assert r.status == "SUCCESS" and r.row_count is not None
     facts = spark.read.parquet(layout.mart("fact_weather_forecast"))
     assert facts.count() == facts.select("city_key", "weather_date").distinct().count()
+    # E5: with as_of 2024-02-01 only the forecast batch of 2024-01-30 20:00 is
+    # younger than two days; every other bronze/silver batch folder is gone
+    import os
+    bronze = layout.bronze(DATASET_FORECAST)
+    left = sorted(d for d in os.listdir(bronze) if d.startswith("batch_id="))
+    assert left == ["batch_id=20240130T200000Z"]
+    from skyfold.constants import DATASET_ALERT
+    assert not [d for d in os.listdir(layout.silver(DATASET_ALERT)) if d.startswith("batch_id=")]
 
 
 def test_mart_columns_carry_docs(spark, tmp_root):
