@@ -126,3 +126,27 @@ def test_stream_rebuilds_whole_batch_when_files_arrive_later(spark, tmp_root):
     ingest_available(spark, layout, DATASET_FORECAST, AS_OF, ckpt)
     cities = sorted(r.city for r in J.read_staging(spark, layout, "staging_forecast").collect())
     assert cities == ["AAA", "BBB"]
+
+
+def test_incremental_mart_build_adds_nothing_on_rerun(spark, tmp_root):
+    fc = M.stg_forecast(B.staging_forecast(spark, SF_SMALL))
+    al = M.stg_alert(B.staging_alert(spark, SF_SMALL))
+    layout = J.Layout(tmp_root)
+    paths = J.build_marts(spark, layout, fc, al, incremental=True)
+    n_city = spark.read.parquet(paths["dim_city"]).count()
+    n_area = spark.read.parquet(paths["dim_area"]).count()
+    J.build_marts(spark, layout, fc, al, incremental=True)
+    assert spark.read.parquet(paths["dim_city"]).count() == n_city
+    assert spark.read.parquet(paths["dim_area"]).count() == n_area
+
+
+def test_failing_data_test_fails_the_mart_build(spark, tmp_root):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from skyfold.operators.quality import DataTestFailure
+    fc = M.stg_forecast(B.staging_forecast(spark, SF_SMALL)).withColumn(
+        "city", F.when(F.col("temp") >= 39, F.lit(None)).otherwise(F.col("city")))
+    al = M.stg_alert(B.staging_alert(spark, SF_SMALL))
+    with pytest.raises(DataTestFailure, match="stg_weather_forecast.city not_null"):
+        J.build_marts(spark, J.Layout(tmp_root), fc, al)
