@@ -24,10 +24,16 @@ from skyfold.sources import readers as RD
 
 
 def start_ingest(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datetime,
-                 checkpoint: str, available_now: bool = True) -> StreamingQuery:
+                 checkpoint: str, available_now: bool = True,
+                 max_files_per_trigger: int = 1000) -> StreamingQuery:
+    """Start the intake stream.  ``max_files_per_trigger`` bounds every
+    micro-batch (a large backlog is worked off in several), which is safe
+    because each micro-batch rebuilds the complete batches it touches."""
     flow = FLOWS[dataset]
     schema = T.StructType(flow["schema"].fields + [T.StructField("batch_id", T.StringType())])
-    stream = spark.readStream.schema(schema).json(layout.bronze(dataset))
+    stream = (spark.readStream.schema(schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger)
+              .json(layout.bronze(dataset)))
     docs = stream.select("batch_id", F.struct("records").alias("doc"))
     target = layout.staging(flow["table"])
 
@@ -51,9 +57,10 @@ def start_ingest(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.da
 
 
 def ingest_available(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datetime,
-                     checkpoint: str) -> None:
+                     checkpoint: str, max_files_per_trigger: int = 1000) -> None:
     """Run the stream until everything landed so far is processed."""
-    q = start_ingest(spark, layout, dataset, as_of, checkpoint, available_now=True)
+    q = start_ingest(spark, layout, dataset, as_of, checkpoint, available_now=True,
+                     max_files_per_trigger=max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -150,3 +150,14 @@ def test_failing_data_test_fails_the_mart_build(spark, tmp_root):
     al = M.stg_alert(B.staging_alert(spark, SF_SMALL))
     with pytest.raises(DataTestFailure, match="stg_weather_forecast.city not_null"):
         J.build_marts(spark, J.Layout(tmp_root), fc, al)
+
+
+def test_stream_with_one_file_per_trigger_equals_batch_load(spark, tmp_root):
+    layout = J.Layout(tmp_root)
+    J.land(B.forecast_documents(spark, SF_SMALL), layout, DATASET_FORECAST)
+    ingest_available(spark, layout, DATASET_FORECAST, AS_OF, f"{tmp_root}/_ckpt",
+                     max_files_per_trigger=1)
+    got = J.read_staging(spark, layout, "staging_forecast").drop("update_time", "batch_id")
+    want = B.staging_forecast(spark, SF_SMALL)
+    assert got.count() == want.count()
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
