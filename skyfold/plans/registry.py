@@ -145,9 +145,12 @@ def _staging_al_table(spark, sf_dir) -> DataFrame:
 
 
 def _dims(spark, sf_dir):
+    """Both dimensions materialised (as the mart build writes them), as two
+    concurrent jobs."""
     fc, al = _stg(spark, sf_dir)
-    dim_c = materialize(M.dim_city(fc, al), workspace(spark, "dim_city"))
-    dim_a = materialize(M.dim_area(al), workspace(spark, "dim_area"))
+    dim_c, dim_a = J.run_concurrently(
+        lambda: materialize(M.dim_city(fc, al), workspace(spark, "dim_city")),
+        lambda: materialize(M.dim_area(al), workspace(spark, "dim_area")))
     return fc, al, dim_c, dim_a
 
 
