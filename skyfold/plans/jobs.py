@@ -10,12 +10,14 @@ driver.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyfold.constants import (
     DATASET_ALERT,
@@ -114,7 +116,11 @@ def batch_job(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datet
       rerun, as a bare load does), ``'replace_batch'`` replaces its batches.
     """
     flow = FLOWS[dataset]
-    docs = _only(RD.read_bronze(spark, layout.bronze(dataset), flow["schema"]), batch_ids)
+    if _exists(spark, layout.bronze(dataset)):
+        docs = _only(RD.read_bronze(spark, layout.bronze(dataset), flow["schema"]), batch_ids)
+    else:  # nothing landed yet: an empty payload (zero rows, batches emptied)
+        docs = spark.createDataFrame([], T.StructType(
+            [T.StructField("batch_id", T.StringType()), T.StructField("doc", flow["schema"])]))
     silver_rows = flow["flatten"](docs).select(*flow["silver"].fieldNames(), "batch_id")
     # a requested batch whose payload has no rows is emptied in every layer
     K.replace_batches(silver_rows, layout.silver(dataset), batch_ids)
@@ -216,21 +222,55 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+STATE_DDL = ("pipeline_name string, status string, row_count long, last_processed_at timestamp, "
+             "last_run_at timestamp, created_at timestamp, updated_at timestamp")
+
+
 def record_state(spark: SparkSession, layout: Layout, state: DataFrame,
                  pipeline_name: str, status: str, as_of: dt.datetime,
                  row_count: int | None = None, last_processed_at: dt.datetime | None = None
                  ) -> DataFrame:
-    """Apply one state update and write the new state table (small)."""
+    """Apply one state update and write the new state version (small).
+
+    Versions are folders ``v=<write time>`` below the state table; the
+    latest one is the current state (see :func:`read_state`)."""
     upd = spark.createDataFrame(
         [(pipeline_name, status, row_count, last_processed_at, as_of)],
         "pipeline_name string, status string, row_count long, "
         "last_processed_at timestamp, ts timestamp")
-    new = RS.apply_update(state, upd)
-    path = f"{layout.state}/v={as_of.strftime('%Y%m%dT%H%M%S%f')}"
+    new = RS.apply_update(state.select(*RS.STATE_COLUMNS), upd)
+    path = f"{layout.state}/v={_version()}"
     K.overwrite_table(new, path)
     return spark.read.parquet(path)
 
 
+def _version() -> str:
+    """State versions sort by write time (fixed width, nanoseconds)."""
+    return f"{time.time_ns():020d}"
+
+
+def read_state(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The current state: the latest version folder (found from partition
+    values only), or an empty state table."""
+    if not _exists(spark, layout.state):
+        return spark.createDataFrame([], STATE_DDL)
+    versions = spark.read.schema(STATE_DDL + ", v string").parquet(layout.state)
+    latest = versions.agg(F.max("v")).scalar()
+    return versions.where(F.col("v") == latest).drop("v")
+
+
+def register_pipeline(spark: SparkSession, layout: Layout, pipeline_name: str,
+                      as_of: dt.datetime) -> DataFrame:
+    """Create the state row of a pipeline (updates of unknown pipelines are
+    ignored, so a pipeline is registered once before its first run)."""
+    state = read_state(spark, layout)
+    if state.where(F.col("pipeline_name") == pipeline_name).count() > 0:
+        return state
+    row = spark.createDataFrame([(pipeline_name, None, None, None, None, as_of, as_of)], STATE_DDL)
+    K.overwrite_table(state.unionByName(row), f"{layout.state}/v={_version()}")
+    return read_state(spark, layout)
+
+
 def success_row_count(spark: SparkSession, layout: Layout, batch_time: dt.datetime) -> int:
     """A2 + A3: rows of both staging tables in this batch (0 if none)."""
     tables = {t: read_staging(spark, layout, t) for t in ("staging_forecast", "staging_alert")}
@@ -258,6 +298,36 @@ def expire(spark: SparkSession, layout: Layout, as_of: dt.datetime,
     return dropped
 
 
+def scheduled_run(spark: SparkSession, layout: Layout, pipeline_name: str,
+                  batch_time: dt.datetime, as_of: dt.datetime | None = None,
+                  on_key_violation: str = "fail") -> DataFrame:
+    """One scheduled run over the batch stamped ``batch_time`` (landed before):
+
+    RUNNING -> E1 || E2 for this batch -> marts -> SUCCESS with the batch's
+    staging row count and ``last_processed_at = batch_time`` -> retention.
+    A failure records FAILED (earlier counts kept) and re-raises.
+    """
+    as_of = as_of or dt.datetime.now(dt.timezone.utc)
+    bid = batch_time.astimezone(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+    state = record_state(spark, layout, read_state(spark, layout), pipeline_name,
+                         "RUNNING", as_of)
+    try:
+        run_concurrently(
+            lambda: batch_job(spark, layout, DATASET_FORECAST, as_of, [bid],
+                              on_key_violation=on_key_violation),
+            lambda: batch_job(spark, layout, DATASET_ALERT, as_of, [bid],
+                              on_key_violation=on_key_violation))
+        build_marts(spark, layout)
+        n = success_row_count(spark, layout, batch_time)
+        state = record_state(spark, layout, state, pipeline_name, STATUS_SUCCESS, as_of,
+                             row_count=n, last_processed_at=batch_time)
+    except Exception:
+        record_state(spark, layout, state, pipeline_name, "FAILED", as_of)
+        raise
+    expire(spark, layout, as_of)
+    return state
+
+
 def run_pipeline(spark: SparkSession, layout: Layout, forecast_docs: DataFrame,
                  alert_docs: DataFrame, state: DataFrame, pipeline_name: str,
                  batch_time: dt.datetime, as_of: dt.datetime,

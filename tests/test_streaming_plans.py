@@ -161,3 +161,28 @@ def test_stream_with_one_file_per_trigger_equals_batch_load(spark, tmp_root):
     want = B.staging_forecast(spark, SF_SMALL)
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_scheduled_runs_keep_state_across_runs(spark, tmp_root):
+    import datetime as _dt
+
+    from pyspark.sql import functions as F
+    layout = J.Layout(tmp_root)
+    docs = B.forecast_documents(spark, SF_SMALL)
+    J.land(docs, layout, DATASET_FORECAST)
+    J.register_pipeline(spark, layout, "wdp", AS_OF)
+    J.register_pipeline(spark, layout, "wdp", AS_OF)  # idempotent
+    b1 = _dt.datetime(2024, 1, 5, 20, tzinfo=_dt.timezone.utc)
+    b2 = _dt.datetime(2024, 1, 6, 20, tzinfo=_dt.timezone.utc)
+    run_as_of = _dt.datetime(2024, 1, 7, tzinfo=_dt.timezone.utc)
+    J.scheduled_run(spark, layout, "wdp", b1, run_as_of)
+    J.scheduled_run(spark, layout, "wdp", b2, run_as_of)
+    st = J.read_state(spark, layout).collect()
+    assert len(st) == 1 and st[0].status == "SUCCESS"
+    want = B.staging_forecast(spark, SF_SMALL).where(
+        F.col("batch_time") == F.lit(b2)).count()
+    assert st[0].row_count == want
+    assert st[0].last_processed_at.replace(tzinfo=None) == b2.replace(tzinfo=None)
+    staged = J.read_staging(spark, layout, "staging_forecast")
+    assert sorted(r.batch_id for r in staged.select("batch_id").distinct().collect()) == [
+        "20240105T200000Z", "20240106T200000Z"]
