@@ -80,3 +80,60 @@ def test_write_rebalance_only_for_many_batches(spark, tmp_root):
     pd.testing.assert_series_equal(
         spark.read.parquet(f"{tmp_root}/one").toPandas()["id"].sort_values(ignore_index=True),
         pd.Series(range(100), name="id"), check_dtype=False)
+
+
+class _conf:
+    """Temporarily set session confs (thresholds scaled down to test size)."""
+
+    def __init__(self, spark, **kv):
+        self.spark, self.kv, self.old = spark, kv, {}
+
+    def __enter__(self):
+        for k, v in self.kv.items():
+            self.old[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+
+
+def test_hot_key_in_a_shuffle_join_is_split(spark):
+    from skyfold.operators.joins import join_dimension
+    fact = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).alias("k"),
+        F.col("id").alias("v"))                      # key 0 holds a third of the rows
+    dim = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    with _conf(spark, **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.shuffle.partitions": "16"}):
+        joined = join_dimension(fact, dim, "k", max_broadcast_rows=10)  # too big to broadcast
+        assert len(joined.collect()) == 200_000      # executes this very plan
+        final = joined._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final
+    assert "SortMergeJoin" in final and "skew=true" in final
+
+
+def test_hot_batch_write_is_spread_over_tasks(spark, tmp_root):
+    import os
+
+    from skyfold.sinks import tables as K
+    df = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("20260603T203000Z"))
+         .otherwise(F.concat(F.lit("2026060"), (F.col("id") % 3).cast("string"),
+                             F.lit("T203000Z"))).alias("batch_id"),
+        F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    with _conf(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+                         "spark.sql.shuffle.partitions": "8"}):
+        K.write_partitioned(df, f"{tmp_root}/t")
+    hot = [f for f in os.listdir(f"{tmp_root}/t/batch_id=20260603T203000Z")
+           if f.endswith(".parquet")]
+    assert len(hot) > 1
+    assert spark.read.parquet(f"{tmp_root}/t").count() == 300_000
