@@ -34,15 +34,17 @@ def start_ingest(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.da
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .json(layout.bronze(dataset)))
-    docs = stream.select("batch_id", F.struct("records").alias("doc"))
+    # The stream carries only the partition column: its scan parses no JSON,
+    # and each micro-batch is just the batch ids of its new files.
+    arrivals = stream.select("batch_id")
     target = layout.staging(flow["table"])
 
     def load(micro: DataFrame, epoch_id: int) -> None:
-        # Only the (few) batch ids of the micro-batch reach the driver.  Each
-        # of these batches is rebuilt from *all* its landed files, so a batch
-        # whose files arrive over two micro-batches is never replaced by a
-        # part of itself, and a retried micro-batch writes the same result.
-        ids = [r.batch_id for r in micro.select("batch_id").distinct().collect()]
+        # Each batch touched by the micro-batch is rebuilt from *all* its
+        # landed files, so a batch whose files arrive over two micro-batches
+        # is never replaced by a part of itself, and a retried micro-batch
+        # writes the same result.  Only the distinct batch ids reach the driver.
+        ids = [r.batch_id for r in micro.distinct().collect()]
         if not ids:
             return
         docs = RD.read_bronze(spark, layout.bronze(dataset), flow["schema"]).where(
@@ -50,7 +52,7 @@ def start_ingest(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.da
         staged = flow["stage"](flow["flatten"](docs), as_of)
         K.write_partitioned(staged, target)
 
-    writer = docs.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    writer = arrivals.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()
