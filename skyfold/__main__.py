@@ -55,8 +55,12 @@ def main(argv: list[str] | None = None) -> None:
         for model, path in J.build_marts(spark, layout, incremental=a.incremental).items():
             print(model, path)
     elif a.command == "expire":
-        for folder in J.expire(spark, layout, as_of):
+        report = J.expire(spark, layout, as_of)
+        for folder in report["dropped"]:
             print("dropped", folder)
+        if report["unparsed"]:
+            print(f"kept {report['unparsed']} object(s) without a timestamp, e.g.",
+                  report["unparsed_sample"])
     else:
         J.read_state(spark, layout).show(truncate=False)
 

@@ -279,23 +279,30 @@ def success_row_count(spark: SparkSession, layout: Layout, batch_time: dt.dateti
 
 
 def expire(spark: SparkSession, layout: Layout, as_of: dt.datetime,
-           days: int = RETENTION_DAYS) -> list[str]:
+           days: int = RETENTION_DAYS, sample: int = 20) -> dict[str, object]:
     """E5: drop bronze and silver batch folders older than the window.
 
     The listing and the age test are a Spark job; only the distinct expired
-    batch ids (one per batch) come back to delete their folders.
+    batch ids (one per batch) come back to delete their folders.  Objects
+    whose name carries no timestamp are never deleted; they are reported
+    (a count and a bounded sample).
     """
-    dropped = []
+    dropped: list[str] = []
+    unparsed, examples = 0, []
     for dataset in FLOWS:
         for folder in (layout.bronze(dataset), layout.silver(dataset)):
             if not _exists(spark, folder):
                 continue
-            old = R.expired(RD.list_objects(spark, folder), as_of, days=days)
+            listing = R.with_object_ts(RD.list_objects(spark, folder), "path")
+            old = R.expired(listing, as_of, days=days)
             ids = [r.batch_id for r in old.select(to_batch_id("object_ts").alias("batch_id"))
                    .distinct().collect()]
+            foreign = listing.where(F.col("object_ts").isNull())
+            unparsed += foreign.count()
+            examples += [r.path for r in foreign.select("path").take(sample - len(examples))]
             R.drop_batch_folders(spark, folder, ids)
             dropped += [f"{folder}/batch_id={b}" for b in ids]
-    return dropped
+    return {"dropped": dropped, "unparsed": unparsed, "unparsed_sample": examples}
 
 
 def scheduled_run(spark: SparkSession, layout: Layout, pipeline_name: str,

@@ -81,3 +81,20 @@ def test_drop_batch_folders(spark, tmp_root):
     assert ids == ["20260601T203000Z"]
     assert R.drop_batch_folders(spark, path, ids) == 1
     assert [r.value for r in spark.read.text(path).collect()] == ["y"]
+
+
+def test_expire_reports_and_keeps_foreign_objects(spark, tmp_root):
+    import os
+
+    from skyfold.constants import DATASET_FORECAST
+    from skyfold.plans import jobs as J
+    layout = J.Layout(tmp_root)
+    docs = spark.createDataFrame([("20260601T203000Z", "{}"), ("20260605T203000Z", "{}")],
+                                 "batch_id string, body string")
+    J.land(docs, layout, DATASET_FORECAST)
+    with open(f"{layout.bronze(DATASET_FORECAST)}/notes.txt", "w") as fh:
+        fh.write("not a batch")
+    report = J.expire(spark, layout, dt.datetime(2026, 6, 5, 21, tzinfo=dt.timezone.utc))
+    assert [p.rsplit("/", 1)[1] for p in report["dropped"]] == ["batch_id=20260601T203000Z"]
+    assert report["unparsed"] == 1 and report["unparsed_sample"][0].endswith("notes.txt")
+    assert os.path.exists(f"{layout.bronze(DATASET_FORECAST)}/notes.txt")
