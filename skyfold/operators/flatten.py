@@ -33,7 +33,7 @@ def require_shape(doc: Column, path: str) -> Column:
 
 
 def forecast_locations(docs: DataFrame, payload: str = "doc") -> DataFrame:
-    """One row per (location, weatherElement) with a kept element code.
+    """One row per (location, weatherElement) with a kept element code.
 
     Output: carried columns, City, Type, time (array of slots).
     """
@@ -48,7 +48,7 @@ def forecast_locations(docs: DataFrame, payload: str = "doc") -> DataFrame:
 
 
 def flatten_forecast(docs: DataFrame, payload: str = "doc") -> DataFrame:
-    """location[] x weatherElement[] x time[] -> City, Type, startTime, endTime, Temp, Unit."""
+    """location[] x weatherElement[] x time[] -> City, Type, startTime, endTime, Temp, Unit."""
     kept = forecast_locations(docs, payload)
     carry = [c for c in kept.columns if c not in ("City", "Type", "time")]
     slot = kept.select(*carry, "City", "Type", F.explode("time").alias("t"))
@@ -60,7 +60,7 @@ def flatten_forecast(docs: DataFrame, payload: str = "doc") -> DataFrame:
 
 
 def alert_entries(docs: DataFrame, payload: str = "doc") -> DataFrame:
-    """One row per alert ``info``: event, level (last alert_criteria), times, area[]."""
+    """One row per alert ``info``: event, level (last alert_criteria), times, area[]."""
     carry = _carry(docs, payload)
     info = docs.select(*carry, F.explode(require_shape(F.col(payload), "records.info"))
                        .alias("info"))
@@ -76,7 +76,7 @@ def alert_entries(docs: DataFrame, payload: str = "doc") -> DataFrame:
 
 
 def flatten_alert(docs: DataFrame, payload: str = "doc") -> DataFrame:
-    """info[] x area[] -> event, level, area, start_time, end_time (NULL areas skipped)."""
+    """info[] x area[] -> event, level, area, start_time, end_time (NULL areas skipped)."""
     entries = alert_entries(docs, payload)
     carry = [c for c in entries.columns
              if c not in ("event", "level", "start_time", "end_time", "areas")]

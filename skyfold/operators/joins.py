@@ -37,7 +37,7 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
 
 def not_in(candidates: DataFrame, cand_key: Column | str, target: DataFrame,
            target_key: str) -> DataFrame:
-    """``candidates WHERE cand_key NOT IN (SELECT target_key FROM target)``.
+    """``candidates WHERE cand_key NOT IN (SELECT target_key FROM target)``.
 
     SQL semantics, NULLs included:
 

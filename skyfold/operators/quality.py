@@ -22,7 +22,7 @@ def _result(df: DataFrame) -> DataFrame:
 
 
 def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """NULL counts of ``columns`` in one aggregate pass, one result row per column."""
+    """Q1: NULL counts of ``columns`` in one aggregate pass, one result row per column."""
     agg = df.agg(F.count(F.lit(1)).alias("n_rows"),
                  *[F.count_if(F.col(c).isNull()).alias(f"__n_{i}") for i, c in enumerate(columns)])
     rows = [agg.select(F.lit(model).alias("model"), F.lit(c).alias("column_name"),
@@ -33,7 +33,7 @@ def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
 
 
 def unique(df: DataFrame, model: str, column: str) -> DataFrame:
-    """Number of non-NULL values occurring more than once (NULLs are not
+    """Q2: number of non-NULL values occurring more than once (NULLs are not
     counted, as in a ``unique`` data test)."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(
         F.count(F.lit(1)).alias("n"))
@@ -45,7 +45,7 @@ def unique(df: DataFrame, model: str, column: str) -> DataFrame:
 
 def orphans(fact: DataFrame, model: str, fk: str, dim: DataFrame, pk: str,
             dim_rows: int | None = None) -> DataFrame:
-    """Fact rows whose non-NULL ``fk`` has no ``pk`` in the dimension
+    """Q5: fact rows whose non-NULL ``fk`` has no ``pk`` in the dimension
     (``left_anti`` join, size-checked broadcast of the dimension keys; the
     failing count is a scalar subquery)."""
     keys = dim.select(F.col(pk).alias("__pk")).distinct()

@@ -26,7 +26,7 @@ def with_object_ts(objects: DataFrame, name_col: str = "path") -> DataFrame:
 
 def expired(objects: DataFrame, as_of: Column | dt.datetime, name_col: str = "path",
             days: int = RETENTION_DAYS) -> DataFrame:
-    """Objects whose parsed batch time is before ``as_of - days``."""
+    """Objects whose parsed batch time is before ``as_of - days``."""
     now = F.lit(as_of).cast("timestamp") if isinstance(as_of, dt.datetime) else as_of
     return with_object_ts(objects, name_col).where(F.col("object_ts") < cutoff(now, days))
 

@@ -44,7 +44,7 @@ def status_name(code: Column) -> Column:
 
 
 def apply_update(state: DataFrame, updates: DataFrame) -> DataFrame:
-    """Apply at most one update per pipeline (``pipeline_name, status,
+    """Apply at most one update per pipeline (``pipeline_name, status,
     row_count, last_processed_at, ts``) to the state.
 
     Pipelines without an update keep their row; updates of unknown
@@ -68,7 +68,7 @@ def apply_update(state: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def fold_updates(state: DataFrame, log: DataFrame, state_rows: int | None = None) -> DataFrame:
-    """Apply a whole update log (``pipeline_name, seq, status, row_count,
+    """Q6 at scale: apply a whole update log (``pipeline_name, seq, status, row_count,
     last_processed_at, ts``) in ``seq`` order; equal to applying
     :func:`apply_update` once per log row.
 
@@ -117,7 +117,7 @@ def first_updates(state: DataFrame, log: DataFrame, state_rows: int | None = Non
 
 
 def high_water_mark(log: DataFrame, state: DataFrame, state_rows: int | None = None) -> DataFrame:
-    """Per known pipeline: the latest batch processed by a successful run."""
+    """Q8: per known pipeline, the latest batch processed by a successful run."""
     known = state.select(F.col("pipeline_name").alias("__name"), "created_seq")
     ok = (join_dimension(log.where(F.col("status") == STATUS_SUCCESS), known,
                          log.pipeline_name == known.__name, dim_rows=state_rows)
@@ -126,7 +126,7 @@ def high_water_mark(log: DataFrame, state: DataFrame, state_rows: int | None = N
 
 
 def lookup(state: DataFrame, names: DataFrame) -> DataFrame:
-    """State (status, last_processed_at, row_count) of each requested name;
+    """State (status, last_processed_at, row_count) of each requested name;
     a name without a state row yields no row."""
     wanted = names.select(F.col("pipeline_name").alias("__name")).distinct()
     return (state.join(wanted, state.pipeline_name == wanted.__name, "left_semi")
@@ -134,14 +134,14 @@ def lookup(state: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def check_table_name(table_name: str) -> str:
-    """Only the staging tables may be counted (allow-list)."""
+    """Only the staging tables may be counted (allow-list)."""
     if table_name not in STAGING_TABLES:
         raise ValueError(f"Invalid table name: {table_name}")
     return table_name
 
 
 def batch_row_counts(tables: dict[str, DataFrame], batch_time: Column | None = None) -> DataFrame:
-    """``(table_name, batch_time, row_count)`` for every batch of each table.
+    """A2: ``(table_name, batch_time, row_count)`` for every batch of each table.
 
     With ``batch_time`` only that batch is counted and a table without rows
     for it reports 0.
@@ -161,6 +161,6 @@ def batch_row_counts(tables: dict[str, DataFrame], batch_time: Column | None = N
 
 
 def batch_row_totals(tables: dict[str, DataFrame]) -> DataFrame:
-    """``(batch_time, row_count)``: rows of all staging tables per batch."""
+    """A3: ``(batch_time, row_count)``: rows of all staging tables per batch."""
     return (batch_row_counts(tables).groupBy("batch_time")
             .agg(F.sum("row_count").cast("long").alias("row_count")))

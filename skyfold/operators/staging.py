@@ -16,7 +16,7 @@ class KeyViolation(ValueError):
 
 
 def rename_standard(df: DataFrame, names: tuple[str, ...] | list[str]) -> DataFrame:
-    """Positional rename of the leading columns (parity with the source
+    """Positional rename of the leading columns (parity with the source
     pipeline, whose silver -> staging rename is by position)."""
     if len(df.columns) < len(names):
         raise ValueError(f"expected at least {len(names)} columns, got {df.columns}")
@@ -24,7 +24,7 @@ def rename_standard(df: DataFrame, names: tuple[str, ...] | list[str]) -> DataFr
 
 
 def cast_strict(c: Column | str, to: str, label: str | None = None) -> Column:
-    """Cast text to ``to``; a malformed non-NULL value fails the job.
+    """Cast text to ``to``; a malformed non-NULL value fails the job.
 
     Independent of the session's ANSI setting: ``try_cast`` decides, and a
     failure raises inside the task (no extra pass over the data).
@@ -39,7 +39,7 @@ def cast_strict(c: Column | str, to: str, label: str | None = None) -> Column:
 
 
 def cast_quarantine(df: DataFrame, casts: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (typed good rows, rejected raw rows with a reason).
+    """P7 (quarantine): split rows into (typed good rows, rejected raw rows with a reason).
 
     A row is rejected when any listed column is non-NULL but does not cast.
     One pass: the flag is computed once and both outputs filter on it.
@@ -57,7 +57,7 @@ def cast_quarantine(df: DataFrame, casts: dict[str, str]) -> tuple[DataFrame, Da
 
 
 def audit_columns(df: DataFrame, batch_time: Column, as_of: dt.datetime | None = None) -> DataFrame:
-    """Add ``batch_time`` (the batch stamp) and ``update_time`` (load time).
+    """Add ``batch_time`` (the batch stamp) and ``update_time`` (load time).
 
     ``as_of`` fixes the load time (reproducible runs); default is now.
     """
@@ -96,7 +96,7 @@ def alert_to_staging(silver: DataFrame, as_of: dt.datetime | None = None) -> Dat
 
 
 def key_violations(df: DataFrame, key: tuple[str, ...] | list[str]) -> DataFrame:
-    """Keys that occur more than once or have a NULL part: key columns + n_rows.
+    """Q3 / Q4: keys that occur more than once or have a NULL part: key columns + n_rows.
 
     Partial aggregation runs map-side, so a hot key costs one row per task
     in the shuffle.

@@ -21,43 +21,43 @@ from skyfold.operators.joins import join_dimension, not_in
 
 
 def stg_forecast(staging_forecast: DataFrame) -> DataFrame:
-    """city, type, weather_date, temp (every batch is kept)."""
+    """M1: city, type, weather_date, temp (every batch is kept)."""
     return staging_forecast.select(
         "city", "type", weather_date("start_time").alias("weather_date"), "temp")
 
 
 def stg_alert(staging_alert: DataFrame) -> DataFrame:
-    """event, level, area, weather_date (every batch is kept)."""
+    """M2: event, level, area, weather_date (every batch is kept)."""
     return staging_alert.select(
         "event", "level", "area", weather_date("start_time").alias("weather_date"))
 
 
 def eph_alert(stg_al: DataFrame) -> DataFrame:
-    """Alert rows with the area split into city prefix and district."""
+    """Alert rows with the area split into city prefix and district."""
     return stg_al.select("event", "level", "area", "weather_date",
                          city_of("area").alias("city"), district_of("area").alias("district"))
 
 
 def city_list(stg_fc: DataFrame, stg_al: DataFrame) -> DataFrame:
-    """Distinct cities of forecasts and alerts (UNION DISTINCT; NULL kept once)."""
+    """Distinct cities of forecasts and alerts (UNION DISTINCT; NULL kept once)."""
     fc = stg_fc.select("city").distinct()
     al = stg_al.select(city_of("area").alias("city")).distinct()
     return fc.union(al).distinct()
 
 
 def dim_city(stg_fc: DataFrame, stg_al: DataFrame) -> DataFrame:
-    """city_key = md5(city), city."""
+    """city_key = md5(city), city."""
     return city_list(stg_fc, stg_al).select(surrogate_key("city").alias("city_key"), "city")
 
 
 def area_list(stg_al: DataFrame) -> DataFrame:
-    """Distinct (city prefix, district) pairs of the alerts."""
+    """A4: distinct (city prefix, district) pairs of the alerts."""
     return stg_al.select(city_of("area").alias("city"),
                          district_of("area").alias("area")).distinct()
 
 
 def dim_area(stg_al: DataFrame) -> DataFrame:
-    """area_key = md5(city || area), city, area."""
+    """area_key = md5(city || area), city, area."""
     return area_list(stg_al).select(surrogate_key("city", "area").alias("area_key"),
                                     "city", "area")
 
@@ -73,7 +73,7 @@ def dim_area_new(stg_al: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def forecast_daily(stg_fc: DataFrame) -> DataFrame:
-    """Conditional averages per (city, weather_date): a two-column pivot.
+    """A1: conditional averages per (city, weather_date), a two-column pivot.
 
     Aggregating on ``city`` before the dimension join is exact because the
     dimension holds one row per city (city_key = md5(city)); it shrinks the
@@ -87,7 +87,7 @@ def forecast_daily(stg_fc: DataFrame) -> DataFrame:
 
 
 def eph_forecast(stg_fc: DataFrame, dim_c: DataFrame) -> DataFrame:
-    """city_key, weather_date, avg_LowestTemp, avg_HighestTemp.
+    """city_key, weather_date, avg_LowestTemp, avg_HighestTemp.
 
     Both join inputs are aggregates (one row per city and day, one row per
     city): their size follows the number of cities and days, not the number
@@ -100,7 +100,7 @@ def eph_forecast(stg_fc: DataFrame, dim_c: DataFrame) -> DataFrame:
 
 
 def fact_forecast(eph_fc: DataFrame) -> DataFrame:
-    """The forecast fact: averages plus the HighestTemp bucket (NULL -> Normal)."""
+    """The forecast fact, averages plus the HighestTemp bucket (NULL -> Normal)."""
     return eph_fc.select("city_key", "weather_date", "avg_LowestTemp", "avg_HighestTemp",
                          weather_level("avg_HighestTemp").alias("flag_HighestTemp"))
 
@@ -117,7 +117,7 @@ def city_area_keys(dim_c: DataFrame, dim_a: DataFrame) -> DataFrame:
 
 
 def fact_alert(eph_al: DataFrame, keys: DataFrame, keys_rows: int | None = None) -> DataFrame:
-    """city_key, area_key, weather_date, event, level (no dedupe across batches).
+    """city_key, area_key, weather_date, event, level (no dedupe across batches).
 
     ``keys`` is :func:`city_area_keys` of the two dimensions, ideally read
     from a materialised table so that its size check is cheap.

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 
 def land_documents(docs: DataFrame, path: str) -> None:
-    """Land raw JSON text, one document per line, one folder per batch.
+    """K1: land raw JSON text, one document per line, one folder per batch.
 
     Batches present in ``docs`` replace earlier landings of the same batch;
     other batches are left alone (dynamic partition overwrite).
@@ -71,7 +71,7 @@ def _observed_ids(obs: Observation) -> set[str]:
 
 
 def replace_batch(df: DataFrame, path: str, batch_id: str) -> None:
-    """Static replace of one batch: the folder ends up holding exactly ``df``.
+    """K3: static replace of one batch: the folder ends up holding exactly ``df``.
 
     Unlike the dynamic overwrite, an empty ``df`` empties the batch.
     """
@@ -79,7 +79,7 @@ def replace_batch(df: DataFrame, path: str, batch_id: str) -> None:
 
 
 def publish_append(df: DataFrame, path: str) -> int:
-    """Append to a published table; returns the row count observed during
+    """K5 / A5: append to a published table; returns the row count observed during
     the write (no second scan).  A rerun appends the rows again."""
     obs = Observation("published")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -91,12 +91,12 @@ def publish_append(df: DataFrame, path: str) -> int:
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
-    """Full rebuild of a (dimension/fact) table."""
+    """K8: full rebuild of a (dimension/fact) table."""
     df.write.mode("overwrite").parquet(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
-    """Append rows (incremental models)."""
+    """K9: append rows (incremental models)."""
     df.write.mode("append").parquet(path)
 
 

@@ -12,7 +12,7 @@ from skyfold.sources import schemas as S
 
 def parse_documents(texts: DataFrame, schema: T.StructType, text_col: str = "body",
                     out_col: str = "doc") -> DataFrame:
-    """Parse stored JSON text with an explicit schema (FAILFAST on broken JSON)."""
+    """Parse stored JSON text with an explicit schema (FAILFAST on broken JSON)."""
     carry = [c for c in texts.columns if c != text_col]
     return texts.select(*carry, F.from_json(F.col(text_col), schema,
                                             {"mode": "FAILFAST"}).alias(out_col))
@@ -20,7 +20,7 @@ def parse_documents(texts: DataFrame, schema: T.StructType, text_col: str = "bod
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType,
                 multi_line: bool = False) -> DataFrame:
-    """Read raw JSON documents with an explicit schema.
+    """Read raw JSON documents with an explicit schema.
 
     JSON Lines (one document per line) is splittable and is what the landing
     step writes; ``multi_line=True`` reads pretty-printed single-document
@@ -35,7 +35,7 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType,
 
 def read_silver(spark: SparkSession, path: str, schema: T.StructType,
                 batch_id: str | None = None) -> DataFrame:
-    """Read silver parquet (a file or a folder: all files are read).
+    """Read silver parquet (a file or a folder: all files are read).
 
     With ``batch_id`` the partition filter prunes every other batch folder.
     """
@@ -45,17 +45,17 @@ def read_silver(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def scan_batch(table: DataFrame, batch_time, columns: list[str] | tuple[str, ...]) -> DataFrame:
-    """Rows of one batch with a fixed column list (pruned on the partition)."""
+    """Rows of one batch with a fixed column list (pruned on the partition)."""
     return table.where(F.col("batch_time") == batch_time).select(*columns)
 
 
 def sql_query(spark: SparkSession, query: str, **params) -> DataFrame:
-    """Ad-hoc SQL with bound (named) parameters, e.g. ``:threshold``."""
+    """Ad-hoc SQL with bound (named) parameters, e.g. ``:threshold``."""
     return spark.sql(query, args=params or None)
 
 
 def list_objects(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:
-    """Every file below ``root`` (path, modificationTime, length); content pruned.
+    """Every file below ``root`` (path, modificationTime, length); content pruned.
 
     Empty result for a folder without files.
     """
@@ -68,7 +68,7 @@ def list_objects(spark: SparkSession, root: str, prefix: str | None = None) -> D
 
 
 def first_row(df: DataFrame) -> DataFrame:
-    """At most one row of an already key-filtered frame (empty if none)."""
+    """At most one row of an already key-filtered frame (empty if none)."""
     return df.limit(1)
 
 
@@ -99,7 +99,7 @@ city_id,city_name,country,latitude,longitude,timezone,is_active
 
 
 def read_seed(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The city reference seed: a CSV at ``path`` (shared storage), or the
+    """The city reference seed: a CSV at ``path`` (shared storage), or the
     bundled 20 rows when no path is given."""
     if path:
         return spark.read.csv(path, header=True, schema=S.CITY_REFERENCE, mode="FAILFAST")
@@ -112,5 +112,5 @@ def read_seed(spark: SparkSession, path: str | None = None) -> DataFrame:
 
 
 def active_cities(seed: DataFrame) -> DataFrame:
-    """Coordinates of the active reference cities."""
+    """Coordinates of the active reference cities."""
     return seed.where(F.col("is_active") == 1).select("latitude", "longitude")
