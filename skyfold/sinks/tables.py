@@ -25,18 +25,22 @@ def land_documents(docs: DataFrame, path: str) -> None:
      .partitionBy("batch_id").text(path))
 
 
-def write_partitioned(df: DataFrame, path: str, cluster: bool = True) -> None:
+def write_partitioned(df: DataFrame, path: str, cluster: bool = True,
+                      max_records_per_file: int | None = None) -> None:
     """Replace, per ``batch_id`` present in ``df``, that batch's parquet folder.
 
     With ``cluster`` the ``rebalance`` hint gathers each batch's rows into few
     files (AQE splits an oversized, skewed batch over several tasks and merges
     small ones).  That is one shuffle of the written rows, worth it when a
     write spans many batches; a single-batch write skips it (every task then
-    writes one file into the one folder).
+    writes one file into the one folder).  ``max_records_per_file`` caps the
+    rows per output file (K10, chunked insert).
     """
     out = df.hint("rebalance", "batch_id") if cluster else df
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.partitionBy("batch_id").parquet(path)
 
 
 def replace_batches(df: DataFrame, path: str, batch_ids: list[str] | None = None) -> None:

@@ -88,3 +88,13 @@ def test_publish_append_duplicates_on_rerun(spark, tmp_root):
     assert K.publish_append(a, path) == 4
     assert K.publish_append(a, path) == 4
     assert K.read_table(spark, path, S.STAGING_FORECAST, partitioned=True).count() == 8
+
+
+def test_chunked_write_caps_rows_per_file(spark, tmp_root):
+    import os
+    path = f"{tmp_root}/chunked"
+    K.write_partitioned(staging_rows(spark, "20260603T203000Z", 10), path,
+                        cluster=False, max_records_per_file=3)
+    files = [f for f in os.listdir(f"{path}/batch_id=20260603T203000Z") if f.endswith(".parquet")]
+    assert len(files) >= 4
+    assert K.read_table(spark, path, S.STAGING_FORECAST, partitioned=True).count() == 10
