@@ -60,7 +60,11 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a folder of
     our own is created and registered as the checkpoint folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        return (root or tempfile.mkdtemp(prefix="skyfold-ckpt-")).rstrip("/")
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
