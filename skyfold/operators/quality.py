@@ -6,8 +6,6 @@ status)``; several columns of one model are checked in a single pass.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +21,13 @@ def _result(df: DataFrame) -> DataFrame:
 
 def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
     """Q1: NULL counts of ``columns`` in one aggregate pass, one result row per column."""
-    agg = df.agg(F.count(F.lit(1)).alias("n_rows"),
-                 *[F.count_if(F.col(c).isNull()).alias(f"__n_{i}") for i, c in enumerate(columns)])
-    rows = [agg.select(F.lit(model).alias("model"), F.lit(c).alias("column_name"),
-                       F.lit("not_null").alias("test"), "n_rows",
-                       F.col(f"__n_{i}").alias("n_failing"))
-            for i, c in enumerate(columns)]
-    return _result(reduce(DataFrame.unionByName, rows))
+    agg = df.agg(F.count(F.lit(1)).alias("__rows"),
+                 *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    # one aggregate row -> one row per column (no re-evaluation per column)
+    per_column = agg.unpivot("__rows", list(columns), "column_name", "n_failing")
+    return _result(per_column.select(
+        F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"),
+        F.col("__rows").alias("n_rows"), "n_failing"))
 
 
 def unique(df: DataFrame, model: str, column: str) -> DataFrame:
