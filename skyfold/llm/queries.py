@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyfold.llm import decontaminate
+from skyfold.llm import decontaminate, simhash
 from skyfold.sources.tables import read_table
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.query(read_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(read_table(spark, sf_dir, "documents"),
                                read_table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_decontamination,)
+    f.__name__: f for f in (op4_simhash, op8_decontamination)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
