@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyfold.llm import decontaminate, simhash
+from skyfold.llm import decontaminate, language_id, piece_bpe, simhash
 from skyfold.sources.tables import read_table
 
 
+def model_path() -> str:
+    """The vocabulary file of operator 3, from the installed public tokenizers."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.query(read_table(spark, sf_dir, "documents"), model_path())
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(read_table(spark, sf_dir, "documents"))
 
@@ -19,8 +29,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.query(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_simhash, op8_decontamination)
+    f.__name__: f for f in (
+        op3_sentencepiece, op4_simhash, op8_decontamination, op10_language_id)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
