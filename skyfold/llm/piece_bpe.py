@@ -95,7 +95,7 @@ class Model:
     def _piece(self, fields: dict) -> None:
         text, (score,), kind = fields[1].decode(), struct.unpack("<f", fields[2]), fields[3]
         number = len(self.texts)
-        self.texts.append(text.replace(BLANK, " "))
+        self.texts.append({UNKNOWN: " ⁇ ", CONTROL: ""}.get(kind, text.replace(BLANK, " ")))
         if kind == NORMAL:
             self.pieces[text] = (-score, number)
         elif kind == BYTE:
@@ -255,6 +255,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     shared = docs.sparkSession.sparkContext.broadcast(proto)
     Model(proto)  # an unfit model fails here
     head = docs.select(F.col(id_col).alias("doc_id"), *others, F.col(text_col).alias("__text"))
+    names = [*head.columns[:-1], "ids", "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(shared.value)
@@ -268,7 +269,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 ids, ends, decoded = encoder.encode(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
-                     pa.array(decoded, pa.string())], [*head.columns[:-1], "ids", "decoded"])
+                     pa.array(decoded, pa.string())], names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in head.schema.fields[:-1])
     return head.mapInArrow(run, f"{fields}, ids array<int>, decoded string")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyfold.llm import decontaminate, language_id, piece_bpe, simhash
+from skyfold.llm import decontaminate, language_id, piece_bpe, secrets, simhash
 from skyfold.sources.tables import read_table
 
 
@@ -24,6 +24,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(read_table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.query(read_table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(read_table(spark, sf_dir, "documents"),
                                read_table(spark, sf_dir, "benchmark"))
@@ -35,7 +39,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_sentencepiece, op4_simhash, op8_decontamination, op10_language_id)
+        op3_sentencepiece, op4_simhash, op7_secret_scans, op8_decontamination, op10_language_id)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
