@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyfold.llm import decontaminate, language_id, piece_bpe, secrets, simhash
+from skyfold.llm import (
+    decontaminate,
+    language_id,
+    piece_bpe,
+    quality_rules,
+    secrets,
+    simhash,
+    url_filters,
+)
 from skyfold.sources.tables import read_table
 
 
@@ -16,6 +24,14 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.query(read_table(spark, sf_dir, "pages"))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.query(read_table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.query(read_table(spark, sf_dir, "documents"), model_path())
 
@@ -39,8 +55,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_sentencepiece, op4_simhash, op7_secret_scans, op8_decontamination, op10_language_id)
+        op1_url_filters, op2_quality_rules, op3_sentencepiece, op4_simhash, op7_secret_scans,
+        op8_decontamination, op10_language_id)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {"op8_decontamination": decontaminate.SQL}
+ORACLE: dict[str, str] = {
+    "op1_url_filters": url_filters.SQL,
+    "op2_quality_rules": quality_rules.SQL,
+    "op8_decontamination": decontaminate.SQL,
+}
