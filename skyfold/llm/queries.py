@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyfold.llm import (
+    cotraining,
     decontaminate,
     language_id,
     piece_bpe,
@@ -40,6 +41,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(read_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.query(read_table(spark, sf_dir, "documents"))
 
@@ -55,8 +60,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_url_filters, op2_quality_rules, op3_sentencepiece, op4_simhash, op7_secret_scans,
-        op8_decontamination, op10_language_id)
+        op1_url_filters, op2_quality_rules, op3_sentencepiece, op4_simhash, op6_quality_classifier,
+        op7_secret_scans, op8_decontamination, op10_language_id)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
