@@ -14,6 +14,7 @@ from skyfold.llm import (
     quality_rules,
     secrets,
     simhash,
+    suffix_dedup,
     url_filters,
 )
 from skyfold.sources.tables import read_table
@@ -41,6 +42,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(read_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.query(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -60,8 +65,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_url_filters, op2_quality_rules, op3_sentencepiece, op4_simhash, op6_quality_classifier,
-        op7_secret_scans, op8_decontamination, op10_language_id)
+        op1_url_filters, op2_quality_rules, op3_sentencepiece, op4_simhash, op5_suffix_dedup,
+        op6_quality_classifier, op7_secret_scans, op8_decontamination, op10_language_id)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
