@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from skyfold.session import workspace
 
 #: The white space of the contracts' word pattern ``[^\x20\x09-\x0D]+``.  ``bytes.split()``
 #: splits at exactly these bytes, so words of UTF-8 text are ``text.encode().split()``.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
+#: ``bytes.translate`` table: A-Z to lower case, all else as it is.
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -24,19 +23,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = workspace(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[list] | dict],
-             schema: str) -> DataFrame:
-    """``mapInArrow`` with ``fn`` giving the columns of one output batch as a dict."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = fn(batch)
-            if out is not None:
-                yield pa.RecordBatch.from_pydict(out)
-
-    return df.mapInArrow(run, schema)
-
-
-def empty_like(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import WHITE_SPACE, stored
+from skyfold.llm.common import LOWER, WHITE_SPACE, stored
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -38,8 +38,6 @@ SYMBOLS = "#*$%&|<>"
 #: Rows of frequent lines (16 bytes each) up to which they are broadcast; beyond, a shuffle join.
 MAX_BROADCAST_ROWS = 1 << 20
 
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """Words in windows that occur twice or more in the text, the first included."""

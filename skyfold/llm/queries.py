@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyfold.llm import (
+    compact_windows,
     cotraining,
     decontaminate,
     language_id,
@@ -59,6 +60,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                read_table(spark, sf_dir, "benchmark"))
 
 
+def op9_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.query(read_table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.query(read_table(spark, sf_dir, "documents"))
 
@@ -66,7 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filters, op2_quality_rules, op3_sentencepiece, op4_simhash, op5_suffix_dedup,
-        op6_quality_classifier, op7_secret_scans, op8_decontamination, op10_language_id)
+        op6_quality_classifier, op7_secret_scans, op8_decontamination, op9_compact_windows, op10_language_id)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.

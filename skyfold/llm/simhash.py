@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import stored
+from skyfold.llm.common import LOWER, stored
 from skyfold.llm.components import components
 
 SHINGLE = 3
@@ -44,8 +44,6 @@ FAN_OUT = 4
 #: Node pairs looked at together, and rows of complete groups indexed together.
 PAIRS, ROWS = 50_000, 200_000
 
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """Majority bits of the XXH64 of all word shingles, repeats included."""
