@@ -7,7 +7,8 @@
     python -m skyfold state    --root R
 
 Raw payloads are expected as JSON (Lines or, with --multi-line, one
-document per file) below ``R/bronze/<dataset>/batch_id=<yyyyMMddTHHmmssZ>/``.
+document per file) below ``R/bronze/<dataset>/batch_id=<yyyyMMddTHHmmssZ>/``
+(``...ss.ffffffZ`` for a stamp with a fraction of a second).
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--incremental", action="store_true")
     ap.add_argument("--quarantine", action="store_true",
                     help="keep rows breaking the staging key out instead of failing")
+    ap.add_argument("--multi-line", action="store_true",
+                    help="payloads are one pretty-printed document a file")
     ap.add_argument("--master", default=os.environ.get("SKYFOLD_MASTER"))
     a = ap.parse_args(argv)
 
@@ -49,8 +52,8 @@ def main(argv: list[str] | None = None) -> None:
         if not a.batch_time:
             ap.error("run needs --batch-time")
         J.scheduled_run(spark, layout, a.pipeline, _ts(a.batch_time), as_of,
-                        on_key_violation="quarantine" if a.quarantine else "fail"
-                        ).show(truncate=False)
+                        on_key_violation="quarantine" if a.quarantine else "fail",
+                        multi_line=a.multi_line).show(truncate=False)
     elif a.command == "marts":
         for model, path in J.build_marts(spark, layout, incremental=a.incremental).items():
             print(model, path)

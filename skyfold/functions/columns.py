@@ -6,6 +6,8 @@ codegen; none of them calls back into Python per row.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,15 +91,32 @@ def non_null_elements(arr: ColumnOrName) -> Column:
 
 
 def to_batch_id(batch_time: ColumnOrName) -> Column:
-    """Folder-safe batch id, e.g. ``20260603T203000Z`` (no colons in paths)."""
-    return F.date_format(_col(batch_time), "yyyyMMdd'T'HHmmss'Z'")
+    """Folder-safe batch id, e.g. ``20260603T203000Z`` (no colons in paths); a stamp
+    with a fraction keeps it: ``20260603T203000.000042Z``."""
+    c = _col(batch_time)
+    fraction = F.date_format(c, ".SSSSSS")
+    return F.concat(F.date_format(c, "yyyyMMdd'T'HHmmss"),
+                    F.when(fraction == ".000000", "").otherwise(fraction), F.lit("Z"))
+
+
+def batch_timestamp(batch_id: ColumnOrName) -> Column:
+    """The stamp of a batch id, with or without a fraction; NULL if it is none."""
+    c = _col(batch_id)
+    return F.coalesce(F.try_to_timestamp(c, F.lit("yyyyMMdd'T'HHmmss'Z'")),
+                      F.try_to_timestamp(c, F.lit("yyyyMMdd'T'HHmmss.SSSSSS'Z'")))
+
+
+def batch_id_of(stamp: dt.datetime) -> str:
+    """:func:`to_batch_id` of one Python stamp (naive stamps are UTC)."""
+    utc = stamp.astimezone(dt.timezone.utc) if stamp.tzinfo else stamp
+    return utc.strftime("%Y%m%dT%H%M%S.%fZ" if utc.microsecond else "%Y%m%dT%H%M%SZ")
 
 
 # A bronze/silver object name carries its batch either as an ISO timestamp
 # (``..._2026-06-03T20:30:00+00:00.json``) or as a batch folder
 # (``.../batch_id=20260603T203000Z/...``).
 _ISO_IN_NAME = r"_([0-9]{4}-[0-9]{2}-[0-9]{2}T[^/]*)[.](json|parquet)$"
-_BATCH_FOLDER = r"batch_id=([0-9]{8}T[0-9]{6}Z)"
+_BATCH_FOLDER = r"batch_id=([0-9]{8}T[0-9]{6}(?:[.][0-9]{6})?Z)"
 
 
 def object_timestamp(path: ColumnOrName) -> Column:
@@ -110,6 +129,4 @@ def object_timestamp(path: ColumnOrName) -> Column:
     iso = F.regexp_extract(p, _ISO_IN_NAME, 1)
     folder = F.regexp_extract(p, _BATCH_FOLDER, 1)
     from_iso = F.try_to_timestamp(F.nullif(iso, F.lit("")))
-    from_folder = F.try_to_timestamp(F.nullif(folder, F.lit("")),
-                                     F.lit("yyyyMMdd'T'HHmmss'Z'"))
-    return F.coalesce(from_iso, from_folder)
+    return F.coalesce(from_iso, batch_timestamp(F.nullif(folder, F.lit(""))))

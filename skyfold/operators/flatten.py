@@ -22,8 +22,8 @@ def _carry(df: DataFrame, payload: str) -> list[str]:
 def require_shape(doc: Column, path: str) -> Column:
     """Fail the job (inside the task, no extra pass) if ``path`` is missing.
 
-    A document whose top-level array is absent is a broken payload; parsing
-    would otherwise silently yield no rows for it.
+    An entry whose array or struct is absent is a broken payload; parsing would
+    otherwise silently yield no rows for it.  An empty array is fine.
     """
     field = doc
     for part in path.split("."):
@@ -32,6 +32,16 @@ def require_shape(doc: Column, path: str) -> Column:
                   F.raise_error(F.lit(f"raw document without {path}"))).otherwise(field)
 
 
+def _slots(df: DataFrame, names: list[str], elements: Column) -> DataFrame:
+    """One row per time slot of each element, every slot with its parameter."""
+    slot = df.select(*names, F.explode(elements).alias("t"))
+    parameter = require_shape(F.col("t"), "parameter")
+    return slot.select(*names, F.col("t.startTime").alias("startTime"),
+                       F.col("t.endTime").alias("endTime"),
+                       parameter["parameterName"].alias("Temp"),
+                       parameter["parameterUnit"].alias("Unit"))
+
+
 def forecast_locations(docs: DataFrame, payload: str = "doc") -> DataFrame:
     """One row per (location, weatherElement) with a kept element code.
 
@@ -41,22 +51,18 @@ def forecast_locations(docs: DataFrame, payload: str = "doc") -> DataFrame:
     loc = docs.select(*carry, F.explode(require_shape(F.col(payload), "records.location"))
                       .alias("loc"))
     el = loc.select(*carry, F.col("loc.locationName").alias("City"),
-                    F.explode("loc.weatherElement").alias("el"))
-    return (el.select(*carry, "City", element_label(F.col("el.elementName")).alias("Type"),
-                      F.col("el.time").alias("time"))
-              .where(F.col("Type").isNotNull()))
+                    F.explode(require_shape(F.col("loc"), "weatherElement")).alias("el"))
+    kept = el.withColumn("Type", element_label(F.col("el.elementName"))
+                         ).where(F.col("Type").isNotNull())
+    # only a kept element needs its slots
+    return kept.select(*carry, "City", "Type", require_shape(F.col("el"), "time").alias("time"))
 
 
 def flatten_forecast(docs: DataFrame, payload: str = "doc") -> DataFrame:
     """location[] x weatherElement[] x time[] -> City, Type, startTime, endTime, Temp, Unit."""
     kept = forecast_locations(docs, payload)
     carry = [c for c in kept.columns if c not in ("City", "Type", "time")]
-    slot = kept.select(*carry, "City", "Type", F.explode("time").alias("t"))
-    return slot.select(*carry, "City", "Type",
-                       F.col("t.startTime").alias("startTime"),
-                       F.col("t.endTime").alias("endTime"),
-                       F.col("t.parameter.parameterName").alias("Temp"),
-                       F.col("t.parameter.parameterUnit").alias("Unit"))
+    return _slots(kept, [*carry, "City", "Type"], F.col("time"))
 
 
 def alert_entries(docs: DataFrame, payload: str = "doc") -> DataFrame:
@@ -67,11 +73,11 @@ def alert_entries(docs: DataFrame, payload: str = "doc") -> DataFrame:
     return info.select(
         *carry,
         F.col("info.event").alias("event"),
-        last_match(F.col("info.parameter"), "valueName", "value",
+        last_match(require_shape(F.col("info"), "parameter"), "valueName", "value",
                    ALERT_LEVEL_PARAMETER).alias("level"),
         F.col("info.onset").alias("start_time"),
         F.col("info.expires").alias("end_time"),
-        F.col("info.area").alias("areas"),
+        require_shape(F.col("info"), "area").alias("areas"),
     )
 
 
@@ -94,11 +100,6 @@ def forecast_all_slots(docs: DataFrame, payload: str = "doc") -> DataFrame:
     loc = docs.select(*carry, F.explode(require_shape(F.col(payload), "records.location"))
                       .alias("loc"))
     el = loc.select(*carry, F.col("loc.locationName").alias("City"),
-                    F.explode("loc.weatherElement").alias("el"))
-    slot = el.select(*carry, "City", F.col("el.elementName").alias("elementName"),
-                     F.explode("el.time").alias("t"))
-    return slot.select(*carry, "City", "elementName",
-                       F.col("t.startTime").alias("startTime"),
-                       F.col("t.endTime").alias("endTime"),
-                       F.col("t.parameter.parameterName").alias("Temp"),
-                       F.col("t.parameter.parameterUnit").alias("Unit"))
+                    F.explode(require_shape(F.col("loc"), "weatherElement")).alias("el"))
+    named = el.select(*carry, "City", F.col("el.elementName").alias("elementName"), "el")
+    return _slots(named, [*carry, "City", "elementName"], require_shape(F.col("el"), "time"))

@@ -1,17 +1,10 @@
-"""Join operators: size-checked dimension joins and NOT IN at scale."""
+"""Join operators: dimension joins sized by Catalyst/AQE, and NOT IN at scale."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when its row count, read from a materialised
-# table, is at most this; beyond it the join shuffles (AQE splits skew).
-# Dimension rows are narrow (a key and one or two short names, ~100 bytes),
-# so the cap bounds a broadcast at tens of megabytes.
-MAX_BROADCAST_ROWS = 500_000
-
-
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Cut lineage: write ``df`` as a parquet table at ``path`` (a folder in the
     shared workspace) and read it back.  One job; counting the result later
@@ -20,19 +13,16 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   dim_rows: int | None = None,
-                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
     """Join a (possibly large) fact side to a dimension.
 
-    ``dim`` should be materialised (a written table or a checkpoint) so that
-    counting it is cheap; the dimension is broadcast only if it has at most
-    ``max_broadcast_rows`` rows, otherwise the join is left to a shuffle join
-    where AQE handles skewed keys.
+    ``dim`` should be materialised (a written table): its size in bytes is then
+    known, and Catalyst broadcasts it only below
+    ``spark.sql.autoBroadcastJoinThreshold``; AQE decides again from the bytes
+    really shuffled.  Anything larger is a shuffle join whose skewed keys AQE
+    splits.  No hint overrides that: a row count says nothing about bytes.
     """
-    n = dim.count() if dim_rows is None else dim_rows
-    side = F.broadcast(dim) if n <= max_broadcast_rows else dim
-    return fact.join(side, on, how)
+    return fact.join(dim, on, how)
 
 
 def not_in(candidates: DataFrame, cand_key: Column | str, target: DataFrame,

@@ -41,19 +41,24 @@ def unique(df: DataFrame, model: str, column: str) -> DataFrame:
                               F.lit("unique").alias("test"), "n_rows", "n_failing"))
 
 
-def orphans(fact: DataFrame, model: str, fk: str, dim: DataFrame, pk: str,
-            dim_rows: int | None = None) -> DataFrame:
-    """Q5: fact rows whose non-NULL ``fk`` has no ``pk`` in the dimension
-    (``left_anti`` join, size-checked broadcast of the dimension keys; the
-    failing count is a scalar subquery)."""
-    keys = dim.select(F.col(pk).alias("__pk")).distinct()
-    anti = join_dimension(fact.where(F.col(fk).isNotNull()), keys, F.col(fk) == F.col("__pk"),
-                          "left_anti", dim_rows=dim_rows)
-    n_bad = anti.agg(F.count(F.lit(1))).scalar()
-    return _result(
-        fact.agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(model).alias("model"), F.lit(fk).alias("column_name"),
-                F.lit("relationships").alias("test"), "n_rows", n_bad.alias("n_failing")))
+def orphans(fact: DataFrame, model: str,
+            references: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """Q5: per ``(fk, dimension, pk)`` the fact rows whose non-NULL ``fk`` has no ``pk``
+    in the dimension.
+
+    The fact is read once: a left join with the distinct keys of each dimension
+    and one aggregate with a count per reference.
+    """
+    counts = []
+    for i, (fk, dim, pk) in enumerate(references):
+        keys = dim.select(F.col(pk).alias(f"__pk{i}")).where(F.col(f"__pk{i}").isNotNull()).distinct()
+        fact = join_dimension(fact, keys, F.col(fk) == F.col(f"__pk{i}"), "left")
+        counts.append(F.count_if(F.col(fk).isNotNull() & F.col(f"__pk{i}").isNull()).alias(fk))
+    agg = fact.agg(F.count(F.lit(1)).alias("__rows"), *counts)
+    per_key = agg.unpivot("__rows", [fk for fk, _, _ in references], "column_name", "n_failing")
+    return _result(per_key.select(
+        F.lit(model).alias("model"), "column_name", F.lit("relationships").alias("test"),
+        F.col("__rows").alias("n_rows"), "n_failing"))
 
 
 class DataTestFailure(AssertionError):

@@ -8,12 +8,16 @@ an object exactly ``RETENTION_DAYS`` old is kept.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.constants import RETENTION_DAYS
 from skyfold.functions.columns import object_timestamp
+from skyfold.sinks.tables import file_system
 
 
 def cutoff(as_of: Column, days: int = RETENTION_DAYS) -> Column:
@@ -39,20 +43,32 @@ def kept(objects: DataFrame, as_of: Column | dt.datetime, name_col: str = "path"
     return t.where(F.col("object_ts").isNull() | (F.col("object_ts") >= cutoff(now, days)))
 
 
-def drop_batch_folders(spark: SparkSession, table_path: str, batch_ids: list[str]) -> int:
-    """Delete expired ``batch_id=...`` folders of a table (the partition drop).
+def delete_units(listing: DataFrame, as_of: dt.datetime, days: int = RETENTION_DAYS) -> DataFrame:
+    """What a cleanup has to look at, one row each: ``unit``, ``expired``, ``n_objects``.
 
-    ``batch_ids`` is the short list of expired batch ids (one per batch, not
-    per row).  Uses the Hadoop file system of the table path, so it works on
-    any shared storage Spark can write to.
+    A unit is what is deleted as a whole: a ``batch_id=...`` folder, or an object
+    outside of one.  Objects without a timestamp are never expired.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = root.getFileSystem(conf)
-    n = 0
-    for b in batch_ids:
-        p = jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/batch_id={b}")
-        if fs.exists(p) and fs.delete(p, True):
-            n += 1
-    return n
+    folder = F.regexp_extract("path", r"^(.*/batch_id=[^/]+)/", 1)
+    now = F.lit(as_of).cast("timestamp")
+    flagged = with_object_ts(listing, "path").select(
+        F.coalesce(F.nullif(folder, F.lit("")), F.col("path")).alias("unit"),
+        (F.col("object_ts") < cutoff(now, days)).alias("expired"))
+    return (flagged.where(F.col("expired") | F.col("expired").isNull())
+            .groupBy("unit", "expired").agg(F.count(F.lit(1)).alias("n_objects")))
+
+
+def delete_paths(spark: SparkSession, paths: Iterable[str], threads: int = 16) -> Iterator[str]:
+    """Delete paths and give back those that are really gone.
+
+    ``paths`` may be a stream; a bounded number of deletes runs at a time through
+    the Hadoop file system of each path, so any storage Spark can write to works.
+    """
+    def drop(path: str) -> str | None:
+        fs, p = file_system(spark, path)
+        return path if fs.exists(p) and fs.delete(p, True) and not fs.exists(p) else None
+
+    it = iter(paths)
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        while chunk := list(islice(it, 16 * threads)):
+            yield from (p for p in pool.map(drop, chunk) if p)

@@ -67,7 +67,7 @@ def apply_update(state: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
-def fold_updates(state: DataFrame, log: DataFrame, state_rows: int | None = None) -> DataFrame:
+def fold_updates(state: DataFrame, log: DataFrame) -> DataFrame:
     """Q6 at scale: apply a whole update log (``pipeline_name, seq, status, row_count,
     last_processed_at, ts``) in ``seq`` order; equal to applying
     :func:`apply_update` once per log row.
@@ -76,8 +76,7 @@ def fold_updates(state: DataFrame, log: DataFrame, state_rows: int | None = None
     are ignored, like updates of unknown pipelines.
     """
     known = state.select(F.col("pipeline_name").alias("__name"), "created_seq")
-    live = join_dimension(log, known, log.pipeline_name == known.__name, dim_rows=state_rows
-                          ).where(F.col("seq") > F.col("created_seq"))
+    live = join_dimension(log, known, log.pipeline_name == known.__name).where(F.col("seq") > F.col("created_seq"))
     seq = F.col("seq")
     live = live.withColumn("__code", status_code(F.col("status")))
     folded = live.groupBy("pipeline_name").agg(
@@ -101,11 +100,10 @@ def fold_updates(state: DataFrame, log: DataFrame, state_rows: int | None = None
     )
 
 
-def first_updates(state: DataFrame, log: DataFrame, state_rows: int | None = None) -> DataFrame:
+def first_updates(state: DataFrame, log: DataFrame) -> DataFrame:
     """Each known pipeline's first update after its registration (by ``seq``)."""
     known = state.select(F.col("pipeline_name").alias("__name"), "created_seq")
-    live = join_dimension(log, known, log.pipeline_name == known.__name, dim_rows=state_rows
-                          ).where(F.col("seq") > F.col("created_seq"))
+    live = join_dimension(log, known, log.pipeline_name == known.__name).where(F.col("seq") > F.col("created_seq"))
     seq = F.col("seq")
     first = live.groupBy("pipeline_name").agg(
         F.min_by(status_code(F.col("status")), seq).alias("__code"),
@@ -116,11 +114,11 @@ def first_updates(state: DataFrame, log: DataFrame, state_rows: int | None = Non
                         "row_count", "last_processed_at", "ts")
 
 
-def high_water_mark(log: DataFrame, state: DataFrame, state_rows: int | None = None) -> DataFrame:
+def high_water_mark(log: DataFrame, state: DataFrame) -> DataFrame:
     """Q8: per known pipeline, the latest batch processed by a successful run."""
     known = state.select(F.col("pipeline_name").alias("__name"), "created_seq")
     ok = (join_dimension(log.where(F.col("status") == STATUS_SUCCESS), known,
-                         log.pipeline_name == known.__name, dim_rows=state_rows)
+                         log.pipeline_name == known.__name)
           .where(F.col("seq") > F.col("created_seq")))
     return ok.groupBy("pipeline_name").agg(F.max("last_processed_at").alias("high_water_mark"))
 
@@ -136,27 +134,28 @@ def lookup(state: DataFrame, names: DataFrame) -> DataFrame:
 def check_table_name(table_name: str) -> str:
     """Only the staging tables may be counted (allow-list)."""
     if table_name not in STAGING_TABLES:
-        raise ValueError(f"Invalid table name: {table_name}")
+        raise ValueError(f"{table_name!r} is not a staging table that may be counted")
     return table_name
 
 
-def batch_row_counts(tables: dict[str, DataFrame], batch_time: Column | None = None) -> DataFrame:
+def batch_row_counts(tables: dict[str, DataFrame], batch_ids: list[str] | None = None) -> DataFrame:
     """A2: ``(table_name, batch_time, row_count)`` for every batch of each table.
 
-    With ``batch_time`` only that batch is counted and a table without rows
-    for it reports 0.
+    With ``batch_ids`` only these batches are counted, ``(table_name, row_count)``,
+    and a table without rows for them reports 0; the ids filter the partition
+    column, so other batches are not read.
     """
     parts = []
     for name, df in tables.items():
         check_table_name(name)
-        if batch_time is None:
-            parts.append(df.groupBy("batch_time").agg(F.count(F.lit(1)).alias("row_count"))
-                         .select(F.lit(name).alias("table_name"), "batch_time", "row_count"))
+        if batch_ids is None:
+            counted = df.groupBy("batch_time").agg(F.count(F.lit(1)).alias("row_count"))
+            columns = ["batch_time", "row_count"]
         else:
-            parts.append(df.where(F.col("batch_time") == batch_time)
-                         .agg(F.count(F.lit(1)).alias("row_count"))
-                         .select(F.lit(name).alias("table_name"),
-                                 batch_time.alias("batch_time"), "row_count"))
+            counted = df.where(F.col("batch_id").isin(batch_ids)).agg(
+                F.count(F.lit(1)).alias("row_count"))
+            columns = ["row_count"]
+        parts.append(counted.select(F.lit(name).alias("table_name"), *columns))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.operators.joins import join_dimension
+from skyfold.functions.columns import batch_timestamp
 from skyfold.sources import schemas as S
 
 
@@ -66,9 +67,11 @@ def audit_columns(df: DataFrame, batch_time: Column, as_of: dt.datetime | None =
 
 
 def batch_time_of(batch_id: Column | str) -> Column:
-    """Batch timestamp of a folder-safe batch id (``yyyyMMdd'T'HHmmss'Z'``)."""
+    """Batch timestamp of a folder-safe batch id; an unreadable id fails the job."""
     c = F.col(batch_id) if isinstance(batch_id, str) else batch_id
-    return F.to_timestamp(c, "yyyyMMdd'T'HHmmss'Z'")
+    ts = batch_timestamp(c)
+    return F.when(c.isNotNull() & ts.isNull(),
+                  F.raise_error(F.concat(F.lit("malformed batch id: "), c))).otherwise(ts)
 
 
 def forecast_to_staging(silver: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
@@ -108,11 +111,6 @@ def key_violations(df: DataFrame, key: tuple[str, ...] | list[str]) -> DataFrame
     return counted.where((F.col("n_rows") > 1) | any_null)
 
 
-def null_key_counts(df: DataFrame, key: tuple[str, ...] | list[str]) -> DataFrame:
-    """One row: ``n_null_<col>`` per key column (one pass)."""
-    return df.agg(*[F.count_if(F.col(k).isNull()).alias(f"n_null_{k}") for k in key])
-
-
 def enforce_key(df: DataFrame, key: tuple[str, ...] | list[str], sample: int = 20) -> None:
     """Abort (raise) if the batch breaks its key, naming some offending keys."""
     bad = key_violations(df, key).take(sample)
@@ -121,21 +119,31 @@ def enforce_key(df: DataFrame, key: tuple[str, ...] | list[str], sample: int = 2
         raise KeyViolation(f"primary key {tuple(key)} violated, e.g. {shown}")
 
 
+def tag_key_violations(df: DataFrame, key: tuple[str, ...] | list[str]) -> DataFrame:
+    """``df`` with ``reject_reason``: NULL for rows with a clean key, else why the
+    row breaks it (``null key`` or ``duplicate key``).
+
+    The violating keys are an aggregate joined back null-safely; Catalyst/AQE
+    pick the join by its size and split a hot key.
+    """
+    any_null = F.lit(False)
+    for k in key:
+        any_null = any_null | F.col(k).isNull()
+    viol = key_violations(df, key).select(*[F.col(k).alias(f"__v_{k}") for k in key]
+                                          ).withColumn("__viol", F.lit(True))
+    cond = reduce(lambda x, y: x & y,
+                  [F.col(k).eqNullSafe(F.col(f"__v_{k}")) for k in key])
+    reason = F.when(F.col("__viol"), F.when(any_null, "null key").otherwise("duplicate key"))
+    return df.join(viol, cond, "left").select(*df.columns, reason.alias("reject_reason"))
+
+
 def split_key_violations(df: DataFrame, key: tuple[str, ...] | list[str]
                          ) -> tuple[DataFrame, DataFrame]:
-    """Quarantine mode: (rows with a clean key, rows of violating keys).
+    """Quarantine mode: (rows with a clean key, rows of violating keys with the reason).
 
-    The violating keys are computed once (persisted, then counted) and
-    joined back null-safely; they are broadcast when few, otherwise the join
-    shuffles and AQE splits a hot key.
+    Both are lazy; a job that needs both writes :func:`tag_key_violations` once
+    and filters that table.
     """
-    viol = key_violations(df, key).select(*[F.col(k).alias(f"__v_{k}") for k in key]
-                                          ).withColumn("__viol", F.lit(True)).persist()
-    cond = [F.col(k).eqNullSafe(F.col(f"__v_{k}")) for k in key]
-    for c in cond[1:]:
-        cond[0] = cond[0] & c
-    tagged = join_dimension(df, viol, cond[0], "left", dim_rows=viol.count()
-                            ).select(*df.columns, "__viol")
-    good = tagged.where(F.col("__viol").isNull()).drop("__viol")
-    bad = tagged.where(F.col("__viol").isNotNull()).drop("__viol")
-    return good, bad
+    tagged = tag_key_violations(df, key)
+    good = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return good, tagged.where(F.col("reject_reason").isNotNull())

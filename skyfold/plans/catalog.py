@@ -1,22 +1,39 @@
-"""Model documentation: descriptions, tags and column docs (Q9).
+"""Documentation of models and sources: descriptions, tags and column docs (Q9).
 
-Docs travel with the data as column metadata (``comment``) on written
-tables, and as a catalog frame that reports each model's size.
+Column docs travel with the data as metadata (``comment``) on written tables;
+descriptions and tags are written as the table ``_docs`` beside the marts, and
+a catalog frame adds each model's size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Tags that every model of a layer carries before its own ones.
+LAYER_TAGS = {"view": ["staging"], "table": ["mart"]}
+
+SOURCE_DOCS = {
+    "staging_forecast": dict(
+        description="Forecast time slots as loaded, one partition per batch.",
+        columns={"city": "City name.", "type": "Weather element.",
+                 "start_time": "Begin of the time slot.", "temp": "Temperature, Celsius."}),
+    "staging_alert": dict(
+        description="Temperature alerts as loaded, one partition per batch.",
+        columns={"event": "Name of the alert.", "level": "Severity.", "area": "Area concerned.",
+                 "start_time": "When the alert was issued."}),
+}
+
 MODEL_DOCS = {
     "stg_weather_forecast": dict(
-        materialized="view", tags=["staging", "weather", "forecast"],
+        materialized="view", tags=["weather", "forecast"],
         description="Forecast time slots with the forecast date derived from the start time.",
         columns={"city": "City code.", "type": "LowestTemp or HighestTemp.",
                  "weather_date": "Date of the slot start.", "temp": "Temperature, Celsius."}),
     "stg_weather_alert": dict(
-        materialized="view", tags=["staging", "weather", "alert"],
+        materialized="view", tags=["weather", "alert"],
         description="Temperature alerts per area with the alert date.",
         columns={"event": "Alert event.", "level": "Alert level.", "area": "Area name.",
                  "weather_date": "Date of the alert onset."}),
@@ -53,17 +70,21 @@ def with_docs(df: DataFrame, model: str) -> DataFrame:
     return df
 
 
+def tags_of(model: str) -> list[str]:
+    docs = MODEL_DOCS[model]
+    return LAYER_TAGS[docs["materialized"]] + docs["tags"]
+
+
 def docs_frame(spark: SparkSession) -> DataFrame:
-    rows = [(m, d["materialized"], d["description"], ",".join(d["tags"]))
+    rows = [(m, d["materialized"], d["description"], ",".join(tags_of(m)))
             for m, d in MODEL_DOCS.items()]
+    rows += [(m, "source", d["description"], "") for m, d in SOURCE_DOCS.items()]
     return spark.createDataFrame(rows, "model string, materialized string, "
                                        "description string, tags string")
 
 
-def catalog(spark: SparkSession, models: dict[str, DataFrame]) -> DataFrame:
-    """Docs of each model with its current row count (one aggregate per model)."""
-    counts = None
-    for name, df in models.items():
-        c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("model"), "n_rows")
-        counts = c if counts is None else counts.unionByName(c)
-    return docs_frame(spark).join(counts, "model", "inner")
+def catalog(docs: DataFrame, models: dict[str, DataFrame]) -> DataFrame:
+    """``docs`` of each model and source with its current row count (one aggregate each)."""
+    counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("model"), "n_rows")
+              for name, df in models.items()]
+    return docs.join(reduce(DataFrame.unionByName, counts), "model", "inner")

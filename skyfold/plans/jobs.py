@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -23,9 +24,10 @@ from skyfold.constants import (
     DATASET_ALERT,
     DATASET_FORECAST,
     RETENTION_DAYS,
+    STATUS_FAILED,
     STATUS_SUCCESS,
 )
-from skyfold.functions.columns import to_batch_id
+from skyfold.functions.columns import batch_id_of
 from skyfold.operators import flatten as FL
 from skyfold.operators.joins import materialize
 from skyfold.operators import quality as Q
@@ -33,7 +35,7 @@ from skyfold.operators import retention as R
 from skyfold.operators import runstate as RS
 from skyfold.operators import staging as ST
 from skyfold.plans import models as M
-from skyfold.plans.catalog import with_docs
+from skyfold.plans.catalog import docs_frame, with_docs
 from skyfold.sinks import tables as K
 from skyfold.sources import readers as RD
 from skyfold.sources import schemas as S
@@ -60,9 +62,16 @@ class Layout:
     def mart(self, model: str) -> str:
         return f"{self.root}/marts/{model}"
 
+    def quarantine(self, table: str) -> str:
+        return f"{self.root}/quarantine/{table}"
+
+    @property
+    def registered(self) -> str:
+        return f"{self.root}/state/registered"
+
     @property
-    def state(self) -> str:
-        return f"{self.root}/state/etl_pipeline_state"
+    def state_log(self) -> str:
+        return f"{self.root}/state/updates"
 
 
 FLOWS = {
@@ -93,53 +102,91 @@ def land(docs: DataFrame, layout: Layout, dataset: str) -> None:
     K.land_documents(docs, layout.bronze(dataset))
 
 
-def _only(df: DataFrame, batch_ids: list[str] | None) -> DataFrame:
-    return df if batch_ids is None else df.where(F.col("batch_id").isin(batch_ids))
+def _only(df: DataFrame, batch_ids: list[str]) -> DataFrame:
+    return df.where(F.col("batch_id").isin(batch_ids))
 
 
 def read_staging(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     flow = next(f for f in FLOWS.values() if f["table"] == table)
+    if not K.landed_batches(spark, layout.staging(table)):
+        return spark.createDataFrame([], _with_batch(flow["staging"]))
     return K.read_table(spark, layout.staging(table), flow["staging"], partitioned=True)
 
 
+def read_quarantine(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    """Rows that a batch kept out of staging, with the reason."""
+    flow = next(f for f in FLOWS.values() if f["table"] == table)
+    schema = T.StructType(flow["staging"].fields + [T.StructField("reject_reason", T.StringType())])
+    if not K.landed_batches(spark, layout.quarantine(table)):
+        return spark.createDataFrame([], _with_batch(schema))
+    return K.read_table(spark, layout.quarantine(table), schema, partitioned=True)
+
+
+def _with_batch(schema: T.StructType) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
+
+
+@dataclass(frozen=True)
+class BatchResult:
+    """What a batch job did: its batches, and the rows staged, rejected and published."""
+
+    table: str
+    batch_ids: list[str]
+    staged: int
+    rejected: int
+    published: int
+
+
 def batch_job(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datetime,
               batch_ids: list[str] | None = None, on_key_violation: str = "fail",
-              publish: str | None = "replace_batch") -> DataFrame | None:
+              publish: str | None = "replace_batch", multi_line: bool = False) -> BatchResult:
     """Bronze -> silver -> staging (-> warehouse) for the given batches
-    (all landed batches by default).
+    (all landed batches by default); no other batch is read or written.
 
     * silver is written per batch (K2) and read back (S2);
     * the staging key is checked before commit (Q3/Q4): ``fail`` aborts,
-      ``quarantine`` keeps violating rows out and returns them;
-    * staging batches are replaced idempotently (K3);
+      ``quarantine`` writes violating rows, with the reason, to the quarantine
+      table and counts them;
+    * staging and quarantine batches are replaced idempotently (K3): a batch
+      reloaded with no rows, or with rejected rows only, is emptied;
     * ``publish='append'`` appends to the warehouse copy (duplicates on
       rerun, as a bare load does), ``'replace_batch'`` replaces its batches.
+
+    ``multi_line`` reads payloads delivered as one pretty-printed document a file.
     """
     flow = FLOWS[dataset]
-    if _exists(spark, layout.bronze(dataset)):
-        docs = _only(RD.read_bronze(spark, layout.bronze(dataset), flow["schema"]), batch_ids)
-    else:  # nothing landed yet: an empty payload (zero rows, batches emptied)
+    landed = K.landed_batches(spark, layout.bronze(dataset))
+    ids = landed if batch_ids is None else list(batch_ids)
+    if set(ids) & set(landed):
+        docs = _only(RD.read_bronze(spark, layout.bronze(dataset), flow["schema"], multi_line), ids)
+    else:  # nothing landed for them: an empty payload (zero rows, batches emptied)
         docs = spark.createDataFrame([], T.StructType(
             [T.StructField("batch_id", T.StringType()), T.StructField("doc", flow["schema"])]))
     silver_rows = flow["flatten"](docs).select(*flow["silver"].fieldNames(), "batch_id")
-    # a requested batch whose payload has no rows is emptied in every layer
-    K.replace_batches(silver_rows, layout.silver(dataset), batch_ids)
-    silver = _only(RD.read_silver(spark, layout.silver(dataset), flow["silver"]), batch_ids)
+    K.replace_batches(silver_rows, layout.silver(dataset), ids)
+    silver = _only(RD.read_silver(spark, layout.silver(dataset), flow["silver"]), ids)
     staged = flow["stage"](silver, as_of)
-    rejects = None
+    target, rejected = layout.staging(flow["table"]), 0
     if on_key_violation == "quarantine":
-        staged, rejects = ST.split_key_violations(staged, flow["key"])
+        # the key check runs once; both outputs read its written result
+        work = f"{layout.root}/_work/{flow['table']}-{uuid.uuid4().hex[:12]}"
+        checked = materialize(ST.tag_key_violations(staged, flow["key"]), work)
+        bad = F.col("reject_reason").isNotNull()
+        n = K.replace_batches(checked.where(~bad).drop("reject_reason"), target, ids)
+        rejected = K.replace_batches(checked.where(bad), layout.quarantine(flow["table"]), ids)
+        K.drop_folder(spark, work)
     else:
         ST.enforce_key(staged, flow["key"])
-    K.replace_batches(staged, layout.staging(flow["table"]), batch_ids)
+        n = K.replace_batches(staged, target, ids)
+    published = 0
     if publish:
-        loaded = _only(read_staging(spark, layout, flow["table"]), batch_ids)
+        loaded = _only(read_staging(spark, layout, flow["table"]), ids)
         out = loaded.withColumn("update_time", F.lit(as_of).cast("timestamp"))
         if publish == "append":
-            K.publish_append(out, layout.warehouse(flow["table"]))
+            published = K.publish_append(out, layout.warehouse(flow["table"]))
         else:
-            K.replace_batches(out, layout.warehouse(flow["table"]), batch_ids)
-    return rejects
+            published = K.replace_batches(out, layout.warehouse(flow["table"]), ids)
+    return BatchResult(flow["table"], ids, n, rejected, published)
 
 
 MART_TESTS = {
@@ -159,13 +206,18 @@ def build_marts(spark: SparkSession, layout: Layout, stg_fc: DataFrame | None =
 
     Dimensions are written first (full rebuild, or only new keys when
     ``incremental``) and the facts join the written dimensions, whose row
-    counts decide broadcast vs. shuffle.  Data tests run after each model
-    and fail the job.
+    sizes in bytes decide broadcast vs. shuffle.  Data tests run after each
+    model and fail the job.  The staging models become session views of their
+    names (K6), and the docs of all models and sources are written beside the
+    marts (Q9).
     """
     if stg_fc is None:
         stg_fc = M.stg_forecast(read_staging(spark, layout, "staging_forecast"))
     if stg_al is None:
         stg_al = M.stg_alert(read_staging(spark, layout, "staging_alert"))
+    stg_fc.createOrReplaceTempView("stg_weather_forecast")
+    stg_al.createOrReplaceTempView("stg_weather_alert")
+    K.overwrite_table(docs_frame(spark).coalesce(1), layout.mart("_docs"))
     if run_tests:
         Q.assert_passed(
             Q.not_null(stg_fc, "stg_weather_forecast", MART_TESTS["stg_weather_forecast"])
@@ -203,7 +255,7 @@ def build_marts(spark: SparkSession, layout: Layout, stg_fc: DataFrame | None =
     def build_fact_alert() -> None:
         keys = materialize(M.city_area_keys(dim_c, dim_a),
                            f"{layout.root}/marts/_city_area_keys")
-        K.overwrite_table(with_docs(M.fact_alert(M.eph_alert(stg_al), keys, keys.count()),
+        K.overwrite_table(with_docs(M.fact_alert(M.eph_alert(stg_al), keys),
                                     "fact_weather_alert"), paths["fact_weather_alert"])
 
     run_concurrently(build_fact_forecast, build_fact_alert)
@@ -224,140 +276,137 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 STATE_DDL = ("pipeline_name string, status string, row_count long, last_processed_at timestamp, "
              "last_run_at timestamp, created_at timestamp, updated_at timestamp")
+REGISTERED_DDL = "pipeline_name string, created_at timestamp, created_seq long"
+UPDATE_DDL = ("pipeline_name string, seq long, status string, row_count long, "
+              "last_processed_at timestamp, ts timestamp")
 
 
-def record_state(spark: SparkSession, layout: Layout, state: DataFrame,
-                 pipeline_name: str, status: str, as_of: dt.datetime,
-                 row_count: int | None = None, last_processed_at: dt.datetime | None = None
-                 ) -> DataFrame:
-    """Apply one state update and write the new state version (small).
+def record_state(spark: SparkSession, layout: Layout, pipeline_name: str, status: str,
+                 as_of: dt.datetime, row_count: int | None = None,
+                 last_processed_at: dt.datetime | None = None) -> None:
+    """Append one state update to the update log.
 
-    Versions are folders ``v=<write time>`` below the state table; the
-    latest one is the current state (see :func:`read_state`)."""
-    upd = spark.createDataFrame(
-        [(pipeline_name, status, row_count, last_processed_at, as_of)],
-        "pipeline_name string, status string, row_count long, "
-        "last_processed_at timestamp, ts timestamp")
-    new = RS.apply_update(state.select(*RS.STATE_COLUMNS), upd)
-    path = f"{layout.state}/v={_version()}"
-    K.overwrite_table(new, path)
-    return spark.read.parquet(path)
+    Appends of several pipelines never touch each other's rows; the state is
+    derived by :func:`read_state`.
+    """
+    spark.createDataFrame([(pipeline_name, time.time_ns(), status, row_count, last_processed_at, as_of)],
+                          UPDATE_DDL).coalesce(1).write.mode("append").parquet(layout.state_log)
 
 
-def _version() -> str:
-    """State versions sort by write time (fixed width, nanoseconds)."""
-    return f"{time.time_ns():020d}"
+def _appended(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    return spark.read.schema(ddl).parquet(path) if _exists(spark, path) else spark.createDataFrame([], ddl)
 
 
 def read_state(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The current state: the latest version folder (found from partition
-    values only), or an empty state table."""
-    if not _exists(spark, layout.state):
-        return spark.createDataFrame([], STATE_DDL)
-    versions = spark.read.schema(STATE_DDL + ", v string").parquet(layout.state)
-    latest = versions.agg(F.max("v")).scalar()
-    return versions.where(F.col("v") == latest).drop("v")
+    """The current state: the update log folded over the registered pipelines, the
+    latest update last; updates before the registration don't count."""
+    created = _appended(spark, layout.registered, REGISTERED_DDL).groupBy("pipeline_name").agg(
+        F.min_by("created_at", "created_seq").alias("created_at"), F.min("created_seq").alias("created_seq"))
+    state = created.select(
+        "pipeline_name", F.lit(None).cast("string").alias("status"), F.lit(None).cast("long").alias("row_count"),
+        F.lit(None).cast("timestamp").alias("last_processed_at"),
+        F.lit(None).cast("timestamp").alias("last_run_at"), "created_at",
+        F.col("created_at").alias("updated_at"), "created_seq")
+    return RS.fold_updates(state, _appended(spark, layout.state_log, UPDATE_DDL)).select(*RS.STATE_COLUMNS)
 
 
 def register_pipeline(spark: SparkSession, layout: Layout, pipeline_name: str,
                       as_of: dt.datetime) -> DataFrame:
     """Create the state row of a pipeline (updates of unknown pipelines are
-    ignored, so a pipeline is registered once before its first run)."""
+    ignored, so a pipeline is registered once before its first run; the first
+    registration counts)."""
     state = read_state(spark, layout)
-    if state.where(F.col("pipeline_name") == pipeline_name).count() > 0:
-        return state
-    row = spark.createDataFrame([(pipeline_name, None, None, None, None, as_of, as_of)], STATE_DDL)
-    K.overwrite_table(state.unionByName(row), f"{layout.state}/v={_version()}")
+    if not state.where(F.col("pipeline_name") == pipeline_name).limit(1).count():
+        spark.createDataFrame([(pipeline_name, as_of, time.time_ns())], REGISTERED_DDL
+                              ).coalesce(1).write.mode("append").parquet(layout.registered)
     return read_state(spark, layout)
 
 
-def success_row_count(spark: SparkSession, layout: Layout, batch_time: dt.datetime) -> int:
-    """A2 + A3: rows of both staging tables in this batch (0 if none)."""
+def success_row_count(spark: SparkSession, layout: Layout, batch_ids: list[str]) -> int:
+    """A2 + A3: rows of both staging tables in these batches (0 if none)."""
     tables = {t: read_staging(spark, layout, t) for t in ("staging_forecast", "staging_alert")}
-    counts = RS.batch_row_counts(tables, F.lit(batch_time).cast("timestamp"))
+    counts = RS.batch_row_counts(tables, batch_ids)
     return int(counts.agg(F.sum("row_count")).first()[0] or 0)
 
 
 def expire(spark: SparkSession, layout: Layout, as_of: dt.datetime,
            days: int = RETENTION_DAYS, sample: int = 20) -> dict[str, object]:
-    """E5: drop bronze and silver batch folders older than the window.
-
-    The listing and the age test are a Spark job; only the distinct expired
-    batch ids (one per batch) come back to delete their folders.  Objects
-    whose name carries no timestamp are never deleted; they are reported
-    (a count and a bounded sample).
+    """E5: delete bronze and silver objects older than the window, by their own path
+    (a batch folder as a whole).
+
+    Each folder is listed once, by a Spark job; what is to go streams to the
+    driver one partition at a time and is deleted a bounded number of paths at
+    a time.  Only paths that are really gone are reported.  Objects whose name
+    carries no timestamp are never deleted; they are counted, with a bounded
+    sample.
     """
     dropped: list[str] = []
-    unparsed, examples = 0, []
+    examples: list[str] = []
+    unparsed = 0
     for dataset in FLOWS:
         for folder in (layout.bronze(dataset), layout.silver(dataset)):
             if not _exists(spark, folder):
                 continue
-            listing = R.with_object_ts(RD.list_objects(spark, folder), "path")
-            old = R.expired(listing, as_of, days=days)
-            ids = [r.batch_id for r in old.select(to_batch_id("object_ts").alias("batch_id"))
-                   .distinct().collect()]
-            foreign = listing.where(F.col("object_ts").isNull())
-            unparsed += foreign.count()
-            examples += [r.path for r in foreign.select("path").take(sample - len(examples))]
-            R.drop_batch_folders(spark, folder, ids)
-            dropped += [f"{folder}/batch_id={b}" for b in ids]
+            units = R.delete_units(RD.list_objects(spark, folder), as_of, days=days)
+
+            def old(rows=units.toLocalIterator()) -> Iterator[str]:
+                nonlocal unparsed
+                for r in rows:
+                    if r.expired:
+                        yield r.unit
+                        continue
+                    unparsed += r.n_objects
+                    if len(examples) < sample:
+                        examples.append(r.unit)
+
+            dropped += R.delete_paths(spark, old())
     return {"dropped": dropped, "unparsed": unparsed, "unparsed_sample": examples}
 
 
-def scheduled_run(spark: SparkSession, layout: Layout, pipeline_name: str,
-                  batch_time: dt.datetime, as_of: dt.datetime | None = None,
-                  on_key_violation: str = "fail") -> DataFrame:
-    """One scheduled run over the batch stamped ``batch_time`` (landed before):
-
-    RUNNING -> E1 || E2 for this batch -> marts -> SUCCESS with the batch's
-    staging row count and ``last_processed_at = batch_time`` -> retention.
-    A failure records FAILED (earlier counts kept) and re-raises.
-    """
-    as_of = as_of or dt.datetime.now(dt.timezone.utc)
-    bid = batch_time.astimezone(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
-    state = record_state(spark, layout, read_state(spark, layout), pipeline_name,
-                         "RUNNING", as_of)
+def _run(spark: SparkSession, layout: Layout, pipeline_name: str, batch_time: dt.datetime,
+         as_of: dt.datetime, branch: Callable[[str], BatchResult]) -> DataFrame:
+    """RUNNING -> ``branch`` of both datasets -> marts -> SUCCESS with the staged rows of
+    this run's batches -> retention.  Any failure, the cleanup's too, records
+    FAILED (earlier counts kept) and is raised."""
+    record_state(spark, layout, pipeline_name, "RUNNING", as_of)
     try:
-        run_concurrently(
-            lambda: batch_job(spark, layout, DATASET_FORECAST, as_of, [bid],
-                              on_key_violation=on_key_violation),
-            lambda: batch_job(spark, layout, DATASET_ALERT, as_of, [bid],
-                              on_key_violation=on_key_violation))
+        results = run_concurrently(*[lambda d=d: branch(d) for d in FLOWS])
         build_marts(spark, layout)
-        n = success_row_count(spark, layout, batch_time)
-        state = record_state(spark, layout, state, pipeline_name, STATUS_SUCCESS, as_of,
-                             row_count=n, last_processed_at=batch_time)
+        ids = sorted({b for r in results for b in r.batch_ids})
+        record_state(spark, layout, pipeline_name, STATUS_SUCCESS, as_of,
+                     row_count=success_row_count(spark, layout, ids), last_processed_at=batch_time)
+        expire(spark, layout, as_of)
     except Exception:
-        record_state(spark, layout, state, pipeline_name, "FAILED", as_of)
+        record_state(spark, layout, pipeline_name, STATUS_FAILED, as_of)
         raise
-    expire(spark, layout, as_of)
-    return state
+    return read_state(spark, layout)
+
+
+def scheduled_run(spark: SparkSession, layout: Layout, pipeline_name: str,
+                  batch_time: dt.datetime, as_of: dt.datetime | None = None,
+                  on_key_violation: str = "fail", multi_line: bool = False) -> DataFrame:
+    """One scheduled run over the batch stamped ``batch_time`` (landed before)."""
+    as_of = as_of or dt.datetime.now(dt.timezone.utc)
+    ids = [batch_id_of(batch_time)]
+    return _run(spark, layout, pipeline_name, batch_time, as_of, lambda dataset: batch_job(
+        spark, layout, dataset, as_of, ids, on_key_violation, multi_line=multi_line))
 
 
 def run_pipeline(spark: SparkSession, layout: Layout, forecast_docs: DataFrame,
-                 alert_docs: DataFrame, state: DataFrame, pipeline_name: str,
-                 batch_time: dt.datetime, as_of: dt.datetime,
-                 on_key_violation: str = "fail") -> DataFrame:
-    """One scheduled run: RUNNING -> (land + E1) || (land + E2) -> E3 -> SUCCESS -> E5.
+                 alert_docs: DataFrame, pipeline_name: str, batch_time: dt.datetime,
+                 as_of: dt.datetime, on_key_violation: str = "fail") -> DataFrame:
+    """Land both payload sets, then run over the batches they hold.
 
-    Any failure records FAILED (keeping the old counts) and re-raises.
+    Only these batches are flattened, staged, published and counted, whatever
+    the deployment held before.
     """
-    state = record_state(spark, layout, state, pipeline_name, "RUNNING", as_of)
-    try:
-        def branch(dataset: str, docs: DataFrame) -> None:
-            land(docs, layout, dataset)
-            batch_job(spark, layout, dataset, as_of, on_key_violation=on_key_violation)
+    payloads = {DATASET_FORECAST: forecast_docs, DATASET_ALERT: alert_docs}
 
-        # the two datasets are independent until the marts (parallel branches)
-        run_concurrently(lambda: branch(DATASET_FORECAST, forecast_docs),
-                         lambda: branch(DATASET_ALERT, alert_docs))
-        build_marts(spark, layout)
-        n = success_row_count(spark, layout, batch_time)
-        state = record_state(spark, layout, state, pipeline_name, STATUS_SUCCESS, as_of,
-                             row_count=n, last_processed_at=batch_time)
-    except Exception:
-        record_state(spark, layout, state, pipeline_name, "FAILED", as_of)
-        raise
-    expire(spark, layout, as_of)
-    return state
+    def branch(dataset: str) -> BatchResult:
+        docs = payloads[dataset]
+        # one id per batch
+        ids = sorted(r.batch_id for r in docs.select("batch_id").distinct().collect())
+        land(docs, layout, dataset)
+        return batch_job(spark, layout, dataset, as_of, ids, on_key_violation)
+
+    return _run(spark, layout, pipeline_name, batch_time, as_of, branch)

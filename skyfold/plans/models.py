@@ -116,12 +116,12 @@ def city_area_keys(dim_c: DataFrame, dim_a: DataFrame) -> DataFrame:
             .join(dim_a.select("city", "area", "area_key"), "city", "inner"))
 
 
-def fact_alert(eph_al: DataFrame, keys: DataFrame, keys_rows: int | None = None) -> DataFrame:
+def fact_alert(eph_al: DataFrame, keys: DataFrame) -> DataFrame:
     """city_key, area_key, weather_date, event, level (no dedupe across batches).
 
     ``keys`` is :func:`city_area_keys` of the two dimensions, ideally read
-    from a materialised table so that its size check is cheap.
+    from a materialised table so that its size in bytes is known.
     """
     keys = keys.withColumnRenamed("area", "district")
-    joined = join_dimension(eph_al, keys, ["city", "district"], dim_rows=keys_rows)
+    joined = join_dimension(eph_al, keys, ["city", "district"])
     return joined.select("city_key", "area_key", "weather_date", "event", "level")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -327,8 +328,7 @@ def q_scan_batch(spark, sf_dir):
     path = workspace(spark, "staging") + "/staging_forecast"
     K.write_partitioned(_staging_fc_table(spark, sf_dir), path)
     table = K.read_table(spark, path, S.STAGING_FORECAST, partitioned=True)
-    latest = table.agg(F.max("batch_id")).scalar()
-    return ntz(table.where(F.col("batch_id") == latest).select(*STAGING_OUT))
+    return ntz(RD.scan_batch(table, table.agg(F.max("batch_id")).scalar(), STAGING_OUT))
 
 
 @query("sql_query")
@@ -494,10 +494,25 @@ def q_dq_orphans(spark, sf_dir):
     fc, al, dim_c, dim_a = _dims(spark, sf_dir)
     ff = M.fact_forecast(M.eph_forecast(fc, dim_c))
     fa = M.fact_alert(M.eph_alert(al), M.city_area_keys(dim_c, dim_a))
-    nc, na = dim_c.count(), dim_a.count()
-    return (Q.orphans(ff, "fact_weather_forecast", "city_key", dim_c, "city_key", nc)
-            .unionByName(Q.orphans(fa, "fact_weather_alert", "city_key", dim_c, "city_key", nc))
-            .unionByName(Q.orphans(fa, "fact_weather_alert", "area_key", dim_a, "area_key", na)))
+    return (Q.orphans(ff, "fact_weather_forecast", [("city_key", dim_c, "city_key")])
+            .unionByName(Q.orphans(fa, "fact_weather_alert", [("city_key", dim_c, "city_key"),
+                                                              ("area_key", dim_a, "area_key")])))
+
+
+@query("dq_failures")
+def q_dq_failures(spark, sf_dir):
+    """Every kind of data test on data that breaks it: facts against dimensions of an
+    earlier state (orphans), alert levels (NULLs), area names as a key (duplicates)."""
+    fc, al, dim_c, dim_a = _dims(spark, sf_dir)
+    ff = M.fact_forecast(M.eph_forecast(fc, dim_c))
+    fa = M.fact_alert(M.eph_alert(al), M.city_area_keys(dim_c, dim_a))
+    old_c = _prior_dim_city(spark, sf_dir)
+    old_a = dim_a.join(old_c.select("city"), "city", "left_semi")
+    return (Q.orphans(ff, "fact_weather_forecast", [("city_key", old_c, "city_key")])
+            .unionByName(Q.orphans(fa, "fact_weather_alert", [("city_key", old_c, "city_key"),
+                                                              ("area_key", old_a, "area_key")]))
+            .unionByName(Q.not_null(al, "stg_weather_alert", ["event", "level"]))
+            .unionByName(Q.unique(al, "stg_weather_alert", "area")))
 
 
 # ---------------------------------------------------------------- run state (Q6-Q8, A2, A3)
@@ -510,15 +525,14 @@ def _state(spark, sf_dir) -> DataFrame:
 def q_pipeline_state_update(spark, sf_dir):
     """Each known pipeline's first update after registration, applied once."""
     state = _state(spark, sf_dir)
-    first = RS.first_updates(state, B.pipeline_updates(spark, sf_dir), state.count())
+    first = RS.first_updates(state, B.pipeline_updates(spark, sf_dir))
     return ntz(RS.apply_update(state, first))
 
 
 @query("pipeline_state_fold")
 def q_pipeline_state_fold(spark, sf_dir):
     state = _state(spark, sf_dir)
-    return ntz(RS.fold_updates(state, B.pipeline_updates(spark, sf_dir), state.count()
-                               ).select(*RS.STATE_COLUMNS))
+    return ntz(RS.fold_updates(state, B.pipeline_updates(spark, sf_dir)).select(*RS.STATE_COLUMNS))
 
 
 @query("pipeline_state_lookup")
@@ -526,14 +540,14 @@ def q_pipeline_state_lookup(spark, sf_dir):
     """State of every pipeline that reported a failure (unknown names: no row)."""
     state = _state(spark, sf_dir)
     log = B.pipeline_updates(spark, sf_dir)
-    folded = RS.fold_updates(state, log, state.count())
+    folded = RS.fold_updates(state, log)
     return ntz(RS.lookup(folded, log.where(F.col("status") == "FAILED")))
 
 
 @query("high_water_mark")
 def q_high_water_mark(spark, sf_dir):
     state = _state(spark, sf_dir)
-    return ntz(RS.high_water_mark(B.pipeline_updates(spark, sf_dir), state, state.count()))
+    return ntz(RS.high_water_mark(B.pipeline_updates(spark, sf_dir), state))
 
 
 @query("batch_row_count")
@@ -583,7 +597,9 @@ def q_retention_keep(spark, sf_dir):
 @query("table_docs")
 def q_table_docs(spark, sf_dir):
     fc, al, dim_c, dim_a = _dims(spark, sf_dir)
-    return C.catalog(spark, {
+    return C.catalog(C.docs_frame(spark), {
+        "staging_forecast": B.staging_forecast(spark, sf_dir),
+        "staging_alert": B.staging_alert(spark, sf_dir),
         "stg_weather_forecast": fc, "stg_weather_alert": al, "dim_city": dim_c,
         "dim_area": dim_a,
         "fact_weather_forecast": M.fact_forecast(M.eph_forecast(fc, dim_c)),
@@ -604,20 +620,148 @@ def q_stream_ingest(spark, sf_dir):
     return ntz(back.select(*STAGING_OUT))
 
 
-@query("pipeline_run")
-def q_pipeline_run(spark, sf_dir):
+def _alert_payload_table(spark, sf_dir, layout, **options) -> J.BatchResult:
+    J.land(B.alert_documents(spark, sf_dir), layout, DATASET_ALERT)
+    return J.batch_job(spark, layout, DATASET_ALERT, AS_OF, on_key_violation="quarantine", **options)
+
+
+@query("quarantine_rejects")
+def q_quarantine_rejects(spark, sf_dir):
+    """E2 over alerts whose keys are broken: kept and rejected rows per batch, by reason."""
+    layout = J.Layout(workspace(spark, "quarantine"))
+    _alert_payload_table(spark, sf_dir, layout, publish=None)
+    kept = J.read_staging(spark, layout, "staging_alert").withColumn("reason", F.lit("kept"))
+    bad = J.read_quarantine(spark, layout, "staging_alert").withColumnRenamed("reject_reason", "reason")
+    return kept.unionByName(bad).groupBy("batch_id", "reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _emptied(docs: DataFrame) -> DataFrame:
+    """The payloads of the latest batch with nothing in them."""
+    latest = docs.agg(F.max("batch_id")).first()[0]
+    return docs.where(F.col("batch_id") == latest).select("batch_id").distinct().withColumn(
+        "body", F.lit('{"records": {"location": []}}'))
+
+
+def _layer_counts(spark, layout: J.Layout) -> DataFrame:
+    """Forecast rows per batch in every layer."""
+    silver = RD.read_silver(spark, layout.silver(DATASET_FORECAST), S.SILVER_FORECAST)
+    staging = J.read_staging(spark, layout, "staging_forecast")
+    warehouse = K.read_table(spark, layout.warehouse("staging_forecast"), S.STAGING_FORECAST, partitioned=True)
+    parts = [df.groupBy("batch_id").agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(layer).alias("layer"), "batch_id", "row_count")
+             for layer, df in (("silver", silver), ("staging", staging), ("warehouse", warehouse))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("batch_reload_empty")
+def q_batch_reload_empty(spark, sf_dir):
+    """The latest batch is landed again with no entries; a run over all landed
+    batches empties it in every layer."""
+    layout = J.Layout(workspace(spark, "reload"))
+    docs = B.forecast_documents(spark, sf_dir)
+    J.land(docs, layout, DATASET_FORECAST)
+    J.batch_job(spark, layout, DATASET_FORECAST, AS_OF)
+    J.land(_emptied(docs), layout, DATASET_FORECAST)
+    J.batch_job(spark, layout, DATASET_FORECAST, AS_OF)
+    return _layer_counts(spark, layout)
+
+
+@query("stream_reload_empty")
+def q_stream_reload_empty(spark, sf_dir):
+    """The same through the stream: its second run sees only the emptied batch."""
+    layout = J.Layout(workspace(spark, "stream_reload"))
+    docs = B.forecast_documents(spark, sf_dir)
+    ckpt = f"{layout.root}/_checkpoints/ingest_{DATASET_FORECAST}"
+    J.land(docs, layout, DATASET_FORECAST)
+    ingest_available(spark, layout, DATASET_FORECAST, AS_OF, ckpt)
+    J.land(_emptied(docs), layout, DATASET_FORECAST)
+    ingest_available(spark, layout, DATASET_FORECAST, AS_OF, ckpt)
+    return _layer_counts(spark, layout)
+
+
+@query("retention_after_delete")
+def q_retention_after_delete(spark, sf_dir):
+    """What is left after a real cleanup two days after the latest batch: landed batch
+    folders, and objects of a batch stamp in their names beside them."""
+    layout = J.Layout(workspace(spark, "retention"))
+    docs = B.forecast_documents(spark, sf_dir)
+    J.land(docs, layout, DATASET_FORECAST)
+    stamps = docs.select("batch_time").distinct()
+    as_of = stamps.agg(F.max("batch_time")).first()[0] + _dt.timedelta(days=1)
+    # one object per batch, named by its stamp, in the other dataset's folder
+    name = F.concat(F.lit("temperature_"), F.date_format("batch_time", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00.json"))
+    names = (r.name for r in stamps.select(name.alias("name")).toLocalIterator())
+    K.touch(spark, layout.bronze(DATASET_ALERT), names)
+    J.expire(spark, layout, as_of.replace(tzinfo=_dt.timezone.utc))
+    left = [R.with_object_ts(RD.list_objects(spark, layout.bronze(d)), "path").select(
+        F.lit(d).alias("dataset"), "object_ts") for d in (DATASET_FORECAST, DATASET_ALERT)]
+    return ntz(left[0].unionByName(left[1]).distinct())
+
+
+PIPELINE = "forecast_and_alert_batches"
+
+
+def _finished_run(spark, sf_dir) -> J.Layout:
     """E1-E5 end to end: land -> silver -> staging -> marts -> state -> retention.
 
     The alert batches break their staging key (duplicate keys, NULL levels),
-    so they load in quarantine mode; the forecast fact is read back from the
-    mart folder.
+    so violating rows go to the quarantine.
     """
     layout = J.Layout(workspace(spark, "pipeline"))
-    state = spark.createDataFrame(
-        [("forecast_and_alert_batches", None, None, None, None, AS_OF, AS_OF)],
-        "pipeline_name string, status string, row_count long, last_processed_at timestamp, "
-        "last_run_at timestamp, created_at timestamp, updated_at timestamp")
-    J.run_pipeline(spark, layout, B.forecast_documents(spark, sf_dir),
-                   B.alert_documents(spark, sf_dir), state, "forecast_and_alert_batches",
-                   batch_time=AS_OF, as_of=AS_OF, on_key_violation="quarantine")
-    return spark.read.parquet(layout.mart("fact_weather_forecast"))
+    J.register_pipeline(spark, layout, PIPELINE, AS_OF)
+    J.run_pipeline(spark, layout, B.forecast_documents(spark, sf_dir), B.alert_documents(spark, sf_dir),
+                   PIPELINE, batch_time=AS_OF, as_of=AS_OF, on_key_violation="quarantine")
+    return layout
+
+
+@query("pipeline_run")
+def q_pipeline_run(spark, sf_dir):
+    """The forecast fact of a whole run."""
+    return spark.read.parquet(_finished_run(spark, sf_dir).mart("fact_weather_forecast"))
+
+
+@query("pipeline_run_alert")
+def q_pipeline_run_alert(spark, sf_dir):
+    """The alert fact of a whole run: alerts with a clean key."""
+    return spark.read.parquet(_finished_run(spark, sf_dir).mart("fact_weather_alert"))
+
+
+@query("pipeline_run_dims")
+def q_pipeline_run_dims(spark, sf_dir):
+    """Both dimensions of a whole run."""
+    layout = _finished_run(spark, sf_dir)
+    dim_c, dim_a = (spark.read.parquet(layout.mart(m)) for m in ("dim_city", "dim_area"))
+    return dim_c.select(F.col("city_key").alias("key"), "city", F.lit(None).cast("string").alias("area")).union(
+        dim_a.select("area_key", "city", "area"))
+
+
+@query("pipeline_run_tables")
+def q_pipeline_run_tables(spark, sf_dir):
+    """Rows of a whole run in staging, quarantine and warehouse, and of the staging views
+    the mart build created; kept and rejected rows are all rows."""
+    layout = _finished_run(spark, sf_dir)
+    tables = {}
+    for t in ("staging_forecast", "staging_alert"):
+        tables[f"staging/{t}"] = J.read_staging(spark, layout, t)
+        tables[f"quarantine/{t}"] = J.read_quarantine(spark, layout, t)
+        tables[f"warehouse/{t}"] = spark.read.parquet(layout.warehouse(t))
+    for v in ("stg_weather_forecast", "stg_weather_alert"):
+        tables[f"view/{v}"] = spark.table(v)
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+             for n, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("pipeline_run_state")
+def q_pipeline_run_state(spark, sf_dir):
+    """The state row after a whole run, with the staged rows of its batches."""
+    return ntz(J.read_state(spark, _finished_run(spark, sf_dir)))
+
+
+@query("pipeline_run_docs")
+def q_pipeline_run_docs(spark, sf_dir):
+    """The docs written beside the marts, with the rows of each written table."""
+    layout = _finished_run(spark, sf_dir)
+    models = {m: spark.read.parquet(layout.mart(m)) for m in (
+        "dim_city", "dim_area", "fact_weather_forecast", "fact_weather_alert")}
+    return C.catalog(spark.read.parquet(layout.mart("_docs")), models)

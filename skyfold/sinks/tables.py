@@ -8,19 +8,32 @@ so a lost executor only retries tasks and a rerun of a job is idempotent
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _clustered(df: DataFrame) -> DataFrame:
+    """One shuffle that gathers each batch's rows into few files.
+
+    The ``rebalance`` hint relies on AQE to split a hot batch over several tasks;
+    with AQE off it would put each batch into one task, so rows then stay where
+    they are (more, smaller files).
+    """
+    aqe = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    return df.hint("rebalance", "batch_id") if aqe else df
+
+
 def land_documents(docs: DataFrame, path: str) -> None:
     """K1: land raw JSON text, one document per line, one folder per batch.
 
     Batches present in ``docs`` replace earlier landings of the same batch;
     other batches are left alone (dynamic partition overwrite).
     """
-    (docs.select("batch_id", "body").hint("rebalance", "batch_id").write.mode("overwrite")
+    (_clustered(docs.select("batch_id", "body")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").text(path))
 
@@ -36,42 +49,82 @@ def write_partitioned(df: DataFrame, path: str, cluster: bool = True,
     writes one file into the one folder).  ``max_records_per_file`` caps the
     rows per output file (K10, chunked insert).
     """
-    out = df.hint("rebalance", "batch_id") if cluster else df
+    out = _clustered(df) if cluster else df
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.partitionBy("batch_id").parquet(path)
 
 
-def replace_batches(df: DataFrame, path: str, batch_ids: list[str] | None = None) -> None:
-    """Replace the batches of ``df``; with ``batch_ids``, every listed batch
-    ends up holding exactly its rows of ``df`` -- a listed batch without rows
-    is emptied.
+def replace_batches(df: DataFrame, path: str, batch_ids: list[str]) -> int:
+    """Every batch of ``batch_ids`` ends up holding exactly its rows of ``df``; a listed
+    batch without rows is emptied.  Returns the number of rows written.
 
-    The batches present are observed during the write (a set of batch ids,
-    one per batch), so no extra pass over ``df`` is needed.
+    ``df`` holds rows of the listed batches only.  Rows and the batches present
+    (one id per batch) are observed during the write, so no extra pass over
+    ``df`` is needed.
     """
-    if batch_ids is None:
-        write_partitioned(df, path)
-        return
     obs = Observation("batches")
-    write_partitioned(df.observe(obs, F.collect_set("batch_id").alias("ids")), path,
+    write_partitioned(df.observe(obs, F.collect_set("batch_id").alias("ids"),
+                                 F.count(F.lit(1)).alias("rows")), path,
                       cluster=len(batch_ids) > 1)
-    present = _observed_ids(obs)
+    seen = _observed(obs)
+    present = set(seen.get("ids") or [])
     empty = df.where(F.lit(False))
     for b in batch_ids:
         if b not in present:
             replace_batch(empty, path, b)
+    return int(seen.get("rows") or 0)
 
 
-def _observed_ids(obs: Observation) -> set[str]:
-    """Batch ids observed during a finished write.  When the written frame
-    had no rows at all, Spark reports an empty metrics row, which PySpark
-    cannot convert: that case means no batch was present."""
+def _observed(obs: Observation) -> dict:
+    """Metrics observed during a finished write.  When the written frame had no
+    rows at all, Spark reports an empty metrics row, which PySpark cannot
+    convert: that case means nothing was written."""
     try:
-        return set(obs.get["ids"] or [])
+        return obs.get
     except Py4JJavaError:
-        return set()
+        return {}
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of ``path``.
+
+    On a local disk the one below the checksum layer: that layer can't name the
+    checksum files of objects with a colon in their name, such as a time stamp.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = p.getFileSystem(conf)
+    if fs.getUri().getScheme() == "file":
+        fs = jvm.org.apache.hadoop.fs.FileSystem.getLocal(conf).getRaw()
+    return fs, fs.makeQualified(p)
+
+
+def touch(spark: SparkSession, folder: str, names: Iterable[str]) -> None:
+    """Objects of these names that hold a line end, as a landing leaves them that names
+    each object by its stamp."""
+    fs, top = file_system(spark, folder)
+    for name in names:
+        _, p = file_system(spark, f"{top.toString()}/{name}")
+        out = fs.create(p)
+        out.write(10)
+        out.close()
+
+
+def landed_batches(spark: SparkSession, path: str) -> list[str]:
+    """Ids of the ``batch_id=...`` folders below ``path`` (their names only; a batch
+    without rows counts), in order; empty if nothing was landed."""
+    fs, pattern = file_system(spark, f"{path}/batch_id=*")
+    found = fs.globStatus(pattern) or []
+    return sorted(s.getPath().getName().removeprefix("batch_id=") for s in found)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a working folder."""
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
 
 
 def replace_batch(df: DataFrame, path: str, batch_id: str) -> None:
@@ -87,11 +140,8 @@ def publish_append(df: DataFrame, path: str) -> int:
     the write (no second scan).  A rerun appends the rows again."""
     obs = Observation("published")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.hint("rebalance", "batch_id").write.mode("append").partitionBy("batch_id").parquet(path)
-    try:
-        return int(obs.get["rows"])
-    except Py4JJavaError:  # nothing was written (see _observed_ids)
-        return 0
+    _clustered(observed).write.mode("append").partitionBy("batch_id").parquet(path)
+    return int(_observed(obs).get("rows") or 0)
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:

@@ -44,9 +44,13 @@ def read_silver(spark: SparkSession, path: str, schema: T.StructType,
     return df if batch_id is None else df.where(F.col("batch_id") == F.lit(batch_id))
 
 
-def scan_batch(table: DataFrame, batch_time, columns: list[str] | tuple[str, ...]) -> DataFrame:
-    """Rows of one batch with a fixed column list (pruned on the partition)."""
-    return table.where(F.col("batch_time") == batch_time).select(*columns)
+def scan_batch(table: DataFrame, batch_id, columns: list[str] | tuple[str, ...]) -> DataFrame:
+    """Rows of one batch with a fixed column list.
+
+    ``batch_id`` (a value or a scalar column) filters the partition column, so
+    every other batch folder is pruned.
+    """
+    return table.where(F.col("batch_id") == batch_id).select(*columns)
 
 
 def sql_query(spark: SparkSession, query: str, **params) -> DataFrame:
@@ -57,19 +61,20 @@ def sql_query(spark: SparkSession, query: str, **params) -> DataFrame:
 def list_objects(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:
     """Every file below ``root`` (path, modificationTime, length); content pruned.
 
-    Empty result for a folder without files.
+    ``prefix`` is matched against the names right below ``root`` and is part of
+    the load path, so other folders are not listed at all.  ``root`` may be
+    given with or without a scheme.  No matching file gives an empty result.
     """
-    lst = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-           .load(root).select("path", "modificationTime", "length"))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(conf)
+    path = fs.makeQualified(top).toString().rstrip("/")
     if prefix:
-        lst = lst.where(F.col("path").startswith(f"{root.rstrip('/')}/{prefix}")
-                        | F.col("path").startswith(f"file:{root.rstrip('/')}/{prefix}"))
-    return lst
-
-
-def first_row(df: DataFrame) -> DataFrame:
-    """At most one row of an already key-filtered frame (empty if none)."""
-    return df.limit(1)
+        path = f"{path}/{prefix}*"
+        if not fs.globStatus(jvm.org.apache.hadoop.fs.Path(path)):
+            return spark.createDataFrame([], "path string, modificationTime timestamp, length long")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .load(path).select("path", "modificationTime", "length"))
 
 
 # The city reference seed (20 rows, header first).

@@ -38,23 +38,34 @@ EPH_ALERT = """
 eph_alert AS (SELECT event, level, area, weather_date, substr(area, 1, 3) AS city,
                      substr(area, 4) AS district FROM stg_alert)"""
 
+# Expected models, each straight from the driver tables.
 DIM_CITY = """
 dim_city AS (
-  SELECT md5(city) AS city_key, city FROM (
-    SELECT city FROM stg_forecast UNION SELECT substr(area, 1, 3) AS city FROM stg_alert))"""
+  SELECT md5(c) AS city_key, c AS city
+  FROM (SELECT printf('C%02d', user_id % 25) AS c FROM events
+        WHERE event_type = 'view' OR (event_type = 'click' AND user_id % 25 <> 3)
+        UNION ALL
+        SELECT printf('C%02d', c_nationkey) FROM customer
+        WHERE c_custkey IN (SELECT o_custkey FROM orders))
+  GROUP BY c)"""
 
 DIM_AREA = """
 dim_area AS (
-  SELECT md5(city || area) AS area_key, city, area FROM (
-    SELECT DISTINCT substr(area, 1, 3) AS city, substr(area, 4) AS area FROM stg_alert))"""
+  SELECT md5(printf('C%02d', c_nationkey) || c_mktsegment) AS area_key,
+         printf('C%02d', c_nationkey) AS city, c_mktsegment AS area
+  FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)
+  GROUP BY c_nationkey, c_mktsegment)"""
 
+# every forecast city has a dimension row, so no join is needed
 EPH_FORECAST = """
 eph_forecast AS (
-  SELECT d.city_key, s.weather_date,
-         avg(CASE WHEN type = 'LowestTemp' THEN temp END) AS avg_LowestTemp,
-         avg(CASE WHEN type = 'HighestTemp' THEN temp END) AS avg_HighestTemp
-  FROM stg_forecast s JOIN dim_city d ON s.city = d.city
-  GROUP BY d.city_key, s.weather_date)"""
+  SELECT md5(printf('C%02d', user_id % 25)) AS city_key, CAST(ts AS DATE) AS weather_date,
+         avg(CAST(floor(value) AS INTEGER) % 15 + 15) FILTER (WHERE event_type = 'view') AS avg_LowestTemp,
+         avg(CAST(floor(value) AS INTEGER) % 15 + 26)
+           FILTER (WHERE event_type = 'click' AND user_id % 25 <> 3) AS avg_HighestTemp
+  FROM events
+  WHERE event_type = 'view' OR (event_type = 'click' AND user_id % 25 <> 3)
+  GROUP BY user_id % 25, CAST(ts AS DATE))"""
 
 FLAG = """CASE WHEN avg_HighestTemp >= 36 THEN 'Extreme' WHEN avg_HighestTemp >= 32 THEN 'Hot'
               WHEN avg_HighestTemp >= 28 THEN 'Warm' ELSE 'Normal' END"""
@@ -86,10 +97,15 @@ register("dim_area", with_models("SELECT area_key, city, area FROM dim_area"))
 register("fact_forecast", with_models(
     f"SELECT city_key, weather_date, avg_LowestTemp, avg_HighestTemp, {FLAG} AS flag_HighestTemp "
     "FROM eph_forecast"))
-register("fact_alert", with_models("""
-SELECT d.city_key, a.area_key, s.weather_date, s.event, s.level
-FROM eph_alert s JOIN dim_city d ON s.city = d.city
-JOIN dim_area a ON s.city = a.city AND s.district = a.area"""))
+# every alert area has its dimension rows, so no join is needed
+FACT_ALERT = """
+fact_alert AS (
+  SELECT md5(printf('C%02d', c_nationkey)) AS city_key,
+         md5(printf('C%02d', c_nationkey) || c_mktsegment) AS area_key,
+         CAST(o_orderdate AS DATE) AS weather_date, o_orderstatus AS event,
+         CASE WHEN o_orderpriority NOT LIKE '4%' THEN left(o_orderpriority, 1) END AS level
+  FROM customer JOIN orders ON c_custkey = o_custkey)"""
+register("fact_alert", f"WITH {FACT_ALERT}\nSELECT * FROM fact_alert")
 
 
 # ---------------------------------------------------------------- raw payload entries
@@ -242,12 +258,6 @@ FACT_FORECAST = f"""
 fact_forecast AS (
   SELECT city_key, weather_date, avg_LowestTemp, avg_HighestTemp, {FLAG} AS flag_HighestTemp
   FROM eph_forecast)"""
-FACT_ALERT = """
-fact_alert AS (
-  SELECT d.city_key, a.area_key, s.weather_date, s.event, s.level
-  FROM eph_alert s JOIN dim_city d ON s.city = d.city
-  JOIN dim_area a ON s.city = a.city AND s.district = a.area)"""
-
 
 def _nn(model: str, rel: str, col: str) -> str:
     return (f"SELECT '{model}' AS model, '{col}' AS column_name, 'not_null' AS test, "
@@ -391,21 +401,92 @@ register("retention_keep", f"""WITH {OBJECTS}
 SELECT object_name, object_ts FROM objects
 WHERE object_ts IS NULL OR object_ts >= (SELECT max(object_ts) FROM objects) - INTERVAL 2 DAY""")
 
+register("dq_failures", with_models(_status(" UNION ALL ".join([
+    _orphan("fact_weather_forecast", "fact_forecast", "city_key", "prior_city", "city_key"),
+    _orphan("fact_weather_alert", "fact_alert", "city_key", "prior_city", "city_key"),
+    _orphan("fact_weather_alert", "fact_alert", "area_key", "prior_area", "area_key"),
+    _nn("stg_weather_alert", "stg_alert", "event"),
+    _nn("stg_weather_alert", "stg_alert", "level"),
+    _uq("stg_weather_alert", "stg_alert", "area"),
+])), [FACT_FORECAST, FACT_ALERT, PRIOR_CITY, PRIOR_AREA]))
+
+# ---------------------------------------------------------------- whole jobs
+
+# alerts by what the key check says of them
+CHECKED_ALERT = """
+checked_alert AS (
+  SELECT *, CASE WHEN level IS NULL THEN 'null key'
+                 WHEN count(*) OVER (PARTITION BY area, level, start_time, end_time, batch_time) > 1
+                 THEN 'duplicate key' ELSE 'kept' END AS reason
+  FROM staging_alert)"""
+CLEAN_ALERT = f"WITH {STAGING_ALERT}, {CHECKED_ALERT}, clean AS (SELECT * FROM checked_alert WHERE reason = 'kept')"
+register("quarantine_rejects", f"""WITH {STAGING_ALERT}, {CHECKED_ALERT}
+SELECT strftime(batch_time, '%Y%m%dT%H%M%SZ') AS batch_id, reason, count(*) AS row_count
+FROM checked_alert GROUP BY ALL""")
+_RELOADED = f"""WITH {STAGING_FORECAST},
+per_batch AS (
+  SELECT strftime(batch_time, '%Y%m%dT%H%M%SZ') AS batch_id, count(*) AS row_count
+  FROM staging_forecast GROUP BY batch_time),
+latest AS (SELECT strftime(date_trunc('day', max(ts)) + INTERVAL 20 HOUR, '%Y%m%dT%H%M%SZ') AS id FROM events)
+SELECT layer, batch_id, row_count
+FROM per_batch, (VALUES ('silver'), ('staging'), ('warehouse')) AS layers(layer)
+WHERE batch_id <> (SELECT id FROM latest)"""
+register("batch_reload_empty", _RELOADED)
+register("stream_reload_empty", _RELOADED)
+register("retention_after_delete", """
+WITH batch AS (SELECT DISTINCT date_trunc('day', ts) + INTERVAL 20 HOUR AS object_ts FROM events)
+SELECT dataset, object_ts
+FROM batch, (VALUES ('temperature'), ('temperature_alert')) AS sets(dataset)
+WHERE object_ts >= (SELECT max(object_ts) FROM batch) + INTERVAL 1 DAY - INTERVAL 2 DAY""")
+
 register("pipeline_run", ORACLE["fact_forecast"])
+register("pipeline_run_alert", CLEAN_ALERT + """
+SELECT md5(left(area, 3)) AS city_key, md5(area) AS area_key, CAST(start_time AS DATE) AS weather_date,
+       event, level FROM clean""")
+register("pipeline_run_dims", CLEAN_ALERT + f""", {STAGING_FORECAST}
+SELECT DISTINCT md5(city) AS key, city, NULL AS area
+FROM (SELECT city FROM staging_forecast UNION ALL SELECT left(area, 3) FROM clean)
+UNION ALL
+SELECT DISTINCT md5(area), left(area, 3), substr(area, 4) FROM clean""")
+register("pipeline_run_tables", CLEAN_ALERT + f""", {STAGING_FORECAST},
+n AS (SELECT (SELECT count(*) FROM staging_forecast) AS fc, (SELECT count(*) FROM clean) AS al,
+             (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey) AS every_alert)
+SELECT unnest(['staging/staging_forecast', 'warehouse/staging_forecast', 'view/stg_weather_forecast',
+               'quarantine/staging_forecast', 'staging/staging_alert', 'warehouse/staging_alert',
+               'view/stg_weather_alert', 'quarantine/staging_alert']) AS table_name,
+       unnest([fc, fc, fc, 0, al, al, al, every_alert - al]) AS row_count
+FROM n""")
+register("pipeline_run_state", CLEAN_ALERT + f""", {STAGING_FORECAST}
+SELECT 'forecast_and_alert_batches' AS pipeline_name, 'SUCCESS' AS status,
+       (SELECT count(*) FROM staging_forecast) + (SELECT count(*) FROM clean) AS row_count,
+       TIMESTAMP '2024-02-01 00:00:00' AS last_processed_at, TIMESTAMP '2024-02-01 00:00:00' AS last_run_at,
+       TIMESTAMP '2024-02-01 00:00:00' AS created_at, TIMESTAMP '2024-02-01 00:00:00' AS updated_at""")
 
 _DOCS = [
     ("stg_weather_forecast", "view", "Forecast time slots with the forecast date derived from the start time.", "staging,weather,forecast", "stg_forecast"),
     ("stg_weather_alert", "view", "Temperature alerts per area with the alert date.", "staging,weather,alert", "stg_alert"),
-    ("dim_city", "table", "City keys of every city seen in forecasts or alerts.", "dim,city", "dim_city"),
-    ("dim_area", "table", "Area keys of every area seen in alerts.", "dim,area", "dim_area"),
-    ("fact_weather_forecast", "table", "Average low and high temperature per city and day, with a heat flag.", "fact,weather,forecast", "fact_forecast"),
-    ("fact_weather_alert", "table", "One row per alert and area, keyed to both dimensions.", "fact,weather,alert", "fact_alert"),
+    ("dim_city", "table", "City keys of every city seen in forecasts or alerts.", "mart,dim,city", "dim_city"),
+    ("dim_area", "table", "Area keys of every area seen in alerts.", "mart,dim,area", "dim_area"),
+    ("fact_weather_forecast", "table", "Average low and high temperature per city and day, with a heat flag.", "mart,fact,weather,forecast", "fact_forecast"),
+    ("fact_weather_alert", "table", "One row per alert and area, keyed to both dimensions.", "mart,fact,weather,alert", "fact_alert"),
+    ("staging_forecast", "source", "Forecast time slots as loaded, one partition per batch.", "", "staging_forecast"),
+    ("staging_alert", "source", "Temperature alerts as loaded, one partition per batch.", "", "staging_alert"),
 ]
 register("table_docs", with_models(" UNION ALL ".join(
     f"SELECT '{m}' AS model, '{mat}' AS materialized, '{d}' AS description, '{t}' AS tags, "
     f"(SELECT count(*) FROM {rel}) AS n_rows" for m, mat, d, t, rel in _DOCS),
     [FACT_FORECAST, FACT_ALERT]))
 
+_CLEAN_COUNTS = {
+    "dim_city": "SELECT count(DISTINCT c) FROM (SELECT city AS c FROM staging_forecast UNION ALL SELECT left(area, 3) FROM clean)",
+    "dim_area": "SELECT count(DISTINCT area) FROM clean",
+    "fact_weather_forecast": "SELECT count(*) FROM (SELECT DISTINCT city, CAST(start_time AS DATE) FROM staging_forecast)",
+    "fact_weather_alert": "SELECT count(*) FROM clean",
+}
+register("pipeline_run_docs", CLEAN_ALERT + f", {STAGING_FORECAST}\n" + " UNION ALL ".join(
+    f"SELECT '{m}' AS model, '{mat}' AS materialized, '{d}' AS description, '{t}' AS tags, "
+    f"({_CLEAN_COUNTS[m]}) AS n_rows" for m, mat, d, t, _ in _DOCS if m in _CLEAN_COUNTS))
+
 register("list_objects", f"""WITH {FORECAST_ENTRIES}
 SELECT DISTINCT batch_id, strptime(batch_id, '%Y%m%dT%H%M%SZ') AS object_ts
 FROM forecast_entries""")

@@ -1,12 +1,11 @@
 """Ingest each newly landed bronze batch exactly once.
 
 A file stream over the landing folder (partition folders ``batch_id=...``
-become a column) feeds ``foreachBatch``, which rebuilds every batch present
-in the micro-batch from all of its landed files (flatten, type) and
-replaces those staging batches (dynamic partition overwrite, so a retried
-micro-batch rewrites the same batches).  With
-``availableNow`` every run processes what has arrived since the last one
-and stops; the checkpoint makes a second run add nothing.
+become a column) feeds ``foreachBatch``, which runs the batch job (silver,
+key check, staging, publish) for every batch present in the micro-batch, from
+all of its landed files.  A batch that arrives again with no rows is emptied
+in every layer.  With ``availableNow`` every run processes what has arrived
+since the last one and stops; the checkpoint makes a second run add nothing.
 """
 
 from __future__ import annotations
@@ -14,43 +13,39 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from skyfold.plans.jobs import FLOWS, Layout
-from skyfold.sinks import tables as K
-from skyfold.sources import readers as RD
+from skyfold.plans.jobs import FLOWS, Layout, batch_job
 
 
 def start_ingest(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datetime,
                  checkpoint: str, available_now: bool = True,
-                 max_files_per_trigger: int = 1000) -> StreamingQuery:
-    """Start the intake stream.  ``max_files_per_trigger`` bounds every
-    micro-batch (a large backlog is worked off in several), which is safe
-    because each micro-batch rebuilds the complete batches it touches."""
+                 max_files_per_trigger: int | None = None, on_key_violation: str = "fail",
+                 publish: str | None = "replace_batch", multi_line: bool = False) -> StreamingQuery:
+    """Start the intake stream.
+
+    The stream itself carries batch ids only, so a run over a large backlog is
+    one micro-batch by default and builds each batch once.  With
+    ``max_files_per_trigger`` a backlog is worked off in several, which builds a
+    batch again for each micro-batch that has a file of it.
+    """
     flow = FLOWS[dataset]
     schema = T.StructType(flow["schema"].fields + [T.StructField("batch_id", T.StringType())])
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .json(layout.bronze(dataset)))
-    # The stream carries only the partition column: its scan parses no JSON,
-    # and each micro-batch is just the batch ids of its new files.
-    arrivals = stream.select("batch_id")
-    target = layout.staging(flow["table"])
+    reader = spark.readStream.schema(schema).option("multiLine", multi_line)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    # Only the partition column is read: the scan parses no JSON.
+    arrivals = reader.json(layout.bronze(dataset)).select("batch_id")
 
     def load(micro: DataFrame, epoch_id: int) -> None:
         # Each batch touched by the micro-batch is rebuilt from *all* its
         # landed files, so a batch whose files arrive over two micro-batches
         # is never replaced by a part of itself, and a retried micro-batch
         # writes the same result.  Only the distinct batch ids reach the driver.
-        ids = [r.batch_id for r in micro.distinct().collect()]
-        if not ids:
-            return
-        docs = RD.read_bronze(spark, layout.bronze(dataset), flow["schema"]).where(
-            F.col("batch_id").isin(ids))
-        staged = flow["stage"](flow["flatten"](docs), as_of)
-        K.write_partitioned(staged, target)
+        ids = sorted(r.batch_id for r in micro.distinct().collect())
+        if ids:
+            batch_job(spark, layout, dataset, as_of, ids, on_key_violation, publish, multi_line)
 
     writer = arrivals.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
@@ -59,10 +54,10 @@ def start_ingest(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.da
 
 
 def ingest_available(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datetime,
-                     checkpoint: str, max_files_per_trigger: int = 1000) -> None:
-    """Run the stream until everything landed so far is processed."""
-    q = start_ingest(spark, layout, dataset, as_of, checkpoint, available_now=True,
-                     max_files_per_trigger=max_files_per_trigger)
+                     checkpoint: str, **options) -> None:
+    """Run the stream until everything landed so far is processed
+    (``options`` as in :func:`start_ingest`)."""
+    q = start_ingest(spark, layout, dataset, as_of, checkpoint, available_now=True, **options)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

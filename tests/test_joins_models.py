@@ -24,13 +24,23 @@ def test_not_in_matches_sql_semantics(spark):
         assert ours == _not_in_sql(spark, cand, target), name
 
 
-def test_join_dimension_broadcasts_only_small(spark):
-    fact = spark.range(100).withColumn("k", F.col("id") % 3)
-    dim = spark.range(3).withColumnRenamed("id", "k")
-    small = join_dimension(fact, dim, "k", max_broadcast_rows=10)
-    big = join_dimension(fact, dim, "k", max_broadcast_rows=1)
-    assert small.count() == big.count() == 100
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+def test_join_dimension_broadcasts_by_bytes_not_by_rows(spark, tmp_root):
+    """A few rows of great width must not be broadcast; narrow ones may."""
+    from skyfold.operators.joins import materialize
+    fact = materialize(spark.range(100_000).withColumn("k", F.col("id") % 3), f"{tmp_root}/fact")
+    narrow = materialize(spark.range(3).withColumnRenamed("id", "k"), f"{tmp_root}/narrow")
+    wide = materialize(spark.range(400).select(F.col("id").alias("k"), F.array_join(F.transform(
+        F.sequence(F.lit(1), F.lit(4000)), lambda i: F.sha2(F.concat(F.col("id").cast("string"), i.cast("string")), 256)),
+        "").alias("text")), f"{tmp_root}/wide")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")  # below the fact's size
+    try:
+        plan = join_dimension(fact, narrow, "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        plan = join_dimension(fact, wide, "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def stg(spark):

@@ -70,17 +70,23 @@ def test_retention_strict_cutoff_and_foreign_names(spark):
     assert sorted(r.path for r in R.kept(df, as_of).collect()) == sorted([names[0], names[2]])
 
 
-def test_drop_batch_folders(spark, tmp_root):
+def test_delete_units_are_folders_and_named_objects(spark, tmp_root):
+    import os
     path = f"{tmp_root}/bronze"
-    df = spark.createDataFrame([("20260601T203000Z", "x"), ("20260605T203000Z", "y")],
-                               "batch_id string, body string")
+    df = spark.createDataFrame([("20260601T203000Z", "x"), ("20260601T203000.000001Z", "w"),
+                                ("20260605T203000Z", "y")], "batch_id string, body string")
     df.write.partitionBy("batch_id").text(path)
-    old = R.expired(list_objects(spark, path), dt.datetime(2026, 6, 5, 21, tzinfo=dt.timezone.utc))
-    ids = [r.b for r in old.select(F.date_format("object_ts", "yyyyMMdd'T'HHmmss'Z'").alias("b"))
-           .distinct().collect()]
-    assert ids == ["20260601T203000Z"]
-    assert R.drop_batch_folders(spark, path, ids) == 1
-    assert [r.value for r in spark.read.text(path).collect()] == ["y"]
+    for name in ("temperature_2026-05-01T20:30:00+00:00.json", "temperature_2026-06-05T20:30:00+00:00.json"):
+        with open(f"{path}/{name}", "w") as fh:
+            fh.write("{}")
+    units = R.delete_units(list_objects(spark, path), dt.datetime(2026, 6, 5, 21, tzinfo=dt.timezone.utc))
+    old = sorted(r.unit for r in units.collect() if r.expired)
+    assert [u.rsplit("/", 1)[1] for u in old] == [
+        "batch_id=20260601T203000.000001Z", "batch_id=20260601T203000Z", "temperature_2026-05-01T20:30:00+00:00.json"]
+    gone = list(R.delete_paths(spark, [*old, f"{path}/not-there"]))
+    assert sorted(gone) == old  # only what really went is reported
+    assert sorted(n for n in os.listdir(path) if n[0] not in "._") == [
+        "batch_id=20260605T203000Z", "temperature_2026-06-05T20:30:00+00:00.json"]
 
 
 def test_expire_reports_and_keeps_foreign_objects(spark, tmp_root):

@@ -60,7 +60,7 @@ def test_fold_is_hash_aggregated(spark):
         F.when(F.col("id") % 3 != 0, F.col("id")).alias("row_count"),
         F.lit(None).cast("timestamp").alias("last_processed_at"),
         F.timestamp_seconds(F.col("id")).alias("ts"))
-    folded = RS.fold_updates(state, log, 1)
+    folded = RS.fold_updates(state, log)
     plan = _plan(folded)
     assert "SortAggregate" not in plan and "HashAggregate" in plan
     r = folded.collect()[0]
@@ -114,7 +114,7 @@ def test_hot_key_in_a_shuffle_join_is_split(spark):
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
             "spark.sql.shuffle.partitions": "16"}):
-        joined = join_dimension(fact, dim, "k", max_broadcast_rows=10)  # too big to broadcast
+        joined = join_dimension(fact, dim, "k")          # too big to broadcast
         assert len(joined.collect()) == 200_000      # executes this very plan
         final = joined._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in final

@@ -33,7 +33,20 @@ def test_cast_strict_types_and_wallclock(spark):
                          "21", "C", "20260603T203000Z")])
     r = ST.forecast_to_staging(df, AS_OF).collect()[0]
     assert r.temp == 21 and r.start_time == dt.datetime(2026, 6, 3, 6, 0)
-    assert r.batch_time.replace(tzinfo=None) == dt.datetime(2026, 6, 3, 20, 30) or True
+    # the session zone is UTC; Python shows the instant in the local zone
+    assert r.batch_time.astimezone(dt.timezone.utc) == dt.datetime(2026, 6, 3, 20, 30, tzinfo=dt.timezone.utc)
+
+
+def test_batch_id_keeps_microseconds(spark):
+    from skyfold.functions.columns import batch_id_of, to_batch_id
+    stamps = [dt.datetime(2026, 6, 3, 20, 30), dt.datetime(2026, 6, 3, 20, 30, 0, 42)]
+    df = spark.createDataFrame([(t,) for t in stamps], "t timestamp_ntz").select(to_batch_id("t").alias("b"))
+    ids = [r.b for r in df.collect()]
+    assert ids == ["20260603T203000Z", "20260603T203000.000042Z"] == [batch_id_of(t) for t in stamps]
+    back = [r.t for r in df.select(ST.batch_time_of("b").cast("timestamp_ntz").alias("t")).collect()]
+    assert back == stamps
+    with pytest.raises(Exception, match="malformed batch id"):
+        spark.createDataFrame([("2026",)], "b string").select(ST.batch_time_of("b")).collect()
 
 
 def test_cast_quarantine_splits(spark):
@@ -52,7 +65,8 @@ def test_key_violations_and_quarantine(spark):
         ST.enforce_key(df, ["area", "level"])
     good, bad = ST.split_key_violations(df, ["area", "level"])
     assert [r.n for r in good.collect()] == [4]
-    assert sorted(r.n for r in bad.collect()) == [1, 2, 3]
+    assert sorted((r.n, r.reject_reason) for r in bad.collect()) == [
+        (1, "duplicate key"), (2, "duplicate key"), (3, "null key")]
 
 
 def staging_rows(spark, batch_id, n):

@@ -54,17 +54,21 @@ def test_staging_scan_prunes_partitions(spark, tmp_root):
 
 def test_full_pipeline_run_is_rerunnable(spark, tmp_root):
     layout = J.Layout(tmp_root)
-    st = spark.createDataFrame(
-        [("wdp", None, None, None, None, AS_OF, AS_OF)],
-        "pipeline_name string, status string, row_count long, last_processed_at timestamp, "
-        "last_run_at timestamp, created_at timestamp, updated_at timestamp")
+    J.register_pipeline(spark, layout, "wdp", AS_OF)
     fc_docs = B.forecast_documents(spark, SF_SMALL)
     al_docs = B.alert_documents(spark, SF_SMALL)
     for _ in range(2):
-        st = J.run_pipeline(spark, layout, fc_docs, al_docs, st, "wdp", AS_OF, AS_OF,
+        st = J.run_pipeline(spark, layout, fc_docs, al_docs, "wdp", AS_OF, AS_OF,
                             on_key_violation="quarantine")
     r = st.collect()[0]
-    assert r.status == "SUCCESS" and r.row_count is not None
+    staged = [J.read_staging(spark, layout, t).count() for t in ("staging_forecast", "staging_alert")]
+    assert r.status == "SUCCESS" and r.row_count == sum(staged) > 0
+    # no alert is lost: kept and rejected rows are all of them
+    rejected = J.read_quarantine(spark, layout, "staging_alert").count()
+    assert rejected > 0 and staged[1] + rejected == B.staging_alert(spark, SF_SMALL).count()
+    docs = {d.model: d.tags for d in spark.read.parquet(layout.mart("_docs")).collect()}
+    assert docs["dim_area"].split(",")[0] == "mart" and "staging_alert" in docs
+    assert spark.table("stg_weather_alert").count() == staged[1]
     facts = spark.read.parquet(layout.mart("fact_weather_forecast"))
     assert facts.count() == facts.select("city_key", "weather_date").distinct().count()
     # E5: with as_of 2024-02-01 only the forecast batch of 2024-01-30 20:00 is
