@@ -9,9 +9,9 @@ be compared, in three steps:
 
 1. A document is cut into pieces, each the text of neighbouring windows with one
    anchor.  Pieces are dealt by anchor.  Where a smaller document has the whole
-   piece, it is removed.  Where another piece of the anchor goes on alike to the
-   left or right far enough for a window, the first document's piece is a
-   candidate.  All other pieces have no repeated window.
+   piece, it is removed.  Where another piece of the anchor is alike in one of the
+   stretches of 44 bytes that a shared window would cover, the first document's
+   piece is a candidate.  All other pieces have no repeated window.
 2. Candidate texts are dealt by anchor again, joined to blocks, and each block gets
    a suffix array by linear grouping (:mod:`skyfold.llm.suffix_groups`).  Equal
    windows are neighbours there; those not of the smallest document are removed.
@@ -30,6 +30,7 @@ their ids were consecutive; an empty table gives no rows.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,9 @@ from skyfold.llm.common import stored
 from skyfold.llm.suffix_groups import suffix_array
 
 LENGTH, ANCHOR = 50, 24
-REACH = (LENGTH - ANCHOR) // 2  # a window reaches at least so far beyond its anchor on one side
+#: Bytes to the left and right of an anchor: every window around it covers at least one of
+#: these stretches whole, whatever its place.
+STRETCHES = ((0, 20), (7, 14), (13, 7), (20, 0))
 #: Different pieces of an anchor in one batch from which the anchor is spread by piece.
 SPREAD = 64
 #: Candidates of an anchor above which they are compared window by window.
@@ -88,9 +91,8 @@ def _least(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def pieces(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, length, anchor hash and hash of every piece of a text, and what lies
-    ``REACH`` bytes to the left and right of the anchor (two 14-bit hashes, 0 where the
-    piece does not reach so far)."""
+    """Start, length, anchor hash and hash of every piece of a text, and its stretches
+    (four 7-bit hashes, 0 where the piece does not reach so far)."""
     parts = [_pieces(np.frombuffer(raw[a:a + SEGMENT + LENGTH - 1], np.uint8), a)
              for a in range(0, max(1, len(raw) - LENGTH + 1), SEGMENT)]
     return tuple(np.concatenate(c) for c in zip(*parts))
@@ -109,12 +111,12 @@ def _pieces(b: np.ndarray, base: int) -> tuple[np.ndarray, ...]:
     for step in (16, 32, 48):
         whole = _pair(whole, h16[first + np.minimum(step, size - 16)])
     whole = _pair(whole, h16[first + size - 16])
-    left, right = at - REACH >= first, at + ANCHOR + REACH <= first + size
     beside = np.zeros(len(first), np.int64)
-    for side, start, shift in ((left, at - REACH, 14), (right, at + ANCHOR, 0)):
-        start = start[side]
-        h = _pair(h8[start], h8[start + REACH - 8])
-        beside[side] |= (h % np.uint64((1 << 14) - 1) + np.uint64(1)).astype(np.int64) << shift
+    for i, (left, right) in enumerate(STRETCHES):
+        rows = np.flatnonzero((at - left >= first) & (at + ANCHOR + right <= first + size))
+        start, n = at[rows] - left, left + ANCHOR + right
+        h = _pair(_pair(h16[start], h16[start + 16]), h16[start + n - 16])
+        beside[rows] |= (h % np.uint64(127) + np.uint64(1)).astype(np.int64) << (7 * i)
     return first + base, size, anchor[at], whole, beside
 
 
@@ -149,7 +151,8 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-ROW = "kind short, key long, piece long, doc long, place long"
+#: Kind and document first: in the order of documents they repeat from row to row and pack well.
+ROW = "kind short, doc long, key long, piece long, place long"
 
 
 def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -159,8 +162,8 @@ def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
 def _row(kind, key, piece, doc, place) -> pa.RecordBatch:
     n = len(doc)
     full = lambda v, t: np.full(n, v, t) if np.isscalar(v) else v.astype(t, copy=False)
-    return _batch({"kind": full(kind, np.int16), "key": full(key, np.int64), "piece": full(piece, np.int64),
-                   "doc": full(doc, np.int64), "place": full(place, np.int64)})
+    return _batch({"kind": full(kind, np.int16), "doc": full(doc, np.int64), "key": full(key, np.int64),
+                   "piece": full(piece, np.int64), "place": full(place, np.int64)})
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -168,7 +171,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _packed(start: np.ndarray, size: np.ndarray, beside: np.ndarray) -> np.ndarray:
-    """Start (31 bits), length beyond LENGTH (5 bits) and the two sides (28 bits)."""
+    """Start (31 bits), length beyond LENGTH (5 bits) and the stretches (28 bits)."""
     return (start << 33) | ((size - LENGTH) << 28) | beside
 
 
@@ -190,7 +193,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if many.any():
             marks = _signed(anchor[heads[many]])
             yield _row(MARK, marks, np.iinfo(np.int64).min, np.zeros(len(marks), np.int64), 0)
-        own = ~later
+        own = np.flatnonzero(~later)
+        own = own[np.argsort(order[own])]  # as they were read: by document
         yield _row(np.where(spread, SPREAD_PIECE, PIECE)[own], _signed(anchor[own]), _signed(whole[own]), doc[own],
                    _packed(start, size, beside)[own])
 
@@ -223,8 +227,8 @@ def _judged(kind, key, piece, doc, place) -> Iterator[pa.RecordBatch]:
     group = np.cumsum(_runs(key)) - 1
     wanted = np.add.reduceat((kind != PIECE).astype(np.int64), heads)[group] > 0
     one = np.flatnonzero(new & (kind != MARK))  # a row for each piece
-    for shift in (14, 0):
-        side = (place[one] >> shift) & ((1 << 14) - 1)
+    for i in range(len(STRETCHES)):
+        side = (place[one] >> (7 * i)) & 127
         rows = one[side > 0]
         side = side[side > 0]
         if not len(rows):
@@ -254,9 +258,10 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = [x.to_numpy() for x in batch.columns]
         settled = c[0] == REMOVED
         if settled.any():
-            yield _batch({"kind": c[0][settled], "key": np.zeros(settled.sum(), np.int64), "doc": c[3][settled],
-                          "start": c[2][settled], "end": c[4][settled]})
-        parts.append([x[~settled] for x in c])
+            yield _batch({"kind": c[0][settled], "key": np.zeros(settled.sum(), np.int64), "doc": c[1][settled],
+                          "start": c[3][settled], "end": c[4][settled]})
+        kind, doc, key, piece, place = (x[~settled] for x in c)
+        parts.append([kind, key, piece, doc, place])
         rows += int((~settled).sum())
         if rows < ROWS:
             continue
@@ -412,9 +417,12 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _release(spark) -> None:
-    """Shuffle files of finished steps go when the driver's garbage is collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Shuffle files of finished steps go when the driver's garbage is collected: once for
+    what Python holds of them, once more for what that has freed."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 RESULT = "doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"

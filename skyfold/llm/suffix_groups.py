@@ -42,12 +42,10 @@ def suffix_array(text: Sequence[int]) -> np.ndarray:
 def _group(order: list[int], at: list[int], group: list[int], size: list[int]) -> list[int]:
     """Phase one.  A group is named by the first place of its suffixes in ``order``;
     ``group`` is refined in place.  Returns the previous-smaller pointers."""
-    n = len(order)
-    left = [-1] * n
-    end = n
+    left = [-1] * len(order)
+    end = len(order)
     while end > 0:
         start = group[order[end - 1]]
-        met: dict[int, int] = {}
         if end - start == 1:
             i = order[start]
             p = i - 1
@@ -55,59 +53,59 @@ def _group(order: list[int], at: list[int], group: list[int], size: list[int]) -
                 p = left[p]
             left[i] = p
             if p >= 0:
-                met[p] = 1
+                g = group[p]
+                last = size[g] - 1
+                if last:  # p becomes a group of its own behind the rest
+                    size[g] = last
+                    last += g
+                    q = order[last]
+                    if q != p:
+                        here = at[p]
+                        order[here], order[last] = q, p
+                        at[q], at[p] = here, last
+                    group[p] = last
+                    size[last] = 1
         else:
+            met: dict[int, int] = {}
             for i in sorted(order[start:end]):
                 p = i - 1
                 while p >= 0 and group[p] >= start:
                     p = left[p]
                 left[i] = p
-                if p >= 0:
+                if p >= 0 and size[group[p]] > 1:
                     met[p] = met.get(p, 0) + 1
+            if met:
+                most = max(met.values())
+                for c in range(most, 0, -1):
+                    _split([p for p, k in met.items() if k == c] if most > 1 else list(met), order, at, group, size)
         end = start
-        if len(met) == 1:
-            (p,) = met
-            g = group[p]
-            if size[g] > 1:
-                _move(p, g, order, at, size)
-                new = g + size[g]
-                group[p] = new
-                size[new] = 1
-        elif met:
-            most = max(met.values())
-            if most == 1:
-                _split(list(met), order, at, group, size)
-            else:
-                by_count: dict[int, list[int]] = {}
-                for p, c in met.items():
-                    by_count.setdefault(c, []).append(p)
-                for c in sorted(by_count, reverse=True):
-                    _split(by_count[c], order, at, group, size)
     return left
 
 
-def _move(p: int, g: int, order: list[int], at: list[int], size: list[int]) -> None:
-    """Suffix p goes to the last place of its group, which ends before it then."""
-    size[g] = last = size[g] - 1
-    last += g
-    here, other = at[p], order[last]
-    order[last], order[here] = p, other
-    at[p], at[other] = last, here
-
-
 def _split(moved: list[int], order: list[int], at: list[int], group: list[int], size: list[int]) -> None:
-    """All of ``moved`` leave their groups for new groups right behind them."""
+    """All of ``moved`` leave their groups for new groups right behind them; a group that
+    would move as a whole stays as it is."""
+    leaving: dict[int, int] = {}
     for p in moved:
-        _move(p, group[p], order, at, size)
+        g = group[p]
+        leaving[g] = leaving.get(g, 0) + 1
+    new = {}
+    for g, k in leaving.items():
+        if k < size[g]:
+            size[g] -= k
+            new[g] = g + size[g]
+            size[new[g]] = k
+    free = dict(new)
     for p in moved:
         g = group[p]
-        new = g + size[g]
-        group[p] = new
-        if new != g:
-            size[new] += 1
-    for g in {group[p] for p in moved}:
-        if not size[g]:  # a whole group moved: it stays what it was
-            size[g] = sum(group[p] == g for p in moved)
+        if g in free:
+            last = free[g]
+            free[g] = last + 1
+            group[p] = new[g]
+            # whoever holds the place changes with p, unless it is to leave as well
+            q, here = order[last], at[p]
+            order[here], order[last] = q, p
+            at[q], at[p] = here, last
 
 
 def _emit(group: list[int], left: list[int]) -> list[int]:
@@ -116,14 +114,16 @@ def _emit(group: list[int], left: list[int]) -> list[int]:
     out = [-1] * n
     out[0] = n - 1
     free = list(range(n))  # next place of the group that starts here
-    done = [False] * n
-    done[n - 1] = True
+    group[n - 1] = -1  # placed
     for i in range(n):
         p = out[i] - 1
-        while p >= 0 and not done[p]:
+        while p >= 0:
             g = group[p]
-            out[free[g]] = p
-            free[g] += 1
-            done[p] = True
+            if g < 0:
+                break
+            k = free[g]
+            out[k] = p
+            free[g] = k + 1
+            group[p] = -1
             p = left[p]
     return out
