@@ -55,6 +55,7 @@ BATCH_BYTES, SEGMENT, BLOCK, ROWS = 16 << 20, 1 << 20, 1 << 16, 500_000
 
 REMOVED, PIECE, SPREAD_PIECE, MARK, WINDOWS, CANDIDATE = range(6)
 
+_PLACE = np.uint64((1 << 21) - 1)  # places in a segment and its overlap
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _OF_BYTE = ((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _A) ^ ((np.arange(256, dtype=np.uint64) + np.uint64(77)) * _B)
 
@@ -79,15 +80,14 @@ def _hashes(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
-    """Place of the leftmost least value of every ``width`` neighbours."""
-    value, place, done = h, np.arange(len(h)), 1
+    """Place of the leftmost least value of every ``width`` neighbours; values count by
+    their upper 43 bits, places take the rest."""
+    value, done = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64), 1
     while done < width:
         by = min(done, width - done)
-        a, b = value[:len(value) - by], value[by:]
-        place = np.where(a <= b, place[:len(a)], place[by:by + len(a)])
-        value = np.minimum(a, b)
+        value = np.minimum(value[:-by], value[by:])
         done += by
-    return place
+    return (value & _PLACE).astype(np.int64)
 
 
 def pieces(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -180,23 +180,25 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     on; the later ones are settled here."""
     def flush(found: list[tuple]) -> Iterator[pa.RecordBatch]:
         doc, start, size, anchor, whole, beside = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((doc, whole, anchor))
-        doc, start, size, anchor, whole, beside = (c[order] for c in (doc, start, size, anchor, whole, beside))
-        new = _runs(anchor, whole)
-        later = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+        order = np.argsort(_pair(anchor, whole))
+        by_anchor, by_whole, by_doc = anchor[order], whole[order], doc[order]
+        new = _runs(by_anchor, by_whole)
+        heads = np.flatnonzero(new)
+        first = np.minimum.reduceat(by_doc, heads)
+        later = np.empty(len(doc), bool)
+        later[order] = by_doc > first[np.cumsum(new) - 1]
         if later.any():
             d, a, b = _spans(doc[later], start[later], (start + size)[later])
             yield _row(REMOVED, d, a, d, b)  # the piece column carries the start
-        heads = np.flatnonzero(_runs(anchor))
-        many = np.add.reduceat(new.astype(np.int64), heads) >= SPREAD
-        spread = np.repeat(many, np.diff(np.append(heads, len(doc))))
-        if many.any():
-            marks = _signed(anchor[heads[many]])
-            yield _row(MARK, marks, np.iinfo(np.int64).min, np.zeros(len(marks), np.int64), 0)
-        own = np.flatnonzero(~later)
-        own = own[np.argsort(order[own])]  # as they were read: by document
-        yield _row(np.where(spread, SPREAD_PIECE, PIECE)[own], _signed(anchor[own]), _signed(whole[own]), doc[own],
-                   _packed(start, size, beside)[own])
+        different = np.sort(by_anchor[heads])
+        at = np.flatnonzero(_runs(different))
+        many = different[at[np.diff(np.append(at, len(different))) >= SPREAD]]
+        kind = np.full(len(doc), PIECE, np.int16)
+        if len(many):
+            yield _row(MARK, _signed(many), np.iinfo(np.int64).min, np.zeros(len(many), np.int64), 0)
+            kind[np.isin(anchor, many)] = SPREAD_PIECE
+        own = ~later
+        yield _row(kind[own], _signed(anchor[own]), _signed(whole[own]), doc[own], _packed(start, size, beside)[own])
 
     found, size = [], 0
     for batch in batches:

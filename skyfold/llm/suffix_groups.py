@@ -102,7 +102,6 @@ def _split(moved: list[int], order: list[int], at: list[int], group: list[int],
             last = free[g]
             free[g] = last + 1
             group[p] = new[g]
-            # whoever holds the place changes with p, unless it is to leave as well
             q, here = order[last], at[p]
             order[here], order[last] = q, p
             at[q], at[p] = here, last
