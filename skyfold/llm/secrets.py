@@ -50,9 +50,12 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]{16,}"),
 )
-#: Further kinds: private key headers and signed web tokens.
+#: Further kinds: private keys, to the END line or over the base64 lines behind a header that
+#: lacks one, and signed web tokens.
 MORE = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+                r"(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+                r"|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{40,}+)*+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]*+={1,2})?)", version=2),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE + MORE

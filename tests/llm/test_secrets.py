@@ -48,6 +48,22 @@ def test_query_equals_brute_force(make_docs, rng):
     assert "pem:0:31" in rows[16].spans
 
 
+def test_private_keys_go_with_their_body(make_docs):
+    header, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = "\n".join("Ab+/" * 16 for _ in range(400)) + "\nAb+/xyz="
+    whole = f"{header}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,00FF\n\n{body}\n{end}"
+    torn, escaped = f"{header}\n{body}", (header + "\n" + body).replace("\n", "\\n")
+    texts = [f"a {whole} b {whole} c", f"a {torn}\nplain words follow", f"a {escaped} b", f"{header} of a key",
+             f"{header}\n{body}\n{whole}", header + "-" * 4 + "a-" * 50_000]
+    rows = {r.doc_id: r for r in S.query(make_docs(texts)).collect()}
+    pem = [[s for s in rows[i].spans.split(",") if s.startswith("pem")] for i in range(len(texts))]
+    n = len(whole)
+    assert pem[0] == [f"pem:2:{2 + n}", f"pem:{5 + n}:{5 + 2 * n}"]
+    assert pem[1] == [f"pem:2:{2 + len(torn)}"] and pem[2] == [f"pem:2:{2 + len(escaped)}"]
+    assert pem[3] == ["pem:0:31"] and pem[5] == ["pem:0:31"]
+    assert pem[4] == [f"pem:0:{len(torn)}", f"pem:{len(torn) + 1}:{len(torn) + 1 + n}"]
+
+
 def test_ledger_scans_only_unseen_pairs(spark, make_docs, tmp_root):
     ledger = S.Ledger(spark, tmp_root)
     a = make_docs([(1, f"token={HEX}"), (2, f"token={HEX}"), (3, "none")])
