@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from skyfold.session import workspace
@@ -23,3 +27,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = workspace(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def slices(batches: Iterable[pa.RecordBatch], text_at: int, max_rows: int = 4_000,
+           max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in slices of bounded text (one row at least, whole texts)."""
+    for batch in batches:
+        lengths = pc.binary_length(batch.column(text_at)).to_pylist()
+        a = total = 0
+        for i, size in enumerate(lengths):
+            size = size or 0
+            if i > a and (total + size > max_bytes or i - a == max_rows):
+                yield batch.slice(a, i - a)
+                a, total = i, 0
+            total += size
+        if a < batch.num_rows:
+            yield batch.slice(a)

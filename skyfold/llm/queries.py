@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyfold.llm import (
+    collocations,
     compact_windows,
     cotraining,
     decontaminate,
     language_id,
+    periodic_runs,
     piece_bpe,
     quality_rules,
     secrets,
     simhash,
     suffix_dedup,
+    toxicity,
     url_filters,
 )
 from skyfold.sources.tables import read_table
@@ -68,10 +71,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.query(read_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.query(read_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.query(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filters, op2_quality_rules, op3_sentencepiece, op4_simhash, op5_suffix_dedup,
-        op6_quality_classifier, op7_secret_scans, op8_decontamination, op9_compact_windows, op10_language_id)
+        op6_quality_classifier, op7_secret_scans, op8_decontamination, op9_compact_windows, op10_language_id,
+        op11_toxicity, op12_collocations, op13_periodic_runs)
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
@@ -79,4 +95,5 @@ ORACLE: dict[str, str] = {
     "op1_url_filters": url_filters.SQL,
     "op2_quality_rules": quality_rules.SQL,
     "op8_decontamination": decontaminate.SQL,
+    "op12_collocations": collocations.SQL,
 }
