@@ -30,6 +30,18 @@ def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
         F.col("__rows").alias("n_rows"), "n_failing"))
 
 
+def not_null_merged(parts: DataFrame, model: str, columns: list[str], rows: str = "n_rows") -> DataFrame:
+    """Q1 from kept counts: ``parts`` has one row per distinct value of ``columns`` (and
+    whatever else keeps parts apart) with the number of rows it stands for, so a run
+    tests the whole history without reading it."""
+    agg = parts.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("__rows"), *[
+        F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col(rows))), F.lit(0)).alias(c) for c in columns])
+    per_column = agg.unpivot("__rows", list(columns), "column_name", "n_failing")
+    return _result(per_column.select(
+        F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"),
+        F.col("__rows").alias("n_rows"), "n_failing"))
+
+
 def unique(df: DataFrame, model: str, column: str) -> DataFrame:
     """Q2: number of non-NULL values occurring more than once (NULLs are not
     counted, as in a ``unique`` data test)."""

@@ -66,7 +66,7 @@ def delete_paths(spark: SparkSession, paths: Iterable[str], threads: int = 16) -
     """
     def drop(path: str) -> str | None:
         fs, p = file_system(spark, path)
-        return path if fs.exists(p) and fs.delete(p, True) and not fs.exists(p) else None
+        return path if fs.delete(p, True) and not fs.exists(p) else None
 
     it = iter(paths)
     with ThreadPoolExecutor(max_workers=threads) as pool:

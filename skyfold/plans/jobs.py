@@ -4,14 +4,14 @@ bookkeeping, retention.
 Every job takes a :class:`Layout` (folders below the shared workspace) and
 an ``as_of`` time, so reruns are reproducible.  Each step is a Spark job
 over whole batches; only batch ids and a handful of counters reach the
-driver.
+driver.  Staging, quarantine, warehouse and marts change by commit records
+(:mod:`skyfold.sinks.snapshots`): a job that fails leaves them as they were.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
-import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -25,11 +25,11 @@ from skyfold.constants import (
     DATASET_FORECAST,
     RETENTION_DAYS,
     STATUS_FAILED,
+    STATUS_RUNNING,
     STATUS_SUCCESS,
 )
-from skyfold.functions.columns import batch_id_of
+from skyfold.functions.columns import batch_id_of, weather_date
 from skyfold.operators import flatten as FL
-from skyfold.operators.joins import materialize
 from skyfold.operators import quality as Q
 from skyfold.operators import retention as R
 from skyfold.operators import runstate as RS
@@ -37,6 +37,8 @@ from skyfold.operators import staging as ST
 from skyfold.plans import models as M
 from skyfold.plans.catalog import docs_frame, with_docs
 from skyfold.sinks import tables as K
+from skyfold.sinks.commitlog import SequenceLog
+from skyfold.sinks.snapshots import Change, Snapshots, vacuum
 from skyfold.sources import readers as RD
 from skyfold.sources import schemas as S
 
@@ -53,36 +55,42 @@ class Layout:
     def silver(self, dataset: str) -> str:
         return f"{self.root}/silver/etl_{dataset}"
 
-    def staging(self, table: str) -> str:
-        return f"{self.root}/staging/{table}"
+    def mart(self, model: str) -> str:
+        """What the mart consists of now, as a path to read (several folders as one
+        pattern); a reader that has resolved it is not disturbed by a rebuild."""
+        folders = Snapshots(_session(), self.root).paths(MART + model)
+        if not folders:
+            raise FileNotFoundError(f"{self.root}/{MART}{model} was never built")
+        if len(folders) == 1:
+            return folders[0]
+        return f"{self.root}/{MART}{model}/{{{','.join(f.rsplit('/', 1)[1] for f in folders)}}}"
 
-    def warehouse(self, table: str) -> str:
-        return f"{self.root}/warehouse/{table}"
+    @property
+    def state_log(self) -> str:
+        return f"{self.root}/state"
 
-    def mart(self, model: str) -> str:
-        return f"{self.root}/marts/{model}"
 
-    def quarantine(self, table: str) -> str:
-        return f"{self.root}/quarantine/{table}"
+#: Tables of the commit records.
+STAGING, QUARANTINE, WAREHOUSE, MART, KEPT = "staging/", "quarantine/", "warehouse/", "marts/", "kept/"
 
-    @property
-    def registered(self) -> str:
-        return f"{self.root}/state/registered"
 
-    @property
-    def state_log(self) -> str:
-        return f"{self.root}/state/updates"
+def _session() -> SparkSession:
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
+def _day_parts(staged: DataFrame, *by: str) -> DataFrame:
+    return M.forecast_day_parts(staged.withColumn("weather_date", weather_date("start_time")), *by)
 
 
 FLOWS = {
     DATASET_FORECAST: dict(schema=S.BRONZE_FORECAST, silver=S.SILVER_FORECAST,
                            flatten=FL.flatten_forecast, stage=ST.forecast_to_staging,
                            table="staging_forecast", key=S.STAGING_FORECAST_KEY,
-                           staging=S.STAGING_FORECAST),
+                           staging=S.STAGING_FORECAST, parts=_day_parts, kept=S.FORECAST_DAYS),
     DATASET_ALERT: dict(schema=S.BRONZE_ALERT, silver=S.SILVER_ALERT,
                         flatten=FL.flatten_alert, stage=ST.alert_to_staging,
                         table="staging_alert", key=S.STAGING_ALERT_KEY,
-                        staging=S.STAGING_ALERT),
+                        staging=S.STAGING_ALERT, parts=M.alert_area_parts, kept=S.ALERT_AREAS),
 }
 
 
@@ -96,30 +104,41 @@ def run_concurrently(*steps: Callable[[], object]) -> list[object]:
         return [f.result() for f in futures]
 
 
-def land(docs: DataFrame, layout: Layout, dataset: str) -> None:
+def land(docs: DataFrame, layout: Layout, dataset: str) -> list[str]:
     """K1: land raw documents ``(batch_id, body)``; a re-landed batch replaces
-    the earlier landing."""
-    K.land_documents(docs, layout.bronze(dataset))
+    the earlier landing.  Returns the batches landed."""
+    return K.land_documents(docs, layout.bronze(dataset))
 
 
 def _only(df: DataFrame, batch_ids: list[str]) -> DataFrame:
     return df.where(F.col("batch_id").isin(batch_ids))
 
 
+def _flow_of(table: str) -> dict:
+    return next(f for f in FLOWS.values() if f["table"] == table)
+
+
+def _checked_schema(flow: dict) -> T.StructType:
+    return T.StructType([*flow["staging"].fields, T.StructField("reject_reason", T.StringType())])
+
+
 def read_staging(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
-    flow = next(f for f in FLOWS.values() if f["table"] == table)
-    if not K.landed_batches(spark, layout.staging(table)):
-        return spark.createDataFrame([], _with_batch(flow["staging"]))
-    return K.read_table(spark, layout.staging(table), flow["staging"], partitioned=True)
+    return Snapshots(spark, layout.root).read(STAGING + table, _flow_of(table)["staging"])
 
 
 def read_quarantine(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """Rows that a batch kept out of staging, with the reason."""
-    flow = next(f for f in FLOWS.values() if f["table"] == table)
-    schema = T.StructType(flow["staging"].fields + [T.StructField("reject_reason", T.StringType())])
-    if not K.landed_batches(spark, layout.quarantine(table)):
-        return spark.createDataFrame([], _with_batch(schema))
-    return K.read_table(spark, layout.quarantine(table), schema, partitioned=True)
+    return Snapshots(spark, layout.root).read(QUARANTINE + table, _checked_schema(_flow_of(table)))
+
+
+def read_warehouse(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    """The published copy of a staging table."""
+    return Snapshots(spark, layout.root).read(WAREHOUSE + table, _flow_of(table)["staging"])
+
+
+def read_kept(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    """What the models need of each staged batch, aggregated when it was loaded."""
+    return Snapshots(spark, layout.root).read(KEPT + table, _flow_of(table)["kept"])
 
 
 def _with_batch(schema: T.StructType) -> T.StructType:
@@ -144,15 +163,19 @@ def batch_job(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datet
     (all landed batches by default); no other batch is read or written.
 
     * silver is written per batch (K2) and read back (S2);
-    * the staging key is checked before commit (Q3/Q4): ``fail`` aborts,
-      ``quarantine`` writes violating rows, with the reason, to the quarantine
-      table and counts them;
-    * staging and quarantine batches are replaced idempotently (K3): a batch
-      reloaded with no rows, or with rejected rows only, is emptied;
+    * the staging key is checked in the write that stages the rows (Q3/Q4): rows that
+      break it lie in a partition of their own, which makes ``fail`` abort the job and
+      is the quarantine of ``quarantine``;
+    * one commit record then replaces the batches in staging, quarantine and warehouse
+      (K3): a batch reloaded with no rows, or with rejected rows only, is emptied by it,
+      and a job that fails before leaves all three as they were;
+    * the same commit replaces the batches' kept aggregates, from which the marts are
+      built (a replaced batch takes its share back);
     * ``publish='append'`` appends to the warehouse copy (duplicates on
       rerun, as a bare load does), ``'replace_batch'`` replaces its batches.
 
-    ``multi_line`` reads payloads delivered as one pretty-printed document a file.
+    The number of Spark jobs does not depend on the number of batches.  ``multi_line``
+    reads payloads delivered as one pretty-printed document a file.
     """
     flow = FLOWS[dataset]
     landed = K.landed_batches(spark, layout.bronze(dataset))
@@ -163,30 +186,61 @@ def batch_job(spark: SparkSession, layout: Layout, dataset: str, as_of: dt.datet
         docs = spark.createDataFrame([], T.StructType(
             [T.StructField("batch_id", T.StringType()), T.StructField("doc", flow["schema"])]))
     silver_rows = flow["flatten"](docs).select(*flow["silver"].fieldNames(), "batch_id")
+    return load_silver(spark, layout, dataset, silver_rows, ids, as_of, on_key_violation, publish)
+
+
+def load_silver(spark: SparkSession, layout: Layout, dataset: str, silver_rows: DataFrame, ids: list[str],
+                as_of: dt.datetime, on_key_violation: str = "fail",
+                publish: str | None = "replace_batch") -> BatchResult:
+    """The rest of a batch job from the flattened rows of whole batches on."""
+    flow = FLOWS[dataset]
     K.replace_batches(silver_rows, layout.silver(dataset), ids)
     silver = _only(RD.read_silver(spark, layout.silver(dataset), flow["silver"]), ids)
-    staged = flow["stage"](silver, as_of)
-    target, rejected = layout.staging(flow["table"]), 0
-    if on_key_violation == "quarantine":
-        # the key check runs once; both outputs read its written result
-        work = f"{layout.root}/_work/{flow['table']}-{uuid.uuid4().hex[:12]}"
-        checked = materialize(ST.tag_key_violations(staged, flow["key"]), work)
-        bad = F.col("reject_reason").isNotNull()
-        n = K.replace_batches(checked.where(~bad).drop("reject_reason"), target, ids)
-        rejected = K.replace_batches(checked.where(bad), layout.quarantine(flow["table"]), ids)
-        K.drop_folder(spark, work)
-    else:
-        ST.enforce_key(staged, flow["key"])
-        n = K.replace_batches(staged, target, ids)
-    published = 0
-    if publish:
-        loaded = _only(read_staging(spark, layout, flow["table"]), ids)
-        out = loaded.withColumn("update_time", F.lit(as_of).cast("timestamp"))
-        if publish == "append":
-            published = K.publish_append(out, layout.warehouse(flow["table"]))
-        else:
-            published = K.replace_batches(out, layout.warehouse(flow["table"]), ids)
-    return BatchResult(flow["table"], ids, n, rejected, published)
+    return load_batches(spark, layout, flow, flow["stage"](silver, as_of), ids, as_of, on_key_violation, publish)
+
+
+def load_batches(spark: SparkSession, layout: Layout, flow: dict, staged: DataFrame, ids: list[str],
+                 as_of: dt.datetime, on_key_violation: str = "fail",
+                 publish: str | None = "replace_batch") -> BatchResult:
+    """Staged rows of the batches ``ids`` -> staging, quarantine and warehouse, by one
+    commit."""
+    tables, table, many = Snapshots(spark, layout.root), flow["table"], len(ids) > 1
+    checked = ST.tag_key_violations(staged, flow["key"])
+    schema = _checked_schema(flow)
+    load = tables.new_folder(f"loads/{table}")
+    tables.write(checked.withColumn("rejected", F.col("reject_reason").isNotNull()), load, ("rejected",), cluster=many)
+    stats = tables.measured(load, schema, F.col("start_time"))
+    good, bad = ({b: v for (rejected, b), v in stats.items() if rejected is kind} for kind in (False, True))
+    if bad and on_key_violation != "quarantine":
+        rows = spark.read.schema(schema).parquet(f"{layout.root}/{load}/rejected=true")
+        ST.enforce_key(rows, flow["key"])
+    rows = spark.read.schema(_with_batch(flow["staging"])).parquet(f"{layout.root}/{load}/rejected=false") if good else None
+    copy, kept = tables.new_folder(WAREHOUSE + table), tables.new_folder(KEPT + table)
+
+    def publish_copy() -> dict[str, dict]:
+        if not (publish and good):
+            return {}
+        tables.write(rows.withColumn("update_time", F.lit(as_of).cast("timestamp")), copy)
+        return {b: v | {"files": tables.files(copy)} for b, v in good.items()}  # the same rows
+
+    def keep_parts() -> None:
+        if good:  # a row or more of each batch; flat, the batch is a column
+            tables.write(flow["parts"](rows, "batch_id"), kept)
+
+    published, _ = run_concurrently(publish_copy, keep_parts)
+
+    def replaced(name: str, folder: str, found: dict[str, dict]) -> Change:
+        return Change(name + table, "replace", folder if found else None, found, [b for b in ids if b not in found])
+
+    counted = {b: {"rows": 0, "low": None, "high": None, "files": []} for b in good}  # not measured
+    changes = [replaced(STAGING, f"{load}/rejected=false", good), replaced(QUARANTINE, f"{load}/rejected=true", bad),
+               replaced(KEPT, kept, counted)]
+    if publish == "append":
+        changes.append(Change(WAREHOUSE + table, "append", copy if published else None, published))
+    elif publish:
+        changes.append(replaced(WAREHOUSE, copy, published))
+    tables.commit(changes)
+    return BatchResult(table, ids, *(sum(v["rows"] for v in found.values()) for found in (good, bad, published)))
 
 
 MART_TESTS = {
@@ -206,66 +260,80 @@ def build_marts(spark: SparkSession, layout: Layout, stg_fc: DataFrame | None =
 
     Dimensions are written first (full rebuild, or only new keys when
     ``incremental``) and the facts join the written dimensions, whose row
-    sizes in bytes decide broadcast vs. shuffle.  Data tests run after each
-    model and fail the job.  The staging models become session views of their
+    sizes in bytes decide broadcast vs. shuffle.  The dimensions, the forecast fact
+    and the tests of the staging models come from the aggregates kept with each batch
+    (A1), so only the alert fact reads the staged history.  Data tests run after each
+    model and fail the job.  All models of a build appear at once, by one commit
+    record after the last test (K8; the new keys of an incremental build are
+    committed before, K9): readers see the former marts until then, and for good
+    if the build fails.  The staging models become session views of their
     names (K6), and the docs of all models and sources are written beside the
     marts (Q9).
     """
     if stg_fc is None:
         stg_fc = M.stg_forecast(read_staging(spark, layout, "staging_forecast"))
+        days = read_kept(spark, layout, "staging_forecast")
+    else:
+        days = M.forecast_day_parts(stg_fc)
     if stg_al is None:
         stg_al = M.stg_alert(read_staging(spark, layout, "staging_alert"))
+        areas = read_kept(spark, layout, "staging_alert")
+    else:
+        areas = M.alert_area_parts(stg_al)
     stg_fc.createOrReplaceTempView("stg_weather_forecast")
     stg_al.createOrReplaceTempView("stg_weather_alert")
-    K.overwrite_table(docs_frame(spark).coalesce(1), layout.mart("_docs"))
-    if run_tests:
-        Q.assert_passed(
-            Q.not_null(stg_fc, "stg_weather_forecast", MART_TESTS["stg_weather_forecast"])
-            .unionByName(Q.not_null(stg_al, "stg_weather_alert", MART_TESTS["stg_weather_alert"])))
-
-    paths = {m: layout.mart(m) for m in ("dim_city", "dim_area", "fact_weather_forecast",
-                                         "fact_weather_alert")}
-
-    def build_dim_city() -> None:
-        if incremental and _exists(spark, paths["dim_city"]):
-            target = spark.read.parquet(paths["dim_city"])
-            K.append_rows(M.dim_city_new(stg_fc, stg_al, target), paths["dim_city"])
-        else:
-            K.overwrite_table(with_docs(M.dim_city(stg_fc, stg_al), "dim_city"),
-                              paths["dim_city"])
-
-    def build_dim_area() -> None:
-        if incremental and _exists(spark, paths["dim_area"]):
-            target = spark.read.parquet(paths["dim_area"])
-            K.append_rows(M.dim_area_new(stg_al, target), paths["dim_area"])
-        else:
-            K.overwrite_table(with_docs(M.dim_area(stg_al), "dim_area"), paths["dim_area"])
-
-    run_concurrently(build_dim_city, build_dim_area)
-    dim_c = spark.read.parquet(paths["dim_city"])
-    dim_a = spark.read.parquet(paths["dim_area"])
-    if run_tests:
-        Q.assert_passed(Q.not_null(dim_a, "dim_area", MART_TESTS["dim_area"])
-                        .unionByName(Q.unique(dim_a, "dim_area", "area_key")))
-
-    def build_fact_forecast() -> None:
-        K.overwrite_table(with_docs(M.fact_forecast(M.eph_forecast(stg_fc, dim_c)),
-                                    "fact_weather_forecast"), paths["fact_weather_forecast"])
-
-    def build_fact_alert() -> None:
-        keys = materialize(M.city_area_keys(dim_c, dim_a),
-                           f"{layout.root}/marts/_city_area_keys")
-        K.overwrite_table(with_docs(M.fact_alert(M.eph_alert(stg_al), keys),
-                                    "fact_weather_alert"), paths["fact_weather_alert"])
-
-    run_concurrently(build_fact_forecast, build_fact_alert)
-    if run_tests:
-        ff = spark.read.parquet(paths["fact_weather_forecast"])
-        fa = spark.read.parquet(paths["fact_weather_alert"])
-        Q.assert_passed(
-            Q.not_null(ff, "fact_weather_forecast", MART_TESTS["fact_weather_forecast"])
-            .unionByName(Q.not_null(fa, "fact_weather_alert", MART_TESTS["fact_weather_alert"])))
-    return paths
+    tables = Snapshots(spark, layout.root)
+    built: dict[str, str] = {}
+
+    def build(model: str, df: DataFrame) -> DataFrame:
+        folder = tables.new_folder(MART + model)
+        tables.write(df, folder)
+        built[model] = folder
+        return spark.read.schema(df.schema).parquet(f"{layout.root}/{folder}")
+
+    def dimension(model: str, rows: Callable[[], DataFrame], new: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        if not (incremental and tables.has(MART + model)):
+            return build(model, with_docs(rows(), model))
+        own = Snapshots(spark, layout.root)
+        own.add_rows(MART + model, new, rows().schema)
+        return spark.read.schema(rows().schema).parquet(*own.paths(MART + model))
+
+    def test_staging() -> None:
+        if run_tests:
+            Q.assert_passed(
+                Q.not_null_merged(days, "stg_weather_forecast", MART_TESTS["stg_weather_forecast"])
+                .unionByName(Q.not_null_merged(areas, "stg_weather_alert", MART_TESTS["stg_weather_alert"])))
+
+    _, _, dim_c, dim_a = run_concurrently(
+        test_staging,
+        lambda: build("_docs", docs_frame(spark).coalesce(1)),
+        lambda: dimension("dim_city", lambda: M.dim_city(days, areas),
+                          lambda target: M.dim_city_new(days, areas, target)),
+        lambda: dimension("dim_area", lambda: M.dim_area(areas), lambda target: M.dim_area_new(areas, target)))
+
+    def test_dim_area() -> None:
+        if run_tests:
+            Q.assert_passed(Q.not_null(dim_a, "dim_area", MART_TESTS["dim_area"])
+                            .unionByName(Q.unique(dim_a, "dim_area", "area_key")))
+
+    def fact(model: str, df: DataFrame) -> None:
+        rows = build(model, with_docs(df, model))
+        if run_tests:
+            Q.assert_passed(Q.not_null(rows, model, MART_TESTS[model]))
+
+    def fact_alert() -> None:
+        keys = tables.new_folder(f"{MART}_city_area_keys")
+        tables.write(M.city_area_keys(dim_c, dim_a), keys)
+        try:
+            fact("fact_weather_alert", M.fact_alert(M.eph_alert(stg_al),
+                                                    spark.read.parquet(f"{layout.root}/{keys}")))
+        finally:
+            K.drop_folder(spark, f"{layout.root}/{keys}")
+
+    run_concurrently(test_dim_area, lambda: fact("fact_weather_forecast", M.fact_forecast(
+        M.daily_forecast_keys(M.forecast_daily_merged(days), dim_c))), fact_alert)
+    tables.commit([Change(MART + model, "whole", folder) for model, folder in sorted(built.items())])
+    return {m: layout.mart(m) for m in ("dim_city", "dim_area", "fact_weather_forecast", "fact_weather_alert")}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -276,9 +344,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 STATE_DDL = ("pipeline_name string, status string, row_count long, last_processed_at timestamp, "
              "last_run_at timestamp, created_at timestamp, updated_at timestamp")
-REGISTERED_DDL = "pipeline_name string, created_at timestamp, created_seq long"
-UPDATE_DDL = ("pipeline_name string, seq long, status string, row_count long, "
-              "last_processed_at timestamp, ts timestamp")
+
+
+def _fold_state(state: dict, number: int, record: dict) -> dict:
+    """One record of the run-state log; the rules of :func:`skyfold.operators.runstate.apply_update`."""
+    name, ts = record["pipeline_name"], record["ts"]
+    if record.get("register"):
+        state.setdefault(name, dict.fromkeys(RS.STATE_COLUMNS[1:]) | {"created_at": ts, "updated_at": ts})
+    elif name in state:
+        row = state[name]
+        row.update({k: record[k] for k in ("row_count", "last_processed_at") if record[k] is not None},
+                   status=record["status"], updated_at=ts)
+        if record["status"] == STATUS_RUNNING:
+            row["last_run_at"] = ts
+    return state
+
+
+def _state_log(spark: SparkSession, layout: Layout) -> SequenceLog:
+    return SequenceLog(spark, layout.state_log, _fold_state, dict)
+
+
+def _text(t: dt.datetime | None) -> str | None:
+    return None if t is None else t.astimezone(dt.timezone.utc).isoformat()
 
 
 def record_state(spark: SparkSession, layout: Layout, pipeline_name: str, status: str,
@@ -286,28 +373,23 @@ def record_state(spark: SparkSession, layout: Layout, pipeline_name: str, status
                  last_processed_at: dt.datetime | None = None) -> None:
     """Append one state update to the update log.
 
-    Appends of several pipelines never touch each other's rows; the state is
-    derived by :func:`read_state`.
+    Updates are ordered by the number each takes in the log by compare-and-create, not by
+    the clock of the machine that writes it; the log keeps a checkpoint of the folded
+    state and a bounded tail.  Updates of a pipeline that is not registered yet don't
+    count.
     """
-    spark.createDataFrame([(pipeline_name, time.time_ns(), status, row_count, last_processed_at, as_of)],
-                          UPDATE_DDL).coalesce(1).write.mode("append").parquet(layout.state_log)
-
-
-def _appended(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    return spark.read.schema(ddl).parquet(path) if _exists(spark, path) else spark.createDataFrame([], ddl)
+    record = {"pipeline_name": pipeline_name, "status": status, "row_count": row_count,
+              "last_processed_at": _text(last_processed_at), "ts": _text(as_of)}
+    _state_log(spark, layout).append(lambda state: record)
 
 
 def read_state(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The current state: the update log folded over the registered pipelines, the
-    latest update last; updates before the registration don't count."""
-    created = _appended(spark, layout.registered, REGISTERED_DDL).groupBy("pipeline_name").agg(
-        F.min_by("created_at", "created_seq").alias("created_at"), F.min("created_seq").alias("created_seq"))
-    state = created.select(
-        "pipeline_name", F.lit(None).cast("string").alias("status"), F.lit(None).cast("long").alias("row_count"),
-        F.lit(None).cast("timestamp").alias("last_processed_at"),
-        F.lit(None).cast("timestamp").alias("last_run_at"), "created_at",
-        F.col("created_at").alias("updated_at"), "created_seq")
-    return RS.fold_updates(state, _appended(spark, layout.state_log, UPDATE_DDL)).select(*RS.STATE_COLUMNS)
+    """The current state: one row per registered pipeline."""
+    _, state = _state_log(spark, layout).read()
+    times = ("last_processed_at", "last_run_at", "created_at", "updated_at")
+    rows = [(name, *(dt.datetime.fromisoformat(row[c]) if c in times and row[c] else row[c]
+                     for c in RS.STATE_COLUMNS[1:])) for name, row in sorted(state.items())]
+    return spark.createDataFrame(rows, STATE_DDL)
 
 
 def register_pipeline(spark: SparkSession, layout: Layout, pipeline_name: str,
@@ -315,18 +397,18 @@ def register_pipeline(spark: SparkSession, layout: Layout, pipeline_name: str,
     """Create the state row of a pipeline (updates of unknown pipelines are
     ignored, so a pipeline is registered once before its first run; the first
     registration counts)."""
-    state = read_state(spark, layout)
-    if not state.where(F.col("pipeline_name") == pipeline_name).limit(1).count():
-        spark.createDataFrame([(pipeline_name, as_of, time.time_ns())], REGISTERED_DDL
-                              ).coalesce(1).write.mode("append").parquet(layout.registered)
+    log = _state_log(spark, layout)
+    if pipeline_name not in log.read()[1]:
+        record = {"pipeline_name": pipeline_name, "register": True, "ts": _text(as_of)}
+        log.append(lambda state: record)
     return read_state(spark, layout)
 
 
 def success_row_count(spark: SparkSession, layout: Layout, batch_ids: list[str]) -> int:
-    """A2 + A3: rows of both staging tables in these batches (0 if none)."""
-    tables = {t: read_staging(spark, layout, t) for t in ("staging_forecast", "staging_alert")}
-    counts = RS.batch_row_counts(tables, batch_ids)
-    return int(counts.agg(F.sum("row_count")).first()[0] or 0)
+    """A2 + A3: rows of both staging tables in these batches (0 if none), from the commit
+    records; no data file is opened."""
+    tables = Snapshots(spark, layout.root)
+    return sum(tables.row_count(STAGING + RS.check_table_name(f["table"]), batch_ids) for f in FLOWS.values())
 
 
 def expire(spark: SparkSession, layout: Layout, as_of: dt.datetime,
@@ -338,29 +420,31 @@ def expire(spark: SparkSession, layout: Layout, as_of: dt.datetime,
     driver one partition at a time and is deleted a bounded number of paths at
     a time.  Only paths that are really gone are reported.  Objects whose name
     carries no timestamp are never deleted; they are counted, with a bounded
-    sample.
+    sample.  Versions of tables that no commit has named for as long go too.
     """
-    dropped: list[str] = []
-    examples: list[str] = []
-    unparsed = 0
-    for dataset in FLOWS:
-        for folder in (layout.bronze(dataset), layout.silver(dataset)):
-            if not _exists(spark, folder):
-                continue
-            units = R.delete_units(RD.list_objects(spark, folder), as_of, days=days)
-
-            def old(rows=units.toLocalIterator()) -> Iterator[str]:
-                nonlocal unparsed
-                for r in rows:
-                    if r.expired:
-                        yield r.unit
-                        continue
-                    unparsed += r.n_objects
-                    if len(examples) < sample:
-                        examples.append(r.unit)
-
-            dropped += R.delete_paths(spark, old())
-    return {"dropped": dropped, "unparsed": unparsed, "unparsed_sample": examples}
+    def clean(folder: str) -> tuple[list[str], list[str], int]:
+        if not _exists(spark, folder):
+            return [], [], 0
+        examples: list[str] = []
+        unparsed = 0
+        units = R.delete_units(RD.list_objects(spark, folder), as_of, days=days)
+
+        def old() -> Iterator[str]:
+            nonlocal unparsed
+            for r in units.toLocalIterator():
+                if r.expired:
+                    yield r.unit
+                    continue
+                unparsed += r.n_objects
+                if len(examples) < sample:
+                    examples.append(r.unit)
+
+        return list(R.delete_paths(spark, old())), examples, unparsed
+
+    done = run_concurrently(*[lambda f=f: clean(f) for d in FLOWS for f in (layout.bronze(d), layout.silver(d))])
+    vacuum(Snapshots(spark, layout.root), time.time() - days * 86_400)
+    return {"dropped": [p for gone, _, _ in done for p in gone], "unparsed": sum(n for _, _, n in done),
+            "unparsed_sample": [p for _, examples, _ in done for p in examples][:sample]}
 
 
 def _run(spark: SparkSession, layout: Layout, pipeline_name: str, batch_time: dt.datetime,
@@ -403,10 +487,8 @@ def run_pipeline(spark: SparkSession, layout: Layout, forecast_docs: DataFrame,
     payloads = {DATASET_FORECAST: forecast_docs, DATASET_ALERT: alert_docs}
 
     def branch(dataset: str) -> BatchResult:
-        docs = payloads[dataset]
-        # one id per batch
-        ids = sorted(r.batch_id for r in docs.select("batch_id").distinct().collect())
-        land(docs, layout, dataset)
+        # the payload is evaluated once, by the landing, which tells the batches it holds
+        ids = land(payloads[dataset], layout, dataset)
         return batch_job(spark, layout, dataset, as_of, ids, on_key_violation)
 
     return _run(spark, layout, pipeline_name, batch_time, as_of, branch)

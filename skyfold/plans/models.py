@@ -86,15 +86,43 @@ def forecast_daily(stg_fc: DataFrame) -> DataFrame:
     )
 
 
+def forecast_day_parts(stg_fc: DataFrame, *by: str) -> DataFrame:
+    """A1, kept state: per (city, weather_date) the rows, and the sum and count of both
+    temperatures; ``by`` keeps the parts of e.g. each batch apart."""
+    low, high = (F.when(F.col("type") == t, F.col("temp")) for t in (LOWEST_TEMP, HIGHEST_TEMP))
+    return stg_fc.groupBy(*by, "city", "weather_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(low).alias("low_sum"), F.count(low).alias("low_n"),
+        F.sum(high).alias("high_sum"), F.count(high).alias("high_n"))
+
+
+def forecast_daily_merged(parts: DataFrame) -> DataFrame:
+    """:func:`forecast_daily` from any set of :func:`forecast_day_parts`: sums and counts
+    add up, averages don't."""
+    merged = parts.groupBy("city", "weather_date").agg(*[F.sum(c).alias(c) for c in (
+        "low_sum", "low_n", "high_sum", "high_n")])
+    return merged.select("city", "weather_date", *[
+        F.when(F.col(f"{k}_n") > 0, F.col(f"{k}_sum") / F.col(f"{k}_n")).alias(name)
+        for k, name in (("low", "avg_LowestTemp"), ("high", "avg_HighestTemp"))])
+
+
+def alert_area_parts(stg_al: DataFrame, *by: str) -> DataFrame:
+    """Kept state of the alert dimensions: the rows of each area."""
+    return stg_al.groupBy(*by, "area").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def eph_forecast(stg_fc: DataFrame, dim_c: DataFrame) -> DataFrame:
-    """city_key, weather_date, avg_LowestTemp, avg_HighestTemp.
+    """city_key, weather_date, avg_LowestTemp, avg_HighestTemp, from all rows."""
+    return daily_forecast_keys(forecast_daily(stg_fc), dim_c)
+
+
+def daily_forecast_keys(daily: DataFrame, dim_c: DataFrame) -> DataFrame:
+    """The city keys of daily averages.
 
     Both join inputs are aggregates (one row per city and day, one row per
     city): their size follows the number of cities and days, not the number
     of forecast rows, so the join is left to Catalyst/AQE without a size
     check or a materialised dimension.
     """
-    daily = forecast_daily(stg_fc)
     joined = daily.join(dim_c.select("city", "city_key"), "city", "inner")
     return joined.select("city_key", "weather_date", "avg_LowestTemp", "avg_HighestTemp")
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyfold.constants import DATASET_ALERT, DATASET_FORECAST
-from skyfold.functions.columns import non_null_elements, to_batch_id, weather_level
+from skyfold.functions.columns import non_null_elements, surrogate_key, to_batch_id, weather_level
 from skyfold.operators import flatten as FL
 from skyfold.operators import quality as Q
 from skyfold.operators import retention as R
@@ -28,6 +28,7 @@ from skyfold.plans import jobs as J
 from skyfold.plans import models as M
 from skyfold.session import ensure_utc, workspace
 from skyfold.sinks import tables as K
+from skyfold.sinks.snapshots import Snapshots
 from skyfold.sources import bindings as B
 from skyfold.sources import readers as RD
 from skyfold.sources import schemas as S
@@ -310,6 +311,53 @@ def q_replace_batch_empty(spark, sf_dir):
     return ntz(back.groupBy("batch_time").agg(F.count(F.lit(1)).alias("row_count")))
 
 
+def _loaded(spark, sf_dir, table: DataFrame, dataset: str, layout: J.Layout, **options) -> list[str]:
+    """Load every batch of a staged table into the deployment; their ids (one per batch)."""
+    ids = sorted(r.batch_id for r in table.select("batch_id").distinct().collect())
+    J.load_batches(spark, layout, J.FLOWS[dataset], table, ids, AS_OF, **options)
+    return ids
+
+
+@query("batch_failed_reload")
+def q_batch_failed_reload(spark, sf_dir):
+    """K3: the earliest batch is reloaded with its even temperatures, then a reload of the
+    latest batch fails on its key: staging, warehouse and kept aggregates all hold what
+    was committed last."""
+    layout = J.Layout(workspace(spark, "failed_reload"))
+    table = _staging_fc_table(spark, sf_dir)
+    ids, flow = _loaded(spark, sf_dir, table, DATASET_FORECAST, layout), J.FLOWS[DATASET_FORECAST]
+    even = table.where((F.col("batch_id") == ids[0]) & (F.col("temp") % 2 == 0))
+    J.load_batches(spark, layout, flow, even, ids[:1], AS_OF)
+    twice = table.where(F.col("batch_id") == ids[-1])
+    try:
+        J.load_batches(spark, layout, flow, twice.unionByName(twice), ids[-1:], AS_OF)
+    except ST.KeyViolation:
+        pass  # nothing was committed
+    else:
+        raise AssertionError("a broken key was committed")
+    kept = J.read_kept(spark, layout, "staging_forecast").groupBy("batch_id").agg(F.sum("n_rows").alias("row_count"))
+    parts = [kept.select(F.lit("kept").alias("layer"), "*")]
+    for layer, df in (("staging", J.read_staging(spark, layout, "staging_forecast")),
+                      ("warehouse", J.read_warehouse(spark, layout, "staging_forecast"))):
+        parts.append(df.groupBy("batch_id").agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(layer).alias("layer"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("batch_stats")
+def q_batch_stats(spark, sf_dir):
+    """A2 / S3: rows and value range of every batch of both staging tables, kept and
+    rejected, from the commit records (no data file is opened)."""
+    layout = J.Layout(workspace(spark, "batch_stats"))
+    _loaded(spark, sf_dir, _staging_fc_table(spark, sf_dir), DATASET_FORECAST, layout, publish=None)
+    _loaded(spark, sf_dir, _staging_al_table(spark, sf_dir), DATASET_ALERT, layout, publish=None,
+            on_key_violation="quarantine")
+    tables = Snapshots(spark, layout.root)
+    parts = [tables.batch_stats(t).select(F.lit(t).alias("table_name"), "batch_id", "row_count", "low", "high")
+             for t in (J.STAGING + "staging_forecast", J.STAGING + "staging_alert", J.QUARANTINE + "staging_alert")]
+    return reduce(DataFrame.unionByName, parts).where("row_count > 0")
+
+
 @query("publish_append")
 def q_publish_append(spark, sf_dir):
     """Append publish run twice: every batch is doubled (bare-load parity)."""
@@ -423,6 +471,66 @@ def q_dim_city_incremental(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("dim_city_rivals")
+def q_dim_city_rivals(spark, sf_dir):
+    """K9: two incremental builds read the same dimension; the second to commit finds it
+    changed and computes its rows again, so no city comes in twice."""
+    fc, al = _stg(spark, sf_dir)
+    root, rival = workspace(spark, "rivals"), []
+    schema = _prior_dim_city(spark, sf_dir).schema
+    Snapshots(spark, root).replace_whole(_prior_dim_city(spark, sf_dir), "marts/dim_city")
+
+    def missing(target: DataFrame) -> DataFrame:
+        if not rival:  # another build commits between the read and the commit of this one
+            rival.append(Snapshots(spark, root).add_rows(
+                "marts/dim_city", lambda t: M.dim_city_new(fc, al, t), schema))
+        return M.dim_city_new(fc, al, target)
+
+    retries = Snapshots(spark, root).add_rows("marts/dim_city", missing, schema)
+    return spark.read.parquet(*Snapshots(spark, root).paths("marts/dim_city")).withColumn(
+        "retries", F.lit(retries).cast("long"))
+
+
+@query("mart_rebuild")
+def q_mart_rebuild(spark, sf_dir):
+    """K8: a reader that has opened the dimension before a rebuild keeps its rows, one that
+    opens it afterwards has the new ones."""
+    fc, al = _stg(spark, sf_dir)
+    tables = Snapshots(spark, workspace(spark, "rebuild"))
+    tables.replace_whole(_prior_dim_city(spark, sf_dir), "marts/dim_city")
+    before = spark.read.parquet(*tables.paths("marts/dim_city"))
+    tables.replace_whole(M.dim_city(fc, al), "marts/dim_city")
+    after = spark.read.parquet(*tables.paths("marts/dim_city"))
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("opened"), "city_key", "city")
+                                          for name, df in (("before", before), ("after", after))])
+
+
+@query("fact_forecast_merged")
+def q_fact_forecast_merged(spark, sf_dir):
+    """A1: the forecast fact merged from the aggregates kept with each batch, after the
+    earliest batch was reloaded with its even temperatures and the latest one emptied."""
+    layout = J.Layout(workspace(spark, "merged"))
+    table, flow = _staging_fc_table(spark, sf_dir), J.FLOWS[DATASET_FORECAST]
+    ids = _loaded(spark, sf_dir, table, DATASET_FORECAST, layout, publish=None)
+    even = table.where((F.col("batch_id") == ids[0]) & (F.col("temp") % 2 == 0))
+    J.load_batches(spark, layout, flow, even, [ids[0], ids[-1]], AS_OF, publish=None)
+    days = J.read_kept(spark, layout, "staging_forecast")
+    keys = days.select("city").distinct().select(surrogate_key("city").alias("city_key"), "city")
+    return M.fact_forecast(M.daily_forecast_keys(M.forecast_daily_merged(days), keys))
+
+
+@query("dq_not_null_merged")
+def q_dq_not_null_merged(spark, sf_dir):
+    """Q1: not_null results merged from each batch's own counts."""
+    fc = M.stg_forecast(B.staging_forecast(spark, sf_dir)).withColumn("batch", F.col("weather_date"))
+    al = M.stg_alert(B.staging_alert(spark, sf_dir)).withColumn("batch", F.col("weather_date"))
+    days = materialize(M.forecast_day_parts(fc, "batch"), workspace(spark, "days"))
+    levels = materialize(al.groupBy("batch", "area", "level").agg(F.count(F.lit(1)).alias("n_rows")),
+                         workspace(spark, "levels"))
+    return (Q.not_null_merged(days, "stg_weather_forecast", ["city", "weather_date"])
+            .unionByName(Q.not_null_merged(levels, "stg_weather_alert", ["area", "level"])))
+
+
 @query("not_in_null_target")
 def q_not_in_null_target(spark, sf_dir):
     """A NULL key in the target blocks every insert (NOT IN semantics)."""
@@ -620,6 +728,19 @@ def q_stream_ingest(spark, sf_dir):
     return ntz(back.select(*STAGING_OUT))
 
 
+@query("stream_trickle")
+def q_stream_trickle(spark, sf_dir):
+    """The same in micro-batches of a few files: files are flattened once, a batch is loaded
+    when its last file has arrived."""
+    layout = J.Layout(workspace(spark, "trickle"))
+    docs = B.forecast_documents(spark, sf_dir)
+    J.land(docs, layout, DATASET_FORECAST)
+    files = RD.list_objects(spark, layout.bronze(DATASET_FORECAST)).where("length > 0").count()
+    ingest_available(spark, layout, DATASET_FORECAST, AS_OF, f"{layout.root}/_checkpoints/trickle",
+                     max_files_per_trigger=max(1, -(-files // 3)))
+    return ntz(J.read_staging(spark, layout, "staging_forecast").select(*STAGING_OUT))
+
+
 def _alert_payload_table(spark, sf_dir, layout, **options) -> J.BatchResult:
     J.land(B.alert_documents(spark, sf_dir), layout, DATASET_ALERT)
     return J.batch_job(spark, layout, DATASET_ALERT, AS_OF, on_key_violation="quarantine", **options)
@@ -646,7 +767,7 @@ def _layer_counts(spark, layout: J.Layout) -> DataFrame:
     """Forecast rows per batch in every layer."""
     silver = RD.read_silver(spark, layout.silver(DATASET_FORECAST), S.SILVER_FORECAST)
     staging = J.read_staging(spark, layout, "staging_forecast")
-    warehouse = K.read_table(spark, layout.warehouse("staging_forecast"), S.STAGING_FORECAST, partitioned=True)
+    warehouse = J.read_warehouse(spark, layout, "staging_forecast")
     parts = [df.groupBy("batch_id").agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(layer).alias("layer"), "batch_id", "row_count")
              for layer, df in (("silver", silver), ("staging", staging), ("warehouse", warehouse))]
@@ -744,7 +865,7 @@ def q_pipeline_run_tables(spark, sf_dir):
     for t in ("staging_forecast", "staging_alert"):
         tables[f"staging/{t}"] = J.read_staging(spark, layout, t)
         tables[f"quarantine/{t}"] = J.read_quarantine(spark, layout, t)
-        tables[f"warehouse/{t}"] = spark.read.parquet(layout.warehouse(t))
+        tables[f"warehouse/{t}"] = J.read_warehouse(spark, layout, t)
     for v in ("stg_weather_forecast", "stg_weather_alert"):
         tables[f"view/{v}"] = spark.table(v)
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")

@@ -3,11 +3,15 @@
 Tables are parquet folders partitioned by ``batch_id``; no catalog or
 metastore is needed, and every write goes through Spark's commit protocol,
 so a lost executor only retries tasks and a rerun of a job is idempotent
-(except the append publish, which duplicates by design).
+(except the append publish, which duplicates by design).  The landing and
+silver layers are such folders; the layers behind them change by commit
+records (:mod:`skyfold.sinks.snapshots`).
 """
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Iterable
 
 from py4j.protocol import Py4JJavaError
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _clustered(df: DataFrame) -> DataFrame:
+def clustered(df: DataFrame, *by: str) -> DataFrame:
     """One shuffle that gathers each batch's rows into few files.
 
     The ``rebalance`` hint relies on AQE to split a hot batch over several tasks;
@@ -24,18 +28,22 @@ def _clustered(df: DataFrame) -> DataFrame:
     they are (more, smaller files).
     """
     aqe = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-    return df.hint("rebalance", "batch_id") if aqe else df
+    return df.hint("rebalance", *(by or ("batch_id",))) if aqe else df
 
 
-def land_documents(docs: DataFrame, path: str) -> None:
+def land_documents(docs: DataFrame, path: str) -> list[str]:
     """K1: land raw JSON text, one document per line, one folder per batch.
 
     Batches present in ``docs`` replace earlier landings of the same batch;
-    other batches are left alone (dynamic partition overwrite).
+    other batches are left alone (dynamic partition overwrite).  Returns the
+    batches present, observed during the write.
     """
-    (_clustered(docs.select("batch_id", "body")).write.mode("overwrite")
+    obs = Observation("landed")
+    observed = docs.select("batch_id", "body").observe(obs, F.collect_set("batch_id").alias("ids"))
+    (clustered(observed).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").text(path))
+    return sorted(_observed(obs).get("ids") or [])
 
 
 def write_partitioned(df: DataFrame, path: str, cluster: bool = True,
@@ -49,7 +57,7 @@ def write_partitioned(df: DataFrame, path: str, cluster: bool = True,
     writes one file into the one folder).  ``max_records_per_file`` caps the
     rows per output file (K10, chunked insert).
     """
-    out = _clustered(df) if cluster else df
+    out = clustered(df) if cluster else df
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -70,10 +78,14 @@ def replace_batches(df: DataFrame, path: str, batch_ids: list[str]) -> int:
                       cluster=len(batch_ids) > 1)
     seen = _observed(obs)
     present = set(seen.get("ids") or [])
-    empty = df.where(F.lit(False))
+    # emptied by the file system, no Spark job: the folder stays, so the batch is known
+    spark = df.sparkSession
     for b in batch_ids:
         if b not in present:
-            replace_batch(empty, path, b)
+            fs, folder = file_system(spark, f"{path}/batch_id={b}")
+            for status in fs.listStatus(folder) if fs.exists(folder) else []:
+                fs.delete(status.getPath(), True)
+            fs.mkdirs(folder)
     return int(seen.get("rows") or 0)
 
 
@@ -93,15 +105,51 @@ def file_system(spark: SparkSession, path: str):
     On a local disk the one below the checksum layer: that layer can't name the
     checksum files of objects with a colon in their name, such as a time stamp.
     """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    fs = p.getFileSystem(conf)
-    if fs.getUri().getScheme() == "file":
-        fs = jvm.org.apache.hadoop.fs.FileSystem.getLocal(conf).getRaw()
+    hadoop = _hadoop(spark.sparkContext)
+    p = hadoop.path(path)
+    scheme = p.toUri().getScheme()
+    fs = hadoop.systems.get(scheme) if scheme in (None, "file") else None  # others differ by host
+    if fs is None:
+        fs = p.getFileSystem(hadoop.conf)
+        if fs.getUri().getScheme() == "file":
+            fs = hadoop.local
+        if scheme in (None, "file"):
+            hadoop.systems[scheme] = fs
     return fs, fs.makeQualified(p)
 
 
+class _Hadoop:
+    """Classes and objects of the JVM that are looked up once (each part of a class name is
+    a call to the JVM)."""
+
+    def __init__(self, sc) -> None:
+        fs = sc._jvm.org.apache.hadoop.fs
+        self.path, self.conf = fs.Path, sc._jsc.hadoopConfiguration()
+        self.local = fs.FileSystem.getLocal(self.conf).getRaw()
+        self.systems: dict = {}
+
+
+@functools.lru_cache(maxsize=4)
+def _hadoop(sc) -> _Hadoop:
+    return _Hadoop(sc)
+
+
+def names_in(spark: SparkSession, folder: str, prefix: str = "", not_empty: bool = False) -> list[str]:
+    """Names right below a folder, hidden ones too (``not_empty``: without objects of no
+    length); none if there is no folder.
+
+    A local disk is listed by Python, which shares it with Spark's driver.
+    """
+    fs, p = file_system(spark, folder)
+    if fs.getUri().getScheme() == "file":
+        local = p.toUri().getPath()
+        names = os.listdir(local) if os.path.isdir(local) else []
+        return [n for n in names if n.startswith(prefix) and not (not_empty and not os.path.getsize(f"{local}/{n}"))]
+    found = fs.listStatus(p) if fs.exists(p) else []
+    names = [s.getPath().getName() for s in found if not (not_empty and not s.getLen())]
+    return [n for n in names if n.startswith(prefix)]
+
+
 def touch(spark: SparkSession, folder: str, names: Iterable[str]) -> None:
     """Objects of these names that hold a line end, as a landing leaves them that names
     each object by its stamp."""
@@ -116,9 +164,7 @@ def touch(spark: SparkSession, folder: str, names: Iterable[str]) -> None:
 def landed_batches(spark: SparkSession, path: str) -> list[str]:
     """Ids of the ``batch_id=...`` folders below ``path`` (their names only; a batch
     without rows counts), in order; empty if nothing was landed."""
-    fs, pattern = file_system(spark, f"{path}/batch_id=*")
-    found = fs.globStatus(pattern) or []
-    return sorted(s.getPath().getName().removeprefix("batch_id=") for s in found)
+    return sorted(n.removeprefix("batch_id=") for n in names_in(spark, path, "batch_id="))
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
@@ -140,7 +186,7 @@ def publish_append(df: DataFrame, path: str) -> int:
     the write (no second scan).  A rerun appends the rows again."""
     obs = Observation("published")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    _clustered(observed).write.mode("append").partitionBy("batch_id").parquet(path)
+    clustered(observed).write.mode("append").partitionBy("batch_id").parquet(path)
     return int(_observed(obs).get("rows") or 0)
 
 

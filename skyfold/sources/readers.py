@@ -18,17 +18,18 @@ def parse_documents(texts: DataFrame, schema: T.StructType, text_col: str = "bod
                                             {"mode": "FAILFAST"}).alias(out_col))
 
 
-def read_bronze(spark: SparkSession, path: str, schema: T.StructType,
-                multi_line: bool = False) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str | list[str], schema: T.StructType,
+                multi_line: bool = False, base: str | None = None) -> DataFrame:
     """Read raw JSON documents with an explicit schema.
 
     JSON Lines (one document per line) is splittable and is what the landing
     step writes; ``multi_line=True`` reads pretty-printed single-document
     files as delivered by an API (one task per file).  Partition folders
-    such as ``batch_id=...`` become columns.  Output: partition columns + doc.
+    such as ``batch_id=...`` become columns (of single files, those below
+    ``base``).  Output: partition columns + doc.
     """
-    raw = (spark.read.schema(schema).option("mode", "FAILFAST")
-           .option("multiLine", multi_line).json(path))
+    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line)
+    raw = (reader.option("basePath", base) if base else reader).json(path)
     parts = [c for c in raw.columns if c not in schema.fieldNames()]
     return raw.select(*parts, F.struct(*[F.col(c) for c in schema.fieldNames()]).alias("doc"))
 

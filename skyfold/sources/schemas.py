@@ -62,3 +62,8 @@ PIPELINE_STATE = _fields(("pipeline_name", S), ("status", S), ("row_count", L),
                          ("created_at", TS), ("updated_at", TS))
 PIPELINE_UPDATE = _fields(("pipeline_name", S), ("seq", L), ("status", S), ("row_count", L),
                           ("last_processed_at", TS), ("ts", TS))
+
+# Aggregates kept with each staged batch
+FORECAST_DAYS = _fields(("city", S), ("weather_date", T.DateType()), ("n_rows", L), ("low_sum", L),
+                        ("low_n", L), ("high_sum", L), ("high_n", L))
+ALERT_AREAS = _fields(("area", S), ("n_rows", L))
