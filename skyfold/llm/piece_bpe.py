@@ -7,9 +7,11 @@ piece become byte pieces.
 
 Two characters that stand side by side in no piece can never be merged, so a
 text is cut at such places (before each blank that follows something else, and
-before line ends) and each distinct chunk is encoded once per worker.  Every new
-chunk of an Arrow batch is checked against the sentencepiece library; a
-difference ends the job.
+before line ends) and each distinct chunk is encoded once per worker.  The new
+chunks of an Arrow batch share one agenda: each round takes the best pair of
+every chunk that has one, in array operations (a chunk of more than ``LONGEST``
+characters has an agenda of its own, a heap).  Every new chunk is checked against
+the sentencepiece library; a difference ends the job.
 
 Defined results: a null or empty text has no ids and decodes to the empty text;
 rows are encoded one by one, whatever their id; an empty table gives no rows.
@@ -35,6 +37,8 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGE_MODEL = 2
 #: Characters of text worked on together, and of chunks remembered by a worker.
 BATCH_CHARS, CACHE_CHARS, CACHE_CHUNKS = 4 << 20, 16 << 20, 600_000
+#: Characters of the chunks whose agenda is shared.
+LONGEST = 64
 #: Never in the texts that take the fast way of cutting.
 CUT = "\x00"
 
@@ -90,6 +94,7 @@ class Model:
         self.cuts_at_blank = not re.search(f"[^{BLANK}\n]{BLANK}", inner)
         self.cuts_at_line = not any("\n" in p for p in self.pieces if len(p) > 1)
         parts = "\n" if self.cuts_at_line else ""
+        self.pair_keys: np.ndarray | None = None  # built when first needed
         self.chunk = re.compile(f"{BLANK}*[^{BLANK}{parts}]+|{BLANK}+" + f"|\n[^{BLANK}\n]*" * self.cuts_at_line)
 
     def _piece(self, fields: dict) -> None:
@@ -103,6 +108,84 @@ class Model:
         elif kind not in (UNKNOWN, CONTROL):
             raise ValueError(f"pieces of type {kind} are not supported")
 
+    def _tables(self) -> None:
+        """The pairs of symbols that form a piece: sorted keys, and of each the rank of its
+        score (equal scores have one rank) and the symbol it becomes.  A symbol is a piece's
+        number, or beyond them a character of pieces that is none itself."""
+        symbols = {p: number for p, (_, number) in self.pieces.items()}
+        self.no_piece = len(self.texts)  # symbols from here on are characters without a piece
+        for c in sorted({c for p in self.pieces for c in p} - symbols.keys()):
+            symbols[c] = self.no_piece + len(symbols)
+        self.of_char = np.full(0x110000, -1, np.int64)
+        for p, number in symbols.items():
+            if len(p) == 1:
+                self.of_char[ord(p)] = number
+        ranks = {score: i for i, score in enumerate(sorted({score for score, _ in self.pieces.values()}))}
+        self.width = max(symbols.values(), default=0) + 2
+        found = sorted((symbols[p[:k]] * self.width + symbols[p[k:]], ranks[score], number)
+                       for p, (score, number) in self.pieces.items() for k in range(1, len(p))
+                       if p[:k] in symbols and p[k:] in symbols)
+        self.pair_keys, self.pair_ranks, self.pair_symbols = np.array(
+            [*found, (np.iinfo(np.int64).max, 0, 0)], np.int64).T.copy()
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (``NONE``: no piece) and symbol of pairs."""
+        key = left * self.width + right
+        at = np.searchsorted(self.pair_keys, key)
+        hit = (self.pair_keys[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.pair_ranks[at], NONE), self.pair_symbols[at]
+
+    def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks one after the other, and the number of ids of each."""
+        if self.pair_keys is None:
+            self._tables()
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        short = np.flatnonzero(sizes <= LONGEST)
+        codes = np.frombuffer("".join([chunks[i] for i in short.tolist()]).encode("utf-32-le", "surrogatepass"), "<u4")
+        symbol = self.of_char[codes]
+        n = len(symbol)
+        bounds = np.concatenate(([0], np.cumsum(sizes[short])))
+        owner = np.repeat(np.arange(len(short)), sizes[short])
+        after = np.arange(1, n + 1)
+        after[bounds[1:][sizes[short] > 0] - 1] = -1
+        before = np.arange(-1, n - 1)
+        before[bounds[:-1][sizes[short] > 0]] = -1
+        rank, becomes = np.full(n, NONE), np.zeros(n, np.int64)
+        there = np.ones(n, bool)
+        inner = np.flatnonzero(after >= 0)
+        rank[inner], becomes[inner] = self._pairs(symbol[inner], symbol[inner + 1])
+        live = np.flatnonzero(np.isin(owner, owner[rank < NONE])) if n else inner
+        while len(live):
+            heads = np.flatnonzero(np.concatenate(([True], owner[live[1:]] != owner[live[:-1]])))
+            best = np.minimum.reduceat((rank[live] << 32) | live, heads)  # the score first, then the place
+            going = (best >> 32) < NONE
+            left = best[going] & 0xFFFFFFFF
+            right = after[left]
+            symbol[left] = becomes[left]
+            there[right] = False
+            follow = after[right]
+            after[left] = follow
+            before[follow[follow >= 0]] = left[follow >= 0]
+            changed = np.concatenate((left, before[left]))
+            changed = changed[changed >= 0]
+            rank[changed] = NONE
+            changed = changed[after[changed] >= 0]
+            rank[changed], becomes[changed] = self._pairs(symbol[changed], symbol[after[changed]])
+            live = live[there[live] & np.repeat(going, np.diff(np.append(heads, len(live))))]
+        counts = np.bincount(owner[there], minlength=len(short))
+        ids = symbol[there]
+        # chunks with characters that have no piece, and the long ones, by themselves
+        alone = np.unique(owner[there][(ids < 0) | (ids >= self.no_piece)])
+        if not len(alone) and len(short) == len(chunks):
+            return ids, counts
+        out: list = [None] * len(chunks)
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        for i, a, b in zip(short.tolist(), ends[:-1].tolist(), ends[1:].tolist()):
+            out[i] = ids[a:b]
+        for i in [*short[alone].tolist(), *np.flatnonzero(sizes > LONGEST).tolist()]:
+            out[i] = np.array(self.encode_chunk(chunks[i]), np.int64)
+        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
+
     def chunks(self, text: str) -> list[str]:
         """The parts of a text, blanks marked and the dummy prefix added, between
         which nothing can be merged."""
@@ -178,6 +261,10 @@ class Model:
         return self.decode_ids(ids).removeprefix(" ")
 
 
+#: Rank of a pair that forms no piece.
+NONE = 1 << 30
+
+
 class Encoder(dict):
     """Numbers of the chunks met so far; ids and decoded texts by that number."""
 
@@ -191,47 +278,64 @@ class Encoder(dict):
         self.clear()
         self.ids, self.starts, self.counts = array("i"), array("q"), array("q")
         self.decoded: list[str] = []
-        self.unchecked: list[str] = []
+        self.fresh: list[str] = []
         self.chars = 0
 
     def __missing__(self, chunk: str) -> int:
-        ids = self.model.encode_chunk(chunk)
-        self.starts.append(len(self.ids))
-        self.counts.append(len(ids))
-        self.ids.extend(ids)
-        self.decoded.append(self.model.decode_ids(ids))
-        self.unchecked.append(chunk)
-        self.chars += len(chunk)
+        self.fresh.append(chunk)
         number = self[chunk] = len(self)
         return number
 
-    def _check(self) -> None:
-        """Compare the new chunks with the library, which puts a blank before each text."""
-        starts, blank = len(self) - len(self.unchecked), self.model.pieces[BLANK][1]
-        texts = [c.replace(BLANK, " ") for c in self.unchecked]
+    def _encode_fresh(self) -> None:
+        """Encode the new chunks, and compare ids and decoded texts with the library, which
+        puts a blank before each text."""
+        chunks, self.fresh = self.fresh, []
+        if not chunks:
+            return
+        ids, counts = self.model.encode_chunks(chunks)
+        ends = np.cumsum(counts)
+        starts = ends - counts
+        byte = np.isin(ids, list(self.model.byte_ids.values()))
+        with_bytes = np.zeros(len(chunks), bool)
+        with_bytes[np.repeat(np.arange(len(chunks)), counts)[byte]] = True
+        texts = [c.replace(BLANK, " ") for c in chunks]
+        decoded = texts[:]
+        for i in np.flatnonzero(with_bytes).tolist():
+            decoded[i] = self.model.decode_ids(ids[starts[i]:ends[i]].tolist())
         expected = self.library.encode([t.removeprefix(" ") for t in texts], num_threads=1)
-        back = self.library.decode(expected, num_threads=1) if texts else []
-        for i, (text, ids, plain) in enumerate(zip(texts, expected, back, strict=True), starts):
-            at = self.starts[i]
-            own = self.ids[at:at + self.counts[i]].tolist()
-            if text == " ":  # the library gives nothing for an empty text
-                ids, plain = [blank], ""
-            elif text[0] != " ":
-                own = [blank, *own]
-            if own != ids or self.decoded[i].removeprefix(" ") != plain:
-                raise ValueError(f"{text!r} has ids {own}, the library gives {ids}")
-        self.unchecked = []
+        back = self.library.decode(expected, num_threads=1)
+        plain = np.array([t[0] == " " and t != " " for t in texts])
+        flat = np.fromiter((x for k in np.flatnonzero(plain).tolist() for x in expected[k]), np.int64)
+        if not (np.array_equal(flat, ids[np.repeat(plain, counts)])
+                and np.array_equal(np.fromiter(map(len, expected), np.int64, len(expected))[plain], counts[plain])):
+            plain[:] = False  # find the one that differs
+        blank = self.model.pieces[BLANK][1]
+        for i, same in enumerate(plain.tolist()):
+            if not same:
+                own, given, text = ids[starts[i]:ends[i]].tolist(), expected[i], texts[i]
+                if text == " ":  # the library gives nothing for an empty text
+                    given, back[i] = [blank], ""
+                elif text[0] != " ":
+                    own = [blank, *own]
+                if own != given:
+                    raise ValueError(f"{text!r} has ids {own}, the library gives {given}")
+            if decoded[i].removeprefix(" ") != back[i]:
+                raise ValueError(f"{texts[i]!r} decodes to {decoded[i]!r}, with the library to {back[i]!r}")
+        base = len(self.ids)
+        self.starts.extend((starts + base).tolist())
+        self.counts.extend(counts.tolist())
+        self.ids.frombytes(ids.astype(np.int32).tobytes())
+        self.decoded.extend(decoded)
+        self.chars += sum(map(len, chunks))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """All ids in one array, the texts' ends in it, and the decoded texts."""
         if self.chars > CACHE_CHARS or len(self) > CACHE_CHUNKS:
             self._forget()
-        numbers, decoded = [], []
-        for text in texts:
-            row = list(map(self.__getitem__, self.model.chunks(text or "")))
-            numbers.append(np.array(row, np.int64))
-            decoded.append("".join(map(self.decoded.__getitem__, row)).removeprefix(" "))
-        self._check()
+        rows = [list(map(self.__getitem__, self.model.chunks(text or ""))) for text in texts]
+        self._encode_fresh()
+        decoded = ["".join(map(self.decoded.__getitem__, row)).removeprefix(" ") for row in rows]
+        numbers = [np.array(row, np.int64) for row in rows]
         starts, counts = np.array(self.starts), np.array(self.counts)
         every = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
         n = counts[every] if len(every) else every

@@ -76,3 +76,17 @@ def test_query(make_docs, library):
 def test_unfit_model_is_refused():
     with pytest.raises(ValueError):
         B.Model(b"")
+
+
+def test_shared_agenda_equals_the_agenda_of_one_chunk(proto, rng):
+    """All chunks of a batch at once against each by its own heap: ties, repeated characters,
+    characters without a piece, line ends, chunks at and over the limit."""
+    model = B.Model(proto)
+    chars = "aaabbtheing▁\n é漢🙂\t\x00#=.0"
+    chunks = ["".join(rng.choice(chars) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    chunks += ["a" * n for n in (1, 2, 3, 7, 63, 64, 65, 66, 300)] + ["▁the", "▁", "the" * 21 + "t", "é" * 64]
+    ids, counts = model.encode_chunks(chunks)
+    ends = counts.cumsum()
+    for chunk, a, b in zip(chunks, (ends - counts).tolist(), ends.tolist()):
+        assert ids[a:b].tolist() == model.encode_chunk(chunk), chunk
+    assert model.encode_chunks([])[0].size == 0
