@@ -68,15 +68,21 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed 64-bit integer."""
+    """``doc_id, fp``: the fingerprint as a signed 64-bit integer; and ``mark``, which
+    tells rows of one id with different texts apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)],
+                                             ["doc_id", "fp", "mark"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, fp long")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), _mark(text_col)).mapInArrow(
+        run, f"doc_id {id_type}, fp long, mark binary")
+
+
+def _mark(text_col: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("mark")
 
 
 def _turned(x: Column, low: int, by: int) -> Column:
@@ -272,17 +278,24 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, max_group: int = MAX_GR
     return edges
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                    max_group: int = MAX_GROUP, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """``doc_id, fp, component_id``: the smallest id reachable over links of at most
-    ``max_bits`` differing bits, the document's own included."""
+def _placed(docs: DataFrame, shingle: int, max_bits: int, max_group: int, id_col: str, text_col: str
+            ) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and of each distinct one the smallest id and the root
+    of its component (a fingerprint of it)."""
     fps = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-fps")
     distinct = stored(fps.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first")),
                       "simhash-distinct")
     roots = components(links(distinct.select("fp"), max_bits, max_group), "simhash-components")
-    placed = distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select(
+    return fps, distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("v", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                    max_group: int = MAX_GROUP, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """``doc_id, fp, component_id``: the smallest id reachable over links of at most
+    ``max_bits`` differing bits, the document's own included."""
+    fps, placed = _placed(docs, shingle, max_bits, max_group, id_col, text_col)
     first = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = placed.join(first, "root").select("fp", "component_id")
     return fps.join(named, "fp", "left").select(
@@ -291,15 +304,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, the one of the
-    smallest id.  Of rows that repeat an id one stays; rows with a null id stay.
+    """``docs`` with one row of each near-duplicate group, one of its smallest id (of
+    several rows with that id the one whose text has the smallest digest).
+
+    Rows are judged one by one: rows of one id whose texts are not near duplicates are in
+    groups of their own, and both stay.  Rows with a null id stay.
     """
-    found = stored(near_duplicates(docs, shingle, max_bits, id_col=id_col, text_col=text_col), "simhash-found")
-    first = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    first = stored(first, "simhash-first")
-    kept = docs.join(first.select(F.col("doc_id").alias(id_col)).hint("shuffle_hash"), id_col, "left_semi")
-    if first.where("rows > 1").limit(1).count():
-        kept = kept.dropDuplicates([id_col])
+    fps, placed = _placed(docs, shingle, max_bits, MAX_GROUP, id_col, text_col)
+    rows = (fps.where("doc_id IS NOT NULL").join(placed.select("fp", "root"), "fp")
+            .groupBy("root", "doc_id", "mark").agg(F.count("*").alias("rows")))
+    first = stored(rows.groupBy("root").agg(F.min(F.struct("doc_id", "mark", "rows")).alias("kept")).select(
+        F.col("kept.doc_id").alias("__id"), F.col("kept.mark").alias("__mark"), "kept.rows"), "simhash-first")
+    marked = docs.withColumn("__m", _mark(text_col))
+    kept = marked.join(first.hint("shuffle_hash"),
+                       (marked[id_col] == F.col("__id")) & (F.col("__m") == F.col("__mark")), "left_semi")
+    if first.where("rows > 1").limit(1).count():  # rows alike in id and text
+        kept = kept.dropDuplicates([id_col, "__m"])
     return kept.select(docs.columns).union(docs.where(F.col(id_col).isNull()))
 
 

@@ -5,6 +5,7 @@ import itertools
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from skyfold.llm import simhash as S
 
@@ -117,3 +118,13 @@ def test_keep_one(make_docs, prose):
     kept = S.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 2), (False, 3), (False, 7), (True, 0)]
+
+
+def test_rows_of_one_id_are_judged_one_by_one(make_docs, prose):
+    """Two clean texts of one id both stay, a copy under a repeated id goes, and of rows
+    alike in id and text one stays."""
+    a, b, c, d = (prose(60) for _ in range(4))
+    docs = make_docs([(1, a), (1, b), (2, b), (2, c), (3, a), (4, d), (4, d), (None, a), (5, None), (5, "")])
+    kept = S.keep_one(docs.withColumn("mark", F.lit(1)).withColumn("fp", F.lit("x"))).collect()
+    assert sorted(((r.doc_id, r.text or "") for r in kept), key=repr) == sorted(
+        [(1, a), (1, b), (2, c), (4, d), (None, a), (5, "")], key=repr)
