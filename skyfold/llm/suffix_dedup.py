@@ -23,8 +23,8 @@ pieces in a batch is spread by piece, and its candidates are compared by two 64-
 hashes of each window instead of in one block.  No text is shuffled but once, by id.
 
 Defined results: a null text is empty; rows with a null id are compared with
-nothing; rows that repeat an id are told apart in the order of their texts, as if
-their ids were consecutive; an empty table gives no rows.
+nothing; rows that repeat an id remove nothing from each other, each is compared with the
+smaller ids only; ids may be any 64-bit numbers; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from __future__ import annotations
 import gc
 import time
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -143,6 +144,12 @@ def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return doc[at], a - shift[at], b - shift[at]
 
 
+def is_later(doc: np.ndarray, first: np.ndarray, shift: int) -> np.ndarray:
+    """Which documents have a greater id than the first that has the same string; below
+    ``shift`` bits, documents tell the rows of one id apart."""
+    return (doc >> shift) > (first >> shift)
+
+
 def _runs(*keys: np.ndarray) -> np.ndarray:
     """Where a new run of equal keys begins."""
     new = np.zeros(len(keys[0]), bool)
@@ -176,7 +183,7 @@ def _packed(start: np.ndarray, size: np.ndarray, beside: np.ndarray) -> np.ndarr
     return (start << 33) | ((size - LENGTH) << 28) | beside
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], shift: int = 0) -> Iterator[pa.RecordBatch]:
     """Task: documents to pieces.  Of a piece only its first document of the batch goes
     on; the later ones are settled here."""
     def flush(found: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +194,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads = np.flatnonzero(new)
         first = np.minimum.reduceat(by_doc, heads)
         later = np.empty(len(doc), bool)
-        later[order] = by_doc > first[np.cumsum(new) - 1]
+        later[order] = is_later(by_doc, first[np.cumsum(new) - 1], shift)
         if later.any():
             d, a, b = _spans(doc[later], start[later], (start + size)[later])
             yield _row(REMOVED, d, a, d, b)  # the piece column carries the start
@@ -217,11 +224,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(found)
 
 
-def _judged(kind, key, piece, doc, place) -> Iterator[pa.RecordBatch]:
+def _judged(kind, key, piece, doc, place, shift: int = 0) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key, piece and document, all rows of each piece together; all rows of
     a key too, unless it is marked or spread."""
     new = _runs(key, piece)
-    later = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+    later = is_later(doc, doc[np.flatnonzero(new)][np.cumsum(new) - 1], shift)
     start, size = place >> 33, ((place >> 28) & 31) + LENGTH
     if later.any():
         d, a, b = _spans(doc[later], start[later], (start + size)[later])
@@ -239,7 +246,7 @@ def _judged(kind, key, piece, doc, place) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((side, group[rows]))
         rows, side = rows[order], side[order]
         at = np.flatnonzero(_runs(group[rows], side))
-        alike = np.minimum.reduceat(doc[rows], at) < np.maximum.reduceat(doc[rows], at)
+        alike = is_later(np.maximum.reduceat(doc[rows], at), np.minimum.reduceat(doc[rows], at), shift)
         hit = np.zeros(len(doc), bool)
         hit[rows] = np.repeat(alike, np.diff(np.append(at, len(rows))))
         wanted |= hit[np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -249,7 +256,7 @@ def _judged(kind, key, piece, doc, place) -> Iterator[pa.RecordBatch]:
                       "start": start[keep], "end": (start + size)[keep]})
 
 
-def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _match(batches: Iterator[pa.RecordBatch], shift: int = 0) -> Iterator[pa.RecordBatch]:
     """Task: pieces sorted by key (the anchor), piece and document, judged key by key."""
     parts: list[list[np.ndarray]] = []
     rows = 0
@@ -275,18 +282,18 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kind = kind.copy()
             kind[:] = np.where(kind == PIECE, SPREAD_PIECE, kind)
         if end:
-            yield from _judged(kind[:end], key[:end], piece[:end], doc[:end], place[:end])
+            yield from _judged(kind[:end], key[:end], piece[:end], doc[:end], place[:end], shift)
         parts = [[kind[end:], key[end:], piece[end:], doc[end:], place[end:]]]
         rows = len(kind) - end
     if rows:
-        yield from _judged(*columns())
+        yield from _judged(*columns(), shift)
 
 
 FOUND = "kind short, key long, doc long, start long, end long"
 TEXT = "kind short, key long, key2 long, doc long, start long, end long, text binary"
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: Iterator[pa.RecordBatch], shift: int = 0) -> Iterator[pa.RecordBatch]:
     """Task: candidates of each document with their texts, or with the hashes of
     their windows where the anchor has too many."""
     for batch in batches:
@@ -303,7 +310,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out[k].append(v)
         yield _text_batch(out)
         if windows:
-            yield from _window_rows(windows)
+            yield from _window_rows(windows, shift)
 
 
 def _text_batch(out: dict) -> pa.RecordBatch:
@@ -311,7 +318,7 @@ def _text_batch(out: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
 
 
-def _window_rows(parts: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+def _window_rows(parts: list[tuple[int, int, bytes]], shift: int = 0) -> Iterator[pa.RecordBatch]:
     b = np.frombuffer(b"".join(p for _, _, p in parts), np.uint8)
     sizes = np.array([len(p) for _, _, p in parts])
     base = np.cumsum(sizes) - sizes
@@ -326,7 +333,7 @@ def _window_rows(parts: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch
     order = np.lexsort((doc, two, one))
     one, two, doc, start = one[order], two[order], doc[order], start[order]
     new = _runs(one, two)
-    later = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+    later = is_later(doc, doc[np.flatnonzero(new)][np.cumsum(new) - 1], shift)
     for kind, rows in ((REMOVED, later), (WINDOWS, ~later)):
         if rows.any():
             key, key2 = (doc[rows], start[rows]) if kind == REMOVED else (_signed(one[rows]), _signed(two[rows]))
@@ -335,7 +342,7 @@ def _window_rows(parts: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch
                                "text": pa.nulls(int(rows.sum()), pa.binary())})
 
 
-def repeats(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeats(parts: list[tuple[int, int, bytes]], shift: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document, start and end of the windows of the texts ``(doc, start, bytes)`` that a
     smaller document has too, by the suffix array of all texts together."""
     joined = b"\x00".join(p for _, _, p in parts) + b"\x00"  # the cut after each text
@@ -354,13 +361,13 @@ def repeats(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray
     doc = np.array([d for d, _, _ in parts], np.int64)[owner[order]]
     heads = np.flatnonzero(new)
     first = np.minimum.reduceat(doc, heads)[np.cumsum(new) - 1] if len(heads) else doc
-    later = doc > first
+    later = is_later(doc, first, shift)
     own = owner[order][later]
     start = np.array([s for _, s, _ in parts], np.int64)[own] + order[later] - base[own]
     return _spans(doc[later], start, start + LENGTH)
 
 
-def _sorted_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sorted_blocks(batches: Iterator[pa.RecordBatch], shift: int = 0) -> Iterator[pa.RecordBatch]:
     """Task: rows sorted by key, key2 and document.  Candidates are gathered to blocks of
     whole keys, each with a suffix array; window rows are judged by their first document."""
     def give(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
@@ -380,7 +387,7 @@ def _sorted_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             first = doc[rows][np.flatnonzero(new)][np.cumsum(new) - 1]
             if (key[0], key2[0]) == first_of[:2]:  # goes on from the batch before
                 first[np.cumsum(new) == 1] = first_of[2]
-            plain[rows] = doc[rows] > first
+            plain[rows] = is_later(doc[rows], first, shift)
             first_of = (key[-1], key2[-1], first[-1])
         if plain.any():
             yield give(*_spans(doc[plain], start[plain], end[plain]))
@@ -389,13 +396,13 @@ def _sorted_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         keys = c["key"].to_numpy()[rows].tolist()
         for k, d, s, t in zip(keys, doc[rows].tolist(), start[rows].tolist(), texts):
             if k != last and size >= BLOCK:
-                yield give(*repeats(block))
+                yield give(*repeats(block, shift))
                 block, size = [], 0
             last = k
             block.append((d, s, t))
             size += len(t) + 1
     if block:
-        yield give(*repeats(block))
+        yield give(*repeats(block, shift))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,22 +438,50 @@ def _release(spark) -> None:
 RESULT = "doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
 
 
+#: Parts that the rows of one id are numbered in.
+PARTS = 256
+
+
+def numbered(named: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Rows ``doc, text`` that repeat ids: a number per different row, whose bits above
+    the returned shift are in the order of the ids; and ``doc, doc_id, copies``, the id each
+    stands for and how many equal rows."""
+    rows = named.groupBy("doc", "text").agg(F.count("*").alias("copies"))
+    part = F.pmod(F.xxhash64("text"), F.lit(PARTS))
+    nth = F.row_number().over(Window.partitionBy("doc", "part").orderBy("text")).cast("long") - 1
+    rows = stored(rows.withColumn("part", part).withColumn("nth", nth * PARTS + F.col("part")).drop("part"), "suffix-rows")
+    # a number for each id in their order: the place after a range partitioned sort
+    ids = stored(rows.select("doc").distinct().repartitionByRange("doc").sortWithinPartitions("doc")
+                 .withColumn("at", F.monotonically_increasing_id()), "suffix-ids")
+    before, offset = 0, {}
+    for r in ids.groupBy(F.shiftright("at", 33).alias("p")).count().orderBy("p").collect():  # a row a partition
+        offset[r.p], before = before, before + r["count"]
+    base = F.create_map(*[F.lit(x) for kv in offset.items() for x in kv]) if offset else F.lit(None).cast("map<long,long>")
+    rank = base[F.shiftright("at", 33)] + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    shift = int(rows.agg(F.max("nth")).first()[0] or 0).bit_length()
+    if before.bit_length() + shift > 63:
+        raise ValueError("more rows of one id times ids than 63 bits can number")
+    code = (F.shiftleft(rank.cast("long"), shift) + F.col("nth")).alias("code")
+    rows = stored(rows.join(ids, "doc").select(code, "doc", "text", "copies"), "suffix-docs")
+    return (rows.select(F.col("code").alias("doc"), "text"),
+            rows.select(F.col("code").alias("doc"), F.col("doc").alias("doc_id"), "copies"), shift)
+
+
 def dedup(docs: DataFrame, max_group: int = MAX_GROUP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: the byte spans removed, maximal and in order, and
     the remaining bytes."""
     spark = docs.sparkSession
     head = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    named = head.where("doc IS NOT NULL")
+    named, shift = head.where("doc IS NOT NULL"), 0
     apart = named.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
-    if apart:  # rows of one id in the order of their texts
-        nth = F.row_number().over(Window.partitionBy("doc").orderBy("text")) - 1
-        named = stored(named.withColumn("nth", nth).select((F.col("doc") * (1 << 20) + F.col("nth")).alias("doc"), "text"),
-                       "suffix-docs")
+    if apart:
+        named, of, shift = numbered(named)
+    cut, match, texts, blocks = (partial(f, shift=shift) for f in (_cut, _match, _texts, _sorted_blocks))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = F.when(F.col("kind") == SPREAD_PIECE, F.pmod("piece", F.lit(256))).otherwise(0)
     found = stored(
-        named.mapInArrow(_cut, ROW).repartition(width, F.col("key"), spread)
-        .sortWithinPartitions("key", "piece", "doc").mapInArrow(_match, FOUND), "suffix-found")
+        named.mapInArrow(cut, ROW).repartition(width, F.col("key"), spread)
+        .sortWithinPartitions("key", "piece", "doc").mapInArrow(match, FOUND), "suffix-found")
     _release(spark)
     candidates = found.where(F.col("kind") == CANDIDATE)
     many = stored(candidates.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > max_group).select("key"),
@@ -457,14 +492,15 @@ def dedup(docs: DataFrame, max_group: int = MAX_GROUP, id_col: str = "doc_id", t
     # dealt by id once: the second step and the third read the same exchange
     dealt = named.repartition(width, "doc")
     compared = (
-        dealt.join(spots.hint("shuffle_hash"), "doc").select("doc", "text", "spots").mapInArrow(_texts, TEXT)
+        dealt.join(spots.hint("shuffle_hash"), "doc").select("doc", "text", "spots").mapInArrow(texts, TEXT)
         .repartition(width, "key", "key2").sortWithinPartitions("key", "key2", "doc")
-        .mapInArrow(_sorted_blocks, "doc long, start long, end long"))
+        .mapInArrow(blocks, "doc long, start long, end long"))
     spans = found.where(F.col("kind") == REMOVED).select("doc", "start", "end").union(compared)
     cuts = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
     out = dealt.join(cuts.hint("shuffle_hash"), "doc", "left").select("doc", "text", "cuts").mapInArrow(_apply, RESULT)
     if apart:
-        out = out.withColumn("doc", F.shiftright("doc", 20))
+        out = (out.join(of, "doc").withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+               .select(F.col("doc_id").alias("doc"), "n_bytes", "spans", "kept"))
     unnamed = head.where("doc IS NULL").select("doc", "text", F.lit(None).cast(
         "array<struct<start:long,end:long>>").alias("cuts")).mapInArrow(_apply, RESULT)
     return out.union(unnamed).withColumnRenamed("doc", "doc_id")

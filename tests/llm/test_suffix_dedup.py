@@ -113,9 +113,9 @@ def test_query_and_odd_ids(make_docs, prose):
     assert rows[-5].n_removed == 0 and rows[None].n_removed == 0
     assert (rows[3].n_removed, rows[3].n_spans) == (len(t), 1)
     assert rows[3].kept_sha256 == hashlib.sha256(b"a ").hexdigest()
-    # rows of one id count one after the other
+    # rows of one id remove nothing from each other: no smaller id has their text
     rows = D.query(make_docs([(3, t), (3, t), (2, "x")])).collect()
-    assert sorted((r.doc_id, r.n_removed) for r in rows) == [(2, 0), (3, 0), (3, len(t))]
+    assert sorted((r.doc_id, r.n_removed) for r in rows) == [(2, 0), (3, 0), (3, 0)]
     assert D.query(make_docs([])).count() == 0
 
 
@@ -124,3 +124,30 @@ def test_given_documents(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     check({r.doc_id: r for r in D.dedup(docs).collect()}, texts)
+
+
+def test_repeated_and_huge_ids_equal_brute_force(make_docs, prose, rng):
+    """Ids at both ends of 64 bits, many rows of one id: each row against smaller ids."""
+    shared = [prose(25) for _ in range(6)]
+    ids = [-(1 << 63), (1 << 63) - 1, 1 << 43, 0, 7, 7, 7, 7, 7, (1 << 62) + 5]
+    rows = []
+    for n in range(60):
+        parts = [rng.choice([rng.choice(shared), rng.choice(shared)[7:110], prose(4)]) for _ in range(rng.randint(0, 4))]
+        rows.append((rng.choice(ids), " | ".join(parts)))
+    rows += [(7, shared[0])] * 5 + [(7, None), (0, shared[0])]
+
+    def expected(doc, text):
+        raw = (text or "").encode()
+        hit = set()
+        for p in range(len(raw) - 49):
+            w = raw[p:p + 50]
+            if any(d < doc and w in (t or "").encode() for d, t in rows):
+                hit |= set(range(p, p + 50))
+        return doc, len(raw), len(hit), hashlib.sha256(bytes(b for i, b in enumerate(raw) if i not in hit)).hexdigest()
+
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in D.query(make_docs(rows)).collect())
+    assert got == sorted(expected(d, t) for d, t in rows)
+    assert sum(r[2] > 0 for r in got) > 10
+    few = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in D.dedup(make_docs(rows), max_group=1).selectExpr(
+        "doc_id", "n_bytes", "aggregate(spans, 0L, (n, s) -> n + s.end - s.start) AS n_removed").collect())
+    assert few == [r[:3] for r in got]  # the way for crowded anchors
