@@ -40,7 +40,13 @@ UNKNOWN = "und"
 #: Score below which :func:`keep_known` rejects a document.
 MIN_SCORE = 0.3
 
-LETTER = re.compile(r"[^\W\d_]")
+_NO_SIGN = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter (``str.isalpha``); signs such as ``²`` and ``½`` are
+    none."""
+    return any(m.group().isalpha() for m in _NO_SIGN.finditer(text))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -78,7 +84,7 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         langs, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        known = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if self.languages else []
+        known = [i for i, t in enumerate(texts) if t and has_letter(t)] if self.languages else []
         rows, sizes = np.zeros((len(known), len(self.places)), bool), np.zeros(len(known))
         for k, i in enumerate(known):
             flags = presence(texts[i])
@@ -111,7 +117,7 @@ def _sample(docs: DataFrame, max_sample: int, id_col: str, text_col: str, lang_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [i for i, t in enumerate(b.column(2).to_pylist()) if t and LETTER.search(t)]
+            keep = [i for i, t in enumerate(b.column(2).to_pylist()) if t and has_letter(t)]
             part = b.take(pa.array(keep, pa.int32()))
             bits = [np.packbits(presence(t)).tobytes() for t in part.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bits, pa.binary())],

@@ -53,6 +53,16 @@ def test_edges(spark, make_docs):
     assert rows[None].held_out and rows[None].lang_pred == "en" and rows[21].lang_pred == "und"
 
 
+def test_only_letters_are_letters(spark, make_docs):
+    import unicodedata
+    for c in map(chr, range(0x30000)):
+        if not 0xD800 <= ord(c) < 0xE000:
+            assert L.has_letter(f"1 {c}") == unicodedata.category(c).startswith("L"), c
+    docs = make_docs([(i, "the house of them") for i in range(20)] + [(21, "² ½ ①"), (22, "² ª")], lang="en")
+    rows = {r.doc_id: r.lang_pred for r in L.query(docs).collect()}
+    assert (rows[21], rows[22]) == ("und", "en")
+
+
 def test_keep_known(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     from pyspark.sql import functions as F
