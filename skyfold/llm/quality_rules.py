@@ -30,8 +30,9 @@ from skyfold.llm.common import LOWER, WHITE_SPACE, stored
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-#: A line goes if more documents of the host have it than both limits say.
-LINE_DOCS, LINE_SHARE = 20, 0.005
+#: A line goes if more than ``LINE_DOCS`` documents of the host have it and these are more than
+#: ``LINE_SHARE`` of the host's documents, or more than ``LINE_MANY`` on a host of any size.
+LINE_DOCS, LINE_SHARE, LINE_MANY = 20, 0.005, 1_000
 #: A document goes if less than this share of its words is left.
 MIN_LEFT = 0.5
 SYMBOLS = "#*$%&|<>"
@@ -119,7 +120,8 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            + ", lines array<struct<line:long,words:int>>")
 
 
-def frequent_lines(measured: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
+def frequent_lines(measured: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE,
+                   line_many: int = LINE_MANY) -> DataFrame:
     """``key``: hash of host and line of each line above its host's limit.
 
     A host's documents and a line's documents are counted with partial sums, so a
@@ -128,18 +130,20 @@ def frequent_lines(measured: DataFrame, line_docs: int = LINE_DOCS, line_share:
     hosts = measured.groupBy("host").agg(F.count("*").alias("docs"))
     lines = measured.select("host", F.explode("lines.line").alias("line")).groupBy("host", "line").agg(
         F.count("*").alias("n")).where(F.col("n") > line_docs)
-    return lines.join(hosts, "host").where(F.col("n") > line_share * F.col("docs")).select(
+    return lines.join(hosts, "host").where(
+        (F.col("n") > line_share * F.col("docs")) | (F.col("n") > line_many)).select(
         F.xxhash64("host", "line").alias("key"))
 
 
 def judge(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT,
-          line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, min_left: float = MIN_LEFT,
+          line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE,
+          line_many: int = LINE_MANY, min_left: float = MIN_LEFT,
           id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """``doc_id``, the base measures, ``base_failed``, ``removed`` (hashes of removed
     lines), ``n_left`` (words left) and ``kept``."""
     measured = stored(measure(docs, id_col, text_col, host_col).withColumn(
         "row", F.monotonically_increasing_id()), "quality-measured")
-    frequent = stored(frequent_lines(measured, line_docs, line_share), "quality-frequent")
+    frequent = stored(frequent_lines(measured, line_docs, line_share, line_many), "quality-frequent")
     small = frequent.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
     lines = measured.select("row", "host", F.explode("lines").alias("l")).select(
         "row", "l.line", "l.words", F.xxhash64("host", "l.line").alias("key"))
@@ -204,7 +208,8 @@ dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM worded GROUP BY do
 hosts AS (SELECT host, count(*) AS docs FROM doc GROUP BY host),
 frequent AS (
   SELECT host, norm FROM worded JOIN hosts USING (host) GROUP BY host, norm, docs
-  HAVING count(DISTINCT doc_id) > {LINE_DOCS} AND count(DISTINCT doc_id) > {LINE_SHARE} * docs),
+  HAVING count(DISTINCT doc_id) > {LINE_DOCS}
+    AND (count(DISTINCT doc_id) > {LINE_SHARE} * docs OR count(DISTINCT doc_id) > {LINE_MANY})),
 cut AS (SELECT doc_id, sum(len(lw)) AS n FROM worded SEMI JOIN frequent USING (host, norm) GROUP BY doc_id),
 base AS (
   SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words,

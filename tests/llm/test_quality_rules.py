@@ -78,3 +78,11 @@ def test_edges(make_docs):
     docs = make_docs([(None, "a b"), (1, "a b"), (1, "a b")]).withColumn("host", F.lit(1)).withColumn("lines", F.lit(2))
     assert sorted((r.doc_id or 0, r.n_words) for r in Q.query(docs).collect()) == [(0, 2), (1, 2), (1, 2)]
     assert Q.clean(docs).count() == 0
+
+
+def test_many_documents_of_a_large_host_are_enough(make_docs, prose):
+    """A line in 30 of 400 documents: not the share, but the number of documents."""
+    docs = make_docs([prose(12) + ("\none common line of the host" if i < 30 else "") for i in range(400)])
+    removed = [len(r.removed) for r in Q.judge(docs, line_share=0.1, line_many=29).collect()]
+    assert sum(removed) == 30
+    assert not any(len(r.removed) for r in Q.judge(docs, line_share=0.1, line_many=30).collect())
