@@ -1,7 +1,10 @@
 r"""Phrase collocation mining by the stripes pattern (operator 12).
 
+Texts are split once: a slice of text becomes the codes of its words and a dictionary, and a
+word's 64-bit hash (seeded by its language) names it from then on.
+
 A stripe is keyed by a prefix and counts the words that follow it.  A task sends one stripe
-for each prefix of its slice of text; stripes of a prefix are merged elementwise.  The words
+for each prefix of its slice; stripes of a prefix are merged elementwise.  The words
 after a prefix that can't be part of a frequent phrase, and the end of a piece, share one
 place of the stripe, so one merged structure gives
 
@@ -18,8 +21,12 @@ Lengths grow one word a pass.  A word extends a prefix only if the phrase withou
 word is frequent too.  The frequent phrases of the length before reach the tasks as a
 bitmap of fixed size (``BITS``) over their hashes, whatever their number: a false hit sends
 a row more, the counts come from the merged stripes and are exact.  A prefix that a third of
-all rows has costs a row a slice and segment: stripes are cut into ``SEGMENTS`` by the
-following word, so the stripe of a frequent word is never in one task.
+all rows has costs a row a slice and segment: the stripes of prefixes that occur ``HEAVY``
+times (a second bitmap) are cut into ``SEGMENTS`` by the following word, so the stripe of a
+very frequent word is never in one task.
+
+Frequent words and phrases get their text back by a join.  Two of a language with one hash
+would be taken for one: their hashes are checked, and an equal pair ends the job.
 
 Words: A-Z in lower case, pieces split at ``[.,;:!?\x0A-\x0D]``, words ``[^\x20\x09]+``.
 
@@ -37,7 +44,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,7 +57,9 @@ TOP = 2_000
 SUBSUMED_PERCENT = 100
 #: Bits of the bitmap of frequent phrases (8 MB).
 BITS = 1 << 26
-SEGMENTS = 32
+SEGMENTS, HEAVY = 32, 10_000
+#: Bytes of text in a slice.
+SLICE_BYTES = 16 << 20
 #: Parts of a language's candidates that are ranked on their own before the final ranking.
 RANK_PARTS = 64
 
@@ -79,65 +87,65 @@ class _Words(dict):
         return code
 
 
-def _seed(lang: str) -> int:
-    return xxhash.xxh32_intdigest(lang.encode())
+def word_hashes(words: list[bytes], lang: str) -> np.ndarray:
+    """Hash of each word; 0 of the end of a piece, which comes first."""
+    seed = xxhash.xxh32_intdigest(lang.encode())
+    out = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    out[:1] = 0
+    return out
 
 
-def _word_hashes(words: list[bytes], lang: str) -> np.ndarray:
-    seed = _seed(lang)
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+def coded(texts: list[bytes], lang: str) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Codes of the words of all texts, the words (the end of a piece first), their hashes."""
+    words, found = _Words(), tokens(texts)
+    codes = np.fromiter(map(words.__getitem__, found), np.int32, len(found))
+    return codes, words.words, word_hashes(words.words, lang)
 
 
-def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Hash of a phrase from the hash of all but its last word and its last word's."""
-    return (left ^ (left >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + right
+CODED = "lang string, words array<string>, hashes array<long>, counts array<long>, codes binary"
 
 
-def _bit(h: np.ndarray) -> np.ndarray:
-    return (((h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(38)).astype(np.int64)
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _by_language(part: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
-    of: dict[str, list[bytes]] = {}
-    for lang, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
-        if text:
-            of.setdefault(lang, []).append(text)
-    yield from of.items()
+def coded_slices(docs: DataFrame) -> DataFrame:
+    """A row per slice of text and language: its distinct words, their hashes and counts, and
+    the code of each word of the text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 1, max_bytes=SLICE_BYTES, max_rows=1 << 30):
+            of: dict[str, list[bytes]] = {}
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
+                if text:
+                    of.setdefault(lang, []).append(text)
+            for lang, texts in of.items():
+                codes, words, hashes = coded(texts, lang)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang]), _one_list(pa.array(words, pa.binary()).cast(pa.string())),
+                     _one_list(pa.array(hashes.view(np.int64))),
+                     _one_list(pa.array(np.bincount(codes, minlength=len(words)))),
+                     pa.array([codes.tobytes()], pa.binary())], ["lang", "words", "hashes", "counts", "codes"])
 
+    return docs.mapInArrow(run, CODED)
 
-def _coded(texts: list[bytes]) -> tuple[np.ndarray, _Words]:
-    words, found = _Words(), tokens(texts)
-    return np.fromiter(map(words.__getitem__, found), np.int64, len(found)), words
 
+def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of a phrase from the hash of all but its last word and its last word's."""
+    return (left ^ (left >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + right
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``lang, word, n`` of every word."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 1, max_bytes=32 << 20, max_rows=1 << 30):
-            for lang, texts in _by_language(part):
-                codes, words = _coded(texts)
-                n = np.bincount(codes, minlength=len(words.words))[1:]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n), pa.string()), pa.array(words.words[1:], pa.binary()).cast(pa.string()),
-                     pa.array(n, pa.int64())], ["lang", "word", "n"])
 
-    return docs.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+def _bit(h: np.ndarray) -> np.ndarray:
+    return (((h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(38)).astype(np.int64)
 
 
-def _bitmap(frequent: DataFrame) -> np.ndarray:
-    """The bitmap of the phrases ``lang, phrase``: at most ``BITS / 64`` rows reach the
-    driver, however many phrases there are."""
+def _bitmap(phrases: DataFrame) -> np.ndarray:
+    """The bitmap of the phrases' hashes ``h``: at most ``BITS / 64`` rows reach the driver,
+    however many phrases there are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = []
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                hashes = _word_hashes(phrase.split(b" "), lang)
-                bits.append(reduce(_joined, (hashes[i:i + 1] for i in range(1, len(hashes))), hashes[:1]))
-            yield pa.RecordBatch.from_arrays([pa.array(_bit(np.concatenate(bits) if bits else np.zeros(0, np.uint64)))],
-                                             ["bit"])
-
-    rows = (frequent.select("lang", "phrase").mapInArrow(run, "bit long")
-            .groupBy(F.shiftright("bit", 6).alias("at"))
+            yield pa.RecordBatch.from_arrays([pa.array(_bit(batch.column(0).to_numpy().view(np.uint64)))], ["bit"])
+
+    rows = (phrases.select("h").mapInArrow(run, "bit long").groupBy(F.shiftright("bit", 6).alias("at"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toArrow())
     out = np.zeros(BITS // 64, np.int64)
     out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
@@ -149,62 +157,59 @@ def _has(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def stripes_of(codes: np.ndarray, words: _Words, lang: str, size: int, bitmap: np.ndarray) -> pa.RecordBatch:
-    """The stripes of the prefixes of ``size - 1`` words, cut into segments: ``lang, prefix,
-    segment``, the following words (null: the common place of the rest) and their counts."""
-    hashes = _word_hashes(words.words, lang)
+def stripes_of(codes: np.ndarray, hashes: np.ndarray, size: int, frequent: np.ndarray, heavy: np.ndarray
+               ) -> pa.RecordBatch:
+    """The stripes of the prefixes of ``size - 1`` words of one slice: ``prefix, segment``, the
+    following words (null: the common place of the rest) and their counts, all by hash."""
+    n = len(codes) - size + 1  # the last code ends a piece
+    if n < 1:
+        codes, n = np.zeros(size, np.int32), 1
     of_word = hashes[codes]
-    n = max(len(codes) - size + 1, 0)  # the last code ends a piece
-    inside = np.ones(n, bool)
-    prefix = of_word[:n]
-    suffix = of_word[1:n + 1]
+    phrase = of_word[:n + 1].copy()  # of size - 1 words, from every place
+    inside = codes[:n + 1] != 0
     for i in range(1, size - 1):
-        prefix = _joined(prefix, of_word[i:n + i])
-        suffix = _joined(suffix, of_word[i + 1:n + i + 1])
-    for i in range(size - 1):
-        inside &= codes[i:n + i] != 0
-    last = codes[size - 1:size - 1 + n]
-    at = np.flatnonzero(inside & _has(bitmap, prefix))
-    follows = np.where((last[at] != 0) & _has(bitmap, suffix[at]), last[at], 0)
-    key = codes[at]
-    for i in range(1, size - 1):  # exact: codes of words, no hashes
-        key = np.unique(key, return_inverse=True)[1] * len(words.words) + codes[at + i]
-    _, first, prefix_of = np.unique(key, return_index=True, return_inverse=True)
-    segment = (hashes[follows] % np.uint64(SEGMENTS)).astype(np.int64)
-    pair, counts = np.unique((prefix_of * SEGMENTS + segment) * len(words.words) + follows, return_counts=True)
-    stripe, begin = np.unique(pair // len(words.words), return_index=True)
-    follows = pair % len(words.words)
-    names = pa.array(words.words, pa.binary())
-    heads = [pc.take(names, pa.array(codes[at[first] + i])) for i in range(size - 1)]
-    heads = pc.binary_join_element_wise(*heads, pa.scalar(b" ", pa.binary())) if size > 2 else heads[0]
+        phrase = joined(phrase, of_word[i:n + 1 + i])
+        inside &= codes[i:n + 1 + i] != 0
+    usual = inside & _has(frequent, phrase)
+    at = np.flatnonzero(usual[:n])
+    last = codes[at + size - 1]
+    follows = np.where((last != 0) & usual[at + 1], last, 0)
+    prefix, prefix_of = np.unique(phrase[at], return_inverse=True)
+    cut = _has(heavy, prefix)[prefix_of]
+    segment = np.where(cut, (hashes[follows] % np.uint64(SEGMENTS)).astype(np.int64), 0)
+    pair, counts = np.unique((prefix_of * SEGMENTS + segment) * len(hashes) + follows, return_counts=True)
+    stripe, begin = np.unique(pair // len(hashes), return_index=True)
+    follows = pair % len(hashes)
     ends = pa.array(np.r_[begin, len(pair)], pa.int32())
-    nexts = pc.take(names, pa.array(follows, mask=follows == 0)).cast(pa.string())
+    nexts = pa.array(hashes[follows].view(np.int64), mask=follows == 0)
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(stripe), pa.string()), pc.take(heads, pa.array(stripe // SEGMENTS)).cast(pa.string()),
-         pa.array(stripe % SEGMENTS, pa.int32()), pa.ListArray.from_arrays(ends, nexts),
-         pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))],
-        ["lang", "prefix", "segment", "nexts", "counts"])
+        [pa.array(prefix[stripe // SEGMENTS].view(np.int64)), pa.array(stripe % SEGMENTS, pa.int32()),
+         pa.ListArray.from_arrays(ends, nexts), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))],
+        ["prefix", "segment", "nexts", "counts"])
 
 
-def merged_stripes(docs: DataFrame, size: int, frequent: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """The stripes of the frequent prefixes of ``size - 1`` words, merged elementwise, by
-    segment: ``lang, prefix, total``, ``stripe``, the words that follow ``min_count`` times or
-    more with their counts, and ``top``, the greatest of these.
+def merged_stripes(texts: DataFrame, size: int, frequent: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    """The stripes of the frequent prefixes (``h``, occurrences ``n``) of ``size - 1`` words,
+    merged elementwise, by segment: ``prefix, total``, ``stripe``, the words that follow
+    ``min_count`` times or more with their counts, and ``top``, the greatest of these.
 
     One shuffle: elements are summed where their segment has come to.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(frequent))
+    shared = texts.sparkSession.sparkContext.broadcast(
+        (_bitmap(frequent), _bitmap(frequent.where(F.col("n") >= HEAVY))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 1, max_bytes=16 << 20, max_rows=1 << 30):
-            for lang, texts in _by_language(part):
-                codes, words = _coded(texts)
-                out = stripes_of(codes, words, lang, size, shared.value)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                codes = np.frombuffer(batch.column(1)[i].as_py(), np.int32)
+                hashes = batch.column(0)[i].values.to_numpy().view(np.uint64)
+                out = stripes_of(codes, hashes, size, *shared.value)
                 for a in range(0, out.num_rows, 10_000):
                     yield out.slice(a, 10_000)
 
-    sent = docs.mapInArrow(run, "lang string, prefix string, segment int, nexts array<string>, counts array<long>")
-    place = ("lang", "prefix", "segment")
+    sent = texts.select("hashes", "codes").mapInArrow(
+        run, "prefix long, segment int, nexts array<long>, counts array<long>")
+    place = ("prefix", "segment")
     counted = (sent.repartition(*place).select(*place, F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
                .groupBy(*place, F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n")))
     often = F.col("next").isNotNull() & (F.col("n") >= min_count)
@@ -213,28 +218,49 @@ def merged_stripes(docs: DataFrame, size: int, frequent: DataFrame, min_count: i
         F.collect_list(F.when(often, F.struct("next", "n"))).alias("stripe"))
 
 
+def _distinct(phrases: DataFrame) -> DataFrame:
+    """``phrases``, once no two of them have one hash."""
+    twice = phrases.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").limit(1).count()
+    if twice:
+        raise ValueError("two frequent phrases have the same 64-bit hash")
+    return phrases
+
+
+def _extended(stripes: DataFrame, frequent: DataFrame, words: DataFrame) -> DataFrame:
+    """``h, lang, phrase, n`` of the frequent phrases that are one word longer."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = joined(*(b.column(i).to_numpy().view(np.uint64) for i in (0, 1)))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *b.columns[2:]], ["h", "lang", "phrase", "n"])
+
+    ends = words.select(F.col("h").alias("next"), F.col("phrase").alias("last"))
+    found = (stripes.select("prefix", F.explode("stripe").alias("e")).select("prefix", "e.next", "e.n")
+             .join(frequent.select(F.col("h").alias("prefix"), "lang", "phrase"), "prefix").join(ends, "next"))
+    return found.select("prefix", "next", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "n").mapInArrow(
+        run, "h long, lang string, phrase string, n long")
+
+
 def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS,
          subsumed_percent: int = SUBSUMED_PERCENT, top: int = TOP, text_col: str = "text",
          lang_col: str = "lang") -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's first ``top`` phrases."""
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(text_col).alias("text"))
-    words = word_counts(docs)
-    words = stored(words, "collocation-words")
+    texts = stored(coded_slices(docs), "collocation-slices")
+    words = stored(texts.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w"))
+                   .where("w.words <> ''").groupBy("lang", F.col("w.words").alias("phrase"), F.col("w.hashes").alias("h"))
+                   .agg(F.sum("w.counts").alias("n")), "collocation-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))  # one row per language
-    frequent = words.where(F.col("n") >= min_count).select("lang", F.col("word").alias("phrase"))
+    frequent = words = _distinct(words.where(F.col("n") >= min_count))
     phrases, prefixes = [], []
     for size in range(2, max_words + 1):
-        stripes = stored(merged_stripes(docs, size, frequent, min_count), f"collocation-stripes-{size}")
-        prefixes.append(stripes.groupBy("lang", F.col("prefix").alias("phrase")).agg(
-            F.sum("total").alias("f"), F.max("top").alias("top")))
-        found = stripes.select("lang", "prefix", F.explode("stripe").alias("e")).select(
-            "lang", F.concat_ws(" ", "prefix", "e.next").alias("phrase"), F.lit(size).alias("size"),
-            F.col("e.n").alias("a"))
-        phrases.append(found)
-        frequent = found.select("lang", "phrase")
+        stripes = stored(merged_stripes(texts, size, frequent, min_count), f"collocation-stripes-{size}")
+        prefixes.append(stripes.groupBy(F.col("prefix").alias("h")).agg(F.sum("total").alias("f"), F.max("top").alias("top"))
+                        .join(frequent.select("h", "lang", "phrase"), "h").select("lang", "phrase", "f", "top"))
+        frequent = _distinct(stored(_extended(stripes, frequent, words), f"collocation-phrases-{size}"))
+        phrases.append(frequent.select("lang", "phrase", F.lit(size).alias("size"), F.col("n").alias("a")))
     candidates = reduce(DataFrame.unionByName, phrases)
-    f_of = stored(reduce(DataFrame.unionByName, prefixes).where(F.col("f") >= min_count), "collocation-prefixes")
+    f_of = stored(reduce(DataFrame.unionByName, prefixes), "collocation-prefixes")
     return _ranked(_scored(candidates, f_of, totals, subsumed_percent), top)
 
 

@@ -3,6 +3,8 @@
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from skyfold.llm import collocations as C
@@ -62,18 +64,40 @@ def test_stripes_equal_brute_force(spark, rng):
         assert got == brute(rows, min_count, percent, top) and got
 
 
-def test_more_phrases_than_bits(spark, rng, monkeypatch):
-    """False hits of the bitmap cost rows, not results."""
+def stripe_counts(batch, words, hashes):
+    """The stripes of a slice with words for hashes."""
+    name = dict(zip(hashes.view(np.int64).tolist(), (w.decode() for w in words)))
+    out = Counter()
+    for r in batch.to_pylist():
+        for w, c in zip(r["nexts"], r["counts"]):
+            out[name[r["prefix"]], w if w is None else name[w]] += c
+    return out
+
+
+def test_false_hits_send_more_rows_only(monkeypatch):
+    codes, words, hashes = C.coded([b"a b a c", b"A b"], "en")
+    nothing = np.zeros(C.BITS // 64, np.uint64)
+    assert C.stripes_of(codes, hashes, 2, nothing, nothing).num_rows == 0
+    monkeypatch.setattr(C, "_has", lambda bitmap, h: np.full(len(h), bitmap is not nothing))  # everything hits
+    every = nothing + np.uint64(1)
+    expect = {("a", "b"): 2, ("a", "c"): 1, ("b", "a"): 1, ("b", None): 1, ("c", None): 1}
+    for heavy in (nothing, every):  # in one segment, and cut
+        assert stripe_counts(C.stripes_of(codes, hashes, 2, every, heavy), words, hashes) == expect
+    assert C.stripes_of(*C.coded([b"a"], "en")[::2], 5, every, every).num_rows == 0
+
+
+def test_heavy_prefixes_are_cut_and_merged(spark, rng, monkeypatch):
     rows = planted(rng, None, 60)
     docs = spark.createDataFrame(rows, "lang string, text string")
-    monkeypatch.setattr(C, "_has", lambda bitmap, h: (h == h))  # everything hits
-    codes, words = C._coded([b"a b a c", b"a b"])
-    batch = C.stripes_of(codes, words, "en", 2, None).to_pylist()
-    stripe = Counter()
-    for r in batch:
-        stripe.update({(r["prefix"], w): c for w, c in zip(r["nexts"], r["counts"])})
-    assert stripe == {("a", "b"): 2, ("a", "c"): 1, ("b", "a"): 1, ("b", None): 1, ("c", None): 1}
-    assert found(C.mine(docs, 4)) == brute(rows, 4)
+    monkeypatch.setattr(C, "HEAVY", 6)
+    assert found(C.mine(docs.repartition(4), 4)) == brute(rows, 4)
+
+
+def test_equal_hashes_end_the_job(spark):
+    phrases = spark.createDataFrame([(1, "en", "a", 5), (1, "en", "b", 5)], "h long, lang string, phrase string, n long")
+    with pytest.raises(ValueError, match="hash"):
+        C._distinct(phrases)
+    assert C._distinct(phrases.limit(1)).count() == 1
 
 
 def test_exact_beyond_64_bits(spark):
