@@ -370,6 +370,20 @@ def q_publish_append(spark, sf_dir):
     return ntz(back.groupBy("batch_time").agg(F.count(F.lit(1)).alias("row_count")))
 
 
+@query("publish_loaded_rows")
+def q_publish_loaded_rows(spark, sf_dir):
+    """K5 / A5: what each of two append publishes reports as loaded, and what the table
+    holds after it."""
+    path = workspace(spark, "warehouse") + "/staging_forecast"
+    table = _staging_fc_table(spark, sf_dir).withColumn("update_time", F.lit(AS_OF).cast("timestamp"))
+    rows = []
+    for run in (1, 2):
+        loaded = K.publish_append(table, path)
+        held = K.read_table(spark, path, S.STAGING_FORECAST, partitioned=True).count()
+        rows.append((run, loaded, held))
+    return spark.createDataFrame(rows, "run long, loaded_rows long, table_rows long")
+
+
 @query("scan_batch")
 def q_scan_batch(spark, sf_dir):
     """The current (latest) batch of the staging table, partition-pruned."""

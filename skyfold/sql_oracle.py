@@ -530,3 +530,6 @@ register("dq_not_null_merged", with_models(_status(" UNION ALL ".join([
     _nn("stg_weather_forecast", "stg_forecast", "weather_date"),
     _nn("stg_weather_alert", "stg_alert", "area"), _nn("stg_weather_alert", "stg_alert", "level")]))))
 register("stream_trickle", ORACLE["stream_ingest"])
+register("publish_loaded_rows", f"""WITH {STAGING_FORECAST}
+SELECT run, count(*) AS loaded_rows, run * count(*) AS table_rows
+FROM staging_forecast, (VALUES (1), (2)) AS runs(run) GROUP BY run""")
