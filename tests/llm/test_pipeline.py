@@ -73,7 +73,7 @@ def test_decontamination_stage(spark, stages):
 
 
 def test_secret_stage(stages):
-    more = [("pem", re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"), 0, 1),
+    more = [("pem", re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?s:.*?-----END [A-Z ]{0,40}PRIVATE KEY-----)?"), 0, 1),
             ("jwt", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), 0, 1)]
     out = {r.doc_id: r for r in stages[4]}
     assert len(out) == len(stages[3])
@@ -122,5 +122,20 @@ def test_stages_on_odd_rows(spark, make_docs):
 
 
 def test_every_operator_has_its_query():
-    assert [int(k[2:].split("_")[0]) for k in queries.QUERIES] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in queries.QUERIES] == list(range(1, 14))
     assert os.path.exists(model_path())
+
+
+def test_private_keys_of_several_lines_are_masked_whole(spark, make_docs, rng):
+    """Header, body and end go, whatever ends the lines; what stands around stays."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    docs, expect = [], {}
+    for i, (kind, end) in enumerate([("RSA ", "\n"), ("", "\r\n"), ("EC ", "\\n"), ("OPENSSH ", "\n")]):
+        body = end.join("".join(rng.choice(letters) for _ in range(64)) for _ in range(5))
+        key = f"-----BEGIN {kind}PRIVATE KEY-----{end}{body}{end}-----END {kind}PRIVATE KEY-----"
+        docs += [(2 * i, f"before {key} after"), (2 * i + 1, f"{key}\nand {key}")]
+        expect |= {2 * i: "before [secret] after", 2 * i + 1: "[secret]\nand [secret]"}
+    stage = dict(P.STAGES)["secret scans"]
+    out = {r.doc_id: r for r in stage(spark, make_docs(docs), SF_SMALL).collect()}
+    assert {i: r.text for i, r in out.items()} == expect
+    assert all(r.n_chars == len(r.text) for r in out.values())
