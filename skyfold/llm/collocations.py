@@ -21,9 +21,10 @@ Lengths grow one word a pass.  A word extends a prefix only if the phrase withou
 word is frequent too.  The frequent phrases of the length before reach the tasks as a
 bitmap of fixed size (``BITS``) over their hashes, whatever their number: a false hit sends
 a row more, the counts come from the merged stripes and are exact.  A prefix that a third of
-all rows has costs a row a slice and segment: the stripes of prefixes that occur ``HEAVY``
-times (a second bitmap) are cut into ``SEGMENTS`` by the following word, so the stripe of a
-very frequent word is never in one task.
+all rows has costs a row a slice and segment: the stripes of prefixes with more than a
+``HEAVY``-th of a shuffle partition's share of all words (a second bitmap; there are at most
+``HEAVY`` times as many as partitions) are cut into ``SEGMENTS`` by the following word, so the
+stripe of a very frequent word is never in one task.
 
 Frequent words and phrases get their text back by a join.  Two of a language with one hash
 would be taken for one: their hashes are checked, and an equal pair ends the job.
@@ -57,7 +58,7 @@ TOP = 2_000
 SUBSUMED_PERCENT = 100
 #: Bits of the bitmap of frequent phrases (8 MB).
 BITS = 1 << 26
-SEGMENTS, HEAVY = 32, 10_000
+SEGMENTS, HEAVY = 32, 4
 #: Bytes of text in a slice.
 SLICE_BYTES = 16 << 20
 #: Parts of a language's candidates that are ranked on their own before the final ranking.
@@ -188,15 +189,16 @@ def stripes_of(codes: np.ndarray, hashes: np.ndarray, size: int, frequent: np.nd
         ["prefix", "segment", "nexts", "counts"])
 
 
-def merged_stripes(texts: DataFrame, size: int, frequent: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+def merged_stripes(texts: DataFrame, size: int, frequent: DataFrame, min_count: int, heavy_from: float) -> DataFrame:
     """The stripes of the frequent prefixes (``h``, occurrences ``n``) of ``size - 1`` words,
     merged elementwise, by segment: ``prefix, total``, ``stripe``, the words that follow
     ``min_count`` times or more with their counts, and ``top``, the greatest of these.
+    Stripes of prefixes that occur ``heavy_from`` times are cut.
 
     One shuffle: elements are summed where their segment has come to.
     """
     shared = texts.sparkSession.sparkContext.broadcast(
-        (_bitmap(frequent), _bitmap(frequent.where(F.col("n") >= HEAVY))))
+        (_bitmap(frequent), _bitmap(frequent.where(F.col("n") >= heavy_from))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,10 +253,12 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
                    .where("w.words <> ''").groupBy("lang", F.col("w.words").alias("phrase"), F.col("w.hashes").alias("h"))
                    .agg(F.sum("w.counts").alias("n")), "collocation-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))  # one row per language
+    every = totals.agg(F.sum("n")).first()[0] or 0
+    heavy_from = every / (HEAVY * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     frequent = words = _distinct(words.where(F.col("n") >= min_count))
     phrases, prefixes = [], []
     for size in range(2, max_words + 1):
-        stripes = stored(merged_stripes(texts, size, frequent, min_count), f"collocation-stripes-{size}")
+        stripes = stored(merged_stripes(texts, size, frequent, min_count, heavy_from), f"collocation-stripes-{size}")
         prefixes.append(stripes.groupBy(F.col("prefix").alias("h")).agg(F.sum("total").alias("f"), F.max("top").alias("top"))
                         .join(frequent.select("h", "lang", "phrase"), "h").select("lang", "phrase", "f", "top"))
         frequent = _distinct(stored(_extended(stripes, frequent, words), f"collocation-phrases-{size}"))

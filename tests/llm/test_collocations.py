@@ -89,8 +89,9 @@ def test_false_hits_send_more_rows_only(monkeypatch):
 def test_heavy_prefixes_are_cut_and_merged(spark, rng, monkeypatch):
     rows = planted(rng, None, 60)
     docs = spark.createDataFrame(rows, "lang string, text string")
-    monkeypatch.setattr(C, "HEAVY", 6)
-    assert found(C.mine(docs.repartition(4), 4)) == brute(rows, 4)
+    for heavy in (1e-9, 3, 1e9):  # no stripe is cut, some, all
+        monkeypatch.setattr(C, "HEAVY", heavy)
+        assert found(C.mine(docs.repartition(4), 4)) == brute(rows, 4)
 
 
 def test_equal_hashes_end_the_job(spark):
