@@ -60,7 +60,7 @@ SUBSUMED_PERCENT = 100
 BITS = 1 << 26
 SEGMENTS, HEAVY = 32, 4
 #: Bytes of text in a slice.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 #: Parts of a language's candidates that are ranked on their own before the final ranking.
 RANK_PARTS = 64
 
