@@ -5,16 +5,21 @@ stems (its first ``STEMS`` letters) are each hashed to one of ``BUCKETS`` places
 enough training texts have (``MIN_DOCS``, ``MIN_SHARE``) have an embedding, all others the zero
 vector, and a word's embedding is the sum of its places'.  ``FILTERS`` filters of each width in
 ``WIDTHS`` run over the embeddings; the greatest response of each filter over the whole text, a
-rectifier and one linear layer give the log odds.  Embeddings, filters and layer are trained
-together in numpy (backpropagation through the places of the maxima, Adam) on at most
-``MAX_LABELLED`` labelled rows; the step that fits a part of the rows kept from the training
-best is the one used.  One coordinate of the embeddings starts as the standard score of the
-place's documents of label 1, the others at random.
+rectifier and one linear layer give the log odds.  One coordinate of the embeddings starts as
+the standard score of the place's documents of label 1, the others at random.
+
+Embeddings, filters and layer are trained together on every labelled row.  The rows are dealt
+by hash over pieces of ``PIECE_CHARS`` characters; in each of ``ROUNDS`` rounds a task trains
+the common model on each whole piece (backpropagation through the places of the maxima, Adam),
+and the pieces' models are averaged by their rows.  The round that fits a part of the rows kept
+from the training best is the one used.  The driver holds the model, its counts per place and
+the histograms of the calibration, never rows.
 
 Thresholds are calibrated by language.  The language itself is never an input: it is read
 from the text by the words' log probabilities per language, learnt from the same rows.  The
-part of the rows kept from the training gives each language its threshold, shrunk towards the
-one of all languages; scores are shifted so that the threshold is 0.5.
+part of the rows kept from the training gives each language its threshold (at the edges of
+``BINS`` parts of one unit of log odds), shrunk towards the one of all languages; scores are
+shifted so that the threshold is 0.5.
 
 Only documents outside the held-out fold are learnt from.
 
@@ -38,26 +43,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import slices
+from skyfold.llm.common import slices, stored
 
 BUCKETS = 1 << 20
 DIMENSIONS = 16
 WIDTHS = (1, 2, 3)
 FILTERS = 16
-#: Labelled rows that are learnt from at most: those with the smallest hashes.
-MAX_LABELLED = 4_000
-#: Longer texts are scored, but no training rows (the sample's memory is bounded by both).
-MAX_TRAINING_WORDS = 4_096
 STEMS = (4, 6)
 MIN_DOCS, MIN_SHARE = 3, 0.002
-#: Steps of the training, each over ``BATCH`` texts, and how often the fit is measured.
-STEPS, MEASURED = 200, 20
+#: Steps of a piece's training at least, each over ``BATCH`` texts, in all rounds together; each
+#: round takes every row of the piece.
+STEPS, ROUNDS = 200, 3
 BATCH = 64
+#: Characters of the rows that one task trains on by itself in a round.
+PIECE_CHARS = 4 << 20
 RATE = 0.02
 #: Shrinking of all parameters with each step, as a share of the rate.
 DECAY = 0.02
-#: Share of the sample that calibrates.
-CALIBRATION = 0.2
+#: One of so many rows calibrates.
+CALIBRATION = 5
+#: Parts of one unit of log odds that the calibration tells apart.
+BINS = 64
+#: Averages and losses are sums of multiples of this share of one, so their order changes nothing.
+FIXED = 1 << 24
 #: Rows of the pooled threshold that count beside a language's own.
 SHRINK = 50.0
 FOLDS = 5
@@ -208,119 +216,132 @@ class _Adam:
             p -= rate * (m / (1 - 0.9 ** self.t)) / (np.sqrt(v / (1 - 0.999 ** self.t)) + 1e-8) + rate * DECAY * p
 
 
+def _pieces(texts: list[np.ndarray]) -> Iterator[tuple[list[int], list[int], list[np.ndarray]]]:
+    """Texts in groups of about ``STRETCH`` words, longer ones in stretches that overlap by the
+    widest filter: of each part the text's number, where the part begins, and its rows."""
+    group, held = ([], [], []), 0
+    for i, rows in enumerate(texts):
+        for a in range(0, len(rows), STRETCH):
+            part = rows[a:a + STRETCH + len(WIDTHS) - 1]
+            for c, v in zip(group, (i, a, part)):
+                c.append(v)
+            held += len(part)
+            if held >= STRETCH:
+                yield group
+                group, held = ([], [], []), 0
+    if group[0]:
+        yield group
+
+
+def _maxima(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The greatest response of each filter in each text, 0 at least, and the word it begins at."""
+    best = np.zeros((len(texts), len(WIDTHS) * FILTERS), model.embeddings.dtype)
+    at = np.zeros(best.shape, np.int64)
+    for number, offset, parts in _pieces(texts):
+        rows, starts, _ = _laid_out(parts)
+        x = model.embeddings[rows].sum(axis=1)
+        for k, (w, kernel, bias) in enumerate(zip(WIDTHS, model.filters, model.offsets)):
+            n = len(rows) - w + 1
+            z = sum(x[i:n + i] @ kernel[i] for i in range(w)) + bias
+            cut = slice(k * FILTERS, (k + 1) * FILTERS)
+            for i, from_, a, part in zip(number, offset, starts.tolist(), parts):
+                own = z[a:a + min(len(part), STRETCH)]
+                peak = own.argmax(axis=0)
+                value = own[peak, np.arange(FILTERS)]
+                above = value > best[i, cut]
+                best[i, cut][above], at[i, cut][above] = value[above], peak[above] + from_
+    return best, at
+
+
 def gradients(model: Model, texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray
               ) -> tuple[float, list[np.ndarray]]:
     """Weighted logistic loss of texts (rows of the embeddings) and its gradients by the
     embeddings, filters, offsets, weights and bias."""
-    rows, starts, ends = _laid_out(texts)
-    best, x = model.responses(rows, starts, ends)
-    pooled = np.hstack(best)
-    active = pooled > 0
-    odds = np.maximum(pooled, 0) @ model.weights + model.bias
+    pooled, at = _maxima(model, texts)
+    odds = pooled @ model.weights + model.bias
     p = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
     loss = float(-(weight * np.where(y == 1, np.log(p + 1e-12), np.log(1 - p + 1e-12))).sum())
     error = (weight * (p - y)).astype(np.float32)
-    back = error[:, None] * model.weights[None, :] * active
+    back = error[:, None] * model.weights[None, :] * (pooled > 0)
     d_embeddings = np.zeros_like(model.embeddings)
     d_filters, d_offsets = [np.zeros_like(k) for k in model.filters], []
-    for k, (w, kernel, offset) in enumerate(zip(WIDTHS, model.filters, model.offsets)):
+    rows, starts, _ = _laid_out(texts)
+    for k, (w, kernel) in enumerate(zip(WIDTHS, model.filters)):
         part = back[:, k * FILTERS:(k + 1) * FILTERS]
         d_offsets.append(part.sum(axis=0))
-        for d, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
-            used = np.flatnonzero(part[d])
-            if not len(used):
-                continue
-            z = sum(x[a + i:b + i] @ kernel[i][:, used] for i in range(w))
-            at = z.argmax(axis=0) + a  # the place of each filter's maximum
-            for i in range(w):
-                d_filters[k][i][:, used] += x[at + i].T * part[d, used]
-                by_word = (kernel[i][:, used] * part[d, used]).T
-                for k_place in range(rows.shape[1]):
-                    np.add.at(d_embeddings, rows[at + i, k_place], by_word)
+        d, f = np.nonzero(part)
+        if not len(d):
+            continue
+        first, share = starts[d] + at[d, k * FILTERS + f], part[d, f].astype(np.float32)
+        for i in range(w):
+            words = rows[first + i]
+            np.add.at(d_filters[k][i].T, f, model.embeddings[words].sum(axis=1) * share[:, None])
+            by_word = kernel[i].T[f] * share[:, None]
+            for k_place in range(rows.shape[1]):
+                np.add.at(d_embeddings, words[:, k_place], by_word)
     d_embeddings[0] = 0
-    return loss, [d_embeddings, *d_filters, *d_offsets, np.maximum(pooled, 0).T @ error,
-                  np.array([error.sum()], np.float32)]
+    return loss, [d_embeddings, *d_filters, *d_offsets, pooled.T @ error, np.array([error.sum()], np.float32)]
 
 
-def fit(texts: list[np.ndarray], y: np.ndarray, langs: list[str], steps: int = STEPS, seed: int = 11) -> Model:
-    """Train on the places of texts, their labels and languages."""
+def _started(distinct: np.ndarray, docs: np.ndarray, toxic: np.ndarray, prior: float, seed: int) -> Model:
+    """The model before the training, from the frequent places' documents and those of label 1."""
     rng = np.random.default_rng(seed)
-    nothing = Model(np.zeros(0, np.int32), np.zeros((1, DIMENSIONS), np.float32), [], [], np.zeros(0), 0.0)
-    if len(set(y.tolist())) < 2:
-        return nothing
-    order = np.concatenate([rng.permutation(np.flatnonzero(y == v)) for v in (0, 1)])
-    rank = np.concatenate([np.arange((y == v).sum()) / max((y == v).sum(), 1) for v in (0, 1)])
-    apart = order[rank < CALIBRATION]  # the same share of either label
-    learn = order[rank >= CALIBRATION]
-    if len(set(y[learn].tolist())) < 2:
-        learn = order
-    present = [np.unique(texts[i]) for i in learn]
-    distinct, of = np.unique(np.concatenate(present), return_inverse=True)
-    docs = np.bincount(of, minlength=len(distinct))
-    toxic = np.bincount(of, np.repeat(y[learn], [len(p) for p in present]), minlength=len(distinct))
-    frequent = docs >= min(max(MIN_DOCS, MIN_SHARE * len(learn)), len(learn))
-    distinct, docs, toxic = distinct[frequent], docs[frequent], toxic[frequent]
-    row_of = np.zeros(BUCKETS, np.int32)
-    row_of[distinct] = np.arange(1, len(distinct) + 1)
-    rows = [row_of[t] for t in texts]
-    short = [_shortened(r) for r in rows]
-    prior = y[learn].mean()
 
     def draw(*shape: int, size: float) -> np.ndarray:
         return (rng.standard_normal(shape) * size).astype(np.float32)
 
+    row_of = np.zeros(BUCKETS, np.int32)
+    row_of[distinct] = np.arange(1, len(distinct) + 1)
     embeddings = draw(len(distinct) + 1, DIMENSIONS, size=0.05)
     embeddings[1:, 0] = np.clip((toxic - prior * docs) / np.sqrt(prior * (1 - prior) * docs) / 8, -1, 2)
     embeddings[0] = 0
-    model = Model(row_of, embeddings, [draw(w, DIMENSIONS, FILTERS, size=(1 / (w * DIMENSIONS)) ** 0.5) for w in WIDTHS],
-                  [np.zeros(FILTERS, np.float32) for _ in WIDTHS], draw(len(WIDTHS) * FILTERS, size=0.3), 0.0)
-    bias = np.array([np.log(prior / (1 - prior))], np.float32)
-    best, fitted = np.inf, []
+    return Model(row_of, embeddings, [draw(w, DIMENSIONS, FILTERS, size=(1 / (w * DIMENSIONS)) ** 0.5) for w in WIDTHS],
+                 [np.zeros(FILTERS, np.float32) for _ in WIDTHS], draw(len(WIDTHS) * FILTERS, size=0.3),
+                 float(np.log(prior / (1 - prior))))
+
+
+def _table(model: Model) -> np.ndarray:
+    """All parameters, in rows of ``DIMENSIONS``; the last one holds the bias."""
+    parts = [model.embeddings, *model.filters, *model.offsets, model.weights, np.full(DIMENSIONS, model.bias)]
+    return np.concatenate([np.asarray(p, np.float64).reshape(-1, DIMENSIONS) for p in parts])
+
+
+def _with_table(model: Model, table: np.ndarray) -> Model:
+    table = table.astype(np.float32)
+    cuts = np.cumsum([p.size // DIMENSIONS for p in (model.embeddings, *model.filters, *model.offsets, model.weights)])
+    embeddings, *rest, weights, bias = np.split(table, cuts)
+    n = len(WIDTHS)
+    return Model(model.row_of, embeddings, [k.reshape(f.shape) for k, f in zip(rest[:n], model.filters)],
+                 [o.ravel() for o in rest[n:]], weights.ravel(), float(bias[0, 0]), model.languages, model.thresholds)
+
+
+def _trained(model: Model, texts: list[np.ndarray], y: np.ndarray, steps: int, begun: float, share: float,
+             rng: np.random.Generator) -> Model:
+    """The model after steps over rows of the embeddings; the training's rate falls from what
+    is left of it when a share has ``begun``, over ``share``."""
+    model = _with_table(model, _table(model))
+    bias = np.array([model.bias], np.float32)
     adam = _Adam(model.embeddings, *model.filters, *model.offsets, model.weights, bias)
     queue = np.zeros(0, np.int64)
     for step in range(steps):
         if len(queue) < BATCH:
-            queue = np.r_[queue, rng.permutation(learn)]
+            queue = np.r_[queue, rng.permutation(len(texts))]
         chosen, queue = queue[:BATCH], queue[BATCH:]
-        _, grads = gradients(model, [short[i] for i in chosen], y[chosen], np.full(len(chosen), 1 / len(chosen)))
-        adam.step(grads, RATE * (1 - step / steps))
+        _, grads = gradients(model, [texts[i] for i in chosen], y[chosen], np.full(len(chosen), 1 / len(chosen)))
+        adam.step(grads, RATE * (1 - begun - share * step / steps))
         model.bias = float(bias[0])
-        if (step + 1) % MEASURED and step + 1 < steps:
-            continue
-        loss = _loss(model, [texts[i] for i in apart], y[apart])
-        if loss <= best:
-            best, fitted = loss, [p.copy() for p in adam.params]
-    for p, kept in zip(adam.params, fitted):
-        p[...] = kept
-    model.bias = float(bias[0])
-    model.languages = _language_table(rows, langs, learn, len(embeddings))
-    _calibrate(model, [texts[i] for i in apart], y[apart])
     return model
 
 
-def _loss(model: Model, texts: list[np.ndarray], y: np.ndarray) -> float:
-    z = np.clip(model.odds(texts)[0], -40, 40)
-    return float(np.log1p(np.exp(np.where(y == 1, -z, z))).mean()) if len(y) else 0.0
-
-
-def _language_table(rows: list[np.ndarray], langs: list[str], learn: np.ndarray, n_rows: int) -> np.ndarray:
-    """Log probability of each embedded word by language; other words tell nothing."""
-    names = sorted({langs[i] for i in learn})
-    counts = np.full((n_rows, len(names)), 0.5)
-    for i in learn:
-        np.add.at(counts[:, names.index(langs[i])], rows[i][:, 0], 1.0)
-    table = np.log(counts / counts[1:].sum(axis=0, keepdims=True)) if n_rows > 1 else np.zeros_like(counts)
-    table[0] = 0
-    return table.astype(np.float32)
-
-
-def _threshold(odds: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the cut with the fewest errors; of equally good cuts the widest."""
+def _threshold(odds: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> float:
+    """The middle of the cut with the fewest errors, of equally good cuts the widest; each of
+    the odds stands for ``n`` rows (default: 1)."""
     if len(set(y.tolist())) < 2:
         return 0.0
-    order = np.argsort(odds)
-    z, t = odds[order], y[order]
-    wrong = np.r_[0, np.cumsum(t == 1)] + np.r_[np.cumsum((t == 0)[::-1])[::-1], 0]
+    n = np.ones(len(y), np.int64) if n is None else n
+    z, of = np.unique(odds, return_inverse=True)
+    clean, toxic = (np.bincount(of, n * (y == v), minlength=len(z)) for v in (0, 1))
+    wrong = np.r_[0, np.cumsum(toxic)] + np.r_[np.cumsum(clean[::-1])[::-1], 0]
     edges = np.r_[z[0] - 1, z, z[-1] + 1]
     width = np.diff(edges)
     best = np.flatnonzero(wrong == wrong.min())
@@ -328,50 +349,188 @@ def _threshold(odds: np.ndarray, y: np.ndarray) -> float:
     return float((edges[k] + edges[k + 1]) / 2)
 
 
-def _calibrate(model: Model, texts: list[np.ndarray], y: np.ndarray) -> None:
-    odds, tongues = model.odds(texts)
-    pooled = _threshold(odds, y)
-    tongue = tongues.argmax(axis=1) if tongues.shape[1] else np.zeros(len(texts), np.int64)
-    model.thresholds = np.full(tongues.shape[1], pooled)
-    for k in range(tongues.shape[1]):
+def _thresholds(odds: np.ndarray, y: np.ndarray, tongue: np.ndarray, n: np.ndarray, languages: int) -> np.ndarray:
+    """The threshold of each language, of odds that stand for ``n`` rows each."""
+    pooled = _threshold(odds, y, n)
+    out = np.full(languages, pooled)
+    for k in range(languages):
         own = tongue == k
-        if len(set(y[own].tolist())) == 2:
-            n = float(min((y[own] == 0).sum(), (y[own] == 1).sum()))
-            model.thresholds[k] = (n * _threshold(odds[own], y[own]) + SHRINK * pooled) / (n + SHRINK)
+        least = float(min((n * own)[y == v].sum() for v in (0, 1)))
+        if least:
+            out[k] = (least * _threshold(odds[own], y[own], n[own]) + SHRINK * pooled) / (least + SHRINK)
+    return out
+
+
+PACKED = "apart boolean, shard long, piece int, texts array<string>, labels array<int>, langs array<string>"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: rows sorted by piece become one row for each piece, or several where it is large."""
+    key, piece, size, held = None, 0, 0, []
+
+    def row() -> pa.RecordBatch:
+        texts, labels, langs = zip(*held)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([piece], pa.int32()),
+             pa.array([texts], pa.list_(pa.string())), pa.array([labels], pa.list_(pa.int32())),
+             pa.array([langs], pa.list_(pa.string()))], ["apart", "shard", "piece", "texts", "labels", "langs"])
+
+    for batch in batches:
+        for apart, shard, text, y, lang in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and (key != (apart, shard) or size + len(text or "") > 2 * PIECE_CHARS):
+                yield row()
+                piece, size, held = piece + 1 if key == (apart, shard) else 0, 0, []
+            key = apart, shard
+            held.append((text, y, lang))
+            size += len(text or "")
+    if held:
+        yield row()
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list, np.ndarray, list]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            _, shard, piece, texts, labels, langs = (batch.column(c)[i].as_py() for c in range(6))
+            yield shard, piece, texts, np.array(labels, np.int64), langs
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: of each place and language the documents, those of label 1 and the words."""
+    for _, _, texts, labels, langs in _each(batches):
+        for lang in sorted(set(langs)):
+            own = [i for i, v in enumerate(langs) if v == lang]
+            found = [places(texts[i]) for i in own]
+            present = [np.unique(p) for p in found]
+            place, of = np.unique(np.concatenate(present), return_inverse=True)
+            marks = np.repeat(labels[own], [len(p) for p in present])
+            words = np.bincount(np.searchsorted(place, np.concatenate([p[:, 0] for p in found])), minlength=len(place))
+            docs, toxic = np.bincount(of, minlength=len(place)), np.bincount(of, marks, minlength=len(place))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(place, pa.int32()), pa.array([lang] * len(place), pa.string()),
+                 *(pa.array(c.astype(np.int64)) for c in (docs, toxic, words))], ["place", "lang", "docs", "toxic", "words"])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, steps: int = STEPS,
-          id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> Model:
-    """The model of a bounded sample: at most ``max_labelled`` rows, those with the smallest
-    hashes of id and text.
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int | None = None, steps: int = STEPS,
+          id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic",
+          seed: int = 11) -> Model:
+    """The model of all labelled rows, or, if a bound is given, of so many: those with the
+    smallest hashes of id and text.
 
-    The sample reaches the driver as places, 12 bytes a word, ``MAX_TRAINING_WORDS`` a row at
-    most.  The limit holds after the join, so ids that repeat don't widen it.
+    Rows are dealt, sorted and split by hash, and averages are exact sums, so that neither
+    the input's partitions nor their order change the model.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang")).where(~held_out("id"))
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(
         F.col("y").isin(0, 1) & ~held_out("id"))
+    chars = rows.select("id", F.length("text").alias("n")).join(marks.select("id"), "id").agg(F.sum("n")).first()[0]
+    shards = 1 + int(chars or 0) // PIECE_CHARS
+    known = rows.join(marks, "id").withColumn("place", F.xxhash64(F.col("id").cast("string"), "text"))
+    if max_labelled is not None:
+        known = known.orderBy("place", "y", "lang").limit(max_labelled)
+    packed = stored(
+        known.withColumns({"apart": F.pmod("place", F.lit(CALIBRATION)) == 0,
+                           "shard": F.pmod(F.floor(F.col("place") / CALIBRATION), F.lit(shards))})
+        .repartition(shards, "shard", "apart").sortWithinPartitions("apart", "shard", "place", "y", "lang")
+        .select("apart", "shard", "text", "y", "lang").mapInArrow(_pack, PACKED), "toxicity-rows")
+    toxic_of = F.aggregate("labels", F.lit(0).cast("long"), lambda s, v: s + v)
+    sizes = {r.apart: (int(r.n), int(r.y)) for r in packed.groupBy("apart").agg(
+        F.sum(F.size("labels")).alias("n"), F.sum(toxic_of).alias("y")).collect()}
+    n, y = (sum(v) for v in zip(*sizes.values())) if sizes else (0, 0)
+    if not 0 < y < n:
+        return Model(np.zeros(0, np.int32), np.zeros((1, DIMENSIONS), np.float32), [], [], np.zeros(0), 0.0)
+    learn, apart = packed.where("not apart"), packed.where("apart")
+    if 0 < sizes.get(False, (0, 0))[1] < sizes.get(False, (0, 0))[0]:
+        n, y = sizes[False]
+    else:
+        learn = packed
+
+    counts = learn.mapInArrow(_counted, "place int, lang string, docs long, toxic long, words long")
+    counts = counts.groupBy("place", "lang").agg(*(F.sum(c).alias(c) for c in ("docs", "toxic", "words")))
+    least = min(max(MIN_DOCS, MIN_SHARE * n), n)
+    got = (counts.groupBy("place").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"), F.map_from_entries(
+        F.collect_list(F.struct("lang", "words"))).alias("words")).where(F.col("docs") >= least).orderBy("place").collect())
+    distinct, docs_of, toxic = (np.array([r[c] for r in got], np.int64) for c in ("place", "docs", "toxic"))
+    model = _started(distinct, docs_of, toxic, y / n, seed)
+    names = sorted({r.lang for r in learn.select(F.explode("langs").alias("lang")).distinct().collect()})
+    by_language = np.array([[0] * len(names)] + [[r.words.get(v, 0) for v in names] for r in got], np.float64)
+    model.languages = _language_table(by_language)
+
+    rounds = max(1, min(ROUNDS, steps))
+    best, kept = np.inf, model
+    for k in range(rounds):
+        model = _averaged(learn, model, rounds, k, -(-steps // rounds), seed)
+        loss = _loss(apart, model)
+        if loss <= best:
+            best, kept = loss, model
+    kept.thresholds = _calibrated(apart, kept)
+    return kept
+
+
+def _averaged(learn: DataFrame, model: Model, rounds: int, k: int, steps: int, seed: int) -> Model:
+    """The model after one round over all pieces."""
+    shared = learn.sparkSession.sparkContext.broadcast(model)
+    columns = [f"p{i}" for i in range(DIMENSIONS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [places(t) for t in batch.column(3).to_pylist()]
-            keep = [i for i, p in enumerate(found) if len(p) <= MAX_TRAINING_WORDS]
-            part = batch.take(pa.array(keep, pa.int32()))
+        start = shared.value
+        for shard, piece, texts, labels, _ in _each(batches):
+            short = [_shortened(start.row_of[places(t)]) for t in texts]
+            after = _trained(start, short, labels, max(steps, -(-len(short) // BATCH)), k / rounds, 1 / rounds,
+                             np.random.default_rng((seed, k, shard, piece)))
+            table = np.rint(_table(after) * FIXED).astype(np.int64) * len(labels)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), part.column(2),
-                 pa.array([found[i].tobytes() for i in keep], pa.binary())], ["place", "y", "lang", "words"])
-
-    n = rows.select("id").join(marks.select("id"), "id").count()
-    share = min(1.0, (2 * max_labelled + 64) / max(n, 1))  # texts that are read; the limit follows
-    chosen = (rows.join(marks, "id")
-              .withColumn("place", F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(1 << 40)))
-              .where(F.col("place") <= share * float(1 << 40)).select("place", "y", "lang", "text")
-              .mapInArrow(run, "place long, y int, lang string, words binary"))
-    got = chosen.orderBy("place", "y", "lang").limit(max_labelled).collect()
-    got.sort(key=lambda r: (zlib.crc32(bytes(r.words)), r.y, r.lang, bytes(r.words)))
-    return fit([np.frombuffer(bytes(r.words), np.int32).reshape(-1, 1 + len(STEMS)) for r in got], np.array([r.y for r in got], np.int64),
-               [r.lang for r in got], steps)
+                [pa.array(np.arange(len(table)), pa.int32()), pa.array(np.full(len(table), len(labels), np.int64)),
+                 *(pa.array(c) for c in np.ascontiguousarray(table.T))], ["at", "n", *columns])
+
+    total = (learn.mapInArrow(run, "at int, n long, " + ", ".join(f"{c} long" for c in columns))
+             .groupBy("at").agg(*(F.sum(c).alias(c) for c in ("n", *columns))).orderBy("at").toArrow())
+    table = np.stack([total.column(c).to_numpy() for c in columns], axis=1).astype(np.float64)
+    shared.unpersist()
+    return _with_table(model, table / FIXED / total.column("n").to_numpy()[:, None])
+
+
+def _odds(apart: DataFrame, model: Model, of, schema: str) -> DataFrame:
+    """What ``of`` gives for the odds, labels and languages of each piece's rows."""
+    shared = apart.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, texts, labels, _ in _each(batches):
+            odds, tongues = shared.value.odds([places(t) for t in texts])
+            tongue = tongues.argmax(axis=1) if tongues.shape[1] else np.zeros(len(texts), np.int64)
+            yield of(odds, labels, tongue)
+
+    return apart.mapInArrow(run, schema)
+
+
+def _loss(apart: DataFrame, model: Model) -> float:
+    def of(odds: np.ndarray, y: np.ndarray, tongue: np.ndarray) -> pa.RecordBatch:
+        z = np.clip(odds, -40, 40)
+        loss = np.rint(np.log1p(np.exp(np.where(y == 1, -z, z))) * FIXED).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array([loss.sum()]), pa.array([len(y)], pa.int64())], ["loss", "n"])
+
+    loss, n = _odds(apart, model, of, "loss long, n long").agg(F.sum("loss"), F.sum("n")).first()
+    return loss / FIXED / n if n else 0.0
+
+
+def _language_table(counts: np.ndarray) -> np.ndarray:
+    """Log probability of each embedded word by language; other words tell nothing."""
+    counts = counts + 0.5
+    table = np.log(counts / counts[1:].sum(axis=0, keepdims=True)) if len(counts) > 1 else np.zeros_like(counts)
+    table[0] = 0
+    return table.astype(np.float32)
+
+
+def _calibrated(apart: DataFrame, model: Model) -> np.ndarray:
+    def of(odds: np.ndarray, y: np.ndarray, tongue: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(tongue, pa.int32()), pa.array(y, pa.int32()), pa.array(
+            np.floor(np.clip(odds, -40, 40) * BINS).astype(np.int32))], ["tongue", "y", "bin"])
+
+    bins = _odds(apart, model, of, "tongue int, y int, bin int").groupBy("tongue", "y", "bin").count().collect()
+    tongue, y, z, n = (np.array([r[c] for r in bins], np.int64) for c in range(4))
+    # a bin's rows count at its middle
+    return _thresholds((z + 0.5) / BINS, y, tongue, n, model.languages.shape[1])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -130,3 +130,25 @@ def test_repeated_ids_do_not_widen_the_sample(spark, make_docs):
     model = T.train(docs, labels, max_labelled=20, steps=2)
     assert len(model.embeddings) < 60
     assert T.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0), labels).weights.size == 0
+
+
+def test_every_labelled_row_is_learnt_from(spark, make_docs):
+    n = 5_200
+    docs = make_docs([(i, f"{'you idiot' if i % 2 else 'a house'} w{i % 90} {i}") for i in range(n)]).cache()
+    labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int").cache()
+    # rows by the hash that a sample would go by
+    last = (docs.where(~T.held_out()).select("doc_id", "text")
+            .orderBy(F.desc(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(1 << 40)))).limit(40))
+    ids = [r.doc_id for r in last.collect()]
+    turned = labels.withColumn("toxic", F.when(F.col("doc_id").isin(ids), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    models = [T.train(docs, marks, steps=3) for marks in (labels, turned)]
+    assert not np.array_equal(*(m.embeddings[1:, 0] for m in models))
+
+
+def test_long_texts_and_several_pieces_are_learnt_from(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(T, "PIECE_CHARS", 200_000, raising=False)
+    docs = make_docs([(i, " ".join(f"w{k % 97}" for k in range(i, i + 5_000)) + (" idiot" if i % 2 else "")) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    rows = T.score(docs, T.train(docs, labels, steps=60)).collect()
+    assert len(rows) == 60 and all(r.predicted == r.doc_id % 2 for r in rows)
+    assert np.array_equal(*(T.train(d, labels, steps=3).embeddings for d in (docs, docs.repartition(5))))
