@@ -9,7 +9,7 @@ rectifier and one linear layer give the log odds.  One coordinate of the embeddi
 the standard score of the place's documents of label 1, the others at random.
 
 Embeddings, filters and layer are trained together on every labelled row.  The rows are dealt
-by hash over pieces of ``PIECE_CHARS`` characters; in each of ``ROUNDS`` rounds a task trains
+by their ids over pieces of ``PIECE_CHARS`` characters; in each of ``ROUNDS`` rounds a task trains
 the common model on each whole piece (backpropagation through the places of the maxima, Adam),
 and the pieces' models are averaged by their rows.  The round that fits a part of the rows kept
 from the training best is the one used.  The driver holds the model, its counts per place and
@@ -56,7 +56,7 @@ MIN_DOCS, MIN_SHARE = 3, 0.002
 STEPS, ROUNDS = 200, 3
 BATCH = 64
 #: Characters of the rows that one task trains on by itself in a round.
-PIECE_CHARS = 4 << 20
+PIECE_CHARS = 9 << 20
 RATE = 0.02
 #: Shrinking of all parameters with each step, as a share of the rate.
 DECAY = 0.02
@@ -130,23 +130,35 @@ class Model:
         """Greatest response of each filter that begins at the words ``starts`` to ``ends`` of
         each text (zero rows follow a text), texts x filters, width by width; and the
         embeddings."""
-        x = self.embeddings[rows].sum(axis=1)
+        x = self.embedded(rows)
         out = []
-        for w, kernel, offset in zip(WIDTHS, self.filters, self.offsets):
-            n = len(rows) - w + 1
-            z = x[:n] @ kernel[0]
-            for i in range(1, w):
-                z += x[i:n + i] @ kernel[i]
-            z += offset
+        full = ends > starts
+        cuts = np.column_stack((starts[full], ends[full])).ravel()
+        for z in self.every(x):
             best = np.zeros((len(ends), FILTERS), np.float32)
-            full = ends > starts
             if full.any():
-                cuts = np.column_stack((starts[full], ends[full])).ravel()
                 # the last cut may be the end of the array, where nothing begins
-                best[full] = np.maximum.reduceat(np.vstack((z, z[-1:])), np.minimum(cuts, n), axis=0)[::2]
+                at = cuts if cuts[-1] < len(z) else cuts[:-1]
+                best[full] = np.maximum.reduceat(z, at, axis=0)[::2]
             out.append(best)
         return out, x
 
+    def embedded(self, rows: np.ndarray) -> np.ndarray:
+        x = self.embeddings.take(rows[:, 0], axis=0)
+        for k in range(1, rows.shape[1]):
+            x += self.embeddings.take(rows[:, k], axis=0)
+        return x
+
+    def every(self, x: np.ndarray) -> Iterator[np.ndarray]:
+        """The responses of each filter that begin at each word, width by width."""
+        for w, kernel, offset in zip(WIDTHS, self.filters, self.offsets):
+            n = len(x) - w + 1
+            z = x[:n] @ kernel[0]
+            for i in range(1, w):
+                z += x[i:n + i] @ kernel[i]
+            z += offset
+            yield z
+
     def odds(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Log odds before calibration, and the log probability of each language."""
         odds, tongues = np.full(len(texts), self.bias), np.zeros((len(texts), self.languages.shape[1]))
@@ -211,9 +223,15 @@ class _Adam:
     def step(self, grads: list[np.ndarray], rate: float) -> None:
         self.t += 1
         for p, g, m, v in zip(self.params, grads, self.m, self.v):
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            p -= rate * (m / (1 - 0.9 ** self.t)) / (np.sqrt(v / (1 - 0.999 ** self.t)) + 1e-8) + rate * DECAY * p
+            m *= 0.9
+            m += 0.1 * g
+            v *= 0.999
+            v += 0.001 * (g * g)
+            root = np.sqrt(v)
+            root *= (1 - 0.999 ** self.t) ** -0.5
+            root += 1e-8
+            p *= 1 - rate * DECAY
+            p -= rate / (1 - 0.9 ** self.t) * m / root
 
 
 def _pieces(texts: list[np.ndarray]) -> Iterator[tuple[list[int], list[int], list[np.ndarray]]]:
@@ -239,10 +257,7 @@ def _maxima(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
     at = np.zeros(best.shape, np.int64)
     for number, offset, parts in _pieces(texts):
         rows, starts, _ = _laid_out(parts)
-        x = model.embeddings[rows].sum(axis=1)
-        for k, (w, kernel, bias) in enumerate(zip(WIDTHS, model.filters, model.offsets)):
-            n = len(rows) - w + 1
-            z = sum(x[i:n + i] @ kernel[i] for i in range(w)) + bias
+        for k, z in enumerate(model.every(model.embedded(rows))):
             cut = slice(k * FILTERS, (k + 1) * FILTERS)
             for i, from_, a, part in zip(number, offset, starts.tolist(), parts):
                 own = z[a:a + min(len(part), STRETCH)]
@@ -275,7 +290,7 @@ def gradients(model: Model, texts: list[np.ndarray], y: np.ndarray, weight: np.n
         first, share = starts[d] + at[d, k * FILTERS + f], part[d, f].astype(np.float32)
         for i in range(w):
             words = rows[first + i]
-            np.add.at(d_filters[k][i].T, f, model.embeddings[words].sum(axis=1) * share[:, None])
+            np.add.at(d_filters[k][i].T, f, model.embedded(words) * share[:, None])
             by_word = kernel[i].T[f] * share[:, None]
             for k_place in range(rows.shape[1]):
                 np.add.at(d_embeddings, words[:, k_place], by_word)
@@ -361,7 +376,7 @@ def _thresholds(odds: np.ndarray, y: np.ndarray, tongue: np.ndarray, n: np.ndarr
     return out
 
 
-PACKED = "apart boolean, shard long, piece int, texts array<string>, labels array<int>, langs array<string>"
+PACKED = "apart boolean, shard int, piece int, texts array<string>, labels array<int>, langs array<string>"
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,7 +386,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row() -> pa.RecordBatch:
         texts, labels, langs = zip(*held)
         return pa.RecordBatch.from_arrays(
-            [pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([piece], pa.int32()),
+            [pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([piece], pa.int32()),
              pa.array([texts], pa.list_(pa.string())), pa.array([labels], pa.list_(pa.int32())),
              pa.array([langs], pa.list_(pa.string()))], ["apart", "shard", "piece", "texts", "labels", "langs"])
 
@@ -416,7 +431,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int | None = None, s
     """The model of all labelled rows, or, if a bound is given, of so many: those with the
     smallest hashes of id and text.
 
-    Rows are dealt, sorted and split by hash, and averages are exact sums, so that neither
+    Rows are dealt by id, sorted and split by hash, and averages are exact sums, so that neither
     the input's partitions nor their order change the model.
     """
     spark = docs.sparkSession
@@ -426,13 +441,13 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int | None = None, s
         F.col("y").isin(0, 1) & ~held_out("id"))
     chars = rows.select("id", F.length("text").alias("n")).join(marks.select("id"), "id").agg(F.sum("n")).first()[0]
     shards = 1 + int(chars or 0) // PIECE_CHARS
-    known = rows.join(marks, "id").withColumn("place", F.xxhash64(F.col("id").cast("string"), "text"))
+    known = (rows.repartition(shards, "id").join(marks.repartition(shards, "id"), "id")
+             .withColumn("place", F.xxhash64(F.col("id").cast("string"), "text")))
     if max_labelled is not None:
-        known = known.orderBy("place", "y", "lang").limit(max_labelled)
+        known = known.orderBy("place", "y", "lang").limit(max_labelled).repartition(shards, "id")
     packed = stored(
-        known.withColumns({"apart": F.pmod("place", F.lit(CALIBRATION)) == 0,
-                           "shard": F.pmod(F.floor(F.col("place") / CALIBRATION), F.lit(shards))})
-        .repartition(shards, "shard", "apart").sortWithinPartitions("apart", "shard", "place", "y", "lang")
+        known.withColumns({"apart": F.pmod("place", F.lit(CALIBRATION)) == 0, "shard": F.spark_partition_id()})
+        .sortWithinPartitions("apart", "shard", "place", "y", "lang")
         .select("apart", "shard", "text", "y", "lang").mapInArrow(_pack, PACKED), "toxicity-rows")
     toxic_of = F.aggregate("labels", F.lit(0).cast("long"), lambda s, v: s + v)
     sizes = {r.apart: (int(r.n), int(r.y)) for r in packed.groupBy("apart").agg(
@@ -474,15 +489,17 @@ def _averaged(learn: DataFrame, model: Model, rounds: int, k: int, steps: int, s
     columns = [f"p{i}" for i in range(DIMENSIONS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = shared.value
+        start, total, n = shared.value, 0, 0
         for shard, piece, texts, labels, _ in _each(batches):
             short = [_shortened(start.row_of[places(t)]) for t in texts]
             after = _trained(start, short, labels, max(steps, -(-len(short) // BATCH)), k / rounds, 1 / rounds,
                              np.random.default_rng((seed, k, shard, piece)))
-            table = np.rint(_table(after) * FIXED).astype(np.int64) * len(labels)
+            total = total + np.rint(_table(after) * FIXED).astype(np.int64) * len(labels)
+            n += len(labels)
+        if n:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(table)), pa.int32()), pa.array(np.full(len(table), len(labels), np.int64)),
-                 *(pa.array(c) for c in np.ascontiguousarray(table.T))], ["at", "n", *columns])
+                [pa.array(np.arange(len(total)), pa.int32()), pa.array(np.full(len(total), n, np.int64)),
+                 *(pa.array(c) for c in np.ascontiguousarray(total.T))], ["at", "n", *columns])
 
     total = (learn.mapInArrow(run, "at int, n long, " + ", ".join(f"{c} long" for c in columns))
              .groupBy("at").agg(*(F.sum(c).alias(c) for c in ("n", *columns))).orderBy("at").toArrow())
