@@ -3,8 +3,9 @@ r"""Phrase collocation mining by the stripes pattern (operator 12).
 Texts are split once: a slice of text becomes the codes of its words and a dictionary, and a
 word's 64-bit hash (seeded by its language) names it from then on.
 
-A stripe is keyed by a prefix and counts the words that follow it.  A task sends one stripe
-for each prefix of its slice; stripes of a prefix are merged elementwise.  The words
+A stripe is keyed by a prefix and counts the words that follow it.  A task makes one stripe
+for each prefix of its slice and sends those of a bucket of prefixes (``BUCKETS`` for each
+shuffle partition) as one row; stripes of a prefix are merged elementwise.  The words
 after a prefix that can't be part of a frequent phrase, and the end of a piece, share one
 place of the stripe, so one merged structure gives
 
@@ -20,11 +21,13 @@ longer candidate of ``x`` occurrences only if it lies in one that is one word lo
 Lengths grow one word a pass.  A word extends a prefix only if the phrase without its first
 word is frequent too.  The frequent phrases of the length before reach the tasks as a
 bitmap of fixed size (``BITS``) over their hashes, whatever their number: a false hit sends
-a row more, the counts come from the merged stripes and are exact.  A prefix that a third of
-all rows has costs a row a slice and segment: the stripes of prefixes with more than a
+an element more, the counts come from the merged stripes and are exact.  The stripes of prefixes with more than a
 ``HEAVY``-th of a shuffle partition's share of all words (a second bitmap; there are at most
-``HEAVY`` times as many as partitions) are cut into ``SEGMENTS`` by the following word, so the
-stripe of a very frequent word is never in one task.
+``HEAVY`` times as many as partitions) are cut into ``SEGMENTS`` by the following word, each in
+a bucket of its own, so the stripe of a very frequent word is never in one task.
+
+Memory is bounded by a slice: tasks read the slices one by one (``_row_by_row``), and the
+shuffle files of a pass go before the next one.
 
 Frequent words and phrases get their text back by a join.  Two of a language with one hash
 would be taken for one: their hashes are checked, and an equal pair ends the job.
@@ -41,15 +44,17 @@ that the job ends with an overflow, no wrong row is given.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyfold.llm.common import slices, stored
+from skyfold.llm.suffix_dedup import _release
 
 MAX_WORDS = 5
 MIN_COUNT = 100
@@ -59,6 +64,8 @@ SUBSUMED_PERCENT = 100
 #: Bits of the bitmap of frequent phrases (8 MB).
 BITS = 1 << 26
 SEGMENTS, HEAVY = 32, 4
+#: Buckets of prefixes for each shuffle partition.
+BUCKETS = 8
 #: Bytes of text in a slice.
 SLICE_BYTES = 8 << 20
 #: Parts of a language's candidates that are ranked on their own before the final ranking.
@@ -175,7 +182,9 @@ def stripes_of(codes: np.ndarray, hashes: np.ndarray, size: int, frequent: np.nd
     at = np.flatnonzero(usual[:n])
     last = codes[at + size - 1]
     follows = np.where((last != 0) & usual[at + 1], last, 0)
-    prefix, prefix_of = np.unique(phrase[at], return_inverse=True)
+    phrase = phrase[at]
+    del of_word, inside, usual, at, last
+    prefix, prefix_of = np.unique(phrase, return_inverse=True)
     cut = _has(heavy, prefix)[prefix_of]
     segment = np.where(cut, (hashes[follows] % np.uint64(SEGMENTS)).astype(np.int64), 0)
     pair, counts = np.unique((prefix_of * SEGMENTS + segment) * len(hashes) + follows, return_counts=True)
@@ -189,35 +198,68 @@ def stripes_of(codes: np.ndarray, hashes: np.ndarray, size: int, frequent: np.nd
         ["prefix", "segment", "nexts", "counts"])
 
 
+def packed(stripes: pa.RecordBatch, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The stripes of one slice, a row for each bucket: prefixes, following words, counts."""
+    sizes = stripes.column(2).value_lengths().to_numpy()
+    prefix = np.repeat(stripes.column(0).to_numpy(), sizes)
+    key = stripes.column(0).to_numpy().view(np.uint64) + stripes.column(1).to_numpy().astype(np.uint64) * np.uint64(
+        0xC2B2AE3D27D4EB4F)
+    bucket = np.repeat((((key ^ (key >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33))
+                       % np.uint64(buckets), sizes).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends, take = pa.array(np.append(begin, len(bucket)), pa.int32()), pa.array(order)
+    lists = (pa.ListArray.from_arrays(ends, c.take(take)) for c in (
+        pa.array(prefix), stripes.column(2).values, stripes.column(3).values.cast(pa.int32())))
+    out = pa.RecordBatch.from_arrays([pa.array(bucket[begin]), *lists], ["bucket", "prefixes", "nexts", "counts"])
+    for a in range(0, out.num_rows, 10_000):
+        yield out.slice(a, 10_000)
+
+
+@contextmanager
+def _row_by_row(spark: SparkSession) -> Iterator[None]:
+    """What runs inside reads one row at a time: rows are slices of megabytes."""
+    of = {k: spark.conf.get(k) for k in (
+        "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")}
+    try:
+        for k in of:
+            spark.conf.set(k, "1")
+        yield
+    finally:
+        for k, v in of.items():
+            spark.conf.set(k, v)
+
+
 def merged_stripes(texts: DataFrame, size: int, frequent: DataFrame, min_count: int, heavy_from: float) -> DataFrame:
     """The stripes of the frequent prefixes (``h``, occurrences ``n``) of ``size - 1`` words,
-    merged elementwise, by segment: ``prefix, total``, ``stripe``, the words that follow
+    merged elementwise, by bucket: ``prefix, total``, ``stripe``, the words that follow
     ``min_count`` times or more with their counts, and ``top``, the greatest of these.
     Stripes of prefixes that occur ``heavy_from`` times are cut.
 
-    One shuffle: elements are summed where their segment has come to.
+    One shuffle: elements are summed where their bucket has come to.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(
-        (_bitmap(frequent), _bitmap(frequent.where(F.col("n") >= heavy_from))))
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast((_bitmap(frequent), _bitmap(frequent.where(F.col("n") >= heavy_from))))
+    buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                codes = np.frombuffer(batch.column(1)[i].as_py(), np.int32)
+                codes = np.frombuffer(batch.column(1)[i].as_buffer(), np.int32)
                 hashes = batch.column(0)[i].values.to_numpy().view(np.uint64)
-                out = stripes_of(codes, hashes, size, *shared.value)
-                for a in range(0, out.num_rows, 10_000):
-                    yield out.slice(a, 10_000)
+                yield from packed(stripes_of(codes, hashes, size, *shared.value), buckets)
 
     sent = texts.select("hashes", "codes").mapInArrow(
-        run, "prefix long, segment int, nexts array<long>, counts array<long>")
-    place = ("prefix", "segment")
-    counted = (sent.repartition(*place).select(*place, F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
-               .groupBy(*place, F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n")))
+        run, "bucket int, prefixes array<long>, nexts array<long>, counts array<int>")
+    place = ("bucket", "prefix")  # the bucket follows from prefix and segment
+    counted = (sent.repartition("bucket").select("bucket", F.inline(F.arrays_zip("prefixes", "nexts", "counts")))
+               .groupBy("bucket", F.col("prefixes").alias("prefix"), F.col("nexts").alias("next"))
+               .agg(F.sum("counts").alias("n")))
     often = F.col("next").isNotNull() & (F.col("n") >= min_count)
     return counted.groupBy(*place).agg(
         F.sum("n").alias("total"), F.max(F.when(often, F.col("n"))).alias("top"),
-        F.collect_list(F.when(often, F.struct("next", "n"))).alias("stripe"))
+        F.collect_list(F.when(often, F.struct("next", "n"))).alias("stripe")).drop("bucket")
 
 
 def _distinct(phrases: DataFrame) -> DataFrame:
@@ -249,21 +291,28 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(text_col).alias("text"))
     texts = stored(coded_slices(docs), "collocation-slices")
-    words = stored(texts.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w"))
-                   .where("w.words <> ''").groupBy("lang", F.col("w.words").alias("phrase"), F.col("w.hashes").alias("h"))
-                   .agg(F.sum("w.counts").alias("n")), "collocation-words")
+    spark = docs.sparkSession
+    with _row_by_row(spark):
+        words = stored(texts.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w"))
+                       .where("w.words <> ''").groupBy("lang", F.col("w.words").alias("phrase"), F.col("w.hashes").alias("h"))
+                       .agg(F.sum("w.counts").alias("n")), "collocation-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))  # one row per language
     every = totals.agg(F.sum("n")).first()[0] or 0
-    heavy_from = every / (HEAVY * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    heavy_from = every / (HEAVY * int(spark.conf.get("spark.sql.shuffle.partitions")))
     frequent = words = _distinct(words.where(F.col("n") >= min_count))
     phrases, prefixes = [], []
     for size in range(2, max_words + 1):
-        stripes = stored(merged_stripes(texts, size, frequent, min_count, heavy_from), f"collocation-stripes-{size}")
+        _release(spark)
+        merged = merged_stripes(texts, size, frequent, min_count, heavy_from)
+        with _row_by_row(spark):
+            stripes = stored(merged, f"collocation-stripes-{size}")
+        del merged
         prefixes.append(stripes.groupBy(F.col("prefix").alias("h")).agg(F.sum("total").alias("f"), F.max("top").alias("top"))
                         .join(frequent.select("h", "lang", "phrase"), "h").select("lang", "phrase", "f", "top"))
         frequent = _distinct(stored(_extended(stripes, frequent, words), f"collocation-phrases-{size}"))
         phrases.append(frequent.select("lang", "phrase", F.lit(size).alias("size"), F.col("n").alias("a")))
     candidates = reduce(DataFrame.unionByName, phrases)
+    _release(spark)
     f_of = stored(reduce(DataFrame.unionByName, prefixes), "collocation-prefixes")
     return _ranked(_scored(candidates, f_of, totals, subsumed_percent), top)
 

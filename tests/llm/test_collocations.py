@@ -127,3 +127,38 @@ def test_edges(spark, make_docs):
     assert found(C.query(docs)) == brute([(None, t) for t in texts], 100)
     again = docs.unionByName(docs)
     assert found(C.query(again)) == brute([(None, t) for t in texts] * 2, 100)
+
+
+def test_tasks_hold_one_slice_at_a_time(spark, rng, monkeypatch):
+    rows = planted(rng, None, 80)
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    monkeypatch.setattr(C, "SLICE_BYTES", 200)  # many slices in one task
+    texts = C.stored(C.coded_slices(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")), "test-slices")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    most = texts.coalesce(1).select("codes").mapInArrow(
+        lambda batches: (C.pa.RecordBatch.from_arrays([C.pa.array([b.num_rows])], ["n"]) for b in batches), "n long")
+    with C._row_by_row(spark):
+        assert most.agg(F.max("n")).first()[0] == 1 < texts.count()
+    assert spark.conf.get(setting) == before
+    assert found(C.mine(docs, 4)) == brute(rows, 4)
+
+
+def test_stripes_of_a_slice_are_sent_by_bucket(rng):
+    codes, words, hashes = C.coded([t.encode() for _, t in planted(rng, None, 80)], "en")
+    every = np.full(C.BITS // 64, np.iinfo(np.uint64).max)
+    for heavy in (every, np.zeros_like(every)):
+        stripes = C.stripes_of(codes, hashes, 3, every, heavy)
+        rows = [r for b in C.packed(stripes, 7) for r in b.to_pylist()]
+        assert len(rows) <= 7 < stripes.num_rows and len({r["bucket"] for r in rows}) == len(rows)
+        sent = Counter()
+        for r in rows:
+            for p, w, c in zip(r["prefixes"], r["nexts"], r["counts"]):
+                sent[p, w] += c
+        expect = Counter()
+        for r in stripes.to_pylist():
+            for w, c in zip(r["nexts"], r["counts"]):
+                expect[r["prefix"], w] += c
+        assert sent == expect
+    nothing = C.stripes_of(codes, hashes, 3, np.zeros_like(every), every)
+    assert not [r for b in C.packed(nothing, 7) for r in b.to_pylist()]
