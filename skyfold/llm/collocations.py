@@ -110,7 +110,7 @@ def coded(texts: list[bytes], lang: str) -> tuple[np.ndarray, list[bytes], np.nd
     return codes, words.words, word_hashes(words.words, lang)
 
 
-CODED = "lang string, words array<string>, hashes array<long>, counts array<long>, codes binary"
+CODED = "lang string, n long, words array<string>, hashes array<long>, counts array<long>, codes binary"
 
 
 def _one_list(values: pa.Array) -> pa.Array:
@@ -118,8 +118,8 @@ def _one_list(values: pa.Array) -> pa.Array:
 
 
 def coded_slices(docs: DataFrame) -> DataFrame:
-    """A row per slice of text and language: its distinct words, their hashes and counts, and
-    the code of each word of the text."""
+    """A row per slice of text and language: the number of its words, its distinct words, their
+    hashes and counts, and the code of each word of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1, max_bytes=SLICE_BYTES, max_rows=1 << 30):
             of: dict[str, list[bytes]] = {}
@@ -129,10 +129,10 @@ def coded_slices(docs: DataFrame) -> DataFrame:
             for lang, texts in of.items():
                 codes, words, hashes = coded(texts, lang)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]), _one_list(pa.array(words, pa.binary()).cast(pa.string())),
+                    [pa.array([lang]), pa.array([np.count_nonzero(codes)], pa.int64()), _one_list(pa.array(words, pa.binary()).cast(pa.string())),
                      _one_list(pa.array(hashes.view(np.int64))),
                      _one_list(pa.array(np.bincount(codes, minlength=len(words)))),
-                     pa.array([codes.tobytes()], pa.binary())], ["lang", "words", "hashes", "counts", "codes"])
+                     pa.array([codes.tobytes()], pa.binary())], ["lang", "n", "words", "hashes", "counts", "codes"])
 
     return docs.mapInArrow(run, CODED)
 
@@ -290,16 +290,16 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
     """``lang, rank, phrase, a, l, r, n, score`` of each language's first ``top`` phrases."""
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(text_col).alias("text"))
-    texts = stored(coded_slices(docs), "collocation-slices")
     spark = docs.sparkSession
+    texts = stored(coded_slices(docs), "collocation-slices", "zstd")
     with _row_by_row(spark):
         words = stored(texts.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w"))
                        .where("w.words <> ''").groupBy("lang", F.col("w.words").alias("phrase"), F.col("w.hashes").alias("h"))
-                       .agg(F.sum("w.counts").alias("n")), "collocation-words")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))  # one row per language
+                       .agg(F.sum("w.counts").alias("n")).where(F.col("n") >= min_count), "collocation-words")
+    totals = texts.groupBy("lang").agg(F.sum("n").alias("n"))  # one row per language
     every = totals.agg(F.sum("n")).first()[0] or 0
     heavy_from = every / (HEAVY * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    frequent = words = _distinct(words.where(F.col("n") >= min_count))
+    frequent = words = _distinct(words)
     phrases, prefixes = [], []
     for size in range(2, max_words + 1):
         _release(spark)
