@@ -34,9 +34,11 @@ stretches that overlap by the widest filter.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.llm.common import slices, stored
+from skyfold.llm.compact_windows import word_hashes
+from skyfold.llm.suffix_dedup import _mix, _release
 
 BUCKETS = 1 << 20
 DIMENSIONS = 16
@@ -69,8 +73,10 @@ FIXED = 1 << 24
 #: Rows of the pooled threshold that count beside a language's own.
 SHRINK = 50.0
 FOLDS = 5
-#: Words scored at a time.
-STRETCH = 1 << 16
+#: Words scored at a time, and parameters stepped at a time: they stay in the processor cache.
+STRETCH, STEPPED = 1 << 12, 1 << 14
+#: Characters of texts whose words are split together.
+SPLIT_CHARS = 1 << 20
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -80,38 +86,92 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS == 0, F.lit(True))
 
 
-class _Buckets(dict):
-    """Number of each word seen, and the places of the word and its stems by that number;
-    kept across texts, emptied when full."""
+#: Bytes of a word up to which words' checksums are made together, byte by byte.
+TOGETHER = 64
+_CRC = np.array([zlib.crc32(bytes([i ^ 0xFF])) ^ 0xFF000000 for i in range(256)], np.uint32)
+
+
+def _crcs(raw: bytes, starts: np.ndarray, sizes: np.ndarray, before: bytes = b"") -> np.ndarray:
+    """crc32 of ``before`` and each part of ``raw``."""
+    order = np.argsort(-sizes, kind="stable")
+    at, less = starts[order], -sizes[order]
+    b = np.frombuffer(raw, np.uint8)
+    crc = np.full(len(starts), zlib.crc32(before) ^ 0xFFFFFFFF, np.uint32)
+    for k in range(min(TOGETHER, int(sizes.max(initial=0)))):
+        n = int(np.searchsorted(less, -k))  # parts that are longer
+        crc[:n] = _CRC[(crc[:n] ^ b[at[:n] + k]) & np.uint32(0xFF)] ^ (crc[:n] >> np.uint32(8))
+    out = np.empty(len(starts), np.uint32)
+    out[order] = ~crc
+    for i in np.flatnonzero(sizes > TOGETHER).tolist():
+        out[i] = zlib.crc32(raw[starts[i]:starts[i] + sizes[i]], zlib.crc32(before))
+    return out
+
+
+def word_places(words: list[str]) -> np.ndarray:
+    """Places of each word, then of its stems."""
+    raw = "".join(words).encode("utf-8", "replace")
+    # where each letter begins; letters of several bytes go on with 10xxxxxx
+    letter = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80), len(raw))
+    letters = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.cumsum(letters) - letters
+    out = np.empty((len(words), 1 + len(STEMS)), np.int32)
+    for k, n in enumerate((None, *STEMS)):
+        sizes = letter[first + (letters if n is None else np.minimum(letters, n))] - letter[first]
+        out[:, k] = _crcs(raw, letter[first], sizes, b"" if n is None else b"<") % np.uint32(BUCKETS)
+    return out
+
+
+@cache
+def _in_words() -> np.ndarray:
+    """Which code points are of words."""
+    out = np.zeros(sys.maxunicode + 1, bool)
+    for m in WORD.finditer("".join(map(chr, range(len(out))))):
+        out[m.start():m.end()] = True
+    return out
+
+
+def _of_point(points: np.ndarray) -> np.ndarray:
+    return _mix(points.astype(np.uint64) + np.uint64(1))
 
-    SIZE = 300_000
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.table = np.zeros((self.SIZE, 1 + len(STEMS)), np.int32)
+def split(texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray, list[int]]]:
+    """Of ``SPLIT_CHARS`` of the texts at a time the different words, the number of each word among
+    them, text by text, and how many words each text has."""
+    part, size = [], 0
+    for i, text in enumerate(texts, 1):
+        part.append(text.lower() if text else "")
+        size += len(part[-1])
+        if size < SPLIT_CHARS and i < len(texts):
+            continue
+        joined = " ".join((*part, ""))
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        inside = np.zeros(len(points) + 1, bool)  # a text begins and ends outside of words
+        inside[1:] = _in_words()[points]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        numbers = pa.array(word_hashes(points, starts, ends, _of_point)).dictionary_encode()
+        number = numbers.indices.to_numpy()
+        one = np.empty(len(numbers.dictionary), np.int64)
+        one[number] = np.arange(len(number))
+        words = [joined[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
+        cuts = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in part]))
+        yield words, number, np.diff(cuts).tolist()
+        part, size = [], 0
 
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        for k, part in enumerate((word, *("<" + word[:n] for n in STEMS))):
-            self.table[number, k] = zlib.crc32(part.encode("utf-8", "replace")) % BUCKETS
-        return number
 
-    def places(self, words: list[str]) -> np.ndarray:
-        out = np.empty((len(words), 1 + len(STEMS)), np.int32)
-        for a in range(0, len(words), self.SIZE // 2):
-            part = words[a:a + self.SIZE // 2]
-            if len(self) + len(part) > self.SIZE:
-                self.clear()
-            out[a:a + len(part)] = self.table[np.fromiter(map(self.__getitem__, part), np.int64, len(part))]
-        return out
+def _each_text(words: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    ends = np.cumsum([0, *sizes]).tolist()
+    return [words[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
-_BUCKETS = _Buckets()
+def places_of(texts: list[str | None]) -> list[np.ndarray]:
+    """Of each text words x places (the word's, then its stems')."""
+    return [p for words, number, sizes in split(texts) for p in _each_text(word_places(words)[number], sizes)]
 
 
 def places(text: str | None) -> np.ndarray:
     """Words x places (the word's, then its stems')."""
-    return _BUCKETS.places(WORD.findall(text.lower()) if text else [])
+    return places_of([text])[0]
 
 
 @dataclass
@@ -160,7 +220,11 @@ class Model:
             yield z
 
     def odds(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Log odds before calibration, and the log probability of each language."""
+        """Log odds before calibration, and the log probability of each language, of texts as places."""
+        return self.odds_of_rows([self.row_of[t] for t in texts] if len(self.weights) else texts)
+
+    def odds_of_rows(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of texts as rows of the embeddings."""
         odds, tongues = np.full(len(texts), self.bias), np.zeros((len(texts), self.languages.shape[1]))
         if not len(self.weights):
             return odds, tongues
@@ -176,8 +240,7 @@ class Model:
             held = 0
 
         overlap = len(WIDTHS) - 1
-        for i, text in enumerate(texts):
-            rows = self.row_of[text]
+        for i, rows in enumerate(texts):
             if len(self.languages):
                 tongues[i] = self.languages[rows[:, 0]].sum(axis=0, dtype=np.float64)
             for a in range(0, len(rows), STRETCH):
@@ -190,9 +253,12 @@ class Model:
         return odds + pooled @ self.weights, tongues
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
+        return self.scores_of_rows([self.row_of[t] for t in texts] if len(self.weights) else texts)
+
+    def scores_of_rows(self, texts: list[np.ndarray]) -> np.ndarray:
         if not len(self.weights):
             return np.zeros(len(texts))
-        odds, tongues = self.odds(texts)
+        odds, tongues = self.odds_of_rows(texts)
         if len(self.thresholds):
             odds = odds - self.thresholds[tongues.argmax(axis=1)]
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
@@ -223,15 +289,20 @@ class _Adam:
     def step(self, grads: list[np.ndarray], rate: float) -> None:
         self.t += 1
         for p, g, m, v in zip(self.params, grads, self.m, self.v):
-            m *= 0.9
-            m += 0.1 * g
-            v *= 0.999
-            v += 0.001 * (g * g)
-            root = np.sqrt(v)
-            root *= (1 - 0.999 ** self.t) ** -0.5
-            root += 1e-8
-            p *= 1 - rate * DECAY
-            p -= rate / (1 - 0.9 ** self.t) * m / root
+            whole = [x.reshape(-1) for x in (p, g, m, v)]
+            for a in range(0, p.size, STEPPED):
+                self._part(*(x[a:a + STEPPED] for x in whole), rate)
+
+    def _part(self, p: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, rate: float) -> None:
+        m *= 0.9
+        m += 0.1 * g
+        v *= 0.999
+        v += 0.001 * (g * g)
+        root = np.sqrt(v)
+        root *= (1 - 0.999 ** self.t) ** -0.5
+        root += 1e-8
+        p *= 1 - rate * DECAY
+        p -= rate / (1 - 0.9 ** self.t) * m / root
 
 
 def _pieces(texts: list[np.ndarray]) -> Iterator[tuple[list[int], list[int], list[np.ndarray]]]:
@@ -288,9 +359,11 @@ def gradients(model: Model, texts: list[np.ndarray], y: np.ndarray, weight: np.n
         if not len(d):
             continue
         first, share = starts[d] + at[d, k * FILTERS + f], part[d, f].astype(np.float32)
+        by_filter = np.zeros((FILTERS, len(f)), np.float32)
+        by_filter[f, np.arange(len(f))] = share
         for i in range(w):
             words = rows[first + i]
-            np.add.at(d_filters[k][i].T, f, model.embedded(words) * share[:, None])
+            d_filters[k][i] = (by_filter @ model.embedded(words)).T
             by_word = kernel[i].T[f] * share[:, None]
             for k_place in range(rows.shape[1]):
                 np.add.at(d_embeddings, words[:, k_place], by_word)
@@ -376,19 +449,29 @@ def _thresholds(odds: np.ndarray, y: np.ndarray, tongue: np.ndarray, n: np.ndarr
     return out
 
 
-PACKED = "apart boolean, shard int, piece int, texts array<string>, labels array<int>, langs array<string>"
+PACKED = ("apart boolean, shard int, piece int, words array<string>, numbers array<int>, sizes array<int>, "
+          "labels array<int>, langs array<string>")
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: rows sorted by piece become one row for each piece, or several where it is large."""
+    """Task: rows sorted by piece become one row for each piece, or several where it is large: its
+    different words, and the texts as their numbers.  No later pass splits the texts again."""
     key, piece, size, held = None, 0, 0, []
 
     def row() -> pa.RecordBatch:
         texts, labels, langs = zip(*held)
+        known: dict[str, int] = {}
+        numbers, sizes = [], []
+        for words, number, n in split(texts):
+            of = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words))
+            numbers.append(of[number])
+            sizes += n
+        lists = ((list(known), pa.string()), (np.concatenate(numbers), pa.int32()), (sizes, pa.int32()),
+                 (labels, pa.int32()), (langs, pa.string()))
         return pa.RecordBatch.from_arrays(
             [pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([piece], pa.int32()),
-             pa.array([texts], pa.list_(pa.string())), pa.array([labels], pa.list_(pa.int32())),
-             pa.array([langs], pa.list_(pa.string()))], ["apart", "shard", "piece", "texts", "labels", "langs"])
+             *(pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, t)) for v, t in lists)],
+            ["apart", "shard", "piece", "words", "numbers", "sizes", "labels", "langs"])
 
     for batch in batches:
         for apart, shard, text, y, lang in zip(*(c.to_pylist() for c in batch.columns)):
@@ -402,19 +485,23 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list, np.ndarray, list]]:
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[int], np.ndarray, list]]:
+    """Of each packed row its shard and piece, the places of its different words, its words as their
+    numbers, and of each text how many they are, the label and the language."""
     for batch in batches:
         for i in range(batch.num_rows):
-            _, shard, piece, texts, labels, langs = (batch.column(c)[i].as_py() for c in range(6))
-            yield shard, piece, texts, np.array(labels, np.int64), langs
+            _, shard, piece, words, numbers, sizes, labels, langs = (batch.column(c)[i] for c in range(8))
+            yield (shard.as_py(), piece.as_py(), word_places(words.as_py()), numbers.values.to_numpy(), sizes.as_py(),
+                   labels.values.to_numpy().astype(np.int64), langs.as_py())
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: of each place and language the documents, those of label 1 and the words."""
-    for _, _, texts, labels, langs in _each(batches):
+    for _, _, table, numbers, sizes, labels, langs in _each(batches):
+        texts = _each_text(numbers, sizes)
         for lang in sorted(set(langs)):
             own = [i for i, v in enumerate(langs) if v == lang]
-            found = [places(texts[i]) for i in own]
+            found = [table[texts[i]] for i in own]
             present = [np.unique(p) for p in found]
             place, of = np.unique(np.concatenate(present), return_inverse=True)
             marks = np.repeat(labels[own], [len(p) for p in present])
@@ -449,6 +536,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int | None = None, s
         known.withColumns({"apart": F.pmod("place", F.lit(CALIBRATION)) == 0, "shard": F.spark_partition_id()})
         .sortWithinPartitions("apart", "shard", "place", "y", "lang")
         .select("apart", "shard", "text", "y", "lang").mapInArrow(_pack, PACKED), "toxicity-rows")
+    _release(spark)  # the texts' shuffle files
     toxic_of = F.aggregate("labels", F.lit(0).cast("long"), lambda s, v: s + v)
     sizes = {r.apart: (int(r.n), int(r.y)) for r in packed.groupBy("apart").agg(
         F.sum(F.size("labels")).alias("n"), F.sum(toxic_of).alias("y")).collect()}
@@ -490,8 +578,9 @@ def _averaged(learn: DataFrame, model: Model, rounds: int, k: int, steps: int, s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, total, n = shared.value, 0, 0
-        for shard, piece, texts, labels, _ in _each(batches):
-            short = [_shortened(start.row_of[places(t)]) for t in texts]
+        for shard, piece, table, numbers, sizes, labels, _ in _each(batches):
+            rows = start.row_of[table]
+            short = [_shortened(rows[t]) for t in _each_text(numbers, sizes)]
             after = _trained(start, short, labels, max(steps, -(-len(short) // BATCH)), k / rounds, 1 / rounds,
                              np.random.default_rng((seed, k, shard, piece)))
             total = total + np.rint(_table(after) * FIXED).astype(np.int64) * len(labels)
@@ -505,6 +594,7 @@ def _averaged(learn: DataFrame, model: Model, rounds: int, k: int, steps: int, s
              .groupBy("at").agg(*(F.sum(c).alias(c) for c in ("n", *columns))).orderBy("at").toArrow())
     table = np.stack([total.column(c).to_numpy() for c in columns], axis=1).astype(np.float64)
     shared.unpersist()
+    _release(learn.sparkSession)  # the round's shuffle files
     return _with_table(model, table / FIXED / total.column("n").to_numpy()[:, None])
 
 
@@ -513,9 +603,11 @@ def _odds(apart: DataFrame, model: Model, of, schema: str) -> DataFrame:
     shared = apart.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, texts, labels, _ in _each(batches):
-            odds, tongues = shared.value.odds([places(t) for t in texts])
-            tongue = tongues.argmax(axis=1) if tongues.shape[1] else np.zeros(len(texts), np.int64)
+        for _, _, table, numbers, sizes, labels, _ in _each(batches):
+            model = shared.value
+            rows = model.row_of[table] if len(model.weights) else table
+            odds, tongues = model.odds_of_rows([rows[t] for t in _each_text(numbers, sizes)])
+            tongue = tongues.argmax(axis=1) if tongues.shape[1] else np.zeros(len(sizes), np.int64)
             yield of(odds, labels, tongue)
 
     return apart.mapInArrow(run, schema)
@@ -559,7 +651,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 2):
-            s = shared.value.scores([places(t) for t in part.column(2).to_pylist()])
+            model, texts = shared.value, []
+            for words, number, sizes in split(part.column(2).to_pylist()):
+                rows = word_places(words)
+                rows = model.row_of[rows] if len(model.weights) else rows
+                texts += _each_text(rows[number], sizes)
+            s = model.scores_of_rows(texts)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"])

@@ -152,3 +152,38 @@ def test_long_texts_and_several_pieces_are_learnt_from(spark, make_docs, monkeyp
     rows = T.score(docs, T.train(docs, labels, steps=60)).collect()
     assert len(rows) == 60 and all(r.predicted == r.doc_id % 2 for r in rows)
     assert np.array_equal(*(T.train(d, labels, steps=3).embeddings for d in (docs, docs.repartition(5))))
+
+
+def _plain_places(text):
+    words = T.WORD.findall(text.lower()) if text else []
+    return [[zlib.crc32(w.encode("utf-8", "replace")) % T.BUCKETS for w in (v, *("<" + v[:n] for n in T.STEMS))] for v in words]
+
+
+def test_places_of_many_texts_at_once(rng, monkeypatch):
+    """As word by word by the pattern, whatever the letters, and however many texts are split together."""
+    def letter():
+        return chr(rng.choice([rng.randrange(128), rng.randrange(0x400), rng.randrange(0xD800), rng.randrange(0xE000, 0x110000)]))
+
+    texts = ["".join(letter() for _ in range(rng.randrange(60))) for _ in range(500)]
+    texts += [None, "", "ΟΔΟΣ x", "İi_a b", "w" * 5_000 + " " + "é" * 70, "_ 1 _2_"]
+    expect = [_plain_places(t) for t in texts]
+    for chars in (1, 700, T.SPLIT_CHARS):
+        monkeypatch.setattr(T, "SPLIT_CHARS", chars)
+        found = T.places_of(texts)
+        assert [p.tolist() for p in found] == expect and all(p.shape == (len(e), 1 + len(T.STEMS)) for p, e in zip(found, expect))
+    assert T.places_of([]) == []
+
+
+def test_pieces_hold_words_once():
+    """A packed row has each different word once, so that no pass over it splits texts."""
+    import pyarrow as pa
+    texts = ["a b a", None, "B c c-c", ""] * 3
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array([False] * 8 + [True] * 4), pa.array([2] * 12, pa.int32()), pa.array(texts), pa.array([1, 0] * 6, pa.int32()),
+         pa.array(["en", ""] * 6)], ["apart", "shard", "text", "y", "lang"])
+    packed = list(T._pack(iter([rows])))
+    assert [b.column(3)[0].as_py() for b in packed] == [["a", "b", "c"]] * 2
+    found = list(T._each(iter(packed)))
+    got = [(shard, piece, [table[t].tolist() for t in T._each_text(numbers, sizes)], labels.tolist(), langs)
+           for shard, piece, table, numbers, sizes, labels, langs in found]
+    assert got == [(2, 0, [_plain_places(t) for t in texts[:n]], ([1, 0] * 6)[:n], (["en", ""] * 6)[:n]) for n in (8, 4)]
