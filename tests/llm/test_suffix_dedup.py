@@ -151,3 +151,31 @@ def test_repeated_and_huge_ids_equal_brute_force(make_docs, prose, rng):
     few = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in D.dedup(make_docs(rows), max_group=1).selectExpr(
         "doc_id", "n_bytes", "aggregate(spans, 0L, (n, s) -> n + s.end - s.start) AS n_removed").collect())
     assert few == [r[:3] for r in got]  # the way for crowded anchors
+
+
+def test_pieces_of_many_texts_at_once(rng):
+    """As one text after the other: no piece goes from one text into the next."""
+    raws = [bytes(rng.choice(b"ab") if rng.random() < 0.5 else rng.randrange(256) for _ in range(rng.choice([50, 51, 99, 400])))
+            for _ in range(60)] + [b"a" * 50] * 3 + [b"z" * 300]
+    of, *many = D.pieces_of(raws)
+    expect = [D.pieces(raw) for raw in raws]
+    assert of.tolist() == [i for i, p in enumerate(expect) for _ in p[0]]
+    for got, one in zip(many, zip(*expect)):
+        assert got.tolist() == np.concatenate(one).tolist()
+    assert [len(c) for c in D.pieces(b"a" * 49)] == [0] * 5
+
+
+def test_spans_of_many_documents_are_cut_at_once(monkeypatch):
+    """Null texts, null lists, spans that touch and overlap; whatever the number of texts handled together."""
+    import pyarrow as pa
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    cuts = [[(3, 5), (0, 2), (2, 3)], None, [], None, [(1, 2), (4, 9), (6, 7)]]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(5), pa.int64()), pa.array(["0123456", "ab", "cd", None, "äbcdefgh"]),
+         pa.array([c and [dict(zip(("start", "end"), x)) for x in c] for c in cuts], span)], ["doc", "text", "cuts"])
+    for size in (1, 1 << 20):
+        monkeypatch.setattr(D, "TEXT_BYTES", size)
+        rows = [r for b in D._apply(iter([batch])) for r in b.to_pylist()]
+        assert [r["kept"] for r in rows] == [b"56", b"ab", b"cd", b"", b"\xc3bc"]
+        assert [[(x["start"], x["end"]) for x in r["spans"]] for r in rows] == [[(0, 5)], [], [], [], [(1, 2), (4, 9)]]
+        assert [r["n_bytes"] for r in rows] == [7, 2, 2, 0, 9]
