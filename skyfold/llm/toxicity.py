@@ -37,23 +37,27 @@ import re
 import sys
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.llm.common import slices, stored
-from skyfold.llm.compact_windows import word_hashes
-from skyfold.llm.suffix_dedup import _mix, _release
+from skyfold.llm.suffix_dedup import _pair, _release
 
 BUCKETS = 1 << 20
 DIMENSIONS = 16
 WIDTHS = (1, 2, 3)
 FILTERS = 16
 STEMS = (4, 6)
+#: The rows between texts.
+GAP = np.zeros((len(WIDTHS) - 1, 1 + len(STEMS)), np.int32)
 MIN_DOCS, MIN_SHARE = 3, 0.002
 #: Steps of a piece's training at least, each over ``BATCH`` texts, in all rounds together; each
 #: round takes every row of the piece.
@@ -86,16 +90,21 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS == 0, F.lit(True))
 
 
-#: Bytes of a word up to which words' checksums are made together, byte by byte.
+#: Bytes of a word up to which words' checksums and keys are made together, byte by byte.
 TOGETHER = 64
 _CRC = np.array([zlib.crc32(bytes([i ^ 0xFF])) ^ 0xFF000000 for i in range(256)], np.uint32)
+#: Of eight bytes the first ones; bytes of a letter by its first byte; which ASCII bytes are of words.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_LETTER = np.array([1 if b < 0xC0 else 2 if b < 0xE0 else 3 if b < 0xF0 else 4 for b in range(256)])
+_ASCII = bytes(range(128))
+_OF_WORD = bytes(b < 128 and bool(WORD.match(chr(b))) for b in range(256))
 
 
-def _crcs(raw: bytes, starts: np.ndarray, sizes: np.ndarray, before: bytes = b"") -> np.ndarray:
-    """crc32 of ``before`` and each part of ``raw``."""
-    order = np.argsort(-sizes, kind="stable")
+def _crcs(b: np.ndarray, starts: np.ndarray, sizes: np.ndarray, before: bytes = b"") -> np.ndarray:
+    """crc32 of ``before`` and each part of ``b``."""
+    # as 16-bit numbers they are sorted by radix
+    order = np.argsort(TOGETHER - np.minimum(sizes, TOGETHER + 1).astype(np.int16), kind="stable")
     at, less = starts[order], -sizes[order]
-    b = np.frombuffer(raw, np.uint8)
     crc = np.full(len(starts), zlib.crc32(before) ^ 0xFFFFFFFF, np.uint32)
     for k in range(min(TOGETHER, int(sizes.max(initial=0)))):
         n = int(np.searchsorted(less, -k))  # parts that are longer
@@ -103,21 +112,20 @@ def _crcs(raw: bytes, starts: np.ndarray, sizes: np.ndarray, before: bytes = b""
     out = np.empty(len(starts), np.uint32)
     out[order] = ~crc
     for i in np.flatnonzero(sizes > TOGETHER).tolist():
-        out[i] = zlib.crc32(raw[starts[i]:starts[i] + sizes[i]], zlib.crc32(before))
+        out[i] = zlib.crc32(b[starts[i]:starts[i] + sizes[i]], zlib.crc32(before))
     return out
 
 
-def word_places(words: list[str]) -> np.ndarray:
-    """Places of each word, then of its stems."""
-    raw = "".join(words).encode("utf-8", "replace")
-    # where each letter begins; letters of several bytes go on with 10xxxxxx
-    letter = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80), len(raw))
-    letters = np.fromiter(map(len, words), np.int64, len(words))
-    first = np.cumsum(letters) - letters
-    out = np.empty((len(words), 1 + len(STEMS)), np.int32)
-    for k, n in enumerate((None, *STEMS)):
-        sizes = letter[first + (letters if n is None else np.minimum(letters, n))] - letter[first]
-        out[:, k] = _crcs(raw, letter[first], sizes, b"" if n is None else b"<") % np.uint32(BUCKETS)
+def word_places(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places of each word of ``b``, UTF-8 and a zero at least, then of its stems."""
+    out = np.empty((len(starts), 1 + len(STEMS)), np.int32)
+    out[:, 0] = _crcs(b, starts, ends - starts) % np.uint32(BUCKETS)
+    at, letters = starts, 0
+    for k, n in sorted(enumerate(STEMS, 1), key=lambda s: s[1]):
+        for _ in range(n - letters):
+            at = np.minimum(at + _LETTER[b[at]], ends)
+        letters = n
+        out[:, k] = _crcs(b, starts, at - starts, b"<") % np.uint32(BUCKETS)
     return out
 
 
@@ -130,32 +138,64 @@ def _in_words() -> np.ndarray:
     return out
 
 
-def _of_point(points: np.ndarray) -> np.ndarray:
-    return _mix(points.astype(np.uint64) + np.uint64(1))
+def _keys(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for each word: words of up to eight bytes are their own, longer ones are hashed.
+    Eight zeros follow the last word."""
+    eight = np.ndarray(len(b) - 7, "<u8", b, strides=(1,))  # the eight bytes from each byte on
+    sizes = ends - starts
+    out = eight[starts] & _FIRST[np.minimum(sizes, 8)]
+    longer = np.flatnonzero((sizes > 8) & (sizes <= TOGETHER))
+    k = 8
+    while len(longer):
+        left = sizes[longer] - k
+        out[longer] = _pair(out[longer], eight[starts[longer] + k] & _FIRST[np.minimum(left, 8)])
+        longer = longer[left > 8]
+        k += 8
+    for i in np.flatnonzero(sizes > TOGETHER).tolist():
+        out[i] = xxhash.xxh64_intdigest(b[starts[i]:ends[i]])
+    return out
+
 
+class Words(NamedTuple):
+    """The different words of some texts, in the order of their first occurrence, as parts of
+    their bytes, which eight zeros follow; their keys; all words of the texts as numbers of
+    different ones, text by text, and how many words each text has."""
+    b: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    keys: np.ndarray
+    number: np.ndarray
+    sizes: list[int]
 
-def split(texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray, list[int]]]:
-    """Of ``SPLIT_CHARS`` of the texts at a time the different words, the number of each word among
-    them, text by text, and how many words each text has."""
+
+def split(texts: list[str | None]) -> Iterator[Words]:
+    """The words of ``SPLIT_CHARS`` of the texts at a time."""
     part, size = [], 0
     for i, text in enumerate(texts, 1):
-        part.append(text.lower() if text else "")
-        size += len(part[-1])
+        part.append((text.lower() if text else "").encode("utf-8", "surrogatepass"))
+        size += len(text or "")
         if size < SPLIT_CHARS and i < len(texts):
             continue
-        joined = " ".join((*part, ""))
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        inside = np.zeros(len(points) + 1, bool)  # a text begins and ends outside of words
-        inside[1:] = _in_words()[points]
+        raw = b" ".join((*part, bytes(8)))
+        b = np.frombuffer(raw, np.uint8)
+        inside = np.zeros(len(b) + 1, bool)  # a text begins and ends outside of words
+        inside[1:] = np.frombuffer(raw.translate(_OF_WORD), bool)
+        first = np.flatnonzero(b >= 0xC0)  # of letters of several bytes
+        if len(first):
+            points = np.frombuffer(raw.translate(None, _ASCII).decode("utf-8", "surrogatepass").encode(
+                "utf-32-le", "surrogatepass"), np.uint32)
+            own = _in_words()[points]
+            first, points = first[own], points[own]
+            for k, least in enumerate((0, 0, 0x800, 0x10000), 1):
+                inside[first[points >= least] + k] = True
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
-        numbers = pa.array(word_hashes(points, starts, ends, _of_point)).dictionary_encode()
+        numbers = pa.array(_keys(b, starts, ends)).dictionary_encode()
         number = numbers.indices.to_numpy()
         one = np.empty(len(numbers.dictionary), np.int64)
         one[number] = np.arange(len(number))
-        words = [joined[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())]
         cuts = np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in part]))
-        yield words, number, np.diff(cuts).tolist()
+        yield Words(b, starts[one], ends[one], numbers.dictionary.to_numpy(), number, np.diff(cuts).tolist())
         part, size = [], 0
 
 
@@ -166,7 +206,7 @@ def _each_text(words: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
 
 def places_of(texts: list[str | None]) -> list[np.ndarray]:
     """Of each text words x places (the word's, then its stems')."""
-    return [p for words, number, sizes in split(texts) for p in _each_text(word_places(words)[number], sizes)]
+    return [p for w in split(texts) for p in _each_text(word_places(w.b, w.starts, w.ends)[w.number], w.sizes)]
 
 
 def places(text: str | None) -> np.ndarray:
@@ -191,6 +231,10 @@ class Model:
         each text (zero rows follow a text), texts x filters, width by width; and the
         embeddings."""
         x = self.embedded(rows)
+        return self.greatest(x, starts, ends), x
+
+    def greatest(self, x: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """The same of words as embeddings."""
         out = []
         full = ends > starts
         cuts = np.column_stack((starts[full], ends[full])).ravel()
@@ -201,7 +245,7 @@ class Model:
                 at = cuts if cuts[-1] < len(z) else cuts[:-1]
                 best[full] = np.maximum.reduceat(z, at, axis=0)[::2]
             out.append(best)
-        return out, x
+        return out
 
     def embedded(self, rows: np.ndarray) -> np.ndarray:
         x = self.embeddings.take(rows[:, 0], axis=0)
@@ -221,53 +265,63 @@ class Model:
 
     def odds(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Log odds before calibration, and the log probability of each language, of texts as places."""
-        return self.odds_of_rows([self.row_of[t] for t in texts] if len(self.weights) else texts)
+        return self.odds_of_words(*_numbered(texts))
 
-    def odds_of_rows(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """The same of texts as rows of the embeddings."""
+    def odds_of_words(self, table: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of texts as numbers of different words, whose places are given: each word's
+        embedding is summed once."""
         odds, tongues = np.full(len(texts), self.bias), np.zeros((len(texts), self.languages.shape[1]))
         if not len(self.weights):
             return odds, tongues
         pooled = np.zeros((len(texts), len(WIDTHS) * FILTERS), np.float32)
-        group, held = [], 0
+        rows = self.row_of[np.vstack((table, np.zeros((1, 1 + len(STEMS)), np.int32)))]
+        rows[-1] = 0  # the zero rows between texts
+        words, tongue = self.embedded(rows), self.languages[rows[:, 0]] if len(self.languages) else None
+        gap = np.full(len(WIDTHS) - 1, len(table))
+        group, parts, held = [], [], 0
 
         def flush() -> None:
-            nonlocal held
-            best, _ = self.responses(*_laid_out([r for _, r in group], STRETCH))
-            for (i, _), b in zip(group, np.maximum(np.hstack(best), 0)):
-                pooled[i] = np.maximum(pooled[i], b)
-            group.clear()
-            held = 0
-
-        overlap = len(WIDTHS) - 1
-        for i, rows in enumerate(texts):
-            if len(self.languages):
-                tongues[i] = self.languages[rows[:, 0]].sum(axis=0, dtype=np.float64)
-            for a in range(0, len(rows), STRETCH):
-                group.append((i, rows[a:a + STRETCH + overlap]))
-                held += len(group[-1][1])
+            numbers, starts, ends = _laid_out(parts, STRETCH, gap)
+            best = self.greatest(words.take(numbers, axis=0), starts, ends)
+            # no text has two parts in a group, as every part but its last one ends a group
+            pooled[group] = np.maximum(pooled[group], np.hstack(best))
+
+        for i, text in enumerate(texts):
+            if tongue is not None:
+                tongues[i] = tongue.take(text, axis=0).sum(axis=0, dtype=np.float64)
+            for a in range(0, len(text), STRETCH):
+                group.append(i)
+                parts.append(text[a:a + STRETCH + len(gap)])
+                held += len(parts[-1])
                 if held >= STRETCH:
                     flush()
+                    group, parts, held = [], [], 0
         if group:
             flush()
         return odds + pooled @ self.weights, tongues
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
-        return self.scores_of_rows([self.row_of[t] for t in texts] if len(self.weights) else texts)
+        return self.scores_of_words(*_numbered(texts))
 
-    def scores_of_rows(self, texts: list[np.ndarray]) -> np.ndarray:
+    def scores_of_words(self, table: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
         if not len(self.weights):
             return np.zeros(len(texts))
-        odds, tongues = self.odds_of_rows(texts)
+        odds, tongues = self.odds_of_words(table, texts)
         if len(self.thresholds):
             odds = odds - self.thresholds[tongues.argmax(axis=1)]
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
 
 
-def _laid_out(texts: list[np.ndarray], most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _numbered(texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Texts as places as if all their words were different."""
+    table = np.concatenate([np.zeros((0, 1 + len(STEMS)), np.int32), *texts])
+    return table, _each_text(np.arange(len(table)), [len(t) for t in texts])
+
+
+def _laid_out(texts: list[np.ndarray], most: int | None = None, gap: np.ndarray = GAP
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The rows of the texts one after the other, each followed by zero rows; where each text
     begins, and where it ends or has had ``most`` words (the next stretch begins there)."""
-    gap = np.zeros((len(WIDTHS) - 1, 1 + len(STEMS)), np.int32)
     rows = np.concatenate([p for t in texts for p in (t, gap)]) if texts else gap
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(np.r_[0, sizes[:-1] + len(gap)])
@@ -277,7 +331,10 @@ def _laid_out(texts: list[np.ndarray], most: int | None = None) -> tuple[np.ndar
 def _shortened(rows: np.ndarray) -> np.ndarray:
     """A text with as many words without an embedding in a row as the widest filter has:
     more of them change no maximum."""
-    zeros = np.convolve(~rows.any(axis=1), np.ones(len(WIDTHS) + 1, np.int64))[:len(rows)]
+    known = rows.any(axis=1)
+    if known.all():
+        return rows
+    zeros = np.convolve(~known, np.ones(len(WIDTHS) + 1, np.int64))[:len(rows)]
     return rows[zeros <= len(WIDTHS)]
 
 
@@ -350,6 +407,7 @@ def gradients(model: Model, texts: list[np.ndarray], y: np.ndarray, weight: np.n
     error = (weight * (p - y)).astype(np.float32)
     back = error[:, None] * model.weights[None, :] * (pooled > 0)
     d_embeddings = np.zeros_like(model.embeddings)
+    places, parts = [], []
     d_filters, d_offsets = [np.zeros_like(k) for k in model.filters], []
     rows, starts, _ = _laid_out(texts)
     for k, (w, kernel) in enumerate(zip(WIDTHS, model.filters)):
@@ -365,8 +423,17 @@ def gradients(model: Model, texts: list[np.ndarray], y: np.ndarray, weight: np.n
             words = rows[first + i]
             d_filters[k][i] = (by_filter @ model.embedded(words)).T
             by_word = kernel[i].T[f] * share[:, None]
-            for k_place in range(rows.shape[1]):
-                np.add.at(d_embeddings, words[:, k_place], by_word)
+            places.append(words.T)
+            parts.append(by_word)
+    if parts:
+        of_part = np.concatenate([np.tile(np.arange(n - p.shape[1], n), len(p)) for p, n in zip(
+            places, np.cumsum([len(v) for v in parts]))])
+        # sorted by row, then by their order, which the low bits hold
+        key = np.concatenate([p.ravel() for p in places]).astype(np.int64) << 32 | np.arange(len(of_part))
+        key.sort()
+        row = key >> 32
+        cuts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        d_embeddings[row[cuts]] = np.add.reduceat(np.concatenate(parts)[of_part[key & 0xFFFFFFFF]], cuts, axis=0)
     d_embeddings[0] = 0
     return loss, [d_embeddings, *d_filters, *d_offsets, pooled.T @ error, np.array([error.sum()], np.float32)]
 
@@ -460,14 +527,19 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def row() -> pa.RecordBatch:
         texts, labels, langs = zip(*held)
-        known: dict[str, int] = {}
-        numbers, sizes = [], []
-        for words, number, n in split(texts):
-            of = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words))
-            numbers.append(of[number])
-            sizes += n
-        lists = ((list(known), pa.string()), (np.concatenate(numbers), pa.int32()), (sizes, pa.int32()),
-                 (labels, pa.int32()), (langs, pa.string()))
+        parts = list(split(texts))
+        number = pa.array(np.concatenate([p.keys for p in parts])).dictionary_encode().indices.to_numpy()
+        # a word that is new has the number after all numbers before
+        new = np.diff(np.maximum.accumulate(number), prepend=-1) > 0
+        words, numbers, sizes, a = [], [], [], 0
+        for p in parts:
+            at = slice(a, a := a + len(p.keys))
+            raw = p.b.tobytes()
+            words += [raw[x:y] for x, y in zip(p.starts[new[at]].tolist(), p.ends[new[at]].tolist())]
+            numbers.append(number[at][p.number])
+            sizes += p.sizes
+        lists = ((pa.array(words, pa.binary()).cast(pa.string()), pa.string()), (np.concatenate(numbers), pa.int32()),
+                 (sizes, pa.int32()), (labels, pa.int32()), (langs, pa.string()))
         return pa.RecordBatch.from_arrays(
             [pa.array([key[0]]), pa.array([key[1]], pa.int32()), pa.array([piece], pa.int32()),
              *(pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, t)) for v, t in lists)],
@@ -491,7 +563,10 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndar
     for batch in batches:
         for i in range(batch.num_rows):
             _, shard, piece, words, numbers, sizes, labels, langs = (batch.column(c)[i] for c in range(8))
-            yield (shard.as_py(), piece.as_py(), word_places(words.as_py()), numbers.values.to_numpy(), sizes.as_py(),
+            raw = pc.binary_join(batch.column(3).slice(i, 1), "")[0].as_buffer().to_pybytes()
+            ends = np.cumsum(pc.binary_length(words.values).to_numpy(), dtype=np.int64)
+            table = word_places(np.frombuffer(raw + bytes(1), np.uint8), np.r_[0, ends][:-1], ends)
+            yield (shard.as_py(), piece.as_py(), table, numbers.values.to_numpy(), sizes.as_py(),
                    labels.values.to_numpy().astype(np.int64), langs.as_py())
 
 
@@ -499,17 +574,24 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: of each place and language the documents, those of label 1 and the words."""
     for _, _, table, numbers, sizes, labels, langs in _each(batches):
         texts = _each_text(numbers, sizes)
+        place, of = np.unique(table, return_inverse=True)
+        of, last = of.reshape(table.shape), np.zeros(len(place), np.int64)
         for lang in sorted(set(langs)):
             own = [i for i, v in enumerate(langs) if v == lang]
-            found = [table[texts[i]] for i in own]
-            present = [np.unique(p) for p in found]
-            place, of = np.unique(np.concatenate(present), return_inverse=True)
-            marks = np.repeat(labels[own], [len(p) for p in present])
-            words = np.bincount(np.searchsorted(place, np.concatenate([p[:, 0] for p in found])), minlength=len(place))
-            docs, toxic = np.bincount(of, minlength=len(place)), np.bincount(of, marks, minlength=len(place))
+            docs, toxic = np.zeros((2, len(place)), np.int64)
+            for i in own:
+                found = of[texts[i]].ravel()
+                at = np.arange(len(found))
+                last[found] = at
+                present = found[last[found] == at]  # each place once
+                docs[present] += 1
+                toxic[present] += labels[i]
+            there = np.flatnonzero(docs)
+            words = np.bincount(np.concatenate([texts[i] for i in own]), minlength=len(table))
+            words = np.bincount(of[:, 0], words, minlength=len(place))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(place, pa.int32()), pa.array([lang] * len(place), pa.string()),
-                 *(pa.array(c.astype(np.int64)) for c in (docs, toxic, words))], ["place", "lang", "docs", "toxic", "words"])
+                [pa.array(place[there], pa.int32()), pa.array([lang] * len(there), pa.string()),
+                 *(pa.array(c[there].astype(np.int64)) for c in (docs, toxic, words))], ["place", "lang", "docs", "toxic", "words"])
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int | None = None, steps: int = STEPS,
@@ -564,10 +646,9 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int | None = None, s
     best, kept = np.inf, model
     for k in range(rounds):
         model = _averaged(learn, model, rounds, k, -(-steps // rounds), seed)
-        loss = _loss(apart, model)
+        loss, thresholds = _judged(apart, model)
         if loss <= best:
-            best, kept = loss, model
-    kept.thresholds = _calibrated(apart, kept)
+            best, kept = loss, replace(model, thresholds=thresholds)
     return kept
 
 
@@ -598,29 +679,25 @@ def _averaged(learn: DataFrame, model: Model, rounds: int, k: int, steps: int, s
     return _with_table(model, table / FIXED / total.column("n").to_numpy()[:, None])
 
 
-def _odds(apart: DataFrame, model: Model, of, schema: str) -> DataFrame:
-    """What ``of`` gives for the odds, labels and languages of each piece's rows."""
+def _judged(apart: DataFrame, model: Model) -> tuple[float, np.ndarray]:
+    """The mean loss of the rows kept from the training, and each language's threshold by them."""
     shared = apart.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, table, numbers, sizes, labels, _ in _each(batches):
-            model = shared.value
-            rows = model.row_of[table] if len(model.weights) else table
-            odds, tongues = model.odds_of_rows([rows[t] for t in _each_text(numbers, sizes)])
-            tongue = tongues.argmax(axis=1) if tongues.shape[1] else np.zeros(len(sizes), np.int64)
-            yield of(odds, labels, tongue)
-
-    return apart.mapInArrow(run, schema)
-
-
-def _loss(apart: DataFrame, model: Model) -> float:
-    def of(odds: np.ndarray, y: np.ndarray, tongue: np.ndarray) -> pa.RecordBatch:
-        z = np.clip(odds, -40, 40)
-        loss = np.rint(np.log1p(np.exp(np.where(y == 1, -z, z))) * FIXED).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array([loss.sum()]), pa.array([len(y)], pa.int64())], ["loss", "n"])
+            odds, tongues = shared.value.odds_of_words(table, _each_text(numbers, sizes))
+            z = np.clip(odds, -40, 40)
+            loss = np.rint(np.log1p(np.exp(np.where(labels == 1, -z, z))) * FIXED).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tongues.argmax(axis=1), pa.int32()), pa.array(labels, pa.int32()),
+                 pa.array(np.floor(z * BINS).astype(np.int32)), pa.array(loss)], ["tongue", "y", "bin", "loss"])
 
-    loss, n = _odds(apart, model, of, "loss long, n long").agg(F.sum("loss"), F.sum("n")).first()
-    return loss / FIXED / n if n else 0.0
+    bins = (apart.mapInArrow(run, "tongue int, y int, bin int, loss long").groupBy("tongue", "y", "bin")
+            .agg(F.count("*").alias("n"), F.sum("loss").alias("loss")).collect())
+    tongue, y, z, n, loss = (np.array([r[c] for r in bins], np.int64) for c in range(5))
+    # a bin's rows count at its middle
+    thresholds = _thresholds((z + 0.5) / BINS, y, tongue, n, model.languages.shape[1])
+    return sum(loss.tolist()) / FIXED / int(n.sum()) if len(n) else 0.0, thresholds
 
 
 def _language_table(counts: np.ndarray) -> np.ndarray:
@@ -631,17 +708,6 @@ def _language_table(counts: np.ndarray) -> np.ndarray:
     return table.astype(np.float32)
 
 
-def _calibrated(apart: DataFrame, model: Model) -> np.ndarray:
-    def of(odds: np.ndarray, y: np.ndarray, tongue: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(tongue, pa.int32()), pa.array(y, pa.int32()), pa.array(
-            np.floor(np.clip(odds, -40, 40) * BINS).astype(np.int32))], ["tongue", "y", "bin"])
-
-    bins = _odds(apart, model, of, "tongue int, y int, bin int").groupBy("tongue", "y", "bin").count().collect()
-    tongue, y, z, n = (np.array([r[c] for r in bins], np.int64) for c in range(4))
-    # a bin's rows count at its middle
-    return _thresholds((z + 0.5) / BINS, y, tongue, n, model.languages.shape[1])
-
-
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every whole text.  A narrow map."""
     head = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"),
@@ -651,12 +717,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 2):
-            model, texts = shared.value, []
-            for words, number, sizes in split(part.column(2).to_pylist()):
-                rows = word_places(words)
-                rows = model.row_of[rows] if len(model.weights) else rows
-                texts += _each_text(rows[number], sizes)
-            s = model.scores_of_rows(texts)
+            model = shared.value
+            s = np.concatenate([model.scores_of_words(word_places(w.b, w.starts, w.ends), _each_text(w.number, w.sizes))
+                                for w in split(part.column(2).to_pylist())])
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"])

@@ -187,3 +187,53 @@ def test_pieces_hold_words_once():
     got = [(shard, piece, [table[t].tolist() for t in T._each_text(numbers, sizes)], labels.tolist(), langs)
            for shard, piece, table, numbers, sizes, labels, langs in found]
     assert got == [(2, 0, [_plain_places(t) for t in texts[:n]], ([1, 0] * 6)[:n], (["en", ""] * 6)[:n]) for n in (8, 4)]
+
+
+def test_words_are_told_apart_and_found_again():
+    """Words are the same exactly if all their letters are, whatever their length in bytes."""
+    words = [c * n + d for c in "xé字" for n in (0, 1, 6, 7, 8, 15, 16, 17, 62, 63, 64, 65, 300) for d in "aß𝒂"]
+    texts = [" ".join(words), "\x00".join(words[::-1]), None, ".".join(words[::2])]
+    [w] = T.split(texts)
+    found = [w.b[a:z].tobytes().decode() for a, z in zip(w.starts.tolist(), w.ends.tolist())]
+    assert found == list(dict.fromkeys(v for t in texts[:1] for v in T.WORD.findall(t.lower())))
+    assert [found[i] for i in w.number] == [v for t in texts if t for v in T.WORD.findall(t.lower())]
+    assert w.sizes == [len(T.WORD.findall(t.lower())) if t else 0 for t in texts]
+    assert T.word_places(w.b, w.starts, w.ends).tolist() == _plain_places(" ".join(found))
+
+
+def test_counts_equal_row_by_row_counts(rng, monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(T, "SPLIT_CHARS", 300)
+    texts = [" ".join(rng.choice(["idiot", "idiots", "idea", "ÉTÉ", "a", "w%d" % rng.randrange(30)]) for _ in range(rng.randrange(20)))
+             for _ in range(80)]
+    y, langs = [rng.randrange(2) for _ in texts], [rng.choice(["en", "fr", ""]) for _ in texts]
+    rows = pa.RecordBatch.from_arrays([pa.array([False] * 80), pa.array([0] * 80, pa.int32()), pa.array(texts),
+                                       pa.array(y, pa.int32()), pa.array(langs)], ["apart", "shard", "text", "y", "lang"])
+    expect = {}
+    for text, mark, lang in zip(texts, y, langs):
+        places = _plain_places(text)
+        for p in {p for row in places for p in row}:
+            c = expect.setdefault((p, lang), [0, 0, 0])
+            c[0], c[1], c[2] = c[0] + 1, c[1] + mark, c[2] + sum(row[0] == p for row in places)
+    got = [r for b in T._counted(T._pack(iter([rows]))) for r in b.to_pylist()]
+    assert {(r["place"], r["lang"]): [r["docs"], r["toxic"], r["words"]] for r in got} == expect and len(got) == len(expect)
+
+
+def test_a_word_is_embedded_once_however_often_it_is_read(given, monkeypatch):
+    docs, _, model = given
+    texts = [r.text for r in docs.limit(10).collect()] * 20
+    seen, embedded = [], T.Model.embedded
+    monkeypatch.setattr(T.Model, "embedded", lambda self, rows: seen.append(len(rows)) or embedded(self, rows))
+    [w] = T.split(texts)
+    scores = model.scores_of_words(T.word_places(w.b, w.starts, w.ends), T._each_text(w.number, w.sizes))
+    assert sum(seen) == len(w.starts) + 1 <= len(w.number) / 20 + 1
+    assert np.allclose(scores, model.scores(T.places_of(texts)), atol=1e-6)
+
+
+def test_each_round_is_judged_in_one_pass(given, monkeypatch):
+    """Loss and thresholds come of one pass over the rows kept from the training."""
+    docs, labels, _ = given
+    passes, plain = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a, **k: passes.append(f) or plain(self, f, *a, **k))
+    model = T.train(docs, labels, steps=T.ROUNDS)
+    assert len(passes) == 2 + 2 * T.ROUNDS and len(model.thresholds) == model.languages.shape[1]
